@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, html_text, lattice, license_scan, rule_quality, simhash, url_filter
+from clickloom.llm import byte_bpe, decontaminate, html_text, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
 from clickloom.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), edits=1, least_chars=24)
+
+
 def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), 0.93)
 
@@ -25,6 +29,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(trip)
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    items = F.size("items").cast("long")
+    return found.select("doc_id", "n_words", "n_hit", items.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
 
@@ -45,7 +55,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.conv(F.col("fp").cast("string"), 10, 16), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op3_lattice_near_dup, op4_byte_bpe, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash)}
+
+_WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_winnowing": f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS.format("text")} AS w FROM benchmark),
+s AS (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM s)),
+dw AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+       FROM (SELECT d.*, z.size, unnest(range(1, len(w) - z.size + 2)) AS i FROM d, (SELECT DISTINCT size FROM s) z)),
+h AS (SELECT doc_id, item_id, i, dw.size FROM dw JOIN bw ON dw.size = bw.size AND dw.win = bw.win),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+}
