@@ -152,11 +152,12 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return _mapped(docs.select("doc_id", "text"), vocabulary, pattern, "ids binary, bytes binary", step)
 
 
-def digests(trip: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the result of ``round_trip``."""
+def digests(trip: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the result of ``round_trip``, and more of its columns."""
     return trip.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
+        *more,
     )
