@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, decontaminate, html_text, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
+from clickloom.llm import byte_bpe, decontaminate, html_text, katz, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
 from clickloom.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(trip)
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     items = F.size("items").cast("long")
@@ -55,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.conv(F.col("fp").cast("string"), 10, 16), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op5_katz, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash)}
 
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
