@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,19 +26,31 @@ from clickloom.llm.common import LOWER_TABLE, shared_dir
 K = 5
 #: The end of a text is a word of its own, which no text can hold; the start is a context only.
 END, START = b"", 0
-_SPACE_ = "block string, doc_ids binary, held binary, sizes binary, ids binary, words binary, counts binary"
+_SPACE_ = "block string, doc_ids binary, held binary, sizes binary, ids binary, n_words long, words binary, counts binary"
+
+
+def _zip(x: np.ndarray, steps: bool = False) -> bytes:
+    """An array's bytes, most significant apart from least; ``steps``: of the differences of a sorted array."""
+    x = np.ascontiguousarray(np.diff(x, prepend=x.dtype.type(0)) if steps else x)
+    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 3)
+
+
+def _unzip(data: bytes, kind, steps: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    x = np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if steps else x
 
 
 def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-_PACKED = pa.schema([("block", pa.string()), *((n, pa.binary()) for n in ("doc_ids", "held", "sizes", "ids", "words", "counts"))])
+_PACKED = pa.schema([("block", pa.string()), *((n, pa.int64() if n == "n_words" else pa.binary()) for n in ("doc_ids", "held", "sizes", "ids", "n_words", "words", "counts"))])
 _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.string()), *((n, pa.binary()) for n in ("keys", "counts", "extra"))])
 _ANSWER = pa.schema([("kind", pa.string()), ("block", pa.string()), ("bucket", pa.int32()), *((n, pa.binary()) for n in ("a", "b"))])
 
 
-def pack(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
+def pack(docs: DataFrame, most_tokens: int = 3_000_000) -> DataFrame:
     """One row for each block of about ``most_tokens`` tokens: its texts as numbers of the block's own words.
 
     words: sorted 64-bit hashes of the distinct tokens; ids: for each token the place of its word; counts: how
@@ -57,7 +70,7 @@ def pack(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
             counts = np.bincount(local[train], minlength=len(words)).astype(np.uint32)
             # a missing id is the smallest number, as there is no other place for it in an array
             keys = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
-            row = (f"{part}-{number}", keys.tobytes(), np.array(held, np.uint8).tobytes(), size.tobytes(), local.tobytes(), words.tobytes(), counts.tobytes())
+            row = (f"{part}-{number}", _zip(keys), _zip(np.array(held, np.uint8)), _zip(size), _zip(local), len(words), _zip(words, True), _zip(counts))
             return _table(_PACKED, [row]).to_batches()[0]
 
         doc_ids, held, sizes, ids, seen, total = [], [], [], [], {END: 0}, 0
@@ -84,20 +97,18 @@ def pack(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
     return docs.select("doc_id", out.alias("held"), "text").mapInArrow(run, _SPACE_)
 
 
-def _of(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x or b"", kind) for x in column.to_pylist()]
+def _of(column: pa.ChunkedArray, kind, steps: bool = False) -> list[np.ndarray]:
+    return [_unzip(x, kind, steps) for x in column.to_pylist()]
 
 
-def _send(block: str, where: np.ndarray, keys: np.ndarray, counts: np.ndarray, extra: np.ndarray | None, buckets: int) -> list[tuple]:
+def _send(block: str, where: np.ndarray, keys: np.ndarray, counts: np.ndarray, extra: np.ndarray | None, buckets: int) -> Iterator[tuple]:
     """A message to each bucket that has keys (which stay in order)."""
     order = np.argsort(where, kind="stable")
     ends = np.cumsum(np.bincount(where, minlength=buckets))
-    out = []
     for b, hi in enumerate(ends):
         at = order[ends[b - 1] if b else 0 : hi]
         if len(at):
-            out.append((b, block, keys[at].tobytes(), counts[at].tobytes(), b"" if extra is None else extra[at].tobytes()))
-    return out
+            yield b, block, _zip(keys[at], True), _zip(counts[at]), None if extra is None else _zip(extra[at])
 
 
 @dataclass(frozen=True)
@@ -131,18 +142,18 @@ class Discounts:
 
 def _word_bucket(group: pa.Table) -> pa.Table:
     """Sum a bucket's words over all blocks; answer with each word's number in the bucket (from 1) and count."""
-    bucket, keys, counts = group["bucket"][0].as_py(), _of(group["keys"], np.uint64), _of(group["counts"], np.uint32)
+    bucket, keys, counts = group["bucket"][0].as_py(), _of(group["keys"], np.uint64, True), _of(group["counts"], np.uint32)
     words, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, np.concatenate(counts), len(words)).astype(np.int64)
     known = total > 0
     number = np.where(known, np.cumsum(known), 0)
     bounds = np.cumsum([len(k) for k in keys])[:-1]
-    rows = [("word", b, bucket, number[p].astype(np.uint64).tobytes(), total[p].tobytes()) for b, p in zip(group["block"].to_pylist(), np.split(place, bounds))]
+    rows = [("word", b, bucket, _zip(number[p].astype(np.uint64)), _zip(total[p].astype(np.uint64))) for b, p in zip(group["block"].to_pylist(), np.split(place, bounds))]
     occurs = np.bincount(np.minimum(total, K + 1), minlength=K + 2)
     # occurrences of each count up to K, then types and tokens above; the table itself beside it
     exact = [int((total == K + 1).sum()), int(total[total > K].sum()), int(total.sum()), int(known.sum())]
-    rows.append(("word_stats", None, bucket, np.array([*occurs[1 : K + 1], *exact], np.int64).tobytes(), b""))
-    rows.append(("unigrams", None, bucket, words[known].tobytes(), total[known].tobytes()))
+    rows.append(("word_stats", None, bucket, np.array([*occurs[1 : K + 1], *exact], np.int64).tobytes(), None))
+    rows.append(("unigrams", None, bucket, _zip(words[known], True), _zip(total[known].astype(np.uint64))))
     return _table(_ANSWER, rows)
 
 
@@ -153,7 +164,7 @@ def _gram_bucket(group: pa.Table, uni: Discounts, n: int) -> pa.Table:
     words seen. They are enough for its backoff weight whatever the discounts turn out to be.
     """
     bucket = group["bucket"][0].as_py()
-    keys, counts, uses = (_of(group[c], t) for c, t in (("keys", np.uint64), ("counts", np.uint32), ("extra", np.int64)))
+    keys, counts, uses = _of(group["keys"], np.uint64, True), _of(group["counts"], np.uint32), _of(group["extra"], np.uint64)
     pairs, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     total = np.bincount(place, np.concatenate(counts), len(pairs)).astype(np.int64)
     mass = uni.apply(np.concatenate(uses)[first]) / n
@@ -168,37 +179,37 @@ def _gram_bucket(group: pa.Table, uni: Discounts, n: int) -> pa.Table:
     for block, k in zip(group["block"].to_pylist(), keys):
         p = place[start : start + len(k)]
         start += len(k)
-        rows.append(("gram", block, bucket, total[p].astype(np.uint32).tobytes(), facts[np.unique(at[p])].tobytes()))
+        rows.append(("gram", block, bucket, _zip(total[p].astype(np.uint64)), _zip(facts[np.unique(at[p])])))
     occurs = [int((total == r).sum()) for r in range(1, K + 2)]
-    rows.append(("gram_stats", None, bucket, np.array(occurs, np.int64).tobytes(), b""))
+    rows.append(("gram_stats", None, bucket, np.array(occurs, np.int64).tobytes(), None))
     seen = total > 0
-    rows.append(("bigrams", None, bucket, pairs[seen].tobytes(), total[seen].tobytes()))
+    rows.append(("bigrams", None, bucket, _zip(pairs[seen], True), _zip(total[seen].astype(np.uint64))))
     return _table(_ANSWER, rows)
 
 
+def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so sorted words meet the buckets in order."""
+    return ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 class _Block:
-    """A packed block together with the answers to its words."""
+    """A packed block together with the answers to its words, which come bucket by bucket in the order of its words."""
 
     def __init__(self, packed: pa.Table, answers: pa.Table, buckets: int):
         row = packed.to_pylist()[0]
-        self.name = row["block"]
-        self.ids, self.words = np.frombuffer(row["ids"], np.uint32), np.frombuffer(row["words"], np.uint64)
-        self.sizes, self.held = np.frombuffer(row["sizes"], np.uint32), np.frombuffer(row["held"], np.uint8).astype(bool)
-        self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
-        self.number, self.count = np.zeros(len(self.words), np.uint64), np.zeros(len(self.words), np.int64)
-        where = self.where(self.words, buckets)
-        said = {r["bucket"]: r for r in answers.to_pylist() if r["kind"] == "word"}
-        for b in np.unique(where):  # the answers must be those of just these words
-            number, at = np.frombuffer(said[b]["a"], np.uint64), where == b
-            self.number[at] = np.where(number > 0, (number - 1) * np.uint64(buckets) + np.uint64(b + 1), 0)
-            self.count[at] = np.frombuffer(said[b]["b"], np.int64)
+        self.name, self.ids, self.sizes = row["block"], _unzip(row["ids"], np.uint32), _unzip(row["sizes"], np.uint32)
+        self.held, self.doc_ids = _unzip(row["held"], np.uint8).astype(bool), _unzip(row["doc_ids"], np.int64)
+        number, count = [], []
+        for r in sorted((r for r in answers.to_pylist() if r["kind"] == "word"), key=lambda r: r["bucket"]):
+            n = _unzip(r["a"], np.uint64)
+            number.append(np.where(n > 0, (n - 1) * np.uint64(buckets) + np.uint64(r["bucket"] + 1), np.uint64(0)))
+            count.append(_unzip(r["b"], np.uint64).astype(np.int64))
+        self.number, self.count = np.concatenate(number), np.concatenate(count)
+        if len(self.number) != row["n_words"]:
+            raise RuntimeError("answers do not fit the block's words")
         if self.number.max(initial=0) >= 1 << 32:
             raise OverflowError("more than 2^32 distinct words")
 
-    @staticmethod
-    def where(words: np.ndarray, buckets: int) -> np.ndarray:
-        return (words % np.uint64(buckets)).astype(np.int64)
-
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The context and word (0 if unknown) of each token as one number; whether the context is known."""
         word = self.number[self.ids]
@@ -211,7 +222,7 @@ class _Block:
         return context << np.uint64(32) | word, known
 
 
-def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
+def score(docs: DataFrame, most_tokens: int = 3_000_000) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose crc32(doc_id as text) leaves no 1 on division by 5. Unknown words are one word
@@ -231,8 +242,8 @@ def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, raw, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                keys = np.frombuffer(raw, np.uint64)
-                yield from _table(_SENT, _send(block, _Block.where(keys, buckets), keys, np.frombuffer(counts, np.uint32), None, buckets)).to_batches()
+                keys = _unzip(raw, np.uint64, True)
+                yield from _table(_SENT, list(_send(block, word_bucket(keys, buckets), keys, _unzip(counts, np.uint32), None, buckets))).to_batches()
 
     asked = packed.select("block", "words", "counts").mapInArrow(words, sent)
     asked.groupBy("bucket").applyInArrow(_word_bucket, answer).write.partitionBy("kind").parquet(f"{home}/unigrams")
@@ -244,6 +255,7 @@ def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
     rest = max(n, 1) - float((uni.apply(np.arange(1, K + 1)) * stats[:K]).sum()) - float(stats[K + 1])
     unknown = max(rest, 0.5) / (max(n, 1) - rest + max(rest, 0.5))  # only a table without small counts needs the half
     total = int(max(n, 1)) if rest >= 0.5 else max(n, 1) - rest + 0.5
+    texts = packed.drop("words", "counts")
     by_word = unigrams.where("kind = 'word'").select("kind", "block", "bucket", "a", "b")
 
     def grams(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -254,11 +266,11 @@ def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
         train = np.repeat(~block.held, block.sizes)[known]
         keys, first, place = np.unique(pairs[known], return_index=True, return_inverse=True)
         counts = np.bincount(place, train, len(keys)).astype(np.uint32)
-        uses = block.count[block.ids[known]][first]
+        uses = block.count[block.ids[known]][first].astype(np.uint64)
         where = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        return _table(_SENT, _send(block.name, where, keys, counts, uses, buckets))
+        return _table(_SENT, list(_send(block.name, where, keys, counts, uses, buckets)))
 
-    asked = packed.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(grams, sent)
+    asked = texts.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(grams, sent)
     asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, uni, total), answer).write.partitionBy("kind").parquet(f"{home}/bigrams")
     bigrams = spark.read.schema(answer).parquet(f"{home}/bigrams")
     occurs = sum((np.frombuffer(r[0], np.int64) for r in bigrams.where("kind = 'gram_stats'").select("a").toLocalIterator()), np.zeros(K + 1, np.int64))
@@ -282,8 +294,8 @@ def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
         counts, facts = np.zeros(len(keys), np.int64), np.zeros((len(each), K + 3))
         for r in right.to_pylist():
             if r["kind"] == "gram":
-                counts[where == r["bucket"]] = np.frombuffer(r["a"], np.uint32)
-                facts[(each % np.uint64(buckets)).astype(np.int64) == r["bucket"]] = np.frombuffer(r["b"], np.float64).reshape(-1, K + 3)
+                counts[where == r["bucket"]] = _unzip(r["a"], np.uint64)
+                facts[(each % np.uint64(buckets)).astype(np.int64) == r["bucket"]] = _unzip(r["b"], np.float64).reshape(-1, K + 3)
         seen, left_over, plain = weights(facts, bi)
         prob = p
         prob[known] *= left_over[at][place]
@@ -298,7 +310,7 @@ def score(docs: DataFrame, most_tokens: int = 4_000_000) -> DataFrame:
         return pa.Table.from_arrays([pa.array(x) if not isinstance(x, pa.Array) else x for x in cols], schema=result)
 
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, columns)
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, columns)
 
 
 def weights(facts: np.ndarray, bi: Discounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
