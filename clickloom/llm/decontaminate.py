@@ -14,9 +14,10 @@ GRAM = 5
 
 
 def words_of(text: str) -> Column:
-    """Runs of a-z, 0-9 and code points from 128 on, A-Z lower-cased; null for a null text."""
-    plain = F.octet_length(text) == F.length(text)  # without other letters lower() is the same and faster
-    low = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    """Runs of a-z, 0-9 and code points from 128 on, A-Z lower-cased; none for a null text."""
+    given = F.coalesce(F.col(text), F.lit(""))
+    plain = F.octet_length(given) == F.length(given)  # without other letters lower() is the same and faster
+    low = F.when(plain, F.lower(given)).otherwise(F.translate(given, UPPER, LOWER))
     return F.filter(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
 
 
@@ -33,6 +34,8 @@ def gram_hashes(words: Column, size: int) -> Column:
 
 def winnow(grams: Column, width: int) -> Column:
     """Distinct smallest hashes of all runs of ``width`` grams: any shared run of grams that long shares one of them."""
+    if width == 1:
+        return F.array_distinct(grams)
     starts = F.when(F.size(grams) >= width, F.sequence(F.lit(0), F.size(grams) - width)).otherwise(F.array().cast("array<int>"))
     return F.array_distinct(F.transform(starts, lambda i: F.least(*[F.get(grams, i + j) for j in range(width)])))
 

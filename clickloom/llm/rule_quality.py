@@ -149,7 +149,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, penalty:
     z = (holds - mean) / spread
     w, v, bias, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), float(np.log(y.mean() / (1 - y.mean()))), 1.0
     vb = bias
-    vec = np.ones(z.shape[1])
+    vec = rng.normal(size=z.shape[1])
     for _ in range(30):  # largest curvature, for the step length
         vec = z.T @ (z @ vec)
         vec /= np.linalg.norm(vec)
