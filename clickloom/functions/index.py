@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that the cluster configures; a temporary one only where none is set."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder that the cluster configures; a temporary one only where none is set."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clickloom-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clickloom-"))
+    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder."""
+    shared_dir(df.sparkSession, "")
     return df.checkpoint(eager=True)
 
 

@@ -145,4 +145,186 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "degree_distribution": "SELECT items, count(*) AS users FROM (SELECT count(DISTINCT itemid) AS items FROM clean GROUP BY visitorid) GROUP BY 1",
 }
 
+def _report(**bad: str) -> str:
+    """Rows (check, violations); each value is a select of bad rows."""
+    return " UNION ALL ".join(f"""SELECT '{n}' AS "check", (SELECT count(*) FROM ({q})) AS violations""" for n, q in bad.items())
+
+
+def _print(name: str, table: str, columns: str) -> str:
+    row = " || '|' || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns.split()))
+    return f"SELECT '{name}' AS name, count(*) AS row_count, CAST(coalesce(sum(('0x' || substr(md5({row}), 1, 15))::BIGINT::HUGEINT), 0) AS VARCHAR) AS fingerprint FROM {table}"
+
+
+_TABLES = {
+    "events": ("ev", "event_id timestamp visitorid event itemid transactionid session_id event_order split"),
+    "queries": ("q", "query_id visitorid session_id query_time target_time split"),
+    "targets": ("tgt", "query_id itemid target_events query_time target_time split"),
+    "properties": ("props", "itemid property timestamp value"),
+    "category_tree": ("tree", "categoryid root_id depth path"),
+    "items": ("items", "itemid known_at"),
+}
+
+_MAPS = """um AS (SELECT visitorid, row_number() OVER (ORDER BY visitorid) + 1 AS i FROM (SELECT DISTINCT visitorid FROM train)),
+im AS (SELECT itemid, row_number() OVER (ORDER BY itemid) + 1 AS i FROM (SELECT DISTINCT itemid FROM train))"""
+
+_LIMITS = """ti AS (SELECT itemid, known_at, row_number() OVER (ORDER BY known_at, itemid) - 1 AS rank FROM items WHERE itemid IN (SELECT itemid FROM train)),
+lim AS (SELECT query_id, query_time, "limit" FROM q JOIN (SELECT t, (SELECT count(*) FROM ti WHERE known_at <= t) AS "limit" FROM (SELECT DISTINCT query_time AS t FROM q)) ON t = query_time WHERE split = 'train')"""
+
+_NEGATIVES = (
+    _LIMITS
+    + ", "
+    + _meta('SELECT DISTINCT itemid, query_time FROM lim JOIN ti ON rank < "limit"', "query_time", "m2.itemid, m2.query_time")
+    + """, ok AS (SELECT itemid, query_time FROM meta WHERE candidate),
+dr AS (SELECT query_id, itemid, x.query_time, min(d) AS d FROM (SELECT *, ('0x' || substr(md5('7:' || query_id || ':' || d), 1, 8))::BIGINT % "limit" AS r FROM lim, range(20) z(d) WHERE "limit" > 0) x
+  JOIN ti ON rank = r GROUP BY ALL),
+got AS (SELECT query_id, itemid FROM dr JOIN ok USING (itemid, query_time) ANTI JOIN tgt USING (query_id, itemid) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d) <= 5),
+sh AS (SELECT lim.*, coalesce(h, 0) AS h FROM lim LEFT JOIN (SELECT query_id, count(*) AS h FROM got GROUP BY 1) USING (query_id) WHERE coalesce(h, 0) < 5),
+fill AS (SELECT query_id, itemid FROM (SELECT query_id, query_time, h, itemid FROM sh JOIN ti ON rank < "limit") p JOIN ok USING (itemid, query_time)
+  ANTI JOIN tgt USING (query_id, itemid) ANTI JOIN got USING (query_id, itemid)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY md5('7:' || query_id || ':f:' || itemid)) <= 5 - h),
+neg AS (SELECT * FROM got UNION ALL SELECT * FROM fill)"""
+)
+
+_NEXT = """nx AS (SELECT *, lead(timestamp) OVER (PARTITION BY session_id ORDER BY timestamp) AS later FROM (SELECT DISTINCT session_id, timestamp FROM ev WHERE split <> 'boundary_drop')),
+again AS (SELECT DISTINCT query_id, ev.itemid FROM q JOIN nx ON nx.session_id = q.session_id AND nx.timestamp = query_time JOIN ev ON ev.session_id = q.session_id AND ev.timestamp = later)"""
+
+_POPULAR = "top AS (SELECT itemid, count(*) AS events, CAST(row_number() OVER (ORDER BY count(*) DESC, itemid) AS INT) AS rank FROM train GROUP BY 1 QUALIFY rank <= 20)"
+
+_PREFIX = """pre AS (SELECT query_id, count(*) AS n, count(*) FILTER (event = 'view') AS v, count(*) FILTER (event = 'addtocart') AS a, count(*) FILTER (event = 'transaction') AS t,
+  (query_time - max(timestamp) FILTER (event = 'view')) / 1000 AS rv, (query_time - max(timestamp) FILTER (event = 'addtocart')) / 1000 AS ra, (query_time - max(timestamp) FILTER (event = 'transaction')) / 1000 AS rt
+  FROM q JOIN ev ON ev.session_id = q.session_id AND ev.timestamp <= q.query_time GROUP BY query_id, query_time),
+qp AS (SELECT * FROM q LEFT JOIN pre USING (query_id))"""
+
+_SQL |= {
+    "read_events_csv": "SELECT * FROM raw",
+    "read_properties": "SELECT * FROM props",
+    "property_files": "SELECT 'part=' || (itemid % 2 + 1) AS source, count(*) AS row_count, count(DISTINCT itemid) AS items, count(DISTINCT property) AS properties FROM props GROUP BY 1",
+    "read_category_tree": "SELECT * FROM traw",
+    "write_splits": "SELECT split, queries, pairs FROM (SELECT split, count(*) AS queries FROM q GROUP BY 1) JOIN (SELECT split, count(*) AS pairs FROM tgt GROUP BY 1) USING (split)",
+    "table_manifest": " UNION ALL ".join(_print(n, *x) for n, x in _TABLES.items()),
+    "verify_manifest": " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS stored_rows, count(*) AS found_rows, true AS same FROM {x[0]}" for n, x in _TABLES.items()),
+    "known_item_limit": ('SELECT query_id, "limit" FROM lim', _LIMITS),
+    "train_negatives": ("SELECT query_id, itemid FROM neg", _NEGATIVES),
+    "negative_fill": ("SELECT query_id, itemid FROM fill", _NEGATIVES),
+    "negative_shortfall": ("SELECT count(*) AS train_queries, count(*) FILTER (n < 5) AS short_queries, sum(5 - n)::BIGINT AS missing FROM (SELECT query_id, count(itemid) AS n FROM q LEFT JOIN neg USING (query_id) WHERE split = 'train' GROUP BY 1)", _NEGATIVES),
+    "dq_events": _report(
+        duplicate_events="SELECT 1 FROM ev GROUP BY timestamp, visitorid, event, itemid, transactionid HAVING count(*) > 1",
+        null_required="SELECT 1 FROM ev WHERE timestamp IS NULL OR visitorid IS NULL OR event IS NULL OR itemid IS NULL",
+        transaction_without_id="SELECT 1 FROM ev WHERE event = 'transaction' AND transactionid IS NULL",
+        invalid_event="SELECT 1 FROM ev WHERE event NOT IN ('view', 'addtocart', 'transaction')",
+        session_in_splits="SELECT 1 FROM ev GROUP BY session_id HAVING count(DISTINCT split) > 1",
+    ),
+    "dq_queries": _report(
+        duplicate_query="SELECT 1 FROM q GROUP BY query_id HAVING count(*) > 1",
+        duplicate_session_time="SELECT 1 FROM q GROUP BY session_id, query_time HAVING count(*) > 1",
+        query_without_targets="SELECT 1 FROM q WHERE query_id NOT IN (SELECT query_id FROM tgt)",
+        target_not_later="SELECT 1 FROM q WHERE target_time <= query_time",
+        target_after_split_end="SELECT 1 FROM q, ends WHERE target_time > CASE split WHEN 'train' THEN train_end WHEN 'validation' THEN validation_end ELSE observation_end END",
+        boundary_query="SELECT 1 FROM q WHERE split = 'boundary_drop'",
+    ),
+    "dq_targets": _report(
+        duplicate_pair="SELECT 1 FROM tgt GROUP BY query_id, itemid HAVING count(*) > 1",
+        target_without_query="SELECT 1 FROM tgt WHERE query_id NOT IN (SELECT query_id FROM q)",
+        other_target_time="SELECT 1 FROM tgt JOIN q USING (query_id) WHERE tgt.target_time <> q.target_time",
+        count_mismatch="SELECT 1 FROM (SELECT session_id, target_time, sum(target_events) AS s FROM tgt GROUP BY ALL) x LEFT JOIN grp ON grp.session_id = x.session_id AND grp.query_time = x.target_time WHERE s IS DISTINCT FROM n_events",
+    ),
+    "dq_next_group": (
+        _report(
+            wrong_next_time="SELECT 1 FROM nx JOIN q ON q.session_id = nx.session_id AND q.query_time = nx.timestamp WHERE later <> target_time",
+            step_without_query="SELECT 1 FROM nx WHERE later IS NOT NULL AND NOT EXISTS (SELECT 1 FROM q WHERE q.session_id = nx.session_id AND q.query_time = nx.timestamp)",
+            query_without_step="SELECT 1 FROM q WHERE NOT EXISTS (SELECT 1 FROM nx WHERE q.session_id = nx.session_id AND q.query_time = nx.timestamp AND later IS NOT NULL)",
+        ),
+        _NEXT,
+    ),
+    "dq_target_sets": (
+        _report(missing_target="SELECT * FROM again ANTI JOIN tgt USING (query_id, itemid)", unexpected_target="SELECT query_id, itemid FROM tgt ANTI JOIN again USING (query_id, itemid)"),
+        _NEXT,
+    ),
+    "dq_features": _report(
+        recency_in_future="SELECT 1 FROM q WHERE view_recency < 0 OR addtocart_recency < 0 OR transaction_recency < 0",
+        query_without_features="SELECT 1 FROM q WHERE query_id NOT IN (SELECT query_id FROM q)",
+        features_without_query="SELECT 1 FROM q WHERE query_id NOT IN (SELECT query_id FROM q)",
+        label_columns="SELECT 1 FROM q WHERE false",
+    ),
+    "dq_prefix_recompute": (
+        _report(
+            prefix_events="SELECT 1 FROM qp WHERE prefix_events IS DISTINCT FROM n",
+            view_count="SELECT 1 FROM qp WHERE view_count IS DISTINCT FROM v",
+            addtocart_count="SELECT 1 FROM qp WHERE addtocart_count IS DISTINCT FROM a",
+            transaction_count="SELECT 1 FROM qp WHERE transaction_count IS DISTINCT FROM t",
+            view_recency="SELECT 1 FROM qp WHERE view_recency IS DISTINCT FROM rv",
+            addtocart_recency="SELECT 1 FROM qp WHERE addtocart_recency IS DISTINCT FROM ra",
+            transaction_recency="SELECT 1 FROM qp WHERE transaction_recency IS DISTINCT FROM rt",
+        ),
+        _PREFIX,
+    ),
+    "dq_mappings": (
+        _report(
+            **{
+                name.format(k): sql.format(k=k, m=mp)
+                for k, mp in (("visitorid", "um"), ("itemid", "im"))
+                for name, sql in (
+                    ("{}_index_not_dense", "SELECT count(*) AS n FROM {m} HAVING n > 0 AND NOT (min(i) = 2 AND max(i) = n + 1 AND count(DISTINCT i) = n)"),
+                    ("{}_unmapped", "SELECT DISTINCT {k} FROM train WHERE {k} NOT IN (SELECT {k} FROM {m})"),
+                    ("{}_not_in_train", "SELECT 1 FROM {m} WHERE {k} NOT IN (SELECT {k} FROM train)"),
+                )
+            }
+        ),
+        _MAPS,
+    ),
+    "dq_interactions": (
+        _report(
+            duplicate_interaction="SELECT 1 FROM ia GROUP BY visitorid, itemid HAVING count(*) > 1",
+            **{f"{b}_total_differs": f"SELECT sum(n_{b}) AS s FROM ia HAVING s <> (SELECT count(*) FROM train WHERE event = '{b}')" for b in ("view", "addtocart", "transaction")},
+        ),
+        "ia AS (SELECT visitorid, itemid, " + ", ".join(f"count(*) FILTER (event = '{b}') AS n_{b}" for b in ("view", "addtocart", "transaction")) + " FROM train GROUP BY ALL)",
+    ),
+    "dq_properties": _report(duplicate_property="SELECT 1 FROM props GROUP BY itemid, property, timestamp HAVING count(*) > 1"),
+    "dq_metadata": (
+        _report(
+            availability_from_future="SELECT 1 FROM au WHERE a.timestamp > query_time",
+            category_from_future="SELECT 1 FROM au WHERE c.timestamp > query_time",
+            other_availability="SELECT 1 FROM au WHERE available IS DISTINCT FROM a.value",
+            other_category="SELECT 1 FROM au WHERE category_missing <> (c.value IS NULL) OR (NOT category_missing AND NOT category_invalid AND category_id <> c.value)",
+            other_candidate="SELECT 1 FROM au JOIN items USING (itemid) WHERE candidate <> (known_at <= query_time AND coalesce(a.value = 1, true))",
+        ),
+        _TARGET_META
+        + """, au AS (SELECT meta.*, (SELECT max(struct_pack(timestamp := p.timestamp, value := p.value)) FROM pa p WHERE p.itemid = meta.itemid AND p.timestamp <= query_time) AS a,
+  (SELECT max(struct_pack(timestamp := p.timestamp, value := p.value)) FROM pc p WHERE p.itemid = meta.itemid AND p.timestamp <= query_time) AS c FROM meta)""",
+    ),
+    "dq_negatives": (
+        _report(
+            negative_is_target="SELECT 1 FROM neg JOIN tgt USING (query_id, itemid)",
+            not_a_train_query="SELECT 1 FROM neg WHERE query_id NOT IN (SELECT query_id FROM q WHERE split = 'train')",
+            duplicate_negative="SELECT 1 FROM neg GROUP BY query_id, itemid HAVING count(*) > 1",
+            not_in_vocabulary="SELECT 1 FROM neg WHERE itemid NOT IN (SELECT itemid FROM train)",
+            not_eligible="SELECT 1 FROM neg JOIN q USING (query_id) ANTI JOIN ok ON ok.itemid = neg.itemid AND ok.query_time = q.query_time",
+        ),
+        _NEGATIVES,
+    ),
+    "dataset_summary": """SELECT 'raw_events' AS name, count(*) AS value FROM raw UNION ALL SELECT 'clean_events', count(*) FROM ev UNION ALL SELECT 'sessions', count(DISTINCT session_id) FROM ev
+UNION ALL SELECT 'timestamp_groups', count(*) FROM grp UNION ALL SELECT 'queries', count(*) FROM q UNION ALL SELECT 'target_pairs', count(*) FROM tgt
+UNION ALL SELECT 'multi_target_queries', count(*) FROM (SELECT 1 FROM tgt GROUP BY query_id HAVING count(*) > 1) UNION ALL SELECT 'catalog_items', count(*) FROM items
+UNION ALL SELECT 'property_rows', count(*) FROM props UNION ALL SELECT 'train_users', count(DISTINCT visitorid) FROM train UNION ALL SELECT 'train_items', count(DISTINCT itemid) FROM train
+UNION ALL SELECT 'train_pairs', count(*) FROM (SELECT DISTINCT visitorid, itemid FROM train) UNION ALL SELECT 'events_' || event, count(*) FROM ev GROUP BY event
+UNION ALL SELECT 'split_' || split, count(*) FROM ev GROUP BY split
+UNION ALL SELECT 'excluded_' || CASE WHEN split = 'boundary_drop' THEN 'boundary_session' ELSE 'no_next_group' END AS r, count(*) FROM grp WHERE target_time IS NULL OR split = 'boundary_drop' GROUP BY r""",
+    "property_quality": (
+        "SELECT sum(n)::BIGINT AS row_count, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys, count(*) FILTER (lo <> hi) AS conflicting_keys, min(timestamp) AS first_time, max(timestamp) AS last_time FROM pk",
+        """pk AS (SELECT itemid, property, timestamp, count(*) AS n, min(value) AS lo, max(value) AS hi FROM (
+  SELECT itemid, 'available' AS property, timestamp, CASE WHEN event = 'signup' THEN 1 ELSE 0 END AS value FROM raw WHERE event IN ('signup', 'error') AND itemid % 10 <> 3
+  UNION ALL SELECT itemid, 'categoryid', timestamp, event_id % 40 FROM raw WHERE event = 'signup' AND itemid % 10 <> 4) GROUP BY ALL)""",
+    ),
+    "property_per_item": (_stats("u", "updates", "properties"), "u AS (SELECT itemid, count(*) AS updates, count(DISTINCT property) AS properties FROM props GROUP BY 1)"),
+    "user_cohorts": f"SELECT strftime(d, '%Y-%m') AS month, count(*) AS users, round(avg(events), 6) AS mean_events, round(100 * avg(buyer), 6) AS buyers_pct FROM (SELECT min({_DAY}) AS d, count(*) AS events, max((event = 'transaction')::INT) AS buyer FROM clean GROUP BY visitorid) GROUP BY 1",
+    "popularity_topk": ("SELECT * FROM top", _POPULAR),
+    "ranking_metrics": (
+        """SELECT split, cutoff, count(*) AS queries, round(avg(h / n), 6) AS recall, round(avg((h > 0)::INT), 6) AS hit_rate, round(avg(coalesce(1 / f, 0)), 6) AS mrr,
+  round(avg(coalesce(dcg, 0) / list_sum(list_transform(range(1, least(n, cutoff) + 1), lambda i: 1 / log2(i + 1)))), 6) AS ndcg
+FROM (SELECT split, cutoff, query_id, count(*) AS n, count(place) AS h, min(place) AS f, sum(1 / log2(place + 1)) AS dcg
+  FROM (SELECT split, query_id, cutoff, CASE WHEN rank <= cutoff THEN rank END AS place FROM tgt LEFT JOIN top USING (itemid), (SELECT unnest([10, 20]) AS cutoff)) GROUP BY ALL) GROUP BY ALL""",
+        _POPULAR,
+    ),
+}
+
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from clickloom.functions.index import reliable, shared_dir
+from clickloom.operators import checks
 from clickloom.operators import metadata as m
+from clickloom.operators import negatives as neg
+from clickloom.operators import ranking
 from clickloom.operators import sessions as s
-from clickloom.sources import star
+from clickloom.sources import files, star
 
 #: Gap of the derived log, whose visitors are sparse; the library's default is 30 minutes.
 GAP = 720
@@ -40,6 +44,8 @@ class Log:
             "queries": lambda: s.queries_of(self.groups),
             "targets": lambda: s.next_targets(self.events, self.groups),
             "items": lambda: m.catalog(self.clean, self.props),
+            "ranks": lambda: neg.train_ranks(self.items, self.train),
+            "negatives": lambda: reliable(neg.negatives(self.queries, self.targets, self.ranks, self.props, self.items, self.tree)),
             "target_meta": lambda: m.asof_metadata(self.targets.select("query_id", "itemid", "query_time", "split"), self.props, self.items, self.tree, "query_time"),
         }.get(name)
         if make is None:
@@ -48,6 +54,13 @@ class Log:
         return self.__dict__[name]
 
 
+def stored(t: Log, *names: str) -> Log:
+    """``t`` with these tables materialised once, so that several checks read them instead of building them again."""
+    for name in names:
+        setattr(t, name, reliable(getattr(t, name)))
+    return t
+
+
 def query(f: Callable[[Log], DataFrame]) -> Callable[[Log], DataFrame]:
     QUERIES[f.__name__] = lambda spark, sf_dir: f(Log(spark, sf_dir))
     return f
@@ -438,3 +451,221 @@ def behavior_combinations(t: Log) -> DataFrame:
 @query
 def degree_distribution(t: Log) -> DataFrame:
     return t.clean.groupBy("visitorid").agg(F.count_distinct("itemid").alias("items")).groupBy("items").agg(F.count("*").alias("users"))
+
+
+@query
+def read_events_csv(t: Log) -> DataFrame:
+    """The raw log, written as CSV and read with its types."""
+    path = shared_dir(t.spark, "events-csv")
+    t.raw.write.option("header", True).csv(path)
+    return files.read_events(t.spark, path, f"event_id long, {files.EVENTS}")
+
+
+@query
+def read_properties(t: Log) -> DataFrame:
+    return t.props
+
+
+@query
+def property_files(t: Log) -> DataFrame:
+    """Rows, items and properties of each of two sets of CSV files that are read as one table."""
+    path, p = shared_dir(t.spark, "properties-csv"), t.props.select("timestamp", "itemid", "property", F.col("value").cast("string").alias("value"))
+    parts = [f"{path}/part={i}" for i in (1, 2)]
+    for i, part in enumerate(parts):
+        p.where(F.col("itemid") % 2 == i).write.option("header", True).csv(part)
+    rows = files.read_properties(t.spark, parts)
+    return files.property_files(rows.withColumn("source", F.regexp_extract("source", "part=[0-9]", 0)))
+
+
+@query
+def read_category_tree(t: Log) -> DataFrame:
+    return t.tree_raw
+
+
+@query
+def write_splits(t: Log) -> DataFrame:
+    """Queries and targets of each split, written by split and read again."""
+    path = shared_dir(t.spark, "splits")
+    q = files.write_splits(t.queries.select("query_id", "query_time", "split"), path, "queries")
+    g = files.write_splits(t.targets.select("query_id", "itemid", "split"), path, "targets")
+    n = g.groupBy("split").agg(F.count("*").alias("pairs"))
+    return q.groupBy("split").agg(F.count("*").alias("queries")).join(n, "split").select(F.col("split").cast("string").alias("split"), "queries", "pairs")
+
+
+def _tables(t: Log) -> dict[str, DataFrame]:
+    return {
+        "events": t.events.select("event_id", "timestamp", "visitorid", "event", "itemid", "transactionid", "session_id", "event_order", "split"),
+        "queries": t.queries.select("query_id", "visitorid", "session_id", "query_time", "target_time", "split"),
+        "targets": t.targets.select("query_id", "itemid", "target_events", "query_time", "target_time", "split"),
+        "properties": t.props,
+        "category_tree": t.tree,
+        "items": t.items,
+    }
+
+
+@query
+def table_manifest(t: Log) -> DataFrame:
+    return files.manifest(_tables(t)).select("name", "row_count", "fingerprint")
+
+
+@query
+def verify_manifest(t: Log) -> DataFrame:
+    """Publish the tables with an audit of the events, then compare them with their manifest."""
+    path = shared_dir(t.spark, "dataset")
+    files.publish(_tables(t), path, lambda x: checks.events(x["events"]), {"gap": GAP})
+    return files.verify_manifest(t.spark, path, {"gap": GAP})
+
+
+@query
+def known_item_limit(t: Log) -> DataFrame:
+    return neg.known_item_limit(t.queries, t.ranks).select("query_id", "limit")
+
+
+@query
+def train_negatives(t: Log) -> DataFrame:
+    return t.negatives.select("query_id", "itemid")
+
+
+@query
+def negative_fill(t: Log) -> DataFrame:
+    return t.negatives.where("filled").select("query_id", "itemid")
+
+
+@query
+def negative_shortfall(t: Log) -> DataFrame:
+    return neg.shortfall(t.queries, t.negatives)
+
+
+@query
+def dq_events(t: Log) -> DataFrame:
+    return checks.events(stored(t, "events").events)
+
+
+@query
+def dq_queries(t: Log) -> DataFrame:
+    stored(t, "groups", "targets")
+    return checks.queries(t.queries, t.targets, t.ends)
+
+
+@query
+def dq_targets(t: Log) -> DataFrame:
+    stored(t, "groups", "targets")
+    return checks.targets(t.targets, t.queries, t.groups)
+
+
+@query
+def dq_next_group(t: Log) -> DataFrame:
+    stored(t, "events", "groups")
+    return checks.next_group(t.events, t.queries)
+
+
+@query
+def dq_target_sets(t: Log) -> DataFrame:
+    stored(t, "events", "groups", "targets")
+    return checks.target_sets(t.events, t.queries, t.targets)
+
+
+@query
+def dq_features(t: Log) -> DataFrame:
+    stored(t, "groups")
+    f = t.queries.select("query_id", "prefix_groups", "prefix_events", *(f"{b}_{x}" for b in s.BEHAVIOURS for x in ("count", "recency")))
+    return checks.features(f, t.queries)
+
+
+@query
+def dq_prefix_recompute(t: Log) -> DataFrame:
+    stored(t, "events", "groups")
+    return checks.prefixes(t.events, t.queries)
+
+
+@query
+def dq_mappings(t: Log) -> DataFrame:
+    stored(t, "events")
+    return checks.mappings(t.train, m.mapping(t.train, "visitorid"), m.mapping(t.train, "itemid"))
+
+
+@query
+def dq_interactions(t: Log) -> DataFrame:
+    stored(t, "events")
+    return checks.interactions(m.interactions(t.train), t.train)
+
+
+@query
+def dq_properties(t: Log) -> DataFrame:
+    return checks.properties(t.props)
+
+
+@query
+def dq_metadata(t: Log) -> DataFrame:
+    """Every target's metadata found again; covers the source times and the audit of metadata."""
+    return checks.metadata(stored(t, "target_meta").target_meta, t.props, t.items)
+
+
+@query
+def dq_negatives(t: Log) -> DataFrame:
+    stored(t, "events", "groups", "targets", "items")
+    meta = m.asof_metadata(t.negatives.drop("filled"), t.props, t.items, t.tree, "query_time")
+    return checks.negatives(t.negatives, t.queries, t.targets, m.mapping(t.train, "itemid"), meta)
+
+
+@query
+def dataset_summary(t: Log) -> DataFrame:
+    """name, value: counts of the whole build."""
+    stored(t, "events", "groups", "targets")
+    one = lambda df, **of: df.agg(*(e.alias(n) for n, e in of.items())).unpivot([], list(of), "name", "value")
+    by = lambda df, key, head: df.groupBy(key).agg(F.count("*").alias("value")).select(F.concat(F.lit(head), F.col(key)).alias("name"), "value")
+    many = t.targets.groupBy("query_id").agg(F.count("*").alias("n")).where("n > 1")
+    parts = [
+        one(t.raw, raw_events=F.count("*")),
+        one(t.events, clean_events=F.count("*"), sessions=F.count_distinct("session_id")),
+        one(t.groups, timestamp_groups=F.count("*")),
+        one(t.queries, queries=F.count("*")),
+        one(t.targets, target_pairs=F.count("*")),
+        one(many, multi_target_queries=F.count("*")),
+        one(t.items, catalog_items=F.count("*")),
+        one(t.props, property_rows=F.count("*")),
+        one(t.train, train_users=F.count_distinct("visitorid"), train_items=F.count_distinct("itemid"), train_pairs=F.count_distinct("visitorid", "itemid")),
+        by(t.events, "event", "events_"),
+        by(t.events, "split", "split_"),
+        by(s.excluded_steps(t.groups), "reason", "excluded_"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+@query
+def property_quality(t: Log) -> DataFrame:
+    """Keys of the property updates before ties are settled."""
+    rows = star.property_updates(t.spark, t.sf_dir)
+    keys = rows.groupBy("itemid", "property", "timestamp").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return keys.agg(
+        F.sum("n").alias("row_count"), F.count("*").alias("distinct_keys"), count_if("n > 1", "repeated_keys"), count_if("lo <> hi", "conflicting_keys"),
+        F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"),
+    )
+
+
+@query
+def property_per_item(t: Log) -> DataFrame:
+    u = t.props.groupBy("itemid").agg(F.count("*").alias("updates"), F.count_distinct("property").alias("properties"))
+    return stats(u, "updates", "properties")
+
+
+@query
+def user_cohorts(t: Log) -> DataFrame:
+    """Users by the month (UTC) of their first event: number, mean events, share of buyers."""
+    u = t.clean.groupBy("visitorid").agg(F.min("timestamp").alias("timestamp"), F.count("*").alias("events"), F.max((F.col("event") == "transaction").cast("int")).alias("buyer"))
+    g = u.groupBy(F.date_format(_day(), "yyyy-MM").alias("month"))
+    return g.agg(F.count("*").alias("users"), F.round(F.avg("events"), 6).alias("mean_events"), F.round(100 * F.avg("buyer"), 6).alias("buyers_pct"))
+
+
+@query
+def popularity_topk(t: Log) -> DataFrame:
+    return ranking.popularity(t.train, 20)
+
+
+@query
+def ranking_metrics(t: Log) -> DataFrame:
+    """The popularity ranking measured on the targets of each split."""
+    return ranking.metrics(ranking.popularity(t.train, 20), t.targets)

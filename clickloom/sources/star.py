@@ -31,15 +31,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return require_columns(rows.withColumn("_copy", F.explode(again)).drop("_copy"))
 
 
-def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """itemid, property, timestamp (ms), value: one row for each item, property and time, the smallest value of ties."""
+def property_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """itemid, property, timestamp (ms), value: availability and category updates as they come, repeats included."""
     raw = raw_events(spark, sf_dir)
     rows = F.array(
         F.when(F.col("event").isin("signup", "error") & (F.col("itemid") % 10 != 3), F.struct(F.lit("available").alias("property"), (F.col("event") == "signup").cast("long").alias("value"))),
         F.when((F.col("event") == "signup") & (F.col("itemid") % 10 != 4), F.struct(F.lit("categoryid").alias("property"), (F.col("event_id") % 40).alias("value"))),
     )
-    each = raw.select("itemid", "timestamp", F.explode(rows).alias("p")).where("p is not null").select("itemid", "p.property", "timestamp", "p.value")
-    return each.groupBy("itemid", "property", "timestamp").agg(F.min("value").alias("value"))
+    return raw.select("itemid", "timestamp", F.explode(rows).alias("p")).where("p is not null").select("itemid", "p.property", "timestamp", "p.value")
+
+
+def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each item, property and time of the updates, the smallest value of ties."""
+    return property_updates(spark, sf_dir).groupBy("itemid", "property", "timestamp").agg(F.min("value").alias("value"))
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
