@@ -50,7 +50,7 @@ _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.string()), *((n, pa.bina
 _ANSWER = pa.schema([("kind", pa.string()), ("block", pa.string()), ("bucket", pa.int32()), *((n, pa.binary()) for n in ("a", "b"))])
 
 
-def pack(docs: DataFrame, most_tokens: int = 3_000_000) -> DataFrame:
+def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     """One row for each block of about ``most_tokens`` tokens: its texts as numbers of the block's own words.
 
     words: sorted 64-bit hashes of the distinct tokens; ids: for each token the place of its word; counts: how
@@ -222,7 +222,7 @@ class _Block:
         return context << np.uint64(32) | word, known
 
 
-def score(docs: DataFrame, most_tokens: int = 3_000_000) -> DataFrame:
+def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose crc32(doc_id as text) leaves no 1 on division by 5. Unknown words are one word
