@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 import regex
@@ -77,23 +78,33 @@ def fuzzy_spans(line: bytes, notices: tuple[tuple[str, str], ...] = NOTICES) ->
                         if key not in found or cost < found[key][0]:
                             found[key] = (cost, notice)
                 at = line.find(part, at + 1)
-    out = []
+    out, before = [], spaces_before(line, (a for _, a, _ in found))
     for (label, a, b), (cost, notice) in sorted(found.items(), key=lambda x: (x[0][1], x[0][2], x[0][0])):
-        first = line.count(b" ", 0, a)
+        first = before[a]
         out.append((label, notice, first, first + line.count(b" ", a, b), cost))
     return out
 
 
+def spaces_before(line: bytes, places: Iterable[int]) -> dict[int, int]:
+    """Number of spaces before each place; the line is passed over once, however many places there are."""
+    out, at, n = {}, 0, 0
+    for place in sorted(set(places)):
+        n += line.count(b" ", at, place)
+        out[place], at = n, place
+    return out
+
+
 def phrase_places(line: bytes, phrases: tuple[tuple[str, str], ...] = PHRASES) -> list[tuple[int, str]]:
     """Word index and label of each place where a phrase's words stand consecutively."""
-    out, padded = [], b" %b " % line
+    found, padded = [], b" %b " % line
     for phrase, label in phrases:
         needle = b" %b " % phrase.encode()
         at = padded.find(needle)
         while at >= 0:
-            out.append((padded.count(b" ", 0, at), label))
+            found.append((at, label))
             at = padded.find(needle, at + 1)
-    return sorted(out)
+    before = spaces_before(padded, (at for at, _ in found))
+    return sorted((before[at], label) for at, label in found)
 
 
 def scan(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, phrases: tuple[tuple[str, str], ...] = PHRASES) -> DataFrame:
