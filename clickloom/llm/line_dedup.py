@@ -19,42 +19,80 @@ def occurrences(docs: DataFrame, least_chars: int) -> DataFrame:
     return lines.where(F.col("n") >= least_chars).select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def segment_keys(line: str, length: str, edits: int) -> Column:
-    """Array of structs (index, key, r1, r2): a line's own segments, and the substrings that it probes.
+#: Without a fixed number of edits, one is allowed for each SPAN characters of the longer line, from 1 to MOST.
+SPAN, MOST = 32, 8
 
-    A line is cut into ``edits + 1`` segments whose lengths differ by one at most. A line at most ``edits`` edits
-    away, and not shorter, holds one of the segments near the same place: for each length difference and
-    segment only the starts within the multi-match-aware bounds are probed. Keys hold the shorter line's length
-    and the segment's number. With one edit the pigeonhole is used again on the segment that may differ: one of
-    its halves (r1 next to its start, r2 next to its end) must be the same too; with more edits both are null.
-    """
-    text, n, parts = F.col(line), F.col(length), edits + 1
 
-    def start(size: Column, i: int) -> Column:  # the last (size % parts) segments are one longer
-        short = parts - size % parts
-        return F.floor(size / parts).cast("int") * i + F.greatest(F.lit(i) - short, F.lit(0))
-
-    def entry(index: bool, size: Column, d: int, i: int, s: int) -> Column:
-        p, width = start(size, i), start(size, i + 1) - start(size, i)
-        key = F.xxhash64(size, F.lit(i), F.substring(text, p + s + 1, width))
-        r1 = r2 = F.lit(None).cast("int")
-        if edits == 1:  # the rest is the other segment; in the longer line it is d longer
-            lo, hi = (start(size, 1), size) if i == 0 else (F.lit(0), start(size, 1))
-            half = F.floor((hi - lo) / 2).cast("int")
-            r1 = F.hash(F.substring(text, lo + 1, half))
-            r2 = F.hash(F.substring(text, lo + half + d + 1, hi - lo - half))
-        inside = (p + s >= 0) & (p + s + width <= n)
-        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), r1.alias("r1"), r2.alias("r2"))
-
-    found = [entry(True, n, 0, i, 0) for i in range(parts)]
+def allowed(length: Column, edits: int | None) -> Column:
+    """Edits allowed for a pair whose longer line has ``length`` characters: ``edits``, or a number that grows with it."""
+    if edits is not None:
+        return F.lit(edits)
+    return F.greatest(F.lit(1), F.least(F.lit(MOST), F.floor(length / SPAN).cast("int")))
+
+
+def _windows(edits: int) -> tuple[list[int], list[int]]:
+    """(own, probes): codes ``(d * 32 + i) * 64 + s + 32`` of length difference, segment and shift for a number of edits."""
+    code = lambda d, i, s: (d * 32 + i) * 64 + s + 32
+    probes = []
     for d in range(edits + 1):  # the other line has n - d characters
-        for i in range(parts):
+        for i in range(edits + 1):
             lo, hi = max(-i, d - (edits - i)), min(i, d + (edits - i))
-            found += [entry(False, n - d, d, i, s) for s in range(lo, hi + 1)]
-    return F.array(*found)
+            probes += [code(d, i, s) for s in range(lo, hi + 1)]
+    return [code(0, i, 0) for i in range(edits + 1)], probes
+
 
+def segment_keys(line: str, length: str, edits: int | None) -> Column:
+    """Array of structs (index, key, r1, r2): a line's own segments, and the substrings that it probes.
+
+    With e edits allowed, a line is cut into e + 1 segments whose lengths differ by one at most. A line at most e
+    edits away, and not shorter, holds one of the segments near the same place: for each length difference and
+    segment only the starts within the multi-match-aware bounds are probed. The longer line decides on e, so a
+    line also keeps the segments of the next e if a line that much longer is allowed it. Keys hold e, the shorter
+    line's length and the segment's number. With one edit the pigeonhole is used again on the segment that may
+    differ: one of its halves (r1 next to its start, r2 next to its end) must be the same too; with more edits
+    both are null.
+    """
+    text, n = F.col(line), F.col(length)
+    own, probes = zip(*(_windows(e) for e in (range(1, MOST + 1) if edits is None else [edits])))
+    table = lambda rows: F.array(*(F.lit(list(r)) for r in rows))
+    of = lambda rows, e: F.get(table(rows), e - (1 if edits is None else edits))
+
+    def start(size: Column, i: Column, parts: Column) -> Column:  # the last (size % parts) segments are one longer
+        short = parts - size % parts
+        return F.floor(size / parts).cast("int") * i + F.greatest(F.lit(0), i - short)
+
+    def entry(index: bool, e: Column, code: Column) -> Column:
+        d, i, s = F.floor(code / 2048).cast("int"), F.floor(code / 64).cast("int") % 32, code % 64 - 32
+        size, parts = n - d, e + 1
+        return let(
+            F.struct(e.alias("e"), d.alias("d"), i.alias("i"), size.alias("size"), (start(size, i, parts) + s).alias("at"), (start(size, i + 1, parts) - start(size, i, parts)).alias("width")),
+            lambda x: keyed(index, x),
+        )
 
-def candidates(docs: DataFrame, edits: int, least_chars: int) -> DataFrame:
+    def keyed(index: bool, x: Column) -> Column:
+        key = F.xxhash64(x["e"], x["size"], x["i"], F.substring(text, x["at"] + 1, x["width"]))
+        # with one edit the rest is the other segment; in the longer line it is d longer
+        middle = start(x["size"], F.lit(1), x["e"] + 1)
+        lo, hi = F.when(x["i"] == 0, middle).otherwise(0), F.when(x["i"] == 0, x["size"]).otherwise(middle)
+        half = F.floor((hi - lo) / 2).cast("int")
+        r1 = F.hash(F.substring(text, lo + 1, half))
+        r2 = F.hash(F.substring(text, lo + half + x["d"] + 1, hi - lo - half))
+        inside = (x["at"] >= 0) & (x["at"] + x["width"] <= n) & (x["width"] > 0)
+        one = lambda r: F.when(x["e"] == 1, r)
+        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), one(r1).alias("r1"), one(r2).alias("r2"))
+
+    def entries(index: bool, e: Column) -> Column:
+        return let(e, lambda v: F.transform(of(own if index else probes, v), lambda code: entry(index, v, code)))
+
+    e = allowed(n, edits)
+    found = [entries(True, e), entries(False, e)]
+    if edits is None:
+        more = F.when((e < MOST) & (allowed(n + e + 1, None) > e), e + 1)
+        found.append(F.when(more.isNotNull(), entries(True, more)).otherwise(F.array().cast("array<struct<index:boolean,key:bigint,r1:int,r2:int>>")))
+    return F.concat(*found)
+
+
+def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFrame:
     """a < b (h1 of two lines): pairs of different lines that share a segment, each once.
 
     Equal lines are grouped first, so a line that stands on a third of all rows takes part once.
@@ -64,7 +102,8 @@ def candidates(docs: DataFrame, edits: int, least_chars: int) -> DataFrame:
     # the outer form, so that no filter computes the array again
     rows = classes.select("h1", F.explode_outer("keys").alias("k")).select("h1", "k.*").where("key is not null")
     a, b = rows.where("index").alias("a"), rows.where("not index").alias("b")
-    rest = (F.col("a.r1") == F.col("b.r1")) | (F.col("a.r2") == F.col("b.r2")) if edits == 1 else F.lit(True)
+    # null halves, with more edits than one, decide nothing
+    rest = F.coalesce((F.col("a.r1") == F.col("b.r1")) | (F.col("a.r2") == F.col("b.r2")), F.lit(True))
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") != F.col("b.h1")) & rest)
     return met.select(F.least("a.h1", "b.h1").alias("a"), F.greatest("a.h1", "b.h1").alias("b")).distinct()
 
@@ -73,14 +112,16 @@ def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def links(docs: DataFrame, edits: int = 1, least_chars: int = 24, most_broadcast: int = 200_000) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """(classes, links): distinct lines with their first place and number of copies, and the links between them.
 
+    Classes are of all lines but empty ones, links only of those of at least ``least_chars`` code points.
     classes: h1, h2, copies, doc_id, pos (first place in order of doc_id and line number, null ids first).
-    links: h1, h2, o1, o2 both ways round, for each pair of different lines at most ``edits`` edits apart.
+    links: h1, h2, o1, o2 both ways round, for each pair of different lines at most ``edits`` edits apart
+    (None: as many as ``allowed`` gives for the longer one).
     Candidates are broadcast up to ``most_broadcast`` rows to fetch their texts, else joined by key.
     """
-    occ = occurrences(docs, least_chars)
+    occ = occurrences(docs, 1)
     classes = occ.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "pos")).alias("at"))
     classes = classes.select("h1", "h2", "copies", "at.doc_id", "at.pos")
     pairs = checkpointed(candidates(docs, edits, least_chars))
@@ -92,8 +133,9 @@ def links(docs: DataFrame, edits: int = 1, least_chars: int = 24, most_broadcast
     texts = at.select("x.wanted.h1", "x.wanted.h2", "x.line")
     texts = checkpointed(texts.where((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))).distinct())
     left, right = (texts.select(F.col("h1").alias(x), F.col("h2").alias(f"{x}2"), F.col("line").alias(f"{x}_line")) for x in "ab")
-    both = pairs.join(left, "a").join(right, "b").where(F.abs(F.length("a_line") - F.length("b_line")) <= edits)
-    close = checkpointed(both.where(distance("a_line", "b_line", edits) <= edits).select("a", "a2", "b", "b2"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("most", allowed(F.greatest(F.length("a_line"), F.length("b_line")), edits))
+    both = both.where(F.abs(F.length("a_line") - F.length("b_line")) <= F.col("most"))
+    close = checkpointed(both.where(distance("a_line", "b_line", MOST if edits is None else edits) <= F.col("most")).select("a", "a2", "b", "b2"))
     names = ("h1", "h2", "o1", "o2")
     return classes, close.toDF(*names).union(close.select("b", "b2", "a", "a2").toDF(*names))
 
@@ -119,11 +161,11 @@ def distance(a: str, b: str, edits: int) -> Column:
     return let(pair, no_prefix)
 
 
-def decisions(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFrame:
+def decisions(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
     """doc_id, th, dropped (line numbers), n_exact, n_near, n_links for the documents that share a line with any place.
 
     A line is dropped if it stands earlier (in order of doc_id, line number), or if its first place has an
-    earlier line at most ``edits`` edits away. Rows that repeat a doc_id and text are one document.
+    earlier line at most ``edits`` edits away (see ``links``). Rows that repeat a doc_id and text are one document.
     """
     classes, linked = links(docs, edits, least_chars)
     ends = linked.join(classes.select("h1", "h2", "doc_id", "pos"), ["h1", "h2"]).join(
@@ -134,7 +176,7 @@ def decisions(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFra
     )
     info = classes.join(near, ["h1", "h2"], "left").where("copies > 1 or n_links is not null")
     info = info.select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("pos").alias("f_pos"), F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    occ = occurrences(docs, least_chars).select("doc_id", "th", "pos", "h1", "h2").join(info, ["h1", "h2"])
+    occ = occurrences(docs, 1).select("doc_id", "th", "pos", "h1", "h2").join(info, ["h1", "h2"])
     first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("pos") == F.col("f_pos"))
     each = occ.select("doc_id", "th", "pos", F.when(~first, "exact").when(F.col("near"), "near").otherwise("kept").alias("kind"), F.when(first, F.col("n_links")).otherwise(0).alias("n_links"))
     lines = each.groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "kind", "n_links")).alias("x"))
@@ -149,12 +191,12 @@ def decisions(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFra
     )
 
 
-def report(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFrame:
+def report(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_lines, n_exact, n_near, n_links, dropped (comma-joined line numbers from 0).
 
     n_exact, n_near: lines dropped as a copy, or within ``edits`` edits, of an earlier line; n_links: links of
-    the lines that stand first in this document. Lines under ``least_chars`` code points stay. Null and empty
-    texts have no lines and drop none.
+    the lines that stand first in this document. Lines under ``least_chars`` code points go only as copies, empty
+    lines never. Null and empty texts have no lines and drop none.
     """
     d = decisions(docs, edits, least_chars).withColumnRenamed("doc_id", "d_doc").withColumnRenamed("th", "d_th")
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines"))
@@ -164,7 +206,7 @@ def report(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame, edits: int = 1, least_chars: int = 24) -> DataFrame:
+def drop_lines(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
     """``docs`` without the dropped lines (stage of the corpus pipeline); n_chars, if there, follows the text.
 
     All rows stay, a document whose every line is dropped with an empty text; other texts are unchanged.

@@ -16,7 +16,7 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), edits=1, least_chars=24)
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), least_chars=24)
 
 
 def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

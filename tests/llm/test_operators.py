@@ -60,6 +60,27 @@ def test_near_lines_match_brute_force(spark):
     assert kept[50] == "" and kept[51] is None and kept[52] == "" and kept[0].startswith(lines[0])
 
 
+def test_near_lines_of_any_length_and_short_copies(spark):
+    rng = random.Random(7)
+    lines = []
+    for n in (30, 60, 62, 64, 66, 95, 97, 130, 158, 161, 190, 193, 222, 226, 254, 258, 300, 700):
+        base = "".join(rng.choice("abcdé ") for _ in range(n))
+        for edits in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9):
+            x = list(base)
+            for at in rng.sample(range(1, n - 1), edits):
+                x[at] = rng.choice(["", "z", "zz"])
+            lines.append("".join(x).strip(" "))
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], DOCS)
+    named = {(r.h1, r.h2): r.line for r in line_dedup.occurrences(docs, 24).collect()}
+    got = {tuple(sorted((named[r.h1, r.h2], named[r.o1, r.o2]))) for r in line_dedup.links(docs)[1].collect()}
+    texts = sorted({x for x in lines if len(x) >= 24})
+    pairs = spark.createDataFrame([(a, b, min(8, max(1, max(len(a), len(b)) // 32))) for i, a in enumerate(texts) for b in texts[i + 1 :]], "a string, b string, most int")
+    want = {(r.a, r.b) for r in pairs.where(F.levenshtein("a", "b") <= F.col("most")).collect()}
+    assert got == want and len(want) > 100
+    short = spark.createDataFrame([(1, "Les.\n\nold"), (2, "new\n\n Les."), (3, "Les")], DOCS)
+    assert {r.doc_id: r.text for r in line_dedup.drop_lines(short).collect()} == {1: "Les.\n\nold", 2: "new\n", 3: "Les"}
+
+
 def test_lattice_recall_and_groups(spark):
     rng = np.random.default_rng(0)
     a = rng.normal(size=(200, 32))
