@@ -2,9 +2,10 @@
 
 The corpus is cut into blocks of tokens. A block sends its distinct words, then its distinct bigrams, to buckets
 (by hash of the word, by context); a bucket sums what all blocks send, so its tables hold all counts of its
-words or contexts, and answers each block with the counts it asked for. Both tables are written partitioned by
-kind below the shared folder. Messages are sorted arrays, so counting is merging; no block, bucket or message
-grows with the corpus, only their number does.
+words or bigrams, and answers each block with the counts it asked for. The bigrams of a frequent context (also
+of the start) are dealt to several buckets by their word, as many as its share of the tokens needs, and its
+facts are summed over them. Both tables are written partitioned by kind below the shared folder. Messages are
+sorted arrays, so counting is merging; no block, bucket or message grows with the corpus, only their number does.
 """
 
 from __future__ import annotations
@@ -157,11 +158,44 @@ def _word_bucket(group: pa.Table) -> pa.Table:
     return _table(_ANSWER, rows)
 
 
-def _gram_bucket(group: pa.Table, uni: Discounts, n: int) -> pa.Table:
+@dataclass(frozen=True)
+class Frequent:
+    """Contexts (sorted numbers) whose bigrams are dealt to ``spread`` of the ``buckets``, by word; all others stay together."""
+
+    contexts: np.ndarray
+    spread: np.ndarray
+    buckets: int
+
+    #: A context is frequent from this part of a bucket's even share of the tokens on.
+    PART = 4
+
+    @staticmethod
+    def of(counts: dict[int, int], tokens: int, buckets: int) -> Frequent:
+        """From the training counts of the contexts that may be frequent: there are PART + 1 a bucket at most."""
+        found = sorted((c, min(buckets, -(-k * buckets * Frequent.PART // tokens))) for c, k in counts.items() if k * buckets * Frequent.PART > tokens)
+        return Frequent(np.array([c for c, _ in found], np.uint64), np.array([x for _, x in found], np.uint64), buckets)
+
+    def at(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each context in the list, and whether it is there."""
+        if not len(self.contexts):
+            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), bool)
+        place = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        return place, self.contexts[place] == contexts
+
+    def bucket(self, pairs: np.ndarray) -> np.ndarray:
+        contexts, words = pairs >> np.uint64(32), pairs & np.uint64((1 << 32) - 1)
+        place, found = self.at(contexts)
+        shift = np.zeros(len(pairs), np.uint64)
+        shift[found] = words[found] % self.spread[place[found]]
+        return ((contexts + shift) % np.uint64(self.buckets)).astype(np.int64)
+
+
+def _gram_bucket(group: pa.Table, uni: Discounts, n: int, frequent: Frequent) -> pa.Table:
     """Sum a bucket's bigrams; answer with each bigram's count, and each context's facts.
 
     A context's facts: words seen with each count up to K, tokens and types above K, the unigram mass of all
-    words seen. They are enough for its backoff weight whatever the discounts turn out to be.
+    words seen. They are enough for its backoff weight whatever the discounts turn out to be. Those of a frequent
+    context are only this bucket's part, and written apart.
     """
     bucket = group["bucket"][0].as_py()
     keys, counts, uses = _of(group["keys"], np.uint64, True), _of(group["counts"], np.uint32), _of(group["extra"], np.uint64)
@@ -183,6 +217,9 @@ def _gram_bucket(group: pa.Table, uni: Discounts, n: int) -> pa.Table:
     occurs = [int((total == r).sum()) for r in range(1, K + 2)]
     rows.append(("gram_stats", None, bucket, np.array(occurs, np.int64).tobytes(), None))
     seen = total > 0
+    _, parts = frequent.at(contexts)
+    if parts.any():
+        rows.append(("frequent", None, bucket, _zip(contexts[parts]), _zip(facts[parts])))
     rows.append(("bigrams", None, bucket, _zip(pairs[seen], True), _zip(total[seen].astype(np.uint64))))
     return _table(_ANSWER, rows)
 
@@ -255,6 +292,22 @@ def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     rest = max(n, 1) - float((uni.apply(np.arange(1, K + 1)) * stats[:K]).sum()) - float(stats[K + 1])
     unknown = max(rest, 0.5) / (max(n, 1) - rest + max(rest, 0.5))  # only a table without small counts needs the half
     total = int(max(n, 1)) if rest >= 0.5 else max(n, 1) - rest + 0.5
+    many = max(1, n // (buckets * Frequent.PART))  # of training tokens, so few words have more
+
+    counted = pa.schema([("context", pa.int64()), ("n", pa.int64())])
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = np.uint64(xxhash.xxh64_intdigest(END, 42))
+        for batch in batches:
+            for bucket, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                names, counts = _unzip(a, np.uint64, True), _unzip(b, np.uint64).astype(np.int64)
+                hot = np.flatnonzero(counts >= many)
+                # each text has one start and one end
+                start = counts[names == end].tolist()
+                yield pa.RecordBatch.from_pydict({"context": [*(hot * buckets + bucket + 1).tolist(), *[START for _ in start]], "n": [*counts[hot].tolist(), *start]}, schema=counted)
+
+    hot = unigrams.where("kind = 'unigrams'").select("bucket", "a", "b").mapInArrow(often, "context long, n long")
+    frequent = Frequent.of({r[0]: r[1] for r in hot.toLocalIterator()}, max(n, 1), buckets)
     texts = packed.drop("words", "counts")
     by_word = unigrams.where("kind = 'word'").select("kind", "block", "bucket", "a", "b")
 
@@ -267,14 +320,18 @@ def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
         keys, first, place = np.unique(pairs[known], return_index=True, return_inverse=True)
         counts = np.bincount(place, train, len(keys)).astype(np.uint32)
         uses = block.count[block.ids[known]][first].astype(np.uint64)
-        where = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        where = frequent.bucket(keys)
         return _table(_SENT, list(_send(block.name, where, keys, counts, uses, buckets)))
 
     asked = texts.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(grams, sent)
-    asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, uni, total), answer).write.partitionBy("kind").parquet(f"{home}/bigrams")
+    asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, uni, total, frequent), answer).write.partitionBy("kind").parquet(f"{home}/bigrams")
     bigrams = spark.read.schema(answer).parquet(f"{home}/bigrams")
     occurs = sum((np.frombuffer(r[0], np.int64) for r in bigrams.where("kind = 'gram_stats'").select("a").toLocalIterator()), np.zeros(K + 1, np.int64))
     bi = Discounts.of(occurs.tolist())
+    whole = np.zeros((len(frequent.contexts), K + 3))
+    # the sum of all spreads is 2 * PART + 1 rows a bucket at most; in order, so that sums are the same each time
+    for r in bigrams.where("kind = 'frequent'").select("a", "b").orderBy("bucket").toLocalIterator():
+        whole[frequent.at(_unzip(r[0], np.uint64))[0]] += _unzip(r[1], np.float64).reshape(-1, K + 3)
     answers = by_word.union(bigrams.where("kind = 'gram'").select("kind", "block", "bucket", "a", "b"))
     result = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
@@ -288,14 +345,15 @@ def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
         uses = block.count[block.ids]
         p = np.where(uses > 0, uni.apply(uses) / total, unknown)
         keys, place = np.unique(pairs[known], return_inverse=True)
-        contexts = keys >> np.uint64(32)
-        where = (contexts % np.uint64(buckets)).astype(np.int64)
-        each, at = np.unique(contexts, return_inverse=True)
+        where = frequent.bucket(keys)
+        each, at = np.unique(keys >> np.uint64(32), return_inverse=True)
         counts, facts = np.zeros(len(keys), np.int64), np.zeros((len(each), K + 3))
         for r in right.to_pylist():
             if r["kind"] == "gram":
                 counts[where == r["bucket"]] = _unzip(r["a"], np.uint64)
-                facts[(each % np.uint64(buckets)).astype(np.int64) == r["bucket"]] = _unzip(r["b"], np.float64).reshape(-1, K + 3)
+                facts[np.unique(at[where == r["bucket"]])] = _unzip(r["b"], np.float64).reshape(-1, K + 3)
+        listed, parts = frequent.at(each)
+        facts[parts] = whole[listed[parts]]
         seen, left_over, plain = weights(facts, bi)
         prob = p
         prob[known] *= left_over[at][place]

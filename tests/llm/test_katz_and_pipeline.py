@@ -65,6 +65,14 @@ def test_katz_equals_brute_force_whatever_the_blocks(spark):
     assert katz.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_katz_deals_a_frequent_context_to_many_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(katz, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
+    docs = spark.createDataFrame([(i, f"w{i} x") for i in range(4000)], "doc_id long, text string").repartition(4)
+    assert katz.score(docs, 500).count() == 4000
+    sizes = [len(katz._unzip(r.a, "u8")) for r in spark.read.parquet(f"{tmp_path}/katz/bigrams").where("kind = 'bigrams'").collect()]
+    assert len(sizes) >= 16 and sum(sizes) > 6000 and max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
 def _one_edit(a, b):
     if a == b:
         return True
