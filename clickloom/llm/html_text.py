@@ -120,27 +120,42 @@ def is_chrome(node: Node, inside: bool) -> bool:
     return any(w in MARKED or any(p in MARKED for p in re.split(r"[-_]+", w)) for w in words)
 
 
-def subtree_hashes(root: Node) -> set[int]:
-    """Hashes of all block subtrees with text outside article and main, without the page itself."""
+def is_candidate(node: Node, inside: bool) -> bool:
+    """Whether an element may be a site's template: any block outside article and main."""
+    return not inside and node.tag in BLOCK - {"html", "body", "article", "main"}
+
+
+def subtree_hashes(root: Node) -> tuple[int, set[int]]:
+    """(page, found): a hash of the page's article and main elements, or of all of it where they have no text, and
+    the hashes of the subtrees with text that may be templates. None of them holds an article or main element.
+    """
     found: set[int] = set()
+    articles: list[bytes] = []
 
-    def walk(node: Node, inside: bool) -> bytes:
-        inside = inside or node.tag in ("article", "main")
+    def walk(node: Node, inside: bool) -> tuple[bytes, bool]:
+        own = holds = node.tag in ("article", "main")
         body = [node.tag.encode(), node.marks.encode()]
         for c in node.children:
-            text = c.strip() if isinstance(c, str) else walk(c, inside)
+            if isinstance(c, str):
+                text = c.strip().encode()
+            else:
+                text, below = walk(c, inside or own)
+                holds = holds or below
             if text:
-                body.append(text.encode() if isinstance(text, str) else text)
+                body.append(text)
         if len(body) == 2:
-            return b""
+            return b"", holds
         digest = xxhash.xxh64_intdigest(b"\x00".join(body)) - (1 << 63)
-        if not inside and node.tag in BLOCK and node.tag not in ("html", "body"):
+        raw = digest.to_bytes(8, "little", signed=True)
+        if own and not inside:
+            articles.append(raw)
+        if not holds and is_candidate(node, inside):
             found.add(digest)
-        node.children.append(digest)  # an int: the subtree's own hash, read again by main_text
-        return digest.to_bytes(8, "little", signed=True)
+            node.children.append(digest)  # an int: the subtree's own hash, read again by main_text
+        return raw, holds
 
-    walk(root, False)
-    return found
+    whole, _ = walk(root, False)
+    return xxhash.xxh64_intdigest(b"".join(articles) or whole) - (1 << 63), found
 
 
 def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
@@ -169,7 +184,7 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
 
     def walk(node: Node, inside: bool, only: bool) -> None:
         own = node.children[-1] if node.children and isinstance(node.children[-1], int) else None
-        if is_chrome(node, inside) or (not inside and own is not None and own in template):
+        if is_chrome(node, inside) or (own is not None and own in template):
             flush()
             return
         inside = inside or node.tag in ("article", "main")
@@ -198,23 +213,27 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", F.lower(host).alias("host"))
 
 
-def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1, large: int = 10_000) -> DataFrame:
     """host, hashes: subtrees that stand on at least ``least_pages`` pages and ``least_share`` of a host's pages.
 
-    Each page counts once for a subtree. Counting is a partial aggregation, so one host may hold any share of
-    all pages. A host has at most (subtrees of a page / least_share) hashes, whatever its number of pages.
+    Copies, by the hash of ``subtree_hashes``, are one page, which counts once for a subtree. On a host with more
+    than ``large`` pages the least number grows with the square root of the pages only. Counting is a partial
+    aggregation, so one host may hold any share of all pages. A host has at most (subtrees of a page / least_share)
+    hashes, and sqrt(pages / large) times that if it is large.
     """
 
     def step(hosts: list, htmls: list) -> dict:
-        found = [[] if not h else sorted(subtree_hashes(parse(h))) for h in htmls]
-        return {"host": hosts, "hashes": found}
+        found = [(0, ()) if not h else subtree_hashes(parse(h)) for h in htmls]
+        return {"host": hosts, "page": [p for p, _ in found], "hashes": [sorted(x) for _, x in found]}
 
-    seen = map_columns(with_host(pages).select("host", "html"), step, "host string, hashes array<long>")
+    seen = map_columns(with_host(pages).select("host", "html"), step, "host string, page long, hashes array<long>")
+    seen = seen.groupBy("host", "page").agg(F.min("hashes").alias("hashes"))
     # the page itself is counted under a null hash
     counts = seen.select("host", F.explode(F.array_append("hashes", F.lit(None).cast("long"))).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts = checkpointed(counts)
     total = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    often = counts.where(F.col("hash").isNotNull() & (F.col("n") >= least_pages)).join(total, "host").where(F.col("n") >= least_share * F.col("pages"))
+    least = least_share * F.least(F.col("pages").cast("double"), F.sqrt(F.col("pages") * F.lit(float(large))))
+    often = counts.where(F.col("hash").isNotNull() & (F.col("n") >= least_pages)).join(total, "host").where(F.col("n") >= least)
     return often.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
 
 
