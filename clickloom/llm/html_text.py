@@ -42,6 +42,9 @@ MARKED = frozenset(
     "complementary contentinfo search".split()
 )
 
+#: Blocks that are pieces of a text, which an article may share with others of its site.
+PARTS = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 hgroup hr li optgroup option p pre tbody td tfoot th thead tr".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|template|svg|iframe)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
@@ -121,8 +124,8 @@ def is_chrome(node: Node, inside: bool) -> bool:
 
 
 def is_candidate(node: Node, inside: bool) -> bool:
-    """Whether an element may be a site's template: any block outside article and main."""
-    return not inside and node.tag in BLOCK - {"html", "body", "article", "main"}
+    """Whether an element may be a site's template: any block, but within article or main no paragraph or part of a list or table."""
+    return node.tag in BLOCK - {"html", "body", "article", "main"} and (not inside or node.tag not in PARTS)
 
 
 def subtree_hashes(root: Node) -> tuple[int, set[int]]:
@@ -161,7 +164,7 @@ def subtree_hashes(root: Node) -> tuple[int, set[int]]:
 def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
     """Text blocks of the article joined by blank lines; ``template``: hashes of subtrees to delete.
 
-    Where a page has main or article elements, only they count, else its body. White space inside a block
+    Where a page has main or article elements, only they count, else its body; templates are deleted in both. White space inside a block
     becomes one space (br too); character references are decoded; empty blocks go.
     """
     if not html:

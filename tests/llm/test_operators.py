@@ -52,6 +52,13 @@ def test_html_copies_and_wrappers_are_no_templates(spark):
     assert known["e.f"] == 1 and "a.b" not in known
 
 
+def test_html_templates_within_articles(spark):
+    body = lambda i: f"<body><article><h1>same title</h1><div class=x17>read this, too</div><div><p>own text {i}</p></div><p>bye</p></article></body>"
+    pages = spark.createDataFrame([(i, f"http://a.b/{i}", body(i)) for i in range(8)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got[3] == "same title\n\nown text 3\n\nbye"
+
+
 def test_near_lines_match_brute_force(spark):
     rng = random.Random(1)
     base = ["".join(rng.choice("abcdé ") for _ in range(40)) for _ in range(12)]
