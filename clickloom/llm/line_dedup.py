@@ -97,8 +97,8 @@ def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFram
 
     Equal lines are grouped first, so a line that stands on a third of all rows takes part once.
     """
-    lines = occurrences(docs, least_chars).select("h1", "h2", segment_keys("line", "n", edits).alias("keys"))
-    classes = lines.groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
+    lines = occurrences(docs, least_chars).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n"))
+    classes = lines.select("h1", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
     # the outer form, so that no filter computes the array again
     rows = classes.select("h1", F.explode_outer("keys").alias("k")).select("h1", "k.*").where("key is not null")
     a, b = rows.where("index").alias("a"), rows.where("not index").alias("b")
