@@ -37,11 +37,11 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, fp (long) for every row of ``docs`` (doc_id, text). Null and empty texts get 0."""
+    """doc_id, th, fp (longs) for every row of ``docs`` (doc_id, text); th: hash of the text. Null and empty texts get fp 0."""
     return map_columns(
-        docs.select("doc_id", "text"),
-        lambda ids, texts: {"doc_id": ids, "fp": [fingerprint(t, shingle) for t in texts]},
-        "doc_id long, fp long",
+        docs.select("doc_id", F.xxhash64("text").alias("th"), "text"),
+        lambda ids, hashes, texts: {"doc_id": ids, "th": hashes, "fp": [fingerprint(t, shingle) for t in texts]},
+        "doc_id long, th long, fp long",
     )
 
 
@@ -94,7 +94,7 @@ def _or(masks: list[int]) -> int:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, blocks: int = 7) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, fp, component_id (smallest doc_id reachable by links).
+    """One row for each row of ``docs``: doc_id, th, fp, component_id (smallest doc_id reachable by links).
 
     Only distinct fingerprints enter the block join, so any number of exact copies costs one row there. A null
     doc_id keeps its row and never names a group; a group of only null ids has component_id null. Repeated rows
@@ -108,13 +108,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, blocks: in
         "fp", "rep", F.coalesce("component_id", "fp").alias("root")
     )
     lowest = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return fps.join(of.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return fps.join(of.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = 4, shingle: int = 4) -> DataFrame:
     """The rows of ``docs`` without those whose group holds a smaller doc_id (stage of the corpus pipeline).
 
-    Rows with a null doc_id stay. All rows that repeat the kept doc_id stay as they are.
+    Rows with a null doc_id stay. Rows are told apart by doc_id and text, so other texts of a dropped doc_id stay.
     """
-    gone = near_duplicates(docs, shingle, bits).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, shingle, bits).where("doc_id <> component_id").select(F.col("doc_id").alias("_g_doc"), F.col("th").alias("_g_th")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("_g_doc")) & (F.xxhash64("text") == F.col("_g_th")), "left_anti").select(*docs.columns)

@@ -189,6 +189,12 @@ def test_url_rules_and_words(spark):
     assert url_filter.viterbi("redhouse", {"red": 5, "house": 5}, 20) == ["red", "house"]
 
 
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    copy, other = "some words that stand in two documents", "quite another text of the same number"
+    docs = spark.createDataFrame([(1, copy), (5, copy), (5, other)], DOCS)
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [(1, copy), (5, other)]
+
+
 def test_simhash_pairs_match_brute_force(spark):
     rng = random.Random(4)
     fps = {rng.getrandbits(63) for _ in range(200)}
