@@ -122,13 +122,15 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     Candidates are broadcast up to ``most_broadcast`` rows to fetch their texts, else joined by key.
     """
     occ = occurrences(docs, 1)
-    classes = occ.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "pos")).alias("at"))
+    classes = occ.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "pos", "th")).alias("at"))
+    places = classes.select("h1", "h2", "at.*")
     classes = classes.select("h1", "h2", "copies", "at.doc_id", "at.pos")
     pairs = checkpointed(candidates(docs, edits, least_chars))
     ids = checkpointed(pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct())
-    places = checkpointed(classes.join(_small(ids, ids.count(), most_broadcast), "h1"))
-    wanted = places.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
-    joined = docs.select("doc_id", "text").join(_small(wanted, places.count(), most_broadcast), "doc_id")
+    places = checkpointed(places.join(_small(ids, ids.count(), most_broadcast), "h1"))
+    wanted = places.groupBy(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
+    same = F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_th"))
+    joined = docs.select("doc_id", "text").join(_small(wanted, places.count(), most_broadcast), same)
     at = joined.select(F.explode(F.arrays_zip(F.transform("wanted", lambda w: F.trim(F.get(F.split("text", "\n"), w["pos"]))).alias("line"), "wanted")).alias("x"))
     texts = at.select("x.wanted.h1", "x.wanted.h2", "x.line")
     texts = checkpointed(texts.where((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))).distinct())
@@ -221,7 +223,7 @@ def drop_lines(docs: DataFrame, edits: int | None = None, least_chars: int = 24)
     return out.select(*docs.columns)
 
 
-def common_prefix(a: Column, b: Column, longest: int = 1 << 20) -> Column:
+def common_prefix(a: Column, b: Column, longest: int = 1 << 30) -> Column:
     """Length of the common prefix: prefixes are equal up to it and never after, so halving steps find it."""
     steps = []
     while longest:
