@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 from html import unescape
 
 import xxhash
@@ -34,13 +33,21 @@ CLOSED_BY = {
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
 }
-#: Words in class, id or role that mark what is no main text.
+#: Words of a class or id that mark what is no main text.
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer "
-    "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted reader-comments "
-    "related replies respond share sharing sidebar site-header site-footer skip-link social sponsor sponsored subscribe toolbar topbar widget "
-    "complementary contentinfo search".split()
+    "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted "
+    "related replies reply respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+#: Words that may stand beside those in a compound name such as site-footer or cookie_bar.
+BESIDE = frozenset(
+    "area bar block bottom box button buttons container content form global group header inner item items js left link links list main outer page "
+    "panel post posts primary reader right row secondary section site slot thread top unit user wrap wrapper".split()
+)
+#: The marks of an article element that is a comment or an advert.
+ASIDE = frozenset("ad ads advert advertisement comment comments promo promoted replies reply sponsored".split())
+#: Fixed values of ARIA: roles of what is no main text.
+ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 #: Blocks that are pieces of a text, which an article may share with others of its site.
 PARTS = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 hgroup hr li optgroup option p pre tbody td tfoot th thead tr".split())
@@ -50,164 +57,195 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f\v]+")
+_NAMED = re.compile(r"(?<![^\s\"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?=[\s/]|$))", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_SPACE = re.compile(r"\s+")
+_PARTS = re.compile(r"[-_]+")
+ARTICLE = frozenset(["article", "main"])
 
 
-#: Elements nested deeper than this stand beside each other; their text stays.
-DEEPEST = 512
+class Page:
+    """A page as a list of events in page order: text, or the number of an element that starts (n) or ends (-n).
 
+    Elements are numbered from 1, the page itself being 1. Lists by number: tags, attrs (the named ones), ends (place of the end in events),
+    holds (whether an article or main element stands in it or is it).
+    """
 
-class Node:
-    __slots__ = ("children", "marks", "tag")
+    __slots__ = ("attrs", "ends", "events", "holds", "tags")
 
-    def __init__(self, tag: str, marks: str = ""):
-        self.tag, self.marks, self.children = tag, marks, []
+    def __init__(self) -> None:
+        self.events: list = [1]
+        self.tags, self.attrs, self.ends, self.holds = ["", "html"], [(), ()], [0, 0], [False, False]
 
 
-sys.setrecursionlimit(max(sys.getrecursionlimit(), 8 * DEEPEST))  # the walks below go that deep at most
+def parse(html: str) -> Page:
+    """Elements and text of a page. Broken markup never fails: unknown ends are passed over, open elements end at the end.
 
+    Elements may be nested to any depth; nothing here or below is recursive, and the work is linear in the page.
+    """
+    page = Page()
+    events, tags, holds = page.events, page.tags, page.holds
+    stack, blocks, opened, at = [1], [0], {}, 0  # blocks: places of block elements in the stack
+
+    def close(to: int) -> None:
+        while len(stack) > to:
+            n = stack.pop()
+            opened[tags[n]] -= 1
+            page.ends[n] = len(events)
+            events.append(-n)
+        while blocks[-1] >= to > 0:
+            blocks.pop()
 
-def parse(html: str) -> Node:
-    """A tree of elements and text. Broken markup never fails: unknown ends are passed over, open elements end at the end."""
-    root = Node("html")
-    stack, at, flat = [root], 0, {}
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            stack[-1].children.append(unescape(html[at : m.start()]))
+            events.append(unescape(html[at : m.start()]))
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
         if m["end"]:
-            if flat.get(tag):
-                flat[tag] -= 1
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened.get(tag):
+                i = len(stack) - 1
+                while tags[stack[i]] != tag:
+                    i -= 1
+                close(i)
             continue
-        while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
-            stack.pop()
-        if tag in BLOCK:  # inline elements left open inside a paragraph end with it
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in BLOCK:
-                    if tag in CLOSED_BY.get(stack[i].tag, ()):
-                        del stack[i:]
+        while len(stack) > 1 and tag in CLOSED_BY.get(tags[stack[-1]], ()):
+            close(len(stack) - 1)
+        if tag in BLOCK and blocks[-1] and tag in CLOSED_BY.get(tags[stack[blocks[-1]]], ()):
+            close(blocks[-1])  # inline elements left open inside a paragraph end with it
+        attrs, n = m["attrs"], len(tags)
+        tags.append(tag)
+        page.attrs.append(tuple((k.lower(), a or b or c) for k, a, b, c in _NAMED.findall(attrs)) if attrs and not attrs.isspace() else ())
+        holds.append(tag in ARTICLE)
+        page.ends.append(len(events) + 1)
+        events.append(n)
+        if tag in VOID or attrs.endswith("/"):
+            events.append(-n)
+            continue
+        if tag in ARTICLE:
+            for outer in reversed(stack):
+                if holds[outer]:
                     break
-        attrs = m["attrs"]
-        marks = " ".join(f"{k.lower()}={a or b or c}" for k, a, b, c in _NAMED.findall(attrs)) if attrs and not attrs.isspace() else ""
-        node = Node(tag, marks)
-        stack[-1].children.append(node)
-        if tag not in VOID and not attrs.endswith("/"):
-            if len(stack) < DEEPEST:
-                stack.append(node)
-            else:
-                flat[tag] = flat.get(tag, 0) + 1
+                holds[outer] = True
+        if tag in BLOCK:
+            blocks.append(len(stack))
+        stack.append(n)
+        opened[tag] = opened.get(tag, 0) + 1
     if at < len(html):
-        stack[-1].children.append(unescape(html[at:]))
-    return root
+        events.append(unescape(html[at:]))
+    opened["html"] = opened.get("html", 0) + 1
+    close(0)
+    return page
+
+
+def is_marked(name: str, words: frozenset[str] = MARKED) -> bool:
+    """Whether a whole class or id name is one of ``words``, or made only of them and words that stand beside them."""
+    parts = [p for p in _PARTS.split(name.lower()) if p]
+    return any(p in words for p in parts) and all(p in words or p in BESIDE for p in parts)
+
 
+def is_chrome(page: Page, n: int, inside: bool) -> bool:
+    """Whether tag, attributes or role say that element ``n`` is no main text; ``inside``: within article or main.
 
-def is_chrome(node: Node, inside: bool) -> bool:
-    """Whether tag, class, id or role says that an element is no main text; ``inside``: within article or main."""
-    if node.tag in HIDDEN or node.tag in CHROME or node.tag == "header" and not inside:
+    Class and id names count as a whole, and never on an element around an article or main element.
+    """
+    tag = page.tags[n]
+    if tag in HIDDEN:
         return True
-    if not node.marks or node.tag in ("html", "body", "article", "main"):
+    for key, value in page.attrs[n]:
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _UNSEEN.search(value):
+            return True
+    if tag == "article":
+        return any(key in ("class", "id") and any(is_marked(x, ASIDE) for x in value.split()) for key, value in page.attrs[n])
+    if page.holds[n] or tag == "body":
         return False
-    if "aria-hidden=true" in node.marks:
+    if tag in CHROME or tag == "header" and not inside:
         return True
-    words = re.split(r"[\s=]+", node.marks.lower())
-    return any(w in MARKED or any(p in MARKED for p in re.split(r"[-_]+", w)) for w in words)
+    return any(value.strip().lower() in ROLES if key == "role" else key in ("class", "id") and any(is_marked(x) for x in value.split()) for key, value in page.attrs[n])
 
 
-def is_candidate(node: Node, inside: bool) -> bool:
+def is_candidate(page: Page, n: int, inside: bool) -> bool:
     """Whether an element may be a site's template: any block, but within article or main no paragraph or part of a list or table."""
-    return node.tag in BLOCK - {"html", "body", "article", "main"} and (not inside or node.tag not in PARTS)
+    tag = page.tags[n]
+    return tag in BLOCK and tag != "body" and n > 1 and (not inside or tag not in PARTS)
 
 
-def subtree_hashes(root: Node) -> tuple[int, set[int]]:
-    """(page, found): a hash of the page's article and main elements, or of all of it where they have no text, and
-    the hashes of the subtrees with text that may be templates. None of them holds an article or main element.
+def subtree_hashes(page: Page) -> tuple[int, dict[int, int]]:
+    """(whole, found): a hash of the page's article and main elements, or of all of it where they have no text, and
+    the hash of each element with text that may be a template. None of them holds an article or main element.
     """
-    found: set[int] = set()
+    found: dict[int, int] = {}
     articles: list[bytes] = []
-
-    def walk(node: Node, inside: bool) -> tuple[bytes, bool]:
-        own = holds = node.tag in ("article", "main")
-        body = [node.tag.encode(), node.marks.encode()]
-        for c in node.children:
-            if isinstance(c, str):
-                text = c.strip().encode()
-            else:
-                text, below = walk(c, inside or own)
-                holds = holds or below
-            if text:
-                body.append(text)
-        if len(body) == 2:
-            return b"", holds
-        digest = xxhash.xxh64_intdigest(b"\x00".join(body)) - (1 << 63)
-        raw = digest.to_bytes(8, "little", signed=True)
-        if own and not inside:
-            articles.append(raw)
-        if not holds and is_candidate(node, inside):
-            found.add(digest)
-            node.children.append(digest)  # an int: the subtree's own hash, read again by main_text
-        return raw, holds
-
-    whole, _ = walk(root, False)
-    return xxhash.xxh64_intdigest(b"".join(articles) or whole) - (1 << 63), found
-
-
-def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
+    stack: list[list[bytes]] = []
+    inside, raw = 0, b""
+    for e in page.events:
+        if isinstance(e, str):
+            if text := e.strip():
+                stack[-1].append(text.encode())
+        elif e > 0:
+            stack.append([page.tags[e].encode(), repr(page.attrs[e]).encode()])
+            inside += page.tags[e] in ARTICLE
+        else:
+            body, own = stack.pop(), page.tags[-e] in ARTICLE
+            inside -= own
+            if len(body) > 2:
+                digest = xxhash.xxh64_intdigest(b"\x00".join(body)) - (1 << 63)
+                raw = digest.to_bytes(8, "little", signed=True)
+                if stack:
+                    stack[-1].append(raw)
+                if own and not inside:
+                    articles.append(raw)
+                if not page.holds[-e] and is_candidate(page, -e, inside > 0):
+                    found[-e] = digest
+    return xxhash.xxh64_intdigest(b"".join(articles) or raw) - (1 << 63), found
+
+
+def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(), marks: bool = True) -> str:
     """Text blocks of the article joined by blank lines; ``template``: hashes of subtrees to delete.
 
-    Where a page has main or article elements, only they count, else its body; templates are deleted in both. White space inside a block
-    becomes one space (br too); character references are decoded; empty blocks go.
+    The site's templates go first, anywhere on the page. Of what is left, what tags and attributes mark as no main
+    text goes (``marks``; scripts, styles and other unseen content always), and where article or main elements are
+    left, only they count. White space inside a block, also of character references, becomes one space (br too);
+    empty blocks go.
     """
     if not html:
         return ""
-    root = parse(html)
-    if template:
-        subtree_hashes(root)
-    blocks: list[str] = []
+    page = parse(html)
+    gone = {n for n, h in subtree_hashes(page)[1].items() if h in template} if template else ()
+    blocks: list[tuple[bool, str]] = []
     parts: list[str] = []
+    inside = at = 0
+    only = False
 
     def flush() -> None:
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             parts.clear()
             if text:
-                blocks.append(text)
-
-    def has_article(node: Node) -> bool:
-        return any(not isinstance(c, (str, int)) and not is_chrome(c, False) and (c.tag in ("article", "main") or has_article(c)) for c in node.children)
+                blocks.append((inside > 0, text))
 
-    def walk(node: Node, inside: bool, only: bool) -> None:
-        own = node.children[-1] if node.children and isinstance(node.children[-1], int) else None
-        if is_chrome(node, inside) or (own is not None and own in template):
-            flush()
-            return
-        inside = inside or node.tag in ("article", "main")
-        block = node.tag in BLOCK
-        if block:
-            flush()
-        if node.tag == "br":
+    while at < len(page.events):
+        e = page.events[at]
+        at += 1
+        if isinstance(e, str):
+            parts.append(e)
+            continue
+        tag = page.tags[abs(e)]
+        if e > 0 and (e in gone or (is_chrome(page, e, inside > 0) if marks else tag in HIDDEN)):
+            if tag in BLOCK:
+                flush()
+            at = page.ends[e] + 1
+        elif tag == "br":
             parts.append(" ")
-        for c in node.children:
-            if isinstance(c, str):
-                if inside or not only:
-                    parts.append(c)
-            elif not isinstance(c, int):
-                walk(c, inside, only)
-        if block:
+        elif tag in BLOCK:
             flush()
-
-    walk(root, False, has_article(root))
+            if tag in ARTICLE:
+                inside += 1 if e > 0 else -1
+                only = only or marks
     flush()
-    return "\n\n".join(blocks)
+    return "\n\n".join(text for within, text in blocks if within or not only)
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -226,8 +264,8 @@ def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1,
     """
 
     def step(hosts: list, htmls: list) -> dict:
-        found = [(0, ()) if not h else subtree_hashes(parse(h)) for h in htmls]
-        return {"host": hosts, "page": [p for p, _ in found], "hashes": [sorted(x) for _, x in found]}
+        found = [(0, {}) if not h else subtree_hashes(parse(h)) for h in htmls]
+        return {"host": hosts, "page": [p for p, _ in found], "hashes": [sorted(set(x.values())) for _, x in found]}
 
     seen = map_columns(with_host(pages).select("host", "html"), step, "host string, page long, hashes array<long>")
     seen = seen.groupBy("host", "page").agg(F.min("hashes").alias("hashes"))
@@ -243,7 +281,8 @@ def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1,
 def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1, most_broadcast: int = 1_000_000) -> DataFrame:
     """page_id, url, text of every row of ``pages`` (page_id, url, html).
 
-    Null and empty pages give an empty text; repeated rows are repeated. The templates are broadcast while they
+    Null and empty pages give an empty text; repeated rows are repeated, and are one page in the counts; null urls
+    and ids stay; an empty table gives no rows; other columns are not read. The templates are broadcast while they
     hold at most ``most_broadcast`` hashes in all (16 MB); beyond that they are joined by host.
     """
     known = checkpointed(templates(pages, least_pages, least_share))
