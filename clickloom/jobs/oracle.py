@@ -30,9 +30,9 @@ grp AS (SELECT *, CAST(row_number() OVER (ORDER BY session_id, query_time) AS BI
   lead(query_time) OVER w AS target_time, CAST(row_number() OVER w AS INT) AS prefix_groups,
   CAST(sum(n_events) OVER w AS BIGINT) AS prefix_events,
   CAST(sum(nv) OVER w AS BIGINT) AS view_count, CAST(sum(na) OVER w AS BIGINT) AS addtocart_count, CAST(sum(nt) OVER w AS BIGINT) AS transaction_count,
-  (query_time - max(CASE WHEN nv > 0 THEN query_time END) OVER w) / 1000 AS view_recency,
-  (query_time - max(CASE WHEN na > 0 THEN query_time END) OVER w) / 1000 AS addtocart_recency,
-  (query_time - max(CASE WHEN nt > 0 THEN query_time END) OVER w) / 1000 AS transaction_recency
+  max(CASE WHEN nv > 0 THEN query_time END) OVER w AS view_last_time, (query_time - view_last_time) / 1000 AS view_recency,
+  max(CASE WHEN na > 0 THEN query_time END) OVER w AS addtocart_last_time, (query_time - addtocart_last_time) / 1000 AS addtocart_recency,
+  max(CASE WHEN nt > 0 THEN query_time END) OVER w AS transaction_last_time, (query_time - transaction_last_time) / 1000 AS transaction_recency
   FROM g0 WINDOW w AS (PARTITION BY session_id ORDER BY query_time)),
 q AS (SELECT * FROM grp WHERE target_time IS NOT NULL AND split <> 'boundary_drop'),
 tgt AS (SELECT query_id, itemid, count(*) AS target_events, q.query_time, q.target_time, q.split, q.session_id
@@ -54,9 +54,9 @@ _DAY = "CAST(epoch_ms(timestamp) AS DATE)"
 def _meta(requests: str, time: str, keep: str) -> str:
     return f"""rq AS ({requests}),
 pa AS (SELECT * FROM props WHERE property = 'available'), pc AS (SELECT * FROM props WHERE property = 'categoryid'),
-m1 AS (SELECT rq.*, pa.value AS av FROM rq ASOF LEFT JOIN pa ON rq.itemid = pa.itemid AND rq.{time} >= pa.timestamp),
-m2 AS (SELECT m1.*, pc.value AS cat FROM m1 ASOF LEFT JOIN pc ON m1.itemid = pc.itemid AND m1.{time} >= pc.timestamp),
-meta AS (SELECT {keep}, av::TINYINT AS available, coalesce(t.categoryid, -1) AS category_id, coalesce(t.root_id, -1) AS root_id,
+m1 AS (SELECT rq.*, pa.value AS av, pa.timestamp AS av_at FROM rq ASOF LEFT JOIN pa ON rq.itemid = pa.itemid AND rq.{time} >= pa.timestamp),
+m2 AS (SELECT m1.*, pc.value AS cat, pc.timestamp AS cat_at FROM m1 ASOF LEFT JOIN pc ON m1.itemid = pc.itemid AND m1.{time} >= pc.timestamp),
+meta AS (SELECT {keep}, i.known_at, av_at AS available_time, cat_at AS category_time, av IS NULL AS availability_unknown, av::TINYINT AS available, coalesce(t.categoryid, -1) AS category_id, coalesce(t.root_id, -1) AS root_id,
   coalesce(t.depth, -1)::SMALLINT AS depth, coalesce(t.path, 'UNKNOWN') AS path, cat IS NULL AS category_missing,
   cat IS NOT NULL AND t.categoryid IS NULL AS category_invalid,
   coalesce(i.known_at <= m2.{time}, false) AND coalesce(av = 1, true) AS candidate
@@ -67,6 +67,10 @@ _TARGET_META = _meta("SELECT query_id, itemid, query_time, split FROM tgt", "que
 _EVENT_META = _meta("SELECT itemid, event, timestamp FROM clean", "timestamp", "m2.itemid, event, m2.timestamp")
 
 
+_SNAPSHOT = _meta("SELECT itemid, train_end AS t FROM items, ends WHERE known_at <= train_end", "t", "m2.itemid")
+_AT_ENDS = _meta("SELECT itemid, t FROM items, (SELECT unnest([train_end, validation_end, observation_end]) AS t FROM ends) WHERE known_at <= t", "t", "t, m2.itemid")
+
+
 def _stats(table: str, *columns: str) -> str:
     each = [
         f"""SELECT '{c}' AS metric, count(*) AS n, min({c})::DOUBLE AS min, round(avg({c}), 6) AS mean, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median,
@@ -76,10 +80,20 @@ def _stats(table: str, *columns: str) -> str:
     return " UNION ALL ".join(each)
 
 
-_SPLIT_SUMMARY = """SELECT a.*, pairs, pair_coverage_pct, macro_ceiling_pct FROM
-(SELECT split, count(*) AS queries, count(DISTINCT session_id) AS sessions, count(DISTINCT visitorid) AS users, min(query_time) AS first_query, max(query_time) AS last_query FROM q GROUP BY 1) a
+_SPLIT_SUMMARY = """SELECT a.*, pairs, pair_coverage_pct, macro_ceiling_pct, cold_item_pct, target_items FROM
+(SELECT split, count(*) AS queries, count(DISTINCT session_id) AS sessions, count(DISTINCT visitorid) AS users, min(query_time) AS first_query, max(query_time) AS last_query,
+  round(100 * avg((visitorid NOT IN (SELECT visitorid FROM train))::INT), 6) AS cold_user_pct FROM q GROUP BY 1) a
 JOIN (SELECT split, sum(n)::BIGINT AS pairs, round(100 * sum(c) / sum(n), 6) AS pair_coverage_pct, round(100 * avg(c / n), 6) AS macro_ceiling_pct FROM
-(SELECT split, query_id, count(*) AS n, count(*) FILTER (candidate) AS c FROM meta GROUP BY ALL) GROUP BY 1) b USING (split)"""
+(SELECT split, query_id, count(*) AS n, count(*) FILTER (candidate) AS c FROM meta GROUP BY ALL) GROUP BY 1) b USING (split)
+JOIN (SELECT split, round(100 * avg((itemid NOT IN (SELECT itemid FROM train))::INT), 6) AS cold_item_pct, count(DISTINCT itemid) AS target_items FROM tgt GROUP BY 1) c USING (split)"""
+
+_PURCHASES = """fi AS (SELECT visitorid, itemid, min(timestamp) FILTER (event = 'view') AS v, min(timestamp) FILTER (event = 'addtocart') AS c, min(timestamp) FILTER (event = 'transaction') AS p FROM clean GROUP BY ALL),
+pp AS (SELECT * FROM clean JOIN fi USING (visitorid, itemid) WHERE event = 'transaction')"""
+
+_UPDATES = """ru AS (SELECT timestamp, itemid, 'available' AS property, CASE WHEN event = 'signup' THEN '1.0' ELSE '0.0' END AS value FROM raw WHERE event IN ('signup', 'error') AND itemid % 10 <> 3
+  UNION ALL SELECT timestamp, itemid, 'categoryid', (event_id % 40) || '.0' FROM raw WHERE event = 'signup' AND itemid % 10 <> 4),
+rf AS (SELECT DISTINCT timestamp, itemid, property, value FROM ru),
+rc AS (SELECT itemid, property, timestamp, count(DISTINCT value) AS n_values FROM rf GROUP BY ALL HAVING count(DISTINCT value) > 1)"""
 
 #: name: (select, further tables of its WITH clause)
 _SQL: dict[str, str | tuple[str, str]] = {
@@ -98,7 +112,7 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "nextstep_targets": "SELECT query_id, itemid, target_events, target_time, split FROM tgt",
     "target_count": "SELECT query_id, count(itemid) AS target_count FROM q LEFT JOIN tgt USING (query_id) GROUP BY 1",
     "repeat_targets": "SELECT query_id, itemid, f AS first_seen FROM tgt JOIN (SELECT session_id, itemid, min(timestamp) AS f FROM ev GROUP BY ALL) USING (session_id, itemid) WHERE f <= query_time",
-    "prefix_features": "SELECT query_id, prefix_groups, prefix_events, view_count, addtocart_count, transaction_count, view_recency, addtocart_recency, transaction_recency, view_recency IS NOT NULL AS has_view, addtocart_recency IS NOT NULL AS has_addtocart, transaction_recency IS NOT NULL AS has_transaction FROM q",
+    "prefix_features": "SELECT query_id, visitorid, session_id, query_time, prefix_groups, prefix_events, query_time AS history_last_time, view_count, addtocart_count, transaction_count, view_last_time, addtocart_last_time, transaction_last_time, view_recency, addtocart_recency, transaction_recency, view_recency IS NOT NULL AS has_view, addtocart_recency IS NOT NULL AS has_addtocart, transaction_recency IS NOT NULL AS has_transaction FROM q",
     "prefix_history": "SELECT query_id, event_id, itemid, event FROM q JOIN ev ON ev.session_id = q.session_id AND ev.timestamp <= q.query_time",
     "property_history": "SELECT *, lead(timestamp) OVER (PARTITION BY itemid, property ORDER BY timestamp) AS valid_to FROM props",
     "category_tree": "SELECT * FROM tree",
@@ -108,41 +122,49 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "eligible_target_count": ("SELECT query_id, count(*) FILTER (candidate) AS eligible_target_count FROM q LEFT JOIN meta USING (query_id) GROUP BY 1", _TARGET_META),
     "metadata_at_event": ("SELECT event, count(*) AS events, count(*) FILTER (available IS NULL) AS unknown, count(*) FILTER (available = 0) AS unavailable, count(*) FILTER (available = 1) AS available, count(*) FILTER (category_missing) AS no_category, count(*) FILTER (category_invalid) AS bad_category FROM meta GROUP BY 1", _EVENT_META),
     "top_categories": ("SELECT category_id, count(*) AS events, count(DISTINCT itemid) AS items, count(*) FILTER (event = 'transaction') AS purchases FROM meta GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30", _EVENT_META),
-    "train_snapshot": ("SELECT itemid, available, category_id, root_id, depth, path, category_missing, category_invalid, candidate FROM meta", _meta("SELECT itemid, train_end AS t FROM items, ends WHERE known_at <= train_end", "t", "m2.itemid")),
+    "train_snapshot": ("SELECT *, itemid IN (SELECT itemid FROM train) AS seen_in_train FROM meta", _SNAPSHOT),
+    "snapshot_unknown_rates": ("SELECT count(*) AS items, round(100 * avg((category_id = -1)::INT), 6) AS category_unknown_pct, round(100 * avg(availability_unknown::INT), 6) AS availability_unknown_pct FROM meta WHERE itemid IN (SELECT itemid FROM train)", _SNAPSHOT),
+    "candidates_at_time": ("SELECT t, itemid, known_at, available, category_id, itemid IN (SELECT itemid FROM train) AS warm FROM meta WHERE candidate", _AT_ENDS),
+    "warm_candidates": ("SELECT t, itemid, available, root_id FROM meta WHERE candidate AND itemid IN (SELECT itemid FROM train)", _AT_ENDS),
     "user_mapping": "SELECT visitorid, CAST(row_number() OVER (ORDER BY visitorid) + 1 AS INT) AS visitorid_idx FROM (SELECT DISTINCT visitorid FROM train)",
     "item_mapping": "SELECT itemid, CAST(row_number() OVER (ORDER BY itemid) + 1 AS INT) AS itemid_idx FROM (SELECT DISTINCT itemid FROM train)",
     "behavior_edges": "SELECT visitorid, itemid, event, count(*) AS n, max(timestamp) AS last_time FROM train GROUP BY ALL",
-    "interactions": "SELECT visitorid, itemid, v AS view_count, a AS addtocart_count, t AS transaction_count, last_time, round(ln(1 + v) + 3 * ln(1 + a) + 5 * ln(1 + t), 6) AS score FROM (SELECT visitorid, itemid, count(*) FILTER (event = 'view') AS v, count(*) FILTER (event = 'addtocart') AS a, count(*) FILTER (event = 'transaction') AS t, max(timestamp) AS last_time FROM train GROUP BY ALL)",
+    "interactions": "SELECT visitorid, itemid, v AS view_count, a AS addtocart_count, t AS transaction_count, tv AS view_last_time, ta AS addtocart_last_time, tt AS transaction_last_time, last_time, round(ln(1 + v) + 3 * ln(1 + a) + 5 * ln(1 + t), 6) AS score, "
+    "round((train_end - tv) / 3600000, 6) AS view_recency_hours, round((train_end - ta) / 3600000, 6) AS addtocart_recency_hours, round((train_end - tt) / 3600000, 6) AS transaction_recency_hours, "
+    "CAST(dense_rank() OVER (ORDER BY visitorid) + 1 AS INT) AS visitorid_idx, CAST(dense_rank() OVER (ORDER BY itemid) + 1 AS INT) AS itemid_idx "
+    "FROM (SELECT visitorid, itemid, count(*) FILTER (event = 'view') AS v, count(*) FILTER (event = 'addtocart') AS a, count(*) FILTER (event = 'transaction') AS t, "
+    "max(timestamp) FILTER (event = 'view') AS tv, max(timestamp) FILTER (event = 'addtocart') AS ta, max(timestamp) FILTER (event = 'transaction') AS tt, max(timestamp) AS last_time FROM train GROUP BY ALL), ends",
     "reserved_index": "SELECT query_id, itemid, coalesce(i, 1) AS item_idx, i IS NULL AS cold_item FROM tgt LEFT JOIN (SELECT itemid, CAST(row_number() OVER (ORDER BY itemid) + 1 AS INT) AS i FROM (SELECT DISTINCT itemid FROM train)) USING (itemid)",
     "cold_flags": "SELECT query_id, visitorid NOT IN (SELECT visitorid FROM train) AS cold_user FROM q",
     "split_summary": (_SPLIT_SUMMARY, _TARGET_META),
-    "prefix_length_stats": "SELECT split, min(prefix_groups) AS min, quantile_cont(prefix_groups::DOUBLE, 0.5) AS median, round(quantile_cont(prefix_groups::DOUBLE, 0.95), 6) AS p95, max(prefix_groups) AS max FROM q GROUP BY 1",
+    "prefix_length_stats": "SELECT * FROM (SELECT split, min(prefix_groups) AS min, quantile_cont(prefix_groups::DOUBLE, 0.5) AS median, round(quantile_cont(prefix_groups::DOUBLE, 0.95), 6) AS p95, max(prefix_groups) AS max FROM q GROUP BY 1) JOIN (SELECT split, count(*) FILTER (n > 1) AS multi_target_queries FROM (SELECT split, query_id, count(*) AS n FROM tgt GROUP BY ALL) GROUP BY 1) USING (split)",
     "single_group_sessions": "SELECT count(*) FILTER (k = 1) AS single, count(*) AS sessions, round(100 * avg((k = 1)::INT), 6) AS pct FROM (SELECT session_id, count(*) AS k FROM grp GROUP BY 1)",
-    "raw_profile": "SELECT count(*) AS row_count, count(*) - count(timestamp) AS null_timestamp, count(*) - count(visitorid) AS null_visitorid, count(*) - count(event) AS null_event, count(*) - count(itemid) AS null_itemid, count(*) - count(transactionid) AS null_transactionid, count(DISTINCT visitorid) AS users, count(DISTINCT itemid) AS items, count(DISTINCT transactionid) AS orders, min(timestamp) AS first_time, max(timestamp) AS last_time, count(*) FILTER (event NOT IN ('view', 'addtocart', 'transaction')) AS invalid FROM raw",
-    "behavior_counts": "SELECT a.event, raw, clean, users, items, raw - clean AS duplicates FROM (SELECT event, count(*) AS raw FROM raw GROUP BY 1) a JOIN (SELECT event, count(*) AS clean, count(DISTINCT visitorid) AS users, count(DISTINCT itemid) AS items FROM clean GROUP BY 1) c USING (event)",
+    "raw_profile": "SELECT count(*) AS row_count, count(*) - count(timestamp) AS null_timestamp, count(*) - count(visitorid) AS null_visitorid, count(*) - count(event) AS null_event, count(*) - count(itemid) AS null_itemid, count(*) - count(transactionid) AS null_transactionid, count(DISTINCT visitorid) AS users, count(DISTINCT itemid) AS items, count(DISTINCT transactionid) AS orders, min(timestamp) AS first_time, max(timestamp) AS last_time, count(*) FILTER (event NOT IN ('view', 'addtocart', 'transaction')) AS invalid, count(*) - (SELECT count(*) FROM (SELECT DISTINCT timestamp, visitorid, event, itemid, transactionid FROM raw)) AS duplicates, count(*) FILTER (timestamp < 0 OR visitorid < 0 OR itemid < 0 OR transactionid < 0) AS negative FROM raw",
+    "behavior_counts": "SELECT a.event, raw, clean, users, items, raw - clean AS duplicates, round(100 * clean / sum(clean) OVER (), 6) AS clean_pct FROM (SELECT event, count(*) AS raw FROM raw GROUP BY 1) a JOIN (SELECT event, count(*) AS clean, count(DISTINCT visitorid) AS users, count(DISTINCT itemid) AS items FROM clean GROUP BY 1) c USING (event)",
     "split_counts": "SELECT split, count(*) AS events FROM ev GROUP BY 1",
-    "user_stats": (_stats("u", "events", "items", "active_days"), "u AS (SELECT visitorid, count(*) AS events, count(DISTINCT itemid) AS items, count(DISTINCT timestamp // 86400000) AS active_days FROM clean GROUP BY 1)"),
-    "item_stats": (_stats("u", "events", "users", "purchases"), "u AS (SELECT itemid, count(*) AS events, count(DISTINCT visitorid) AS users, count(*) FILTER (event = 'transaction') AS purchases FROM clean GROUP BY 1)"),
-    "pair_stats": (_stats("u", "events", "views", "carts"), "u AS (SELECT visitorid, itemid, count(*) AS events, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS carts FROM clean GROUP BY ALL)"),
-    "session_stats": (_stats("u", "events", "items", "duration_ms"), "u AS (SELECT session_id, count(*) AS events, count(DISTINCT itemid) AS items, max(timestamp) - min(timestamp) AS duration_ms FROM ses GROUP BY 1)"),
-    "sparsity": "SELECT *, round(100 * pairs / (users * items), 6) AS density_pct FROM (SELECT count(*) AS users, count(*) FILTER (k = 1) AS one_item_users FROM (SELECT visitorid, count(DISTINCT itemid) AS k FROM clean GROUP BY 1)), (SELECT count(*) AS items, count(*) FILTER (k = 1) AS one_user_items, sum(k)::BIGINT AS pairs FROM (SELECT itemid, count(DISTINCT visitorid) AS k FROM clean GROUP BY 1))",
-    "concentration": "SELECT count(*) AS users, round(2 * sum(i * x) / (count(*) * sum(x)) - (count(*) + 1) / count(*), 6) AS gini FROM (SELECT x, row_number() OVER (ORDER BY x) AS i FROM (SELECT count(*) AS x FROM clean GROUP BY visitorid))",
-    "daily_activity": f"SELECT {_DAY}::VARCHAR AS day, count(*) AS events, count(DISTINCT visitorid) AS users, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS addtocarts, count(*) FILTER (event = 'transaction') AS transactions FROM clean GROUP BY 1",
+    "user_stats": (_stats("u", "events", "items", "active_days", "orders", "span_ms"), "u AS (SELECT visitorid, count(*) AS events, count(DISTINCT itemid) AS items, count(DISTINCT timestamp // 86400000) AS active_days, count(DISTINCT transactionid) AS orders, max(timestamp) - min(timestamp) AS span_ms FROM clean GROUP BY 1)"),
+    "item_stats": (_stats("u", "events", "users", "purchases", "active_days"), "u AS (SELECT itemid, count(*) AS events, count(DISTINCT visitorid) AS users, count(*) FILTER (event = 'transaction') AS purchases, count(DISTINCT timestamp // 86400000) AS active_days FROM clean GROUP BY 1)"),
+    "pair_stats": (_stats("u", "events", "views", "carts", "purchases"), "u AS (SELECT visitorid, itemid, count(*) AS events, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS carts, count(*) FILTER (event = 'transaction') AS purchases FROM clean GROUP BY ALL)"),
+    "session_stats": (_stats("u", "events", "items", "one_event", "one_item", "has_purchase", "duration_ms") + " UNION ALL " + _stats("us", "sessions_per_user"), "u AS (SELECT visitorid, session_id, count(*) AS events, count(DISTINCT itemid) AS items, max(timestamp) - min(timestamp) AS duration_ms, (count(*) = 1)::INT AS one_event, (count(DISTINCT itemid) = 1)::INT AS one_item, max((event = 'transaction')::INT) AS has_purchase FROM ses GROUP BY ALL), us AS (SELECT count(*) AS sessions_per_user FROM u GROUP BY visitorid)"),
+    "sparsity": "SELECT *, round(100 * pairs / (users * items), 6) AS density_pct FROM (SELECT count(*) AS users, count(*) FILTER (k = 1) AS one_item_users, round(100 * avg((k = 1)::INT), 6) AS one_item_users_pct, round(100 * avg((n = 1)::INT), 6) AS one_event_users_pct, sum(b)::BIGINT AS buyers FROM (SELECT visitorid, count(DISTINCT itemid) AS k, count(*) AS n, max((event = 'transaction')::INT) AS b FROM clean GROUP BY 1)), (SELECT count(*) AS items, count(*) FILTER (k = 1) AS one_user_items, round(100 * avg((k = 1)::INT), 6) AS one_user_items_pct, sum(k)::BIGINT AS pairs, sum(b)::BIGINT AS purchased_items FROM (SELECT itemid, count(DISTINCT visitorid) AS k, max((event = 'transaction')::INT) AS b FROM clean GROUP BY 1))",
+    "concentration": ("SELECT measure, count(*) AS entities, round(100 * sum(x) FILTER (d <= ceil(n / 100)) / sum(x), 6) AS top_1pct_share_pct, round(100 * sum(x) FILTER (d <= ceil(n * 10 / 100)) / sum(x), 6) AS top_10pct_share_pct, round(2 * sum(i * x) / (count(*) * sum(x)) - (count(*) + 1) / count(*), 6) AS gini FROM (SELECT *, row_number() OVER (PARTITION BY measure ORDER BY x) AS i, row_number() OVER (PARTITION BY measure ORDER BY x DESC) AS d, count(*) OVER (PARTITION BY measure) AS n FROM per) GROUP BY 1", "per AS (" + " UNION ALL ".join(f"SELECT '{n}_{c}' AS measure, {x} AS x FROM clean GROUP BY {k}" for n, k in (("users", "visitorid"), ("items", "itemid")) for c, x in (("events", "count(*)"), ("purchases", "count(*) FILTER (event = 'transaction')"))) + ")"),
+    "daily_activity": f"SELECT *, row_number() OVER (ORDER BY events DESC, day) = 1 AS busiest, row_number() OVER (ORDER BY events, day) = 1 AS quietest FROM (SELECT {_DAY}::VARCHAR AS day, count(*) AS events, count(DISTINCT visitorid) AS users, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS addtocarts, count(*) FILTER (event = 'transaction') AS transactions FROM clean GROUP BY 1)",
     "zero_event_days": f"SELECT CAST(d AS DATE)::VARCHAR AS day FROM (SELECT unnest(generate_series(min({_DAY})::TIMESTAMP, max({_DAY})::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM clean) WHERE CAST(d AS DATE) NOT IN (SELECT {_DAY} FROM clean)",
     "hour_weekday_activity": f"SELECT CAST(isodow({_DAY}) AS INT) AS weekday, CAST(timestamp // 3600000 % 24 AS INT) AS hour, count(*) AS events, count(*) FILTER (event = 'transaction') AS purchases FROM clean GROUP BY ALL",
     "simultaneous_events": "SELECT count(*) AS buckets, count(*) FILTER (n > 1) AS several_events, count(*) FILTER (i > 1) AS several_items, count(*) FILTER (e > 1) AS several_behaviours FROM (SELECT count(*) AS n, count(DISTINCT itemid) AS i, count(DISTINCT event) AS e FROM clean GROUP BY visitorid, timestamp)",
     "session_size_distribution": "SELECT events, count(*) AS sessions FROM (SELECT count(*) AS events FROM ses GROUP BY session_id) GROUP BY 1",
-    "order_stats": (_stats("u", "lines", "items"), "u AS (SELECT count(*) AS lines, count(DISTINCT itemid) AS items FROM clean WHERE transactionid IS NOT NULL GROUP BY transactionid)"),
+    "order_stats": (_stats("u", "lines", "items", "users", "shared", "span_ms"), "u AS (SELECT count(*) AS lines, count(DISTINCT itemid) AS items, count(DISTINCT visitorid) AS users, (count(DISTINCT visitorid) > 1)::INT AS shared, max(timestamp) - min(timestamp) AS span_ms FROM clean WHERE transactionid IS NOT NULL GROUP BY transactionid)"),
     "basket_size_distribution": "SELECT items, count(*) AS orders FROM (SELECT count(DISTINCT itemid) AS items FROM clean WHERE transactionid IS NOT NULL GROUP BY transactionid) GROUP BY 1",
-    "purchase_prior_history": "SELECT EXISTS (SELECT 1 FROM clean c WHERE c.visitorid = p.visitorid AND c.itemid = p.itemid AND c.event = 'view' AND c.timestamp < p.timestamp) AS viewed, EXISTS (SELECT 1 FROM clean c WHERE c.visitorid = p.visitorid AND c.itemid = p.itemid AND c.event = 'addtocart' AND c.timestamp < p.timestamp) AS carted, count(*) AS purchases FROM clean p WHERE event = 'transaction' GROUP BY 1, 2",
+    "purchase_prior_history": ("SELECT coalesce(v < timestamp, false) AS viewed, coalesce(c < timestamp, false) AS carted, count(*) AS purchases, count(*) FILTER (p < timestamp) AS bought_before, count(*) FILTER (v = timestamp) AS first_view_same_time, count(*) FILTER (c = timestamp) AS first_cart_same_time, round(100 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM pp GROUP BY 1, 2", _PURCHASES),
+    "purchase_delay": ("SELECT 'view' AS since, count(*) AS purchases, round(quantile_cont((timestamp - v)::DOUBLE, 0.5) / 3600000, 6) AS median_hours FROM pp WHERE v < timestamp UNION ALL SELECT 'addtocart', count(*), round(quantile_cont((timestamp - c)::DOUBLE, 0.5) / 3600000, 6) FROM pp WHERE c < timestamp", _PURCHASES),
     "property_changes": "SELECT property, count(*) AS updates, count(DISTINCT itemid) AS items, count(*) FILTER (before <> value) AS changed, count(*) FILTER (before = value) AS repeated FROM (SELECT *, lag(value) OVER (PARTITION BY itemid, property ORDER BY timestamp) AS before FROM props) GROUP BY 1",
-    "event_property_overlap": "SELECT count(*) FILTER (e AND p) AS both_tables, count(*) FILTER (e AND NOT p) AS events_only, count(*) FILTER (p AND NOT e) AS properties_only FROM (SELECT itemid, itemid IN (SELECT itemid FROM clean) AS e, itemid IN (SELECT itemid FROM props) AS p FROM items)",
-    "category_shape": "SELECT depth, count(*) AS categories FROM tree GROUP BY 1",
-    "top_users": "SELECT visitorid, count(*) AS events, count(DISTINCT itemid) AS others, count(*) FILTER (event = 'transaction') AS purchases FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
-    "top_items": "SELECT itemid, count(*) AS events, count(DISTINCT visitorid) AS others, count(*) FILTER (event = 'transaction') AS purchases FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
+    "event_property_overlap": "SELECT count(*) FILTER (e AND p) AS both_tables, count(*) FILTER (e AND NOT p) AS events_only, count(*) FILTER (p AND NOT e) AS properties_only, (SELECT count(*) FROM clean WHERE itemid IN (SELECT itemid FROM props)) AS event_rows_with_property, (SELECT count(*) FROM clean c JOIN (SELECT itemid, min(timestamp) AS f FROM props GROUP BY 1) USING (itemid) WHERE f <= timestamp) AS event_rows_with_property_by_then FROM (SELECT itemid, itemid IN (SELECT itemid FROM clean) AS e, itemid IN (SELECT itemid FROM props) AS p FROM items)",
+    "category_shape": "SELECT 'depth_' || depth AS name, count(*) AS value FROM tree GROUP BY depth UNION ALL SELECT 'categories', count(*) FROM tree UNION ALL SELECT 'roots', count(*) FROM tree WHERE depth = 0 UNION ALL SELECT 'max_depth', max(depth) FROM tree UNION ALL SELECT 'invalid_paths', 0 UNION ALL SELECT 'leaves', count(*) FROM tree WHERE categoryid NOT IN (SELECT parentid FROM traw WHERE parentid IS NOT NULL) UNION ALL SELECT 'duplicate_ids', count(*) - count(DISTINCT categoryid) FROM traw",
+    "top_users": "SELECT visitorid, count(*) AS events, count(DISTINCT itemid) AS others, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS addtocarts, count(*) FILTER (event = 'transaction') AS transactions, count(DISTINCT transactionid) AS orders, count(DISTINCT timestamp // 86400000) AS active_days, min(timestamp) AS first_time, max(timestamp) AS last_time, round((max(timestamp) - min(timestamp)) / 86400000, 6) AS span_days FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
+    "top_items": "SELECT itemid, count(*) AS events, count(DISTINCT visitorid) AS others, count(*) FILTER (event = 'view') AS views, count(*) FILTER (event = 'addtocart') AS addtocarts, count(*) FILTER (event = 'transaction') AS transactions, count(DISTINCT transactionid) AS orders, count(DISTINCT timestamp // 86400000) AS active_days, min(timestamp) AS first_time, max(timestamp) AS last_time, round((max(timestamp) - min(timestamp)) / 86400000, 6) AS span_days FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
     "new_users_by_day": f"SELECT day::VARCHAR AS day, count(*) AS users FROM (SELECT min({_DAY}) AS day FROM clean GROUP BY visitorid) GROUP BY 1",
-    "behavior_combinations": "SELECT view, addtocart, transaction, count(*) AS users FROM (SELECT bool_or(event = 'view') AS view, bool_or(event = 'addtocart') AS addtocart, bool_or(event = 'transaction') AS transaction FROM clean GROUP BY visitorid) GROUP BY ALL",
-    "degree_distribution": "SELECT items, count(*) AS users FROM (SELECT count(DISTINCT itemid) AS items FROM clean GROUP BY visitorid) GROUP BY 1",
+    "behavior_combinations": " UNION ALL ".join(f"SELECT '{n}' AS kind, view, addtocart, transaction, count(*) AS entities, round(100 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM (SELECT bool_or(event = 'view') AS view, bool_or(event = 'addtocart') AS addtocart, bool_or(event = 'transaction') AS transaction FROM clean GROUP BY {k}) GROUP BY view, addtocart, transaction" for n, k in (("users", "visitorid"), ("items", "itemid"), ("pairs", "visitorid, itemid"))),
+    "degree_distribution": "SELECT 'users' AS kind, degree, count(*) AS entities FROM (SELECT count(DISTINCT itemid) AS degree FROM clean GROUP BY visitorid) GROUP BY 2 UNION ALL SELECT 'items', degree, count(*) FROM (SELECT count(DISTINCT visitorid) AS degree FROM clean GROUP BY itemid) GROUP BY 2",
 }
 
 def _report(**bad: str) -> str:
@@ -197,6 +219,13 @@ qp AS (SELECT * FROM q LEFT JOIN pre USING (query_id))"""
 
 _SQL |= {
     "read_events_csv": "SELECT * FROM raw",
+    "event_row_id": "SELECT * EXCLUDE (event_id), row_number() OVER (ORDER BY timestamp, visitorid, event, itemid, transactionid NULLS FIRST) - 1 AS event_id FROM clean",
+    "reject_bad_events": "SELECT event, count(*) AS events, count(transactionid) AS with_id FROM clean GROUP BY 1",
+    "require_columns": "SELECT count(timestamp) AS timestamp, count(visitorid) AS visitorid, count(event) AS event, count(itemid) AS itemid, count(transactionid) AS transactionid FROM raw",
+    "property_filter": ("SELECT * FROM rf", _UPDATES),
+    "property_conflicts": ("SELECT * FROM rc", _UPDATES),
+    "property_cast": ("SELECT itemid, property, timestamp, CAST(CAST(value AS DOUBLE) AS BIGINT) AS value FROM rf ANTI JOIN rc USING (itemid, property, timestamp)", _UPDATES),
+    "publish_guard": "SELECT (SELECT count(*) FROM items) AS items, (SELECT count(*) FROM tree) AS categories, true AS refused_before",
     "read_properties": "SELECT * FROM props",
     "property_files": "SELECT 'part=' || (itemid % 2 + 1) AS source, count(*) AS row_count, count(DISTINCT itemid) AS items, count(DISTINCT property) AS properties FROM props GROUP BY 1",
     "read_category_tree": "SELECT * FROM traw",
@@ -240,11 +269,15 @@ _SQL |= {
         _report(missing_target="SELECT * FROM again ANTI JOIN tgt USING (query_id, itemid)", unexpected_target="SELECT query_id, itemid FROM tgt ANTI JOIN again USING (query_id, itemid)"),
         _NEXT,
     ),
-    "dq_features": _report(
-        recency_in_future="SELECT 1 FROM q WHERE view_recency < 0 OR addtocart_recency < 0 OR transaction_recency < 0",
-        query_without_features="SELECT 1 FROM q WHERE query_id NOT IN (SELECT query_id FROM q)",
-        features_without_query="SELECT 1 FROM q WHERE query_id NOT IN (SELECT query_id FROM q)",
-        label_columns="SELECT 1 FROM q WHERE false",
+    "dq_features": (
+        _report(
+            history_in_future="SELECT 1 FROM q WHERE view_last_time > query_time OR addtocart_last_time > query_time OR transaction_last_time > query_time",
+            recency_in_future="SELECT 1 FROM q WHERE view_recency < 0 OR addtocart_recency < 0 OR transaction_recency < 0",
+            query_without_features="SELECT 1 FROM nx WHERE later IS NOT NULL AND NOT EXISTS (SELECT 1 FROM q WHERE q.session_id = nx.session_id AND q.query_time = nx.timestamp)",
+            features_without_query="SELECT 1 FROM q WHERE NOT EXISTS (SELECT 1 FROM nx WHERE q.session_id = nx.session_id AND q.query_time = nx.timestamp AND later IS NOT NULL)",
+            label_columns="SELECT 1 FROM q WHERE false",
+        ),
+        _NEXT,
     ),
     "dq_prefix_recompute": (
         _report(
@@ -282,11 +315,11 @@ _SQL |= {
     "dq_properties": _report(duplicate_property="SELECT 1 FROM props GROUP BY itemid, property, timestamp HAVING count(*) > 1"),
     "dq_metadata": (
         _report(
-            availability_from_future="SELECT 1 FROM au WHERE a.timestamp > query_time",
-            category_from_future="SELECT 1 FROM au WHERE c.timestamp > query_time",
-            other_availability="SELECT 1 FROM au WHERE available IS DISTINCT FROM a.value",
-            other_category="SELECT 1 FROM au WHERE category_missing <> (c.value IS NULL) OR (NOT category_missing AND NOT category_invalid AND category_id <> c.value)",
-            other_candidate="SELECT 1 FROM au JOIN items USING (itemid) WHERE candidate <> (known_at <= query_time AND coalesce(a.value = 1, true))",
+            availability_from_future="SELECT 1 FROM au WHERE available_time > query_time",
+            category_from_future="SELECT 1 FROM au WHERE category_time > query_time",
+            other_availability="SELECT 1 FROM au WHERE available IS DISTINCT FROM a.value OR available_time IS DISTINCT FROM a.timestamp OR availability_unknown <> (a.value IS NULL)",
+            other_category="SELECT 1 FROM au WHERE category_time IS DISTINCT FROM c.timestamp OR category_missing <> (c.value IS NULL) OR (NOT category_missing AND NOT category_invalid AND category_id <> c.value)",
+            other_candidate="SELECT 1 FROM au JOIN items USING (itemid) WHERE candidate <> (items.known_at <= query_time AND coalesce(a.value = 1, true))",
         ),
         _TARGET_META
         + """, au AS (SELECT meta.*, (SELECT max(struct_pack(timestamp := p.timestamp, value := p.value)) FROM pa p WHERE p.itemid = meta.itemid AND p.timestamp <= query_time) AS a,
@@ -302,20 +335,23 @@ _SQL |= {
         ),
         _NEGATIVES,
     ),
-    "dataset_summary": """SELECT 'raw_events' AS name, count(*) AS value FROM raw UNION ALL SELECT 'clean_events', count(*) FROM ev UNION ALL SELECT 'sessions', count(DISTINCT session_id) FROM ev
+    "dataset_summary": ("""SELECT 'raw_events' AS name, count(*) AS value FROM raw UNION ALL SELECT 'clean_events', count(*) FROM ev UNION ALL SELECT 'sessions', count(DISTINCT session_id) FROM ev
+UNION ALL SELECT 'removed_events', (SELECT count(*) FROM raw) - (SELECT count(*) FROM ev) UNION ALL SELECT 'user_mapping', count(DISTINCT visitorid) FROM train UNION ALL SELECT 'item_mapping', count(DISTINCT itemid) FROM train
+UNION ALL SELECT 'repeat_target_pairs', count(*) FROM tgt JOIN (SELECT session_id, itemid, min(timestamp) AS f FROM ev GROUP BY ALL) USING (session_id, itemid) WHERE f <= query_time
+UNION ALL SELECT 'train_end_items', count(*) FROM meta UNION ALL SELECT 'train_end_candidates', count(*) FROM meta WHERE candidate
 UNION ALL SELECT 'timestamp_groups', count(*) FROM grp UNION ALL SELECT 'queries', count(*) FROM q UNION ALL SELECT 'target_pairs', count(*) FROM tgt
 UNION ALL SELECT 'multi_target_queries', count(*) FROM (SELECT 1 FROM tgt GROUP BY query_id HAVING count(*) > 1) UNION ALL SELECT 'catalog_items', count(*) FROM items
 UNION ALL SELECT 'property_rows', count(*) FROM props UNION ALL SELECT 'train_users', count(DISTINCT visitorid) FROM train UNION ALL SELECT 'train_items', count(DISTINCT itemid) FROM train
 UNION ALL SELECT 'train_pairs', count(*) FROM (SELECT DISTINCT visitorid, itemid FROM train) UNION ALL SELECT 'events_' || event, count(*) FROM ev GROUP BY event
 UNION ALL SELECT 'split_' || split, count(*) FROM ev GROUP BY split
-UNION ALL SELECT 'excluded_' || CASE WHEN split = 'boundary_drop' THEN 'boundary_session' ELSE 'no_next_group' END AS r, count(*) FROM grp WHERE target_time IS NULL OR split = 'boundary_drop' GROUP BY r""",
+UNION ALL SELECT 'excluded_' || CASE WHEN split = 'boundary_drop' THEN 'boundary_session' ELSE 'no_next_group' END AS r, count(*) FROM grp WHERE target_time IS NULL OR split = 'boundary_drop' GROUP BY r""", _SNAPSHOT),
     "property_quality": (
-        "SELECT sum(n)::BIGINT AS row_count, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys, count(*) FILTER (lo <> hi) AS conflicting_keys, min(timestamp) AS first_time, max(timestamp) AS last_time FROM pk",
-        """pk AS (SELECT itemid, property, timestamp, count(*) AS n, min(value) AS lo, max(value) AS hi FROM (
+        "SELECT sum(n - dn)::BIGINT AS exact_duplicates, 0::BIGINT AS null_rows, sum(n)::BIGINT AS row_count, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys, count(*) FILTER (lo <> hi) AS conflicting_keys, min(timestamp) AS first_time, max(timestamp) AS last_time FROM pk",
+        """pk AS (SELECT itemid, property, timestamp, count(*) AS n, count(DISTINCT value) AS dn, min(value) AS lo, max(value) AS hi FROM (
   SELECT itemid, 'available' AS property, timestamp, CASE WHEN event = 'signup' THEN 1 ELSE 0 END AS value FROM raw WHERE event IN ('signup', 'error') AND itemid % 10 <> 3
   UNION ALL SELECT itemid, 'categoryid', timestamp, event_id % 40 FROM raw WHERE event = 'signup' AND itemid % 10 <> 4) GROUP BY ALL)""",
     ),
-    "property_per_item": (_stats("u", "updates", "properties"), "u AS (SELECT itemid, count(*) AS updates, count(DISTINCT property) AS properties FROM props GROUP BY 1)"),
+    "property_per_item": (_stats("u", "updates", "properties") + " UNION ALL " + _stats("up", "updates_per_property"), "up AS (SELECT itemid, property, count(*) AS updates_per_property FROM props GROUP BY ALL), u AS (SELECT itemid, sum(updates_per_property)::BIGINT AS updates, count(*) AS properties FROM up GROUP BY 1)"),
     "user_cohorts": f"SELECT strftime(d, '%Y-%m') AS month, count(*) AS users, round(avg(events), 6) AS mean_events, round(100 * avg(buyer), 6) AS buyers_pct FROM (SELECT min({_DAY}) AS d, count(*) AS events, max((event = 'transaction')::INT) AS buyer FROM clean GROUP BY visitorid) GROUP BY 1",
     "popularity_topk": ("SELECT * FROM top", _POPULAR),
     "ranking_metrics": (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clickloom.functions.index import reliable, shared_dir
+from clickloom.functions.quantile import exact_quantiles
 from clickloom.operators import checks
 from clickloom.operators import metadata as m
 from clickloom.operators import negatives as neg
@@ -20,6 +21,7 @@ from clickloom.sources import files, star
 GAP = 720
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES_OF: dict[str, Callable[[Log], DataFrame]] = {}
 
 
 class Log:
@@ -37,15 +39,19 @@ class Log:
             "tree_raw": lambda: star.categories(self.spark, self.sf_dir),
             "tree": lambda: m.category_tree(self.tree_raw),
             "sessions": lambda: s.sessionize(self.clean, GAP),
-            "ends": lambda: s.cutoffs(self.clean),
+            "ends": lambda: s.cutoffs(self.sessions),
             "events": lambda: s.temporal_split(self.sessions, self.ends),
             "train": lambda: self.events.where("split = 'train'"),
             "groups": lambda: s.timestamp_groups(self.events),
             "queries": lambda: s.queries_of(self.groups),
-            "targets": lambda: s.next_targets(self.events, self.groups),
+            "targets": lambda: s.next_targets(self.events),
             "items": lambda: m.catalog(self.clean, self.props),
             "ranks": lambda: neg.train_ranks(self.items, self.train),
-            "negatives": lambda: reliable(neg.negatives(self.queries, self.targets, self.ranks, self.props, self.items, self.tree)),
+            "negatives": lambda: reliable(neg.negatives(self.queries, self.targets, self.ranks, self.props)),
+            "users_idx": lambda: m.mapping(self.train, "visitorid"),
+            "items_idx": lambda: m.mapping(self.train, "itemid"),
+            "interactions": lambda: m.interactions(self.train, self.users_idx, self.items_idx, self.ends.first().train_end),
+            "snapshot": lambda: self._snapshot(),
             "target_meta": lambda: m.asof_metadata(self.targets.select("query_id", "itemid", "query_time", "split"), self.props, self.items, self.tree, "query_time"),
         }.get(name)
         if make is None:
@@ -53,6 +59,13 @@ class Log:
         setattr(self, name, make())
         return self.__dict__[name]
 
+    def _snapshot(self) -> DataFrame:
+        """Metadata at the end of train of every item known by then, and whether train holds it."""
+        end = F.lit(self.ends.first().train_end).cast("long")
+        known = self.items.where(F.col("known_at") <= end).select("itemid", end.alias("t"))
+        got = m.asof_metadata(known, self.props, self.items, self.tree, "t")
+        return got.join(self.train.select("itemid", F.lit(True).alias("_x")).distinct(), "itemid", "left").withColumn("seen_in_train", F.coalesce("_x", F.lit(False))).drop("_x")
+
 
 def stored(t: Log, *names: str) -> Log:
     """``t`` with these tables materialised once, so that several checks read them instead of building them again."""
@@ -62,6 +75,7 @@ def stored(t: Log, *names: str) -> Log:
 
 
 def query(f: Callable[[Log], DataFrame]) -> Callable[[Log], DataFrame]:
+    QUERIES_OF[f.__name__] = f
     QUERIES[f.__name__] = lambda spark, sf_dir: f(Log(spark, sf_dir))
     return f
 
@@ -70,15 +84,27 @@ def count_if(condition: str, name: str):
     return F.count_if(F.expr(condition)).alias(name)
 
 
-def stats(df: DataFrame, *columns: str) -> DataFrame:
-    """metric, n, min, mean, median, p90, p95, p99, max of each column; percentiles over counted values."""
+def stats(df: DataFrame, *columns: str, times: tuple[str, ...] = ()) -> DataFrame:
+    """metric, n, min, mean, median, p90, p95, p99, max of each column.
+
+    ``columns`` hold counts, whose distinct values are few: counts that add up to N have less than sqrt(2 N) of
+    them, so percentiles over counted values fit one buffer. ``times`` hold milliseconds of any number of
+    distinct values; their quantiles come from ``exact_quantiles``.
+    """
+    at = (0.5, 0.9, 0.95, 0.99)
     out = None
     for c in columns:
         v = df.groupBy(F.col(c).cast("double").alias("v")).agg(F.count("*").alias("k"))
-        p = F.percentile("v", F.array(*map(F.lit, (0.5, 0.9, 0.95, 0.99))), F.col("k"))
+        p = F.percentile("v", F.array(*map(F.lit, at)), F.col("k"))
         one = v.agg(F.sum("k").alias("n"), F.min("v").alias("min"), (F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("mean"), p.alias("p"), F.max("v").alias("max"))
         one = one.select(F.lit(c).alias("metric"), "n", "min", F.round("mean", 6).alias("mean"), *(F.round(F.col("p")[i], 6).alias(x) for i, x in enumerate(("median", "p90", "p95", "p99"))), "max")
         out = one if out is None else out.union(one)
+    for c in times:
+        q = [F.lit(x).cast("double") for x in exact_quantiles(df, c, at)]
+        v = F.col(c).cast("double")
+        one = df.agg(F.count(c).alias("n"), F.min(v).alias("min"), F.round(F.avg(v), 6).alias("mean"), F.max(v).alias("max"))
+        one = one.select(F.lit(c).alias("metric"), "n", "min", "mean", *(F.round(x, 6).alias(n) for x, n in zip(q, ("median", "p90", "p95", "p99"))), "max")
+        out = one if out is None else out.union(one)
     return out
 
 
@@ -109,7 +135,7 @@ def event_order(t: Log) -> DataFrame:
 
 @query
 def time_cutoffs(t: Log) -> DataFrame:
-    return t.ends
+    return s.cutoffs(reliable(t.clean.select("timestamp")))
 
 
 @query
@@ -163,7 +189,8 @@ def repeat_targets(t: Log) -> DataFrame:
 def prefix_features(t: Log) -> DataFrame:
     g = t.queries
     flags = [F.col(f"{b}_recency").isNotNull().alias(f"has_{b}") for b in s.BEHAVIOURS]
-    return g.select("query_id", "prefix_groups", "prefix_events", *(f"{b}_count" for b in s.BEHAVIOURS), *(f"{b}_recency" for b in s.BEHAVIOURS), *flags)
+    each = [f"{b}_{x}" for x in ("count", "last_time", "recency") for b in s.BEHAVIOURS]
+    return g.select("query_id", "visitorid", "session_id", "query_time", "prefix_groups", "prefix_events", "history_last_time", *each, *flags)
 
 
 @query
@@ -222,9 +249,27 @@ def top_categories(t: Log) -> DataFrame:
 
 @query
 def train_snapshot(t: Log) -> DataFrame:
-    end = t.ends.select(F.col("train_end").alias("t"))
-    known = t.items.join(F.broadcast(end), F.col("known_at") <= F.col("t")).select("itemid", "t")
-    return m.asof_metadata(known, t.props, t.items, t.tree, "t").drop("t")
+    return t.snapshot.drop("t")
+
+
+@query
+def snapshot_unknown_rates(t: Log) -> DataFrame:
+    """Of the train items in the snapshot: how many, and the share without category in the tree and without availability."""
+    share = lambda c: F.round(100 * F.avg(F.expr(c).cast("int")), 6)
+    return t.snapshot.where("seen_in_train").agg(F.count("*").alias("items"), share("category_id = -1").alias("category_unknown_pct"), share("availability_unknown").alias("availability_unknown_pct"))
+
+
+@query
+def candidates_at_time(t: Log) -> DataFrame:
+    """All candidates at the three ends, and whether they are warm (in train)."""
+    every = m.candidates_at_time(tuple(t.ends.first()), t.items, t.props, t.tree)
+    warm = t.train.select("itemid", F.lit(True).alias("_x")).distinct()
+    return every.join(warm, "itemid", "left").select("t", "itemid", "known_at", "available", "category_id", F.coalesce("_x", F.lit(False)).alias("warm"))
+
+
+@query
+def warm_candidates(t: Log) -> DataFrame:
+    return m.candidates_at_time(tuple(t.ends.first()), t.items, t.props, t.tree, t.train).select("t", "itemid", "available", "root_id")
 
 
 @query
@@ -244,7 +289,7 @@ def behavior_edges(t: Log) -> DataFrame:
 
 @query
 def interactions(t: Log) -> DataFrame:
-    return m.interactions(t.train)
+    return stored(t, "events").interactions
 
 
 @query
@@ -261,20 +306,29 @@ def cold_flags(t: Log) -> DataFrame:
 
 @query
 def split_summary(t: Log) -> DataFrame:
-    q = t.queries.groupBy("split").agg(
+    stored(t, "events", "groups")
+    users = t.train.select("visitorid", F.lit(True).alias("_u")).distinct()
+    items = t.train.select("itemid", F.lit(True).alias("_i")).distinct()
+    share = lambda c: F.round(100 * F.avg(F.expr(c).cast("int")), 6)
+    q = t.queries.join(users, "visitorid", "left").groupBy("split").agg(
         F.count("*").alias("queries"), F.count_distinct("session_id").alias("sessions"), F.count_distinct("visitorid").alias("users"),
-        F.min("query_time").alias("first_query"), F.max("query_time").alias("last_query"),
+        F.min("query_time").alias("first_query"), F.max("query_time").alias("last_query"), share("_u is null").alias("cold_user_pct"),
     )
-    per = t.target_meta.groupBy("split", "query_id").agg(F.count("*").alias("n"), F.count_if("candidate").alias("c"))
-    c = per.groupBy("split").agg(F.sum("n").alias("pairs"), F.round(100 * F.sum("c") / F.sum("n"), 6).alias("pair_coverage_pct"), F.round(100 * F.avg(F.col("c") / F.col("n")), 6).alias("macro_ceiling_pct"))
-    return q.join(c, "split")
+    pairs = t.target_meta.join(items, "itemid", "left")
+    per = pairs.groupBy("split", "query_id").agg(F.count("*").alias("n"), F.count_if("candidate").alias("c"), F.count_if(F.col("_i").isNull()).alias("cold"))
+    pct = lambda x: F.round(100 * F.sum(x) / F.sum("n"), 6)
+    c = per.groupBy("split").agg(F.sum("n").alias("pairs"), pct("c").alias("pair_coverage_pct"), F.round(100 * F.avg(F.col("c") / F.col("n")), 6).alias("macro_ceiling_pct"), pct("cold").alias("cold_item_pct"))
+    return q.join(c, "split").join(t.targets.groupBy("split").agg(F.count_distinct("itemid").alias("target_items")), "split")
 
 
 @query
 def prefix_length_stats(t: Log) -> DataFrame:
-    p = F.percentile("prefix_groups", F.array(F.lit(0.5), F.lit(0.95)))
-    g = t.queries.groupBy("split").agg(F.min("prefix_groups").alias("min"), p.alias("p"), F.max("prefix_groups").alias("max"))
-    return g.select("split", "min", F.col("p")[0].alias("median"), F.round(F.col("p")[1], 6).alias("p95"), "max")
+    stored(t, "events")
+    p = F.percentile("prefix_groups", F.array(F.lit(0.5), F.lit(0.95)), F.col("k"))
+    counted = t.queries.groupBy("split", "prefix_groups").agg(F.count("*").alias("k"))
+    g = counted.groupBy("split").agg(F.min("prefix_groups").alias("min"), p.alias("p"), F.max("prefix_groups").alias("max"))
+    many = t.targets.groupBy("split", "query_id").agg(F.count("*").alias("n")).groupBy("split").agg(count_if("n > 1", "multi_target_queries"))
+    return g.join(many, "split").select("split", "min", F.col("p")[0].alias("median"), F.round(F.col("p")[1], 6).alias("p95"), "max", "multi_target_queries")
 
 
 @query
@@ -285,12 +339,15 @@ def single_group_sessions(t: Log) -> DataFrame:
 
 @query
 def raw_profile(t: Log) -> DataFrame:
-    r = t.raw
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in star.REQUIRED]
+    """Repeats are rows beyond the first of equal ones (over the five raw columns)."""
+    r = t.raw.groupBy(*s.COLUMNS).agg(F.count("*").alias("k"))
+    times = lambda c: F.coalesce(F.sum(F.when(F.expr(c), F.col("k"))), F.lit(0)).cast("long")
+    nulls = [times(f"{c} is null").alias(f"null_{c}") for c in star.REQUIRED]
     return r.agg(
-        F.count("*").alias("row_count"), *nulls, F.count_distinct("visitorid").alias("users"), F.count_distinct("itemid").alias("items"),
+        F.sum("k").alias("row_count"), *nulls, F.count_distinct("visitorid").alias("users"), F.count_distinct("itemid").alias("items"),
         F.count_distinct("transactionid").alias("orders"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"),
-        count_if("event not in ('view', 'addtocart', 'transaction')", "invalid"),
+        times("event not in ('view', 'addtocart', 'transaction')").alias("invalid"), F.sum(F.col("k") - 1).alias("duplicates"),
+        times("timestamp < 0 or visitorid < 0 or itemid < 0 or transactionid < 0").alias("negative"),
     )
 
 
@@ -298,7 +355,8 @@ def raw_profile(t: Log) -> DataFrame:
 def behavior_counts(t: Log) -> DataFrame:
     raw = t.raw.where(F.col("event").isin(*s.BEHAVIOURS)).groupBy("event").agg(F.count("*").alias("raw"))
     clean = t.clean.groupBy("event").agg(F.count("*").alias("clean"), F.count_distinct("visitorid").alias("users"), F.count_distinct("itemid").alias("items"))
-    return raw.join(clean, "event").withColumn("duplicates", F.col("raw") - F.col("clean"))
+    pct = F.round(100 * F.col("clean") / F.sum("clean").over(W.partitionBy(F.lit(1))), 6)  # three rows
+    return raw.join(clean, "event").withColumns({"duplicates": F.col("raw") - F.col("clean"), "clean_pct": pct})
 
 
 @query
@@ -306,45 +364,74 @@ def split_counts(t: Log) -> DataFrame:
     return t.events.groupBy("split").agg(F.count("*").alias("events"))
 
 
+DAY_OF = "timestamp div 86400000"
+
+
 @query
 def user_stats(t: Log) -> DataFrame:
-    u = t.clean.groupBy("visitorid").agg(F.count("*").alias("events"), F.count_distinct("itemid").alias("items"), F.count_distinct(F.expr("timestamp div 86400000")).alias("active_days"))
-    return stats(u, "events", "items", "active_days")
+    u = t.clean.groupBy("visitorid").agg(
+        F.count("*").alias("events"), F.count_distinct("itemid").alias("items"), F.count_distinct(F.expr(DAY_OF)).alias("active_days"),
+        F.count_distinct("transactionid").alias("orders"), (F.max("timestamp") - F.min("timestamp")).alias("span_ms"),
+    )
+    return stats(reliable(u), "events", "items", "active_days", "orders", times=("span_ms",))
 
 
 @query
 def item_stats(t: Log) -> DataFrame:
-    u = t.clean.groupBy("itemid").agg(F.count("*").alias("events"), F.count_distinct("visitorid").alias("users"), count_if("event = 'transaction'", "purchases"))
-    return stats(u, "events", "users", "purchases")
+    u = t.clean.groupBy("itemid").agg(F.count("*").alias("events"), F.count_distinct("visitorid").alias("users"), count_if("event = 'transaction'", "purchases"), F.count_distinct(F.expr(DAY_OF)).alias("active_days"))
+    return stats(reliable(u), "events", "users", "purchases", "active_days")
 
 
 @query
 def pair_stats(t: Log) -> DataFrame:
-    u = t.clean.groupBy("visitorid", "itemid").agg(F.count("*").alias("events"), count_if("event = 'view'", "views"), count_if("event = 'addtocart'", "carts"))
-    return stats(u, "events", "views", "carts")
+    u = t.clean.groupBy("visitorid", "itemid").agg(F.count("*").alias("events"), count_if("event = 'view'", "views"), count_if("event = 'addtocart'", "carts"), count_if("event = 'transaction'", "purchases"))
+    return stats(reliable(u), "events", "views", "carts", "purchases")
 
 
 @query
 def session_stats(t: Log) -> DataFrame:
-    u = t.sessions.groupBy("session_id").agg(F.count("*").alias("events"), F.count_distinct("itemid").alias("items"), (F.max("timestamp") - F.min("timestamp")).alias("duration_ms"))
-    return stats(u, "events", "items", "duration_ms")
+    """Sizes and durations of sessions, sessions a user, and flags whose mean is the share of such sessions."""
+    u = t.sessions.groupBy("visitorid", "session_id").agg(
+        F.count("*").alias("events"), F.count_distinct("itemid").alias("items"), (F.max("timestamp") - F.min("timestamp")).alias("duration_ms"), F.max((F.col("event") == "transaction").cast("int")).alias("has_purchase")
+    )
+    u = reliable(u.withColumns({"one_event": (F.col("events") == 1).cast("int"), "one_item": (F.col("items") == 1).cast("int")}))
+    per = u.groupBy("visitorid").agg(F.count("*").alias("sessions_per_user"))
+    return stats(u, "events", "items", "one_event", "one_item", "has_purchase", times=("duration_ms",)).union(stats(per, "sessions_per_user"))
 
 
 @query
 def sparsity(t: Log) -> DataFrame:
-    pairs = t.clean.select("visitorid", "itemid").distinct()
-    u = pairs.groupBy("visitorid").agg(F.count("*").alias("k")).agg(F.count("*").alias("users"), count_if("k = 1", "one_item_users"))
-    i = pairs.groupBy("itemid").agg(F.count("*").alias("k")).agg(F.count("*").alias("items"), count_if("k = 1", "one_user_items"), F.sum("k").alias("pairs"))
+    pairs = reliable(t.clean.groupBy("visitorid", "itemid").agg(F.count("*").alias("n"), F.max((F.col("event") == "transaction").cast("int")).alias("b")))
+    share = lambda c: F.round(100 * F.avg(F.expr(c).cast("int")), 6)
+    u = pairs.groupBy("visitorid").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max("b").alias("b"))
+    u = u.agg(F.count("*").alias("users"), count_if("k = 1", "one_item_users"), share("k = 1").alias("one_item_users_pct"), share("n = 1").alias("one_event_users_pct"), F.sum("b").alias("buyers"))
+    i = pairs.groupBy("itemid").agg(F.count("*").alias("k"), F.max("b").alias("b"))
+    i = i.agg(F.count("*").alias("items"), count_if("k = 1", "one_user_items"), share("k = 1").alias("one_user_items_pct"), F.sum("k").alias("pairs"), F.sum("b").alias("purchased_items"))
     return u.crossJoin(i).withColumn("density_pct", F.round(100 * F.col("pairs") / (F.col("users") * F.col("items")), 6))  # one row each
 
 
 @query
 def concentration(t: Log) -> DataFrame:
-    """Gini 2 * sum(i * x_i) / (n * sum(x)) - (n + 1) / n by user, over counts of counts: the rows of one window are the distinct counts."""
-    v = t.clean.groupBy("visitorid").agg(F.count("*").alias("x")).groupBy("x").agg(F.count("*").alias("k"))
-    before = F.coalesce(F.sum("k").over(W.orderBy("x").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    w = v.withColumn("ranks", F.col("k") * before + F.col("k") * (F.col("k") + 1) / 2)
-    return w.agg(F.sum("k").alias("users"), F.round(2 * F.sum(F.col("ranks") * F.col("x")) / (F.sum("k") * F.sum(F.col("x") * F.col("k"))) - (F.sum("k") + 1) / F.sum("k"), 6).alias("gini"))
+    """Entities, top 1 % and 10 % shares and Gini of events and purchases by user and item.
+
+    Gini: 2 * sum(i * x_i) / (n * sum(x)) - (n + 1) / n in ascending order; the top p are ceil(n * p) entities.
+    Over counts of counts: the rows of one window are the distinct counts, less than sqrt(2 * events).
+    """
+    out = None
+    for key, name in (("visitorid", "users"), ("itemid", "items")):
+        per = t.clean.groupBy(key).agg(F.count("*").alias("events"), count_if("event = 'transaction'", "purchases"))
+        both = per.select(F.explode(F.array(*(F.struct(F.lit(f"{name}_{c}").alias("measure"), F.col(c).alias("x")) for c in ("events", "purchases")))).alias("y"))
+        v = both.groupBy("y.measure", "y.x").agg(F.count("*").alias("k"))
+        by = W.partitionBy("measure")
+        v = v.withColumns({"n": F.sum("k").over(by), "above": F.coalesce(F.sum("k").over(by.orderBy(F.desc("x")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))})
+        below = F.col("n") - F.col("above") - F.col("k")
+        v = v.withColumns({"ranks": F.col("k") * below + F.col("k") * (F.col("k") + 1) / 2} | {f"t{p}": F.greatest(F.lit(0), F.least(F.col("k"), F.ceil(F.col("n") * p / 100) - F.col("above"))) for p in (1, 10)})
+        total = F.sum(F.col("x") * F.col("k"))
+        shares = (F.round(100 * F.sum(F.col(f"t{p}") * F.col("x")) / F.nullif(total, F.lit(0)), 6).alias(f"top_{p}pct_share_pct") for p in (1, 10))
+        gini = F.round(2 * F.sum(F.col("ranks") * F.col("x")) / F.nullif(F.max("n") * total, F.lit(0)) - (F.max("n") + 1) / F.max("n"), 6)
+        one = v.groupBy("measure").agg(F.max("n").alias("entities"), *shares, gini.alias("gini"))
+        out = one if out is None else out.union(one)
+    return out
 
 
 def _day() -> F.Column:
@@ -357,8 +444,11 @@ def _day_text(df: DataFrame) -> DataFrame:
 
 @query
 def daily_activity(t: Log) -> DataFrame:
+    """busiest, quietest: the day of most and fewest events, the first of equal ones (one window over the days)."""
     counts = (count_if(f"event = '{b}'", f"{b}s") for b in s.BEHAVIOURS)
-    return _day_text(t.clean.groupBy(_day().alias("day")).agg(F.count("*").alias("events"), F.count_distinct("visitorid").alias("users"), *counts))
+    d = t.clean.groupBy(_day().alias("day")).agg(F.count("*").alias("events"), F.count_distinct("visitorid").alias("users"), *counts)
+    best = lambda order: F.row_number().over(W.partitionBy(F.lit(1)).orderBy(order, "day")) == 1
+    return _day_text(d.withColumns({"busiest": best(F.desc("events")), "quietest": best(F.asc("events"))}))
 
 
 @query
@@ -386,8 +476,9 @@ def session_size_distribution(t: Log) -> DataFrame:
 
 @query
 def order_stats(t: Log) -> DataFrame:
-    o = t.clean.where("transactionid is not null").groupBy("transactionid").agg(F.count("*").alias("lines"), F.count_distinct("itemid").alias("items"))
-    return stats(o, "lines", "items")
+    """shared: whether several users have the order's id; its mean is their share."""
+    o = t.clean.where("transactionid is not null").groupBy("transactionid").agg(F.count("*").alias("lines"), F.count_distinct("itemid").alias("items"), F.count_distinct("visitorid").alias("users"), (F.max("timestamp") - F.min("timestamp")).alias("span_ms"))
+    return stats(reliable(o.withColumn("shared", (F.col("users") > 1).cast("int"))), "lines", "items", "users", "shared", times=("span_ms",))
 
 
 @query
@@ -396,11 +487,29 @@ def basket_size_distribution(t: Log) -> DataFrame:
     return o.groupBy("items").agg(F.count("*").alias("orders"))
 
 
+def _purchases(t: Log) -> DataFrame:
+    """Purchase events with the pair's first view (v), cart (c) and purchase (p)."""
+    first = lambda b: F.min(F.when(F.col("event") == b, F.col("timestamp"))).over(W.partitionBy("visitorid", "itemid"))
+    return t.clean.withColumns({"v": first("view"), "c": first("addtocart"), "p": first("transaction")}).where("event = 'transaction'")
+
+
 @query
 def purchase_prior_history(t: Log) -> DataFrame:
-    first = lambda b: F.min(F.when(F.col("event") == b, F.col("timestamp"))).over(W.partitionBy("visitorid", "itemid"))
-    p = t.clean.withColumns({"v": first("view"), "c": first("addtocart")}).where("event = 'transaction'")
-    return p.groupBy(F.coalesce(F.col("v") < F.col("timestamp"), F.lit(False)).alias("viewed"), F.coalesce(F.col("c") < F.col("timestamp"), F.lit(False)).alias("carted")).agg(F.count("*").alias("purchases"))
+    g = _purchases(t).groupBy(F.expr("coalesce(v < timestamp, false)").alias("viewed"), F.expr("coalesce(c < timestamp, false)").alias("carted")).agg(
+        F.count("*").alias("purchases"), count_if("p < timestamp", "bought_before"), count_if("v = timestamp", "first_view_same_time"), count_if("c = timestamp", "first_cart_same_time")
+    )
+    return g.withColumn("pct", F.round(100 * F.col("purchases") / F.sum("purchases").over(W.partitionBy(F.lit(1))), 6))  # four rows
+
+
+@query
+def purchase_delay(t: Log) -> DataFrame:
+    """Median hours from the pair's first earlier view and cart to a purchase."""
+    p, out = reliable(_purchases(t).select("timestamp", "v", "c")), None
+    for name, first in (("view", "v"), ("addtocart", "c")):
+        d = p.where(F.col(first) < F.col("timestamp")).select((F.col("timestamp") - F.col(first)).alias("ms"))
+        one = d.agg(F.lit(name).alias("since"), F.count("*").alias("purchases")).withColumn("median_hours", F.round(F.lit(exact_quantiles(d, "ms", (0.5,))[0]).cast("double") / 3_600_000, 6))
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query
@@ -412,18 +521,41 @@ def property_changes(t: Log) -> DataFrame:
 
 @query
 def event_property_overlap(t: Log) -> DataFrame:
-    e, p = t.clean.select("itemid", F.lit(1).alias("e")).distinct(), t.props.select("itemid", F.lit(1).alias("p")).distinct()
-    return e.join(p, "itemid", "full").agg(count_if("e = 1 and p = 1", "both_tables"), count_if("p is null", "events_only"), count_if("e is null", "properties_only"))
+    """Items in both tables or one, and events whose item has a property at any time, or by the event's time."""
+    e = t.clean.groupBy("itemid", "timestamp").agg(F.count("*").alias("n"))
+    p = t.props.groupBy("itemid").agg(F.min("timestamp").alias("p"))
+    both = e.join(p, "itemid", "full")
+    per = both.groupBy("itemid").agg(F.sum("n").alias("e"), F.max("p").alias("p"), F.sum(F.when(F.col("p") <= F.col("timestamp"), F.col("n"))).alias("k"))
+    total = lambda x, c: F.coalesce(F.sum(F.when(F.expr(c), F.col(x))), F.lit(0)).cast("long")
+    return per.agg(
+        count_if("e is not null and p is not null", "both_tables"), count_if("p is null", "events_only"), count_if("e is null", "properties_only"),
+        total("e", "p is not null").alias("event_rows_with_property"), total("k", "true").alias("event_rows_with_property_by_then"),
+    )
 
 
 @query
 def category_shape(t: Log) -> DataFrame:
-    return t.tree.groupBy("depth").agg(F.count("*").alias("categories"))
+    """name, value: categories, repeated ids, roots, leaves, paths that name another node twice or end elsewhere, depths."""
+    leaf = t.tree.join(t.tree_raw.select(F.col("parentid").alias("categoryid")).distinct(), "categoryid", "left_anti")
+    steps = F.split("path", "/")
+    bad = (F.size(steps) != F.col("depth") + 1) | (F.size(F.array_distinct(steps)) != F.size(steps)) | (F.element_at(steps, -1) != F.col("categoryid").cast("string")) | (F.element_at(steps, 1) != F.col("root_id").cast("string"))
+    head = t.tree.agg(F.count("*").alias("categories"), count_if("depth = 0", "roots"), F.max("depth").cast("long").alias("max_depth"), F.count_if(bad).alias("invalid_paths"))
+    parts = [
+        head.unpivot([], head.columns, "name", "value"),
+        leaf.agg(F.count("*").alias("value")).select(F.lit("leaves").alias("name"), "value"),
+        t.tree_raw.agg((F.count("*") - F.count_distinct("categoryid")).alias("value")).select(F.lit("duplicate_ids").alias("name"), "value"),
+        t.tree.groupBy("depth").agg(F.count("*").alias("value")).select(F.concat(F.lit("depth_"), F.col("depth").cast("string")).alias("name"), "value"),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 def _top(t: Log, key: str, other: str) -> DataFrame:
-    g = t.clean.groupBy(key).agg(F.count("*").alias("events"), F.count_distinct(other).alias("others"), count_if("event = 'transaction'", "purchases"))
-    return g.orderBy(F.desc("events"), key).limit(20)
+    counts = (count_if(f"event = '{b}'", f"{b}s") for b in s.BEHAVIOURS)
+    g = t.clean.groupBy(key).agg(
+        F.count("*").alias("events"), F.count_distinct(other).alias("others"), *counts, F.count_distinct("transactionid").alias("orders"), F.count_distinct(F.expr(DAY_OF)).alias("active_days"),
+        F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"),
+    )
+    return g.withColumn("span_days", F.round((F.col("last_time") - F.col("first_time")) / 86_400_000, 6)).orderBy(F.desc("events"), key).limit(20)
 
 
 @query
@@ -444,13 +576,40 @@ def new_users_by_day(t: Log) -> DataFrame:
 
 @query
 def behavior_combinations(t: Log) -> DataFrame:
-    has = [F.max(F.col("event") == b).alias(b) for b in s.BEHAVIOURS]
-    return t.clean.groupBy("visitorid").agg(*has).groupBy(*s.BEHAVIOURS).agg(F.count("*").alias("users"))
+    """Users, items and pairs by the behaviours they have, with their share."""
+    pairs = reliable(t.clean.groupBy("visitorid", "itemid").agg(*(F.max(F.col("event") == b).alias(b) for b in s.BEHAVIOURS)))
+    out = None
+    for name, keys in (("users", ["visitorid"]), ("items", ["itemid"]), ("pairs", ["visitorid", "itemid"])):
+        g = pairs.groupBy(*keys).agg(*(F.max(b).alias(b) for b in s.BEHAVIOURS)).groupBy(*s.BEHAVIOURS).agg(F.count("*").alias("entities"))
+        one = g.select(F.lit(name).alias("kind"), *s.BEHAVIOURS, "entities", F.round(100 * F.col("entities") / F.sum("entities").over(W.partitionBy(F.lit(1))), 6).alias("pct"))  # seven rows
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query
 def degree_distribution(t: Log) -> DataFrame:
-    return t.clean.groupBy("visitorid").agg(F.count_distinct("itemid").alias("items")).groupBy("items").agg(F.count("*").alias("users"))
+    """Users by their distinct items, items by their distinct users."""
+    pairs = reliable(t.clean.select("visitorid", "itemid").distinct())
+    of = lambda key, kind: pairs.groupBy(key).agg(F.count("*").alias("degree")).groupBy("degree").agg(F.count("*").alias("entities")).select(F.lit(kind).alias("kind"), "degree", "entities")
+    return of("visitorid", "users").union(of("itemid", "items"))
+
+
+@query
+def event_row_id(t: Log) -> DataFrame:
+    """Clean events, with the ids that are made for them, of a CSV source that has none."""
+    path = shared_dir(t.spark, "events-without-id")
+    t.raw.select(*s.COLUMNS).write.option("header", True).csv(path)
+    return s.reject_bad_events(reliable(s.clean_events(files.read_events(t.spark, path))))
+
+
+@query
+def reject_bad_events(t: Log) -> DataFrame:
+    return s.reject_bad_events(reliable(t.clean)).groupBy("event").agg(F.count("*").alias("events"), F.count("transactionid").alias("with_id"))
+
+
+@query
+def require_columns(t: Log) -> DataFrame:
+    return star.require_columns(t.raw).select(*star.REQUIRED).agg(*(F.count(c).alias(c) for c in star.REQUIRED))
 
 
 @query
@@ -477,9 +636,57 @@ def property_files(t: Log) -> DataFrame:
     return files.property_files(rows.withColumn("source", F.regexp_extract("source", "part=[0-9]", 0)))
 
 
+def _raw_updates(t: Log) -> DataFrame:
+    """The updates as a raw CSV source has them: text values, other properties and nulls beside those kept, rows that stand twice."""
+    u = star.property_updates(t.spark, t.sf_dir).select("timestamp", "itemid", "property", F.concat(F.col("value").cast("string"), F.lit(".0")).alias("value"))
+    other = u.select("timestamp", "itemid", F.lit("888").alias("property"), F.lit("n277.2").alias("value"))
+    empty = u.where("itemid % 7 = 0").withColumn("value", F.lit(None).cast("string"))
+    path = shared_dir(t.spark, "updates-csv")
+    u.union(other).union(empty).union(u.where("itemid % 5 = 0")).write.option("header", True).csv(path)
+    return files.read_properties(t.spark, [path])
+
+
+@query
+def property_filter(t: Log) -> DataFrame:
+    return m.property_filter(_raw_updates(t))
+
+
+@query
+def property_conflicts(t: Log) -> DataFrame:
+    """Keys of the raw updates with several values; the build refuses such a source."""
+    return m.property_conflicts(m.property_filter(_raw_updates(t)))
+
+
+@query
+def property_cast(t: Log) -> DataFrame:
+    """Raw updates without the conflicting keys, cast and checked."""
+    rows = m.property_filter(_raw_updates(t))
+    bad = m.property_conflicts(rows).select("itemid", "property", "timestamp")
+    return m.clean_properties(rows.join(bad, ["itemid", "property", "timestamp"], "left_anti"))
+
+
 @query
 def read_category_tree(t: Log) -> DataFrame:
-    return t.tree_raw
+    """The tree, written as CSV and read with its types."""
+    path = shared_dir(t.spark, "tree-csv")
+    t.tree_raw.write.option("header", True).csv(path)
+    return files.read_category_tree(t.spark, path)
+
+
+@query
+def publish_guard(t: Log) -> DataFrame:
+    """Tables of a published dataset as readers get them; before its manifest is written they are refused."""
+    path = shared_dir(t.spark, "guarded")
+    tables = {"items": t.items, "category_tree": t.tree}
+    files.write_tables(tables, path)
+    try:
+        files.require_complete(t.spark, path)
+        refused = False
+    except FileNotFoundError:
+        refused = True
+    files.publish(tables, path)
+    found = files.require_complete(t.spark, path)
+    return found["items"].agg(F.count("*").alias("items")).crossJoin(found["category_tree"].agg(F.count("*").alias("categories"))).withColumn("refused_before", F.lit(refused))  # one row each
 
 
 @query
@@ -512,6 +719,7 @@ def table_manifest(t: Log) -> DataFrame:
 def verify_manifest(t: Log) -> DataFrame:
     """Publish the tables with an audit of the events, then compare them with their manifest."""
     path = shared_dir(t.spark, "dataset")
+    s.reject_bad_events(stored(t, "events").events)
     files.publish(_tables(t), path, lambda x: checks.events(x["events"]), {"gap": GAP})
     return files.verify_manifest(t.spark, path, {"gap": GAP})
 
@@ -567,9 +775,10 @@ def dq_target_sets(t: Log) -> DataFrame:
 
 @query
 def dq_features(t: Log) -> DataFrame:
-    stored(t, "groups")
-    f = t.queries.select("query_id", "prefix_groups", "prefix_events", *(f"{b}_{x}" for b in s.BEHAVIOURS for x in ("count", "recency")))
-    return checks.features(f, t.queries)
+    """The features as written and read back, against the events."""
+    stored(t, "events")
+    f = files.write_tables({"features": QUERIES_OF["prefix_features"](t)}, shared_dir(t.spark, "features"))["features"]
+    return checks.features(f, t.events)
 
 
 @query
@@ -581,13 +790,13 @@ def dq_prefix_recompute(t: Log) -> DataFrame:
 @query
 def dq_mappings(t: Log) -> DataFrame:
     stored(t, "events")
-    return checks.mappings(t.train, m.mapping(t.train, "visitorid"), m.mapping(t.train, "itemid"))
+    return checks.mappings(t.train, t.users_idx, t.items_idx)
 
 
 @query
 def dq_interactions(t: Log) -> DataFrame:
     stored(t, "events")
-    return checks.interactions(m.interactions(t.train), t.train)
+    return checks.interactions(t.interactions, t.train)
 
 
 @query
@@ -617,6 +826,11 @@ def dataset_summary(t: Log) -> DataFrame:
     many = t.targets.groupBy("query_id").agg(F.count("*").alias("n")).where("n > 1")
     parts = [
         one(t.raw, raw_events=F.count("*")),
+        one(t.raw.agg(F.count("*").alias("r")).crossJoin(t.events.agg(F.count("*").alias("c"))), removed_events=F.sum(F.col("r") - F.col("c"))),  # one row each
+        one(QUERIES_OF["repeat_targets"](t), repeat_target_pairs=F.count("*")),
+        one(t.users_idx, user_mapping=F.count("*")),
+        one(t.items_idx, item_mapping=F.count("*")),
+        one(t.snapshot, train_end_items=F.count("*"), train_end_candidates=F.count_if("candidate")),
         one(t.events, clean_events=F.count("*"), sessions=F.count_distinct("session_id")),
         one(t.groups, timestamp_groups=F.count("*")),
         one(t.queries, queries=F.count("*")),
@@ -639,8 +853,11 @@ def dataset_summary(t: Log) -> DataFrame:
 def property_quality(t: Log) -> DataFrame:
     """Keys of the property updates before ties are settled."""
     rows = star.property_updates(t.spark, t.sf_dir)
-    keys = rows.groupBy("itemid", "property", "timestamp").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    nulls = F.sum(F.when(F.col("itemid").isNull() | F.col("timestamp").isNull() | F.col("value").isNull(), F.col("k")).otherwise(0))
+    once = rows.groupBy("itemid", "property", "timestamp", "value").agg(F.count("*").alias("k"))
+    keys = once.groupBy("itemid", "property", "timestamp").agg(F.sum("k").alias("n"), F.sum(F.col("k") - 1).alias("d"), nulls.alias("z"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     return keys.agg(
+        F.sum("d").alias("exact_duplicates"), F.sum("z").alias("null_rows"),
         F.sum("n").alias("row_count"), F.count("*").alias("distinct_keys"), count_if("n > 1", "repeated_keys"), count_if("lo <> hi", "conflicting_keys"),
         F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"),
     )
@@ -648,8 +865,9 @@ def property_quality(t: Log) -> DataFrame:
 
 @query
 def property_per_item(t: Log) -> DataFrame:
-    u = t.props.groupBy("itemid").agg(F.count("*").alias("updates"), F.count_distinct("property").alias("properties"))
-    return stats(u, "updates", "properties")
+    each = reliable(t.props.groupBy("itemid", "property").agg(F.count("*").alias("updates_per_property")))
+    u = each.groupBy("itemid").agg(F.sum("updates_per_property").alias("updates"), F.count("*").alias("properties"))
+    return stats(u, "updates", "properties").union(stats(each, "updates_per_property"))
 
 
 @query

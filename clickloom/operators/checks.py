@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from clickloom.operators.sessions import BEHAVIOURS
 
-LABELS = ("itemid", "target_events", "target_count", "target_time")
+LABELS = ("itemid", "target_events", "target_count", "eligible_target_count", "target_time", "split")
 
 
 def report(**bad: DataFrame) -> DataFrame:
@@ -81,13 +81,16 @@ def target_sets(ev: DataFrame, q: DataFrame, t: DataFrame) -> DataFrame:
     return report(missing_target=without(again, t, "query_id", "itemid"), unexpected_target=without(t, again, "query_id", "itemid"))
 
 
-def features(f: DataFrame, q: DataFrame) -> DataFrame:
-    label_columns = f.sparkSession.range(sum(c in LABELS for c in f.columns))
+def features(f: DataFrame, ev: DataFrame) -> DataFrame:
+    """Stored features against the steps that the events give: no history after the query, the same queries, no label columns."""
+    steps, at = _next_times(ev), ["visitorid", "session_id", "query_time"]
+    times = ["history_last_time", *(f"{b}_last_time" for b in BEHAVIOURS)]
     return report(
+        history_in_future=f.where(" or ".join(f"{x} > query_time" for x in times)),
         recency_in_future=f.where(" or ".join(f"{b}_recency < 0" for b in BEHAVIOURS)),
-        query_without_features=without(q, f, "query_id"),
-        features_without_query=without(f, q, "query_id"),
-        label_columns=label_columns,
+        query_without_features=without(steps, f, *at),
+        features_without_query=without(f, steps, *at),
+        label_columns=f.sparkSession.range(sum(c in LABELS for c in f.columns)),
     )
 
 
@@ -141,15 +144,16 @@ def _latest(requests: DataFrame, props: DataFrame, prop: str, time: str) -> Data
 
 
 def metadata(found: DataFrame, props: DataFrame, items: DataFrame, time: str = "query_time") -> DataFrame:
-    """As-of values found again by another way, and candidates by their definition; sources never later than the request."""
-    a, c = _latest(found, props, "available", time), _latest(found, props, "categoryid", time)
-    known = a.join(items, "itemid", "left")
+    """The source times of as-of values are never later than the request; values, times and candidates are found again by another way."""
+    asked = found.withColumnRenamed("known_at", "_k")
+    a, c = _latest(asked, props, "available", time), _latest(asked, props, "categoryid", time)
+    known = a.join(items.select("itemid", "known_at"), "itemid", "left")
     should = F.coalesce(F.col("known_at") <= F.col(time), F.lit(False)) & F.coalesce(F.col("_value") == 1, F.lit(True))
     return report(
-        availability_from_future=a.where(F.col("_at") > F.col(time)),
-        category_from_future=c.where(F.col("_at") > F.col(time)),
-        other_availability=a.where("not (available <=> _value)"),
-        other_category=c.where("category_missing <> (_value is null) or (not category_missing and not category_invalid and category_id <> _value)"),
+        availability_from_future=found.where(F.col("available_time") > F.col(time)),
+        category_from_future=found.where(F.col("category_time") > F.col(time)),
+        other_availability=a.where("not (available <=> _value and available_time <=> _at) or availability_unknown <> (_value is null)"),
+        other_category=c.where("not (category_time <=> _at) or category_missing <> (_value is null) or (not category_missing and not category_invalid and category_id <> _value)"),
         other_candidate=known.where(F.col("candidate") != should),
     )
 

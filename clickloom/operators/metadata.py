@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clickloom.functions.index import dense_index
+from clickloom.functions.index import dense_index, reliable
 
 
 def property_history(props: DataFrame) -> DataFrame:
@@ -14,24 +14,57 @@ def property_history(props: DataFrame) -> DataFrame:
     return props.withColumn("valid_to", F.lead("timestamp").over(W.partitionBy("itemid", "property").orderBy("timestamp")))
 
 
-def category_tree(raw: DataFrame, most_depth: int = 64) -> DataFrame:
-    """categoryid, root_id, depth, path of every category; an error for unknown parents, repeats or cycles."""
+def clean_properties(rows: DataFrame, keep: tuple[str, ...] = ("categoryid", "available")) -> DataFrame:
+    """itemid, property, timestamp, value (long) of the raw updates (strings) of the properties ``keep``.
+
+    Rows with a null go, exact repeats over all files are one row. Errors: a value that is no whole number, an
+    availability other than 0 and 1, two values of one item and property at one time.
+    """
+    kept = property_filter(rows, keep)
+    number = F.expr("try_cast(value as decimal(38,6))")
+    bad, other = kept.agg(
+        F.count_if(number.isNull() | (number != F.floor(number))), F.count_if((F.col("property") == "available") & ~F.coalesce(number.isin(0, 1), F.lit(False)))
+    ).first()
+    if bad:
+        raise ValueError(f"{bad} property values are no whole numbers")
+    if other:
+        raise ValueError(f"{other} availability values are neither 0 nor 1")
+    out = kept.select("itemid", "property", "timestamp", number.cast("long").alias("value")).distinct()
+    if n := property_conflicts(out).count():
+        raise ValueError(f"{n} conflicting property values")
+    return out
+
+
+def property_filter(rows: DataFrame, keep: tuple[str, ...] = ("categoryid", "available")) -> DataFrame:
+    """timestamp, itemid, property, value of the updates of ``keep``, without nulls and exact repeats."""
+    return rows.where(F.col("property").isin(*keep)).select("timestamp", "itemid", "property", "value").dropna().distinct()
+
+
+def property_conflicts(rows: DataFrame) -> DataFrame:
+    """itemid, property, timestamp, n_values of the keys that have several values."""
+    return rows.groupBy("itemid", "property", "timestamp").agg(F.count_distinct("value").alias("n_values")).where("n_values > 1")
+
+
+def category_tree(raw: DataFrame) -> DataFrame:
+    """categoryid, root_id, depth, path of every category, however deep; an error for unknown parents, repeats, nulls or cycles."""
     n, distinct = raw.agg(F.count("*"), F.count_distinct("categoryid")).first()
     if n != distinct:
         raise ValueError("categories must be unique and not null")
     level = raw.where("parentid is null").select("categoryid", F.col("categoryid").alias("root_id"), F.lit(0).alias("depth"), F.col("categoryid").cast("string").alias("path"))
-    found, done = level, level.count()
-    for depth in range(1, most_depth + 1):
-        if done == n:
-            return found
+    found, done, depth = level, level.count(), 0
+    while done < n:
+        depth += 1
         level = raw.join(level.withColumnRenamed("categoryid", "parentid"), "parentid").select(
             "categoryid", "root_id", F.lit(depth).alias("depth"), F.concat_ws("/", "path", F.col("categoryid").cast("string")).alias("path")
         )
+        found = found.union(level)
+        if depth % 8 == 0:  # keeps the plan of a deep tree short
+            level, found = reliable(level), reliable(found)
         size = level.count()
         if not size:
-            break
-        found, done = found.union(level), done + size
-    raise ValueError("category tree has a cycle or an unknown parent")
+            raise ValueError("category tree has a cycle or an unknown parent")
+        done += size
+    return found
 
 
 def catalog(events: DataFrame, props: DataFrame) -> DataFrame:
@@ -42,33 +75,45 @@ def catalog(events: DataFrame, props: DataFrame) -> DataFrame:
 def asof_metadata(requests: DataFrame, props: DataFrame, items: DataFrame, tree: DataFrame, time: str = "t") -> DataFrame:
     """Requests (itemid, ``time``, ...) with the latest availability and category at or before their time.
 
-    Updates and requests are united and a window carries the last value forward: linear in both, whatever the
-    length of an item's history. candidate: known by then and not seen as unavailable.
+    Updates and requests are united and a window carries the last value forward with its source time: linear in
+    both, whatever the length of an item's history. candidate: known by then and not seen as unavailable.
     """
     rows = requests.withColumn("_r", F.struct(*requests.columns))
-    value = lambda p: F.max(F.when(F.col("property") == p, F.col("value")))
+    value = lambda p: F.max(F.when(F.col("property") == p, F.struct("value", F.col("timestamp").alias("at"))))
     updates = props.groupBy("itemid", F.col("timestamp").alias("_t")).agg(value("available").alias("_a"), value("categoryid").alias("_c"))
-    nothing = F.lit(None).cast("long")
-    both = rows.select("itemid", F.col(time).alias("_t"), nothing.alias("_a"), nothing.alias("_c"), F.lit(1).alias("_last"), "_r").unionByName(
-        updates.select("itemid", "_t", "_a", "_c", F.lit(0).alias("_last")), allowMissingColumns=True
-    )
+    both = rows.select("itemid", F.col(time).alias("_t"), F.lit(1).alias("_last"), "_r").unionByName(updates.select("itemid", "_t", "_a", "_c", F.lit(0).alias("_last")), allowMissingColumns=True)
     by = W.partitionBy("itemid").orderBy("_t", "_last").rowsBetween(W.unboundedPreceding, 0)
-    seen = both.select("_last", "_r", F.last("_a", True).over(by).alias("available"), F.last("_c", True).over(by).alias("category")).where("_last = 1")
-    full = seen.select("_r.*", "available", "category").join(items, "itemid", "left")
-    out = full.join(F.broadcast(tree), F.col("category") == F.col("categoryid"), "left")
+    seen = both.select("_last", "_r", F.last("_a", True).over(by).alias("_a"), F.last("_c", True).over(by).alias("_c")).where("_last = 1")
+    full = seen.select("_r.*", F.col("_a.value").alias("available"), F.col("_a.at").alias("available_time"), F.col("_c.value").alias("category"), F.col("_c.at").alias("category_time"))
+    # the tree is joined as its size allows: Spark broadcasts it below its own limit only
+    out = full.join(items.select("itemid", "known_at"), "itemid", "left").join(tree, F.col("category") == F.col("categoryid"), "left")
     return out.select(
         *requests.columns,
+        "known_at",
+        "available_time",
         F.col("available").cast("byte").alias("available"),
+        "category_time",
         F.coalesce("categoryid", F.lit(-1)).cast("long").alias("category_id"),
         F.coalesce("root_id", F.lit(-1)).cast("long").alias("root_id"),
         F.coalesce("depth", F.lit(-1)).cast("short").alias("depth"),
         F.coalesce("path", F.lit("UNKNOWN")).alias("path"),
+        F.col("available").isNull().alias("availability_unknown"),
         F.col("category").isNull().alias("category_missing"),
         (F.col("category").isNotNull() & F.col("categoryid").isNull()).alias("category_invalid"),
         (F.coalesce(F.col("known_at") <= F.col(time), F.lit(False)) & F.coalesce(F.col("available") == 1, F.lit(True))).alias("candidate"),
     )
 
 
+def candidates_at_time(times: tuple[int, ...], items: DataFrame, props: DataFrame, tree: DataFrame, warm: DataFrame | None = None) -> DataFrame:
+    """t, itemid and metadata of all eligible catalog items at each of a few ``times`` (ms); ``warm``: only items in its itemid.
+
+    The catalog is repeated for each time, so give a few times, not one for each query.
+    """
+    known = items if warm is None else items.join(warm.select("itemid").distinct(), "itemid", "left_semi")
+    asked = known.select("itemid", "known_at", F.explode(F.array(*(F.lit(t).cast("long") for t in times))).alias("t")).where("known_at <= t").select("itemid", "t")
+    return asof_metadata(asked, props, items, tree, "t").where("candidate")
+
+
 def mapping(train: DataFrame, key: str) -> DataFrame:
     """Train ids in order with indexes from 2 (0 pads, 1 is unknown)."""
     return dense_index(train, key, 2, f"{key}_idx")
@@ -78,8 +123,15 @@ def behavior_edges(train: DataFrame) -> DataFrame:
     return train.groupBy("visitorid", "itemid", "event").agg(F.count("*").alias("n"), F.max("timestamp").alias("last_time"))
 
 
-def interactions(train: DataFrame, weights=(("view", 1.0), ("addtocart", 3.0), ("transaction", 5.0))) -> DataFrame:
-    """One row for each visitor and item: counts by behaviour, weighted score, last time."""
-    g = train.groupBy("visitorid", "itemid").agg(*(F.count_if(F.col("event") == b).alias(f"{b}_count") for b, _ in weights), F.max("timestamp").alias("last_time"))
+def interactions(train: DataFrame, users: DataFrame, items: DataFrame, train_end: int, weights=(("view", 1.0), ("addtocart", 3.0), ("transaction", 5.0))) -> DataFrame:
+    """One row for each visitor and item: indexes, counts, last time and hours before ``train_end`` by behaviour, weighted score.
+
+    ``users`` and ``items`` are the mappings. A behaviour that did not occur has count 0 and null times.
+    """
+    is_ = lambda b: F.col("event") == b
+    g = train.groupBy("visitorid", "itemid").agg(
+        *(F.count_if(is_(b)).alias(f"{b}_count") for b, _ in weights), *(F.max(F.when(is_(b), F.col("timestamp"))).alias(f"{b}_last_time") for b, _ in weights), F.max("timestamp").alias("last_time")
+    )
     score = sum((F.lit(w) * F.log1p(f"{b}_count") for b, w in weights), F.lit(0.0))
-    return g.withColumn("score", F.round(score, 6))
+    hours = {f"{b}_recency_hours": F.round((F.lit(train_end).cast("long") - F.col(f"{b}_last_time")) / 3_600_000, 6) for b, _ in weights}
+    return g.withColumns({"score": F.round(score, 6), **hours}).join(users, "visitorid").join(items, "itemid")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clickloom.functions.index import reliable, running_base
-from clickloom.operators.metadata import asof_metadata
 
 
 def train_ranks(items: DataFrame, train: DataFrame) -> DataFrame:
@@ -29,9 +28,19 @@ def known_item_limit(queries: DataFrame, ranks: DataFrame) -> DataFrame:
     return q.join(upto, "query_time").select("query_id", "query_time", "limit")
 
 
-def _allowed(rows: DataFrame, targets: DataFrame, props: DataFrame, items: DataFrame, tree: DataFrame) -> DataFrame:
+def _allowed(rows: DataFrame, targets: DataFrame, props: DataFrame) -> DataFrame:
+    """``rows`` (query_id, itemid, query_time, ...) that are no targets, of items not last seen as unavailable at that time.
+
+    Availability is looked up once for each distinct item and time, and nothing else of the metadata is; that the
+    items are known by then the ranks have seen to.
+    """
     rest = rows.join(targets.select("query_id", "itemid"), ["query_id", "itemid"], "left_anti")
-    return asof_metadata(rest, props, items, tree, "query_time").where("candidate").select(*rows.columns)
+    asked = rest.select("itemid", F.col("query_time").alias("_t")).distinct()
+    updates = props.where("property = 'available'").select("itemid", F.col("timestamp").alias("_t"), F.col("value").alias("_a"))
+    both = asked.withColumn("_last", F.lit(1)).unionByName(updates.withColumn("_last", F.lit(0)), allowMissingColumns=True)
+    by = W.partitionBy("itemid").orderBy("_t", "_last").rowsBetween(W.unboundedPreceding, 0)
+    seen = both.select("itemid", F.col("_t").alias("query_time"), "_last", F.last("_a", True).over(by).alias("_a")).where("_last = 1 and coalesce(_a, 1) = 1")
+    return rest.join(seen.select("itemid", "query_time"), ["itemid", "query_time"]).select(*rows.columns)
 
 
 def _first(rows: DataFrame, order: str, most) -> DataFrame:
@@ -40,7 +49,7 @@ def _first(rows: DataFrame, order: str, most) -> DataFrame:
 
 
 def negatives(
-    queries: DataFrame, targets: DataFrame, ranks: DataFrame, props: DataFrame, items: DataFrame, tree: DataFrame, k: int = 5, draws: int = 20, seed: int = 7
+    queries: DataFrame, targets: DataFrame, ranks: DataFrame, props: DataFrame, k: int = 5, draws: int = 20, seed: int = 7
 ) -> DataFrame:
     """query_id, itemid, query_time, filled: up to ``k`` distinct items for each train query.
 
@@ -56,12 +65,12 @@ def negatives(
     digest = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "query_id", "d")), 1, 8), 16, 10).cast("long")
     drawn = limits.select("*", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("d")).withColumn("rank", F.pmod(digest, F.col("limit")))
     drawn = drawn.join(ranks, "rank").groupBy("query_id", "query_time", "itemid").agg(F.min("d").alias("d"))
-    got = reliable(_first(_allowed(drawn, targets, props, items, tree), "d", k).select("query_id", "itemid", "query_time"))
+    got = reliable(_first(_allowed(drawn, targets, props), "d", k).select("query_id", "itemid", "query_time"))
     have = got.groupBy("query_id").agg(F.count("*").alias("_have"))
     short = limits.join(have, "query_id", "left").select("query_id", "query_time", "limit", F.coalesce("_have", F.lit(0)).alias("_have")).where(F.col("_have") < k)
     pool = short.select("query_id", "query_time", "_have", F.explode(F.sequence(F.lit(0).cast("long"), F.col("limit") - 1)).alias("rank")).join(ranks, "rank")
     pool = pool.select("query_id", "query_time", "_have", "itemid").join(got.select("query_id", "itemid"), ["query_id", "itemid"], "left_anti")
-    pool = _allowed(pool, targets, props, items, tree).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "query_id", F.lit("f"), "itemid")))
+    pool = _allowed(pool, targets, props).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "query_id", F.lit("f"), "itemid")))
     fill = _first(pool, "_h", F.lit(k) - F.col("_have")).select("query_id", "itemid", "query_time", F.lit(True).alias("filled"))
     return got.withColumn("filled", F.lit(False)).unionByName(fill)
 

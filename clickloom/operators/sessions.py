@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clickloom.functions.index import running_base
+from clickloom.functions.index import reliable, running_base
+from clickloom.functions.quantile import exact_quantiles
 
 BEHAVIOURS = ("view", "addtocart", "transaction")
+COLUMNS = ("timestamp", "visitorid", "event", "itemid", "transactionid")
 
 
 def clean_events(raw: DataFrame) -> DataFrame:
-    """Valid rows without exact repeats; of equal rows (nulls equal) the smallest event_id stays."""
+    """Valid rows without exact repeats; of equal rows (nulls equal) the smallest event_id stays.
+
+    A source without event_id gets one: the number of the row, from 0, among the distinct rows in order of all
+    columns (nulls first). It only breaks ties, and is the same whenever the rows are.
+    """
     valid = raw.where(F.col("event").isin(*BEHAVIOURS)).dropna(subset=["timestamp", "visitorid", "event", "itemid"])
-    columns = ["timestamp", "visitorid", "event", "itemid", "transactionid"]
-    return valid.groupBy(*columns).agg(F.min("event_id").alias("event_id"))
+    if "event_id" in raw.columns:
+        return valid.groupBy(*COLUMNS).agg(F.min("event_id").alias("event_id"))
+    rows = valid.select(*COLUMNS).distinct().select(F.struct(*COLUMNS).alias("_k"), F.lit(1).alias("_one"))
+    return running_base(rows, "_k", "_one").select("_k.*", F.col("base").alias("event_id"))
 
 
 def reject_bad_events(clean: DataFrame) -> DataFrame:
@@ -29,35 +37,39 @@ def reject_bad_events(clean: DataFrame) -> DataFrame:
 
 
 def sessionize(clean: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """Adds seq (session number of the visitor from 1) and session_id (number over all, in order of visitor and time).
+    """Adds session_id (number over all, in order of visitor and time), session_start, session_end, event_order and group_id.
 
-    A session ends where the next event is more than ``gap_minutes`` later. One shuffle by visitor serves all
-    windows; only the numbers of sessions per visitor are added up over the table.
+    A session ends where the next event is more than ``gap_minutes`` later. group_id numbers the distinct
+    (visitor, time) pairs, that is the timestamp groups, in the same order. One shuffle by visitor serves all
+    windows; its rows are checkpointed once, and only two numbers of each visitor are added up over the table.
     """
     by = W.partitionBy("visitorid").orderBy("timestamp", "event_id")
     new = F.coalesce((F.col("timestamp") - F.lag("timestamp").over(by) > gap_minutes * 60_000).cast("int"), F.lit(1))
-    rows = clean.withColumn("_new", new).withColumn("seq", F.sum("_new").over(by).cast("int")).drop("_new")
-    base = running_base(rows.groupBy("visitorid").agg(F.max("seq").alias("n")), "visitorid", "n")
-    out = rows.join(base, "visitorid").withColumn("session_id", F.col("base") + F.col("seq")).drop("base")
-    order = W.partitionBy("visitorid", "session_id").orderBy("timestamp", "event_id")
-    return out.withColumn("event_order", F.row_number().over(order) - 1)
+    rows = clean.withColumn("_new", new).withColumns({"_seq": F.sum("_new").over(by), "_group": F.dense_rank().over(W.partitionBy("visitorid").orderBy("timestamp"))}).drop("_new")
+    session = W.partitionBy("visitorid", "_seq")
+    place = F.row_number().over(session.orderBy("timestamp", "event_id")) - 1
+    rows = reliable(rows.withColumns({"event_order": place, "session_start": F.min("timestamp").over(session), "session_end": F.max("timestamp").over(session)}))
+    sizes = rows.groupBy("visitorid").agg(F.max("_seq").alias("sessions"), F.max("_group").alias("groups"))
+    base = running_base(sizes, "visitorid", "sessions", "groups")
+    out = rows.join(base, "visitorid")
+    return out.withColumns({"session_id": F.col("base") + F.col("_seq"), "group_id": F.col("groups_base") + F.col("_group")}).drop("base", "groups_base", "_seq", "_group")
 
 
 def cutoffs(events: DataFrame, train: float = 0.8, validation: float = 0.9) -> DataFrame:
     """train_end, validation_end (interpolated quantiles, rounded half to even) and observation_end in ms; one row.
 
-    Exact: counts per time come first, so what meets in one place is one row for each distinct time.
+    Exact, whatever the number of distinct times; three numbers come to the driver. Nulls for no events.
     """
-    times = events.groupBy("timestamp").agg(F.count("*").alias("n"))
-    q = times.agg(F.percentile("timestamp", F.array(F.lit(train), F.lit(validation)), F.col("n")).alias("q"), F.max("timestamp").alias("observation_end"))
-    return q.select(F.bround(F.col("q")[0]).cast("long").alias("train_end"), F.bround(F.col("q")[1]).cast("long").alias("validation_end"), "observation_end")
+    spark = events.sparkSession
+    t, v, last = exact_quantiles(events, "timestamp", (train, validation, 1.0), 3_600_000)
+    row = (None,) * 3 if last is None else (round(t), round(v), int(last))
+    return spark.createDataFrame([row], "train_end long, validation_end long, observation_end long")
 
 
 def temporal_split(events: DataFrame, ends: DataFrame) -> DataFrame:
-    """Adds split: a session lies wholly in train, validation or test, else it is boundary_drop."""
-    by = W.partitionBy("visitorid", "session_id")
-    lo, hi = F.min("timestamp").over(by), F.max("timestamp").over(by)
-    t, v = ends.select("train_end", "validation_end").first()
+    """Adds split: a session (session_start, session_end) lies wholly in train, validation or test, else it is boundary_drop."""
+    lo, hi = F.col("session_start"), F.col("session_end")
+    t, v = (F.lit(x).cast("long") for x in ends.select("train_end", "validation_end").first())
     split = F.when(hi <= t, "train").when((lo > t) & (hi <= v), "validation").when(lo > v, "test").otherwise("boundary_drop")
     return events.withColumn("split", split)
 
@@ -65,25 +77,24 @@ def temporal_split(events: DataFrame, ends: DataFrame) -> DataFrame:
 def timestamp_groups(events: DataFrame) -> DataFrame:
     """One row for each session and time: counts and last times by behaviour so far, the next group's time, query_id.
 
-    Everything is computed on the partitioning by visitor that the sessions already have.
+    Everything is computed on the partitioning by visitor that the sessions already have. history_last_time is
+    the time of the last event counted, and a behaviour not yet seen has null times.
     """
-    g = events.groupBy("visitorid", "session_id", "timestamp", "split").agg(
-        F.count("*").alias("n_events"), *(F.count_if(F.col("event") == b).alias(f"n_{b}") for b in BEHAVIOURS)
+    g = events.groupBy("visitorid", "session_id", "timestamp", "split", "group_id").agg(
+        F.count("*").alias("n_events"), F.max("timestamp").alias("_last"), *(F.count_if(F.col("event") == b).alias(f"n_{b}") for b in BEHAVIOURS)
     )
     by = W.partitionBy("visitorid", "session_id").orderBy("timestamp")
     upto = by.rowsBetween(W.unboundedPreceding, 0)
-    last = lambda b: F.max(F.when(F.col(f"n_{b}") > 0, F.col("timestamp"))).over(upto)
     g = g.select(
-        "visitorid", "session_id", "split", F.col("timestamp").alias("query_time"), "n_events",
+        "visitorid", "session_id", "split", F.col("timestamp").alias("query_time"), "n_events", F.col("group_id").alias("query_id"),
         F.lead("timestamp").over(by).alias("target_time"),
         F.row_number().over(by).alias("prefix_groups"),
         F.sum("n_events").over(upto).alias("prefix_events"),
+        F.max("_last").over(upto).alias("history_last_time"),
         *(F.sum(f"n_{b}").over(upto).alias(f"{b}_count") for b in BEHAVIOURS),
-        *(((F.col("timestamp") - last(b)) / 1000).alias(f"{b}_recency") for b in BEHAVIOURS),
-        F.row_number().over(W.partitionBy("visitorid").orderBy("session_id", "timestamp")).alias("_k"),
+        *(F.max(F.when(F.col(f"n_{b}") > 0, F.col("timestamp"))).over(upto).alias(f"{b}_last_time") for b in BEHAVIOURS),
     )
-    base = running_base(g.groupBy("visitorid").agg(F.max("_k").alias("n")), "visitorid", "n")
-    return g.join(base, "visitorid").withColumn("query_id", F.col("base") + F.col("_k")).drop("base", "_k")
+    return g.withColumns({f"{b}_recency": (F.col("query_time") - F.col(f"{b}_last_time")) / 1000 for b in BEHAVIOURS})
 
 
 def queries_of(groups: DataFrame) -> DataFrame:
@@ -97,8 +108,13 @@ def excluded_steps(groups: DataFrame) -> DataFrame:
     return out.withColumn("reason", F.when(F.col("split") == "boundary_drop", "boundary_session").otherwise("no_next_group"))
 
 
-def next_targets(events: DataFrame, groups: DataFrame) -> DataFrame:
-    """query_id, itemid, target_events, query_time, target_time, split: distinct items of the group after each query."""
-    items = events.groupBy("visitorid", "session_id", "timestamp", "itemid").agg(F.count("*").alias("target_events"))
-    q = queries_of(groups).select("visitorid", "session_id", F.col("target_time").alias("timestamp"), "query_id", "query_time", "split")
-    return q.join(items, ["visitorid", "session_id", "timestamp"]).select("query_id", "itemid", "target_events", "query_time", F.col("timestamp").alias("target_time"), "split", "session_id", "visitorid")
+def next_targets(events: DataFrame) -> DataFrame:
+    """query_id, itemid, target_events, query_time, target_time, split, session_id, visitorid: distinct items of the group after each query.
+
+    Without a join: groups are numbered on through a session, so the items of a group are the targets of the
+    group before it, if the session has one.
+    """
+    items = events.where("split <> 'boundary_drop'").groupBy("visitorid", "session_id", "timestamp", "group_id", "split", "itemid").agg(F.count("*").alias("target_events"))
+    before = W.partitionBy("visitorid", "session_id").orderBy("timestamp").rangeBetween(W.unboundedPreceding, -1)
+    t = items.withColumn("query_time", F.max("timestamp").over(before)).where("query_time is not null")
+    return t.select((F.col("group_id") - 1).alias("query_id"), "itemid", "target_events", "query_time", F.col("timestamp").alias("target_time"), "split", "session_id", "visitorid")

@@ -1,8 +1,12 @@
 """Fixtures of the reference's behaviour: cleaning, sessions, splits, samples, metadata."""
 
+import random
+
+import numpy as np
 import pytest
 
 from clickloom.functions.index import dense_index
+from clickloom.functions.quantile import exact_quantiles
 from clickloom.operators import metadata as m
 from clickloom.operators import sessions as s
 from clickloom.sources.star import require_columns
@@ -49,7 +53,7 @@ def test_targets_are_the_items_of_the_next_group(spark):
     ses = s.sessionize(spark.createDataFrame(rows, RAW))
     ev = s.temporal_split(ses, s.cutoffs(ses, 1.0, 1.0))
     groups = s.timestamp_groups(ev)
-    got = {(r.query_id, r.itemid, r.target_events) for r in s.next_targets(ev, groups).collect()}
+    got = {(r.query_id, r.itemid, r.target_events) for r in s.next_targets(ev).collect()}
     assert got == {(1, 11, 2), (1, 12, 1), (2, 10, 1)}
     f = s.queries_of(groups).where("query_id = 2").first()
     assert (f.view_count, f.addtocart_count, f.transaction_count, f.prefix_events, f.view_recency) == (2, 2, 1, 5, 0)
@@ -77,3 +81,63 @@ def test_dense_index_is_the_rank(spark):
     ids = spark.range(0, 1000, 7).selectExpr("id * 13 % 1000 as k")
     got = sorted((r.k, r.i) for r in dense_index(ids, "k", 2, "i").collect())
     assert got == [(k, n) for n, k in enumerate(sorted({x * 13 % 1000 for x in range(0, 1000, 7)}), 2)]
+
+
+def test_deep_trees_are_whole(spark):
+    rows = [(i, i - 1 if i else None) for i in range(90)]
+    got = {r.categoryid: (r.root_id, r.depth) for r in m.category_tree(spark.createDataFrame(rows, "categoryid long, parentid long")).collect()}
+    assert got == {i: (0, i) for i in range(90)}
+
+
+def test_ids_are_made_for_a_source_without(spark):
+    rows = [(5, 1, "view", 2, None), (5, 1, "view", 2, None), (1, 9, "transaction", 2, 7), (5, 1, "view", 1, None), (5, 1, "bad", 1, None)]
+    got = s.clean_events(spark.createDataFrame(rows, RAW.split(", ", 1)[1]))
+    assert sorted((r.event_id, r.timestamp, r.itemid) for r in got.collect()) == [(0, 1, 2), (1, 5, 1), (2, 5, 2)]
+    assert s.sessionize(got).count() == 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quantiles_are_exact(spark, seed):
+    rng = random.Random(seed)
+    v = [rng.choice([rng.randint(-50, 50), rng.randint(-(10**12), 10**12)]) for _ in range(rng.randint(1, 400))]
+    df = spark.createDataFrame([(x,) for x in [*v, None]], "x long")
+    at = (0.0, 0.1, 0.5, 0.8, 0.99, 1.0)
+    want = [pytest.approx(float(x)) for x in np.quantile(np.array(v, float), at)]
+    assert exact_quantiles(df, "x", at) == want and exact_quantiles(df, "x", at, width=7 * 10**9) == want
+    assert exact_quantiles(df.where("false"), "x", at) == [None] * 6
+
+
+PROPS = "timestamp long, itemid long, property string, value string"
+
+
+def test_properties_are_cast_and_checked(spark):
+    rows = [(1, 2, "available", "1"), (1, 2, "available", "1"), (1, 2, "categoryid", "7.0"), (1, 2, "790", "n1.2"), (None, 2, "available", "1"), (1, 2, "available", None)]
+    make = lambda *more: m.clean_properties(spark.createDataFrame([*rows, *more], PROPS))
+    assert sorted(tuple(r) for r in make().collect()) == [(2, "available", 1, 1), (2, "categoryid", 1, 7)]
+    for bad, message in (((3, 2, "categoryid", "x1"), "whole"), ((3, 2, "available", "2"), "neither"), ((1, 2, "available", "0"), "conflicting")):
+        with pytest.raises(ValueError, match=message):
+            make(bad)
+
+
+def test_the_future_changes_no_features_and_order_in_a_group_nothing(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.randint(0, 12) * 20 * MIN, rng.randint(1, 3), rng.choice(s.BEHAVIOURS), rng.randint(1, 4), 1) for i in range(60)]
+    columns = ["visitorid", "query_time", "prefix_events", "history_last_time", *(f"{b}_{x}" for b in s.BEHAVIOURS for x in ("count", "last_time", "recency"))]
+
+    def features(rows, until):
+        ses = s.sessionize(s.clean_events(spark.createDataFrame(rows, RAW)))
+        g = s.timestamp_groups(s.temporal_split(ses, s.cutoffs(ses, 1.0, 1.0)))
+        return sorted(map(tuple, g.where(f"query_time <= {until}").select(*columns).collect()), key=str)
+
+    whole = features(rows, 100 * MIN)
+    assert whole == features([r for r in rows if r[1] <= 100 * MIN], 100 * MIN)
+    assert whole == features([(1000 - r[0], *r[1:]) for r in rows], 100 * MIN)
+
+
+def test_one_visitor_and_item_with_half_of_the_events(spark):
+    rows = [(i, i * 1000, 1 if i % 2 else i, "view", 7 if i % 2 else i, None) for i in range(4000)]
+    ses = s.sessionize(s.clean_events(spark.createDataFrame(rows, RAW)))
+    ev = s.temporal_split(ses, s.cutoffs(ses, 1.0, 1.0))
+    got = s.next_targets(ev)
+    assert got.count() == 1999 and got.select("itemid").distinct().count() == 1
+    assert s.queries_of(s.timestamp_groups(ev)).agg({"prefix_events": "max"}).first()[0] == 1999

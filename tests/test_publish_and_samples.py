@@ -53,19 +53,18 @@ def test_negatives_are_known_eligible_and_no_targets(spark):
     train = spark.createDataFrame([(i,) for i in range(10)], "itemid long")
     items = spark.createDataFrame([(i, i * DAY) for i in range(12)], "itemid long, known_at long")
     props = spark.createDataFrame([(1, "available", DAY, 0), (2, "available", DAY, 1)], "itemid long, property string, timestamp long, value long")
-    tree = m.category_tree(spark.createDataFrame([(1, None)], "categoryid long, parentid long"))
     q = spark.createDataFrame([(1, 4 * DAY, "train"), (2, 20 * DAY, "train"), (3, 20 * DAY, "test"), (4, -1, "train")], QUERIES)
     t = spark.createDataFrame([(1, 3), (2, 0)], "query_id long, itemid long")
     ranks = negatives.train_ranks(items, train)
     assert {r.query_id: r.limit for r in negatives.known_item_limit(q, ranks).collect()} == {1: 5, 2: 10, 4: 0}
-    make = lambda **o: sorted((r.query_id, r.itemid) for r in negatives.negatives(q, t, ranks, props, items, tree, **o).collect())
+    make = lambda **o: sorted((r.query_id, r.itemid) for r in negatives.negatives(q, t, ranks, props, **o).collect())
     got = make(k=5, draws=8)
     assert [i for k, i in got if k == 1] == [0, 2, 4]  # all that exist: 1 is unavailable, 3 a target
     assert len({i for k, i in got if k == 2}) == 5 and not {i for k, i in got if k == 2} & {0, 1, 10, 11}
     assert {k for k, _ in got} == {1, 2} and got == make(k=5, draws=8)
-    none = negatives.negatives(q, t, ranks, props, items, tree, k=0)
+    none = negatives.negatives(q, t, ranks, props, k=0)
     assert none.count() == 0 and none.columns == ["query_id", "itemid", "query_time", "filled"]
-    found = negatives.negatives(q, t, ranks, props, items, tree, k=5, draws=8)
+    found = negatives.negatives(q, t, ranks, props, k=5, draws=8)
     assert tuple(negatives.shortfall(q, found).first()) == (3, 2, 7)
 
 
