@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
@@ -13,23 +17,32 @@ from clickloom.llm.common import map_columns
 #: Fixed values of the scan: phrases that count exactly.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Fixed values of the scan: short notices that are searched with errors allowed.
+#: Fixed values of the scan: names of licences, with their labels, that stand in each of the frames.
+NAMES = tuple((n, n) for n in "mit bsd isc apache gpl lgpl agpl mpl epl zlib unlicense".split())
+FRAMES = ("released under the {%s} license", "licensed under the {%s} license", "distributed under the terms of the {%s} license")
+#: Fixed values of the scan: further short notices; braces hold the words that name the licence.
 NOTICES = (
-    ("released under the mit license", "mit"),
-    ("licensed under the mit license", "mit"),
+    *((frame % name, label) for frame in FRAMES for name, label in NAMES),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("gnu general public license", "gpl"),
-    ("gnu lesser general public license", "lgpl"),
-    ("gnu affero general public license", "agpl"),
-    ("mozilla public license", "mpl"),
-    ("eclipse public license", "epl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("creative commons attribution", "cc-by"),
+    ("licensed under the {apache} license version 2 0", "apache"),
+    ("gnu {general} public license", "gpl"),
+    ("gnu {lesser general} public license", "lgpl"),
+    ("gnu {affero general} public license", "agpl"),
+    ("{mozilla} public license", "mpl"),
+    ("{eclipse} public license", "epl"),
+    *((f"licensed under {{{name}}} 4 0", name.replace(" ", "-")) for name in ("cc by", "cc by sa", "cc by nd", "cc by nc", "cc by nc sa", "cc by nc nd")),
+    ("creative commons {attribution}", "cc-by"),
+    ("creative commons {attribution sharealike}", "cc-by-sa"),
+    ("creative commons {attribution noderivatives}", "cc-by-nd"),
+    ("creative commons {attribution noncommercial}", "cc-by-nc"),
     ("redistribution and use in source and binary forms", "bsd"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 )
 
+#: A word that names a licence may differ by an edit from this many letters on; shorter ones are too near to each other.
+LONG_NAME = 6
+
 #: Every byte that is no word byte becomes a space; A-Z becomes a-z.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -45,44 +58,77 @@ def seeds(notice: bytes, errors: int) -> list[tuple[int, bytes]]:
     return [(n * i // k, notice[n * i // k : n * (i + 1) // k]) for i in range(k)]
 
 
+@dataclass(frozen=True)
+class Notice:
+    """A notice to search: its words, how many edits it allows, the name words that must stand as they are, its pattern."""
+
+    text: str
+    label: str
+    errors: int
+    exact: tuple[bytes, ...]
+    pattern: regex.Pattern
+
+    @staticmethod
+    def of(given: str, label: str) -> Notice:
+        before, name, after = re.fullmatch(r"([^{]*)(?:\{([^}]*)\})?([^{]*)", given).groups()
+        text, names = given.replace("{", "").replace("}", ""), (name or "").split()
+        errors = errors_allowed(text)
+        loose = lambda part: b"(?:%b){e<=%d}" % (regex.escape(part.encode(), literal_spaces=True), errors) if part else b""
+        middle = b" ".join(b"(?:%b){e<=1}" % w.encode() if len(w) >= LONG_NAME else w.encode() for w in names)
+        # each part has the edits of the whole, and the sum is checked for each match
+        # names stand as whole words, so what is before and after them cannot run into them
+        pattern = regex.compile(b"(?b)(?<![^ ])%b%b%b(?![^ ])" % (loose(before), middle, loose(after)))
+        return Notice(text, label, errors, tuple(w.encode() for w in names if len(w) < LONG_NAME), pattern)
+
+
 @lru_cache(8)
-def _compiled(notices: tuple[tuple[str, str], ...]) -> list[tuple]:
-    out = []
-    for notice, label in notices:
-        raw, errors = notice.encode(), errors_allowed(notice)
-        pattern = regex.compile(b"(?b)(?<![^ ])(?:%b){e<=%d}(?![^ ])" % (regex.escape(raw, literal_spaces=True), errors))
-        out.append((label, notice, raw, errors, seeds(raw, errors), pattern))
-    return out
+def _compiled(notices: tuple[tuple[str, str], ...]) -> ahocorasick.Automaton:
+    """All seeds of all notices in one automaton, over text in which each byte is one character."""
+    places: dict[bytes, list[tuple[int, Notice]]] = {}
+    for given, label in notices:
+        notice = Notice.of(given, label)
+        for offset, part in seeds(notice.text.encode(), notice.errors):
+            places.setdefault(part, []).append((offset, notice))
+    found = ahocorasick.Automaton()
+    for part, at in places.items():
+        found.add_word(part.decode("latin-1"), (len(part), at))
+    found.make_automaton()
+    return found
 
 
 def fuzzy_spans(line: bytes, notices: tuple[tuple[str, str], ...] = NOTICES) -> list[tuple[str, str, int, int, int]]:
     """label, notice, first and last word, errors of each place where a notice stands with few enough edits.
 
-    ``line``: lower-case words joined by single spaces. Edits are counted on UTF-8 bytes.
+    ``line``: lower-case words joined by single spaces. Edits are counted on UTF-8 bytes. Words that name a licence
+    must stand as they are, or within one edit if they are long. Of places that overlap only the nearest stays: that
+    of the smallest share of edits, and of equal ones the longest.
     """
-    found: dict[tuple[str, int, int], tuple[int, str]] = {}
-    for label, notice, raw, errors, parts, pattern in _compiled(notices):
-        tried = set()
-        for offset, part in parts:
-            at = line.find(part)
-            while at >= 0:
-                lo = max(0, at - offset - errors)
-                hi = min(len(line), at - offset + len(raw) + errors)
-                lo = line.rfind(b" ", 0, lo) + 1 if lo else 0
-                end = line.find(b" ", hi)
-                hi = len(line) if end < 0 else end
-                if (lo, hi) not in tried:
-                    tried.add((lo, hi))
-                    if m := pattern.search(line, lo, hi):
-                        key, cost = (label, m.start(), m.end()), sum(m.fuzzy_counts)
-                        if key not in found or cost < found[key][0]:
-                            found[key] = (cost, notice)
-                at = line.find(part, at + 1)
-    out, before = [], spaces_before(line, (a for _, a, _ in found))
-    for (label, a, b), (cost, notice) in sorted(found.items(), key=lambda x: (x[0][1], x[0][2], x[0][0])):
-        first = before[a]
-        out.append((label, notice, first, first + line.count(b" ", a, b), cost))
-    return out
+    tried: set[tuple[str, int, int]] = set()
+    found: dict[tuple[int, int, str], tuple[float, int, Notice]] = {}
+    for end, (size, at) in _compiled(notices).iter(line.decode("latin-1")):
+        for offset, notice in at:
+            start = end + 1 - size - offset
+            lo, hi = max(0, start - notice.errors), min(len(line), start + len(notice.text) + notice.errors)
+            lo = line.rfind(b" ", 0, lo) + 1 if lo else 0
+            stop = line.find(b" ", hi)
+            hi = len(line) if stop < 0 else stop
+            if (notice.text, lo, hi) in tried:
+                continue
+            tried.add((notice.text, lo, hi))
+            if any(b" %b " % w not in b" %b " % line[lo:hi] for w in notice.exact):
+                continue
+            m = notice.pattern.search(line, lo, hi)
+            if m and (cost := sum(m.fuzzy_counts)) <= notice.errors:
+                key = (m.start(), m.end(), notice.label)
+                found[key] = min(found.get(key, (2.0, 0, notice)), (cost / len(notice.text), cost, notice), key=lambda x: x[:2])
+    kept: list[tuple[int, int, str]] = []
+    for a, b, label in sorted(found, key=lambda k: (found[k][0], k[0] - k[1], k)):
+        i = bisect_left(kept, (a, b, label))
+        # kept places do not overlap, so only the neighbours can
+        if (i == len(kept) or kept[i][0] >= b) and (i == 0 or kept[i - 1][1] <= a):
+            kept.insert(i, (a, b, label))
+    before = spaces_before(line, (a for a, _, _ in kept))
+    return [(label, found[a, b, label][2].text, before[a], before[a] + line.count(b" ", a, b), found[a, b, label][1]) for a, b, label in kept]
 
 
 def spaces_before(line: bytes, places: Iterable[int]) -> dict[int, int]:
@@ -112,7 +158,8 @@ def scan(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, phrase
 
     Base places are exact phrases; labels add those of notices found with up to ``errors_allowed`` edits; spans
     lists the fuzzy places. score: 1 with a base place, else the best 1 - errors / length of a span, else 0.
-    Null and empty texts have no words, empty labels and score 0; the word indexes are then null.
+    Null and empty texts have no words, empty labels and score 0; the word indexes are then null. Repeated rows are
+    repeated, an empty table gives no rows, other columns are not read.
     """
 
     def step(ids: list, texts: list) -> dict:

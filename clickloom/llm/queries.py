@@ -40,7 +40,7 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")).withColumn("spans", F.to_json("spans"))
 
 
 def op8_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
