@@ -1,11 +1,15 @@
-"""Katz backoff bigram model: Good-Turing discounts, exactly normalised backoff weights, scored per token.
-
-The corpus is cut into blocks of tokens. A block sends its distinct words, then its distinct bigrams, to buckets
-(by hash of the word, by context); a bucket sums what all blocks send, so its tables hold all counts of its
-words or bigrams, and answers each block with the counts it asked for. The bigrams of a frequent context (also
-of the start) are dealt to several buckets by their word, as many as its share of the tokens needs, and its
-facts are summed over them. Both tables are written partitioned by kind below the shared folder. Messages are
-sorted arrays, so counting is merging; no block, bucket or message grows with the corpus, only their number does.
+"""Katz backoff n-gram model of any order: Good-Turing discounts, exactly normalised backoff weights, evaluated order by order.
+
+The corpus is cut into blocks of tokens. A block sends its distinct words to buckets by hash, which count them,
+number them and answer. Then it sends its distinct n-grams to buckets by the word before the last: all the shorter
+contexts to which an n-gram backs off end with that word, so one bucket holds its counts of every order, and one
+message gives them all. A bucket keeps one row of a table: its n-grams, their counts, and which of them each block
+asked for. When the discounts of all orders are known, each row is read again, its contexts get their backoff
+weights, and each block gets the log probability of each of its n-grams.
+
+The n-grams of a frequent word are dealt to several buckets by their last word; the facts of its contexts are then
+summed over those buckets by a further exchange, by hash of the context. So no block, bucket or message grows with
+the corpus; their number does, that of the messages with its square (a block sends one to each bucket).
 """
 
 from __future__ import annotations
@@ -25,9 +29,9 @@ from clickloom.llm.common import LOWER_TABLE, shared_dir
 
 #: Counts up to this are discounted.
 K = 5
-#: The end of a text is a word of its own, which no text can hold; the start is a context only.
-END, START = b"", 0
-_SPACE_ = "block string, doc_ids binary, held binary, sizes binary, ids binary, n_words long, words binary, counts binary"
+#: The end of a text is a word of its own, which no text can hold; the start is a context only, and NONE is no context.
+END, START, NONE = b"", 0, (1 << 32) - 1
+_SPACE_ = "block string, doc_ids binary, nulls binary, held binary, sizes binary, ids binary, n_words long, words binary, counts binary"
 
 
 def _zip(x: np.ndarray, steps: bool = False) -> bytes:
@@ -46,9 +50,15 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-_PACKED = pa.schema([("block", pa.string()), *((n, pa.int64() if n == "n_words" else pa.binary()) for n in ("doc_ids", "held", "sizes", "ids", "n_words", "words", "counts"))])
-_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.string()), *((n, pa.binary()) for n in ("keys", "counts", "extra"))])
+_PACKED = pa.schema([("block", pa.string()), *((n, pa.int64() if n == "n_words" else pa.binary()) for n in ("doc_ids", "nulls", "held", "sizes", "ids", "n_words", "words", "counts"))])
+_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.string()), ("columns", pa.list_(pa.binary()))])
 _ANSWER = pa.schema([("kind", pa.string()), ("block", pa.string()), ("bucket", pa.int32()), *((n, pa.binary()) for n in ("a", "b"))])
+_TABLE = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("source", pa.int32()), ("columns", pa.list_(pa.binary())), ("blocks", pa.list_(pa.string())), ("places", pa.list_(pa.binary()))])
+_SENT_, _ANSWER_, _TABLE_ = (
+    "bucket int, block string, columns array<binary>",
+    "kind string, block string, bucket int, a binary, b binary",
+    "kind string, bucket int, source int, columns array<binary>, blocks array<string>, places array<binary>",
+)
 
 
 def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
@@ -69,9 +79,8 @@ def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
             size = np.array(sizes, np.uint32)
             train = np.repeat(~np.array(held, bool), size)
             counts = np.bincount(local[train], minlength=len(words)).astype(np.uint32)
-            # a missing id is the smallest number, as there is no other place for it in an array
-            keys = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
-            row = (f"{part}-{number}", _zip(keys), _zip(np.array(held, np.uint8)), _zip(size), _zip(local), len(words), _zip(words, True), _zip(counts))
+            keys, nulls = np.array([d or 0 for d in doc_ids], np.int64), np.array([d is None for d in doc_ids], np.uint8)
+            row = (f"{part}-{number}", _zip(keys), _zip(nulls), _zip(np.array(held, np.uint8)), _zip(size), _zip(local), len(words), _zip(words, True), _zip(counts))
             return _table(_PACKED, [row]).to_batches()[0]
 
         doc_ids, held, sizes, ids, seen, total = [], [], [], [], {END: 0}, 0
@@ -98,18 +107,19 @@ def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     return docs.select("doc_id", out.alias("held"), "text").mapInArrow(run, _SPACE_)
 
 
-def _of(column: pa.ChunkedArray, kind, steps: bool = False) -> list[np.ndarray]:
-    return [_unzip(x, kind, steps) for x in column.to_pylist()]
-
-
-def _send(block: str, where: np.ndarray, keys: np.ndarray, counts: np.ndarray, extra: np.ndarray | None, buckets: int) -> Iterator[tuple]:
-    """A message to each bucket that has keys (which stay in order)."""
+def _send(block: str, where: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
+    """A message to each bucket that has rows of ``columns`` (which stay in order; the first is sorted)."""
     order = np.argsort(where, kind="stable")
     ends = np.cumsum(np.bincount(where, minlength=buckets))
     for b, hi in enumerate(ends):
         at = order[ends[b - 1] if b else 0 : hi]
         if len(at):
-            yield b, block, _zip(keys[at], True), _zip(counts[at]), None if extra is None else _zip(extra[at])
+            yield b, block, [_zip(c[at], i == 0) for i, c in enumerate(columns)]
+
+
+def _gather(sent: list[list[bytes]], kinds: list) -> list[list[np.ndarray]]:
+    """The columns of each message."""
+    return [[_unzip(x, k, i == 0) for i, (x, k) in enumerate(zip(row, kinds))] for row in sent]
 
 
 @dataclass(frozen=True)
@@ -142,32 +152,41 @@ class Discounts:
 
 
 def _word_bucket(group: pa.Table) -> pa.Table:
-    """Sum a bucket's words over all blocks; answer with each word's number in the bucket (from 1) and count."""
-    bucket, keys, counts = group["bucket"][0].as_py(), _of(group["keys"], np.uint64, True), _of(group["counts"], np.uint32)
-    words, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, np.concatenate(counts), len(words)).astype(np.int64)
-    known = total > 0
-    number = np.where(known, np.cumsum(known), 0)
-    bounds = np.cumsum([len(k) for k in keys])[:-1]
-    rows = [("word", b, bucket, _zip(number[p].astype(np.uint64)), _zip(total[p].astype(np.uint64))) for b, p in zip(group["block"].to_pylist(), np.split(place, bounds))]
-    occurs = np.bincount(np.minimum(total, K + 1), minlength=K + 2)
-    # occurrences of each count up to K, then types and tokens above; the table itself beside it
-    exact = [int((total == K + 1).sum()), int(total[total > K].sum()), int(total.sum()), int(known.sum())]
-    rows.append(("word_stats", None, bucket, np.array([*occurs[1 : K + 1], *exact], np.int64).tobytes(), None))
-    rows.append(("unigrams", None, bucket, _zip(words[known], True), _zip(total[known].astype(np.uint64))))
+    """Sum a bucket's words over all blocks; answer with each word's number in the bucket (from 1, the most frequent first) and count."""
+    bucket, sent = group["bucket"][0].as_py(), _gather(group["columns"].to_pylist(), [np.uint64, np.uint32])
+    words, place = np.unique(np.concatenate([x[0] for x in sent]), return_inverse=True)
+    total = np.bincount(place, np.concatenate([x[1] for x in sent]), len(words)).astype(np.int64)
+    number = np.zeros(len(words), np.uint64)
+    number[np.argsort(-total, kind="stable")] = np.arange(1, len(words) + 1, dtype=np.uint64)
+    number[total == 0] = 0
+    bounds = np.cumsum([len(x[0]) for x in sent])[:-1]
+    rows = [("word", b, bucket, _zip(number[p]), _zip(total[p].astype(np.uint64))) for b, p in zip(group["block"].to_pylist(), np.split(place, bounds))]
+    # occurrences of each count up to K + 1, then tokens above K, tokens and types
+    stats = [*_occurrences(total), int(total[total > K].sum()), int(total.sum()), int((total > 0).sum())]
+    rows.append(("word_stats", None, bucket, np.array(stats, np.int64).tobytes(), None))
+    end = words == xxhash.xxh64_intdigest(END, 42)
+    order = np.argsort(number)[total[np.argsort(number)] > 0]
+    rows.append(("unigrams", None, bucket, _zip(words[order]), _zip(total[order].astype(np.uint64))))
+    if end.any():  # each text has one start and one end
+        rows.append(("texts", None, bucket, total[end].astype(np.int64).tobytes(), None))
     return _table(_ANSWER, rows)
 
 
+def _occurrences(counts: np.ndarray) -> list[int]:
+    """How often each count from 1 to K + 1 occurs."""
+    return np.bincount(np.minimum(counts, K + 2).astype(np.int64), minlength=K + 3)[1 : K + 2].tolist()
+
+
 @dataclass(frozen=True)
 class Frequent:
-    """Contexts (sorted numbers) whose bigrams are dealt to ``spread`` of the ``buckets``, by word; all others stay together."""
+    """Words (sorted numbers) whose n-grams, as the word before the last, are dealt to ``spread`` of the ``buckets`` by the last; all others stay together."""
 
     contexts: np.ndarray
     spread: np.ndarray
     buckets: int
 
-    #: A context is frequent from this part of a bucket's even share of the tokens on.
-    PART = 4
+    #: A word is frequent from a bucket's even share of the tokens, over PART, on.
+    PART = 1
 
     @staticmethod
     def of(counts: dict[int, int], tokens: int, buckets: int) -> Frequent:
@@ -190,38 +209,139 @@ class Frequent:
         return ((contexts + shift) % np.uint64(self.buckets)).astype(np.int64)
 
 
-def _gram_bucket(group: pa.Table, uni: Discounts, n: int, frequent: Frequent) -> pa.Table:
-    """Sum a bucket's bigrams; answer with each bigram's count, and each context's facts.
+def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in order (a pair of numbers, then one number a column), and the place of each row among them."""
+    first, place = np.unique(columns[0], return_index=True, return_inverse=True)[1:]
+    for c in columns[1:]:
+        key = place.astype(np.uint64) << np.uint64(32) | c.astype(np.uint64)
+        first, place = np.unique(key, return_index=True, return_inverse=True)[1:]
+    return [c[first] for c in columns], place
 
-    A context's facts: words seen with each count up to K, tokens and types above K, the unigram mass of all
-    words seen. They are enough for its backoff weight whatever the discounts turn out to be. Those of a frequent
-    context are only this bucket's part, and written apart.
+
+class Level:
+    """The n-grams of one order among a bucket's rows: ``length`` words of context before the last word.
+
+    rows: rows with so long a context; gram: the n-gram of each; total: an n-gram's count; context: an n-gram's
+    context; lower: the count of the n-gram without its first word (of the last word alone at the first level);
+    parent: a context without its first word; words: the words of a context, the nearest first.
     """
-    bucket = group["bucket"][0].as_py()
-    keys, counts, uses = _of(group["keys"], np.uint64, True), _of(group["counts"], np.uint32), _of(group["extra"], np.uint64)
-    pairs, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(place, np.concatenate(counts), len(pairs)).astype(np.int64)
-    mass = uni.apply(np.concatenate(uses)[first]) / n
-    contexts, at = np.unique(pairs >> np.uint64(32), return_inverse=True)
-    facts = np.zeros((len(contexts), K + 3))
-    for r in range(1, K + 1):
-        facts[:, r - 1] = np.bincount(at, total == r, len(contexts))
-    facts[:, K] = np.bincount(at, np.where(total > K, total, 0), len(contexts))
-    facts[:, K + 1] = np.bincount(at, total > K, len(contexts))
-    facts[:, K + 2] = np.bincount(at, np.where(total > 0, mass, 0.0), len(contexts))
-    rows, start = [], 0
-    for block, k in zip(group["block"].to_pylist(), keys):
-        p = place[start : start + len(k)]
-        start += len(k)
-        rows.append(("gram", block, bucket, _zip(total[p].astype(np.uint64)), _zip(facts[np.unique(at[p])])))
-    occurs = [int((total == r).sum()) for r in range(1, K + 2)]
-    rows.append(("gram_stats", None, bucket, np.array(occurs, np.int64).tobytes(), None))
-    seen = total > 0
-    _, parts = frequent.at(contexts)
-    if parts.any():
-        rows.append(("frequent", None, bucket, _zip(contexts[parts]), _zip(facts[parts])))
-    rows.append(("bigrams", None, bucket, _zip(pairs[seen], True), _zip(total[seen].astype(np.uint64))))
-    return _table(_ANSWER, rows)
+
+    def __init__(self, columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray, length: int, below: Level | None):
+        word, near = columns[0] & np.uint64(NONE), [columns[0] >> np.uint64(32), *columns[1:]]
+        self.rows = np.flatnonzero(near[length - 1] != NONE)
+        key = near[length - 1][self.rows].astype(np.uint64)
+        if below is not None:  # a row with a longer context has the shorter one too
+            inside = np.searchsorted(below.rows, self.rows)
+            key |= below.context[below.gram[inside]].astype(np.uint64) << np.uint64(32)
+        _, first, of = np.unique(key, return_index=True, return_inverse=True)
+        self.words = [c[self.rows[first]] for c in near[:length]]
+        self.parent = None if below is None else below.context[below.gram[inside[first]]]
+        _, at, self.gram = np.unique(of.astype(np.uint64) << np.uint64(32) | word[self.rows], return_index=True, return_inverse=True)
+        self.context = of[at]
+        self.total = np.bincount(self.gram, counts[self.rows], len(at)).astype(np.int64)
+        self.lower = uses[self.rows[at]].astype(np.int64) if below is None else below.total[below.gram[inside[at]]]
+
+    def facts(self) -> np.ndarray:
+        """A row for each context: how many of the words seen after it have each count up to K, tokens and words above, and the same by their lower counts.
+
+        Whole numbers, enough for its backoff weight whatever the discounts turn out to be.
+        """
+        seen, n = np.flatnonzero(self.total), int(self.context.max(initial=-1)) + 1
+        out = []
+        for c in (self.total[seen], self.lower[seen]):
+            out += [np.bincount(self.context[seen], c == r, n) for r in range(1, K + 1)]
+            out += [np.bincount(self.context[seen], np.where(c > K, c, 0), n), np.bincount(self.context[seen], c > K, n)]
+        return np.stack(out, 1).astype(np.int64)
+
+
+def levels(columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray) -> list[Level]:
+    out: list[Level] = []
+    for length in range(1, len(columns) + 1):
+        out.append(Level(columns, counts, uses, length, out[-1] if out else None))
+    return out
+
+
+def _kinds(order: int) -> list:
+    """Types of a message's columns: (word before the last, last word), the further context, count, count of the last word."""
+    return [np.uint64, *[np.uint32] * (order - 2), np.uint32, np.uint64]
+
+
+def _parts(found: list[Level], frequent: Frequent, buckets: int) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """The contexts of frequent words, which are in several buckets: which they are at each level, where their facts are summed, their words."""
+    which = [np.flatnonzero(frequent.at(x.words[0].astype(np.uint64))[1]) for x in found]
+    words = [np.concatenate([(x.words[i][at] if i < len(x.words) else np.full(len(at), NONE)).astype(np.uint64) for x, at in zip(found, which)]) for i in range(len(found))]
+    mixed = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        mixed = (mixed ^ w) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return which, (mixed % np.uint64(buckets)).astype(np.int64), words
+
+
+def _gram_bucket(group: pa.Table, order: int, frequent: Frequent) -> pa.Table:
+    """A bucket's row of the table; its counts of counts; and its part of the facts of contexts of frequent words."""
+    bucket, sent = group["bucket"][0].as_py(), _gather(group["columns"].to_pylist(), _kinds(order))
+    whole = [np.concatenate(x) for x in zip(*sent)]
+    columns, place = _distinct(whole[:-2])
+    counts = np.bincount(place, whole[-2], len(columns[0])).astype(np.uint64)
+    uses = np.empty(len(counts), np.uint64)
+    uses[place] = whole[-1]
+    bounds = np.cumsum([len(x[0]) for x in sent])[:-1]
+    del whole
+    table = [_zip(columns[0], True), *map(_zip, columns[1:]), _zip(counts), _zip(uses)]
+    rows = [("grams", bucket, None, table, group["block"].to_pylist(), [_zip(p.astype(np.uint32), True) for p in np.split(place, bounds)])]
+    found = levels(columns, counts, uses)
+    rows.append(("gram_stats", bucket, None, [np.array(_occurrences(x.total), np.int64).tobytes() for x in found], None, None))
+    which, where, words = _parts(found, frequent, frequent.buckets)
+    if len(where):
+        facts = np.concatenate([x.facts()[at] for x, at in zip(found, which)])
+        for target in np.unique(where):
+            at = where == target
+            rows.append(("facts", int(target), bucket, [*(_zip(w[at]) for w in words), _zip(facts[at])], None, None))
+    return _table(_TABLE, rows)
+
+
+_WIDE = 2 * (K + 2)
+
+
+def _sum_facts(group: pa.Table) -> pa.Table:
+    """The facts of a context over all buckets that hold a part of it, for each of them in the order in which it sent its parts."""
+    rows = group.to_pylist()
+    words = [np.concatenate([_unzip(r["columns"][i], np.uint64) for r in rows]) for i in range(len(rows[0]["columns"]) - 1)]
+    facts = np.concatenate([_unzip(r["columns"][-1], np.int64).reshape(-1, _WIDE) for r in rows])
+    _, place = _distinct([words[0], *words[1:]])
+    total = np.stack([np.bincount(place, f) for f in facts.T], 1).astype(np.int64)
+    bounds = np.cumsum([len(_unzip(r["columns"][0], np.uint64)) for r in rows])[:-1]
+    return _table(_TABLE, [("total", r["source"], r["bucket"], [_zip(total[p])], None, None) for r, p in zip(rows, np.split(place, bounds))])
+
+
+def weights(facts: np.ndarray, own: Discounts, lower: Discounts, seen_below: np.ndarray | float, half_below: np.ndarray | bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens seen after each context, its backoff weight, and whether half a count is taken from each of its words.
+
+    The weight is what the discounts leave, over the lower probability of all words not seen after the context, so
+    all words sum to one. seen_below, half_below: the same of the context without its first word.
+    """
+    r = np.arange(1, K + 1)
+    count, sums, many, below, sums_below, many_below = facts[:, :K], facts[:, K], facts[:, K + 1], facts[:, K + 2 : -2], facts[:, -2], facts[:, -1]
+    seen, types = count @ r + sums, count.sum(1) + many
+    half = (count.sum(1) == 0) & (types > 0)
+    free = np.where(half, 0.5 * types, seen - count @ own.apply(r) - sums) / np.maximum(seen, 1)
+    mass = np.where(half_below, sums_below - 0.5 * many_below, below @ lower.apply(r) + sums_below) / np.maximum(seen_below, 1)
+    return seen, np.where(types > 0, free / (1 - mass), 1.0), half
+
+
+def probabilities(found: list[Level], facts: list[np.ndarray], discounts: list[Discounts], p: np.ndarray, total: float) -> np.ndarray:
+    """Probability of each row's last word after its context; ``p``: that of the word alone, of which there are ``total`` tokens."""
+    p = p.copy()
+    seen, half = np.array(total), np.array(False)
+    for k, (level, f) in enumerate(zip(found, facts)):
+        at = slice(None) if level.parent is None else level.parent
+        below = (seen, half) if level.parent is None else (seen[at], half[at])
+        seen, weight, half = weights(f, discounts[k + 1], discounts[k], *below)
+        c = level.total
+        own = np.where(half[level.context], c - 0.5, discounts[k + 1].apply(c)) / np.maximum(seen[level.context], 1)
+        known, gram = c[level.gram] > 0, level.gram
+        p[level.rows] = np.where(known, own[gram], p[level.rows] * weight[level.context[gram]])
+    return p
 
 
 def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -232,107 +352,129 @@ def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
 class _Block:
     """A packed block together with the answers to its words, which come bucket by bucket in the order of its words."""
 
-    def __init__(self, packed: pa.Table, answers: pa.Table, buckets: int):
+    def __init__(self, packed: pa.Table, answers: list[dict], buckets: int):
         row = packed.to_pylist()[0]
         self.name, self.ids, self.sizes = row["block"], _unzip(row["ids"], np.uint32), _unzip(row["sizes"], np.uint32)
-        self.held, self.doc_ids = _unzip(row["held"], np.uint8).astype(bool), _unzip(row["doc_ids"], np.int64)
+        self.held, self.doc_ids, self.nulls = _unzip(row["held"], np.uint8).astype(bool), _unzip(row["doc_ids"], np.int64), _unzip(row["nulls"], np.uint8).astype(bool)
         number, count = [], []
-        for r in sorted((r for r in answers.to_pylist() if r["kind"] == "word"), key=lambda r: r["bucket"]):
+        for r in sorted((r for r in answers if r["kind"] == "word"), key=lambda r: r["bucket"]):
             n = _unzip(r["a"], np.uint64)
-            number.append(np.where(n > 0, (n - 1) * np.uint64(buckets) + np.uint64(r["bucket"] + 1), np.uint64(0)))
+            number.append(np.where(n > 0, (n - np.uint64(1)) * np.uint64(buckets) + np.uint64(r["bucket"] + 1), np.uint64(0)))
             count.append(_unzip(r["b"], np.uint64).astype(np.int64))
         self.number, self.count = np.concatenate(number), np.concatenate(count)
         if len(self.number) != row["n_words"]:
             raise RuntimeError("answers do not fit the block's words")
-        if self.number.max(initial=0) >= 1 << 32:
+        if self.number.max(initial=0) >= NONE:
             raise OverflowError("more than 2^32 distinct words")
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The context and word (0 if unknown) of each token as one number; whether the context is known."""
+    def grams(self, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The tokens whose word before is known, and of each: (that word, the token), then the words before that, NONE from the first unknown one on.
+
+        The start of a text is known; before it there is nothing.
+        """
         word = self.number[self.ids]
-        context = np.empty_like(word)
-        context[1:] = word[:-1]
         starts = np.cumsum(self.sizes) - self.sizes
-        context[starts] = START
-        known = context > 0
-        known[starts] = True
-        return context << np.uint64(32) | word, known
-
-
-def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
+        at = np.arange(len(word)) - np.repeat(starts, self.sizes)
+        near, known = [], np.ones(len(word), bool)
+        for k in range(1, order):
+            c = np.zeros_like(word)
+            c[k:] = word[:-k]
+            known &= (at + 1 >= k) & ((at + 1 == k) | (c > 0))
+            near.append(np.where(known, np.where(at + 1 == k, START, c), NONE))
+        rows = np.flatnonzero(near[0] != NONE)
+        return rows, [(near[0] << np.uint64(32) | word)[rows], *(c[rows].astype(np.uint32) for c in near[1:])]
+
+
+def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows whose crc32(doc_id as text) leaves no 1 on division by 5. Unknown words are one word
-    that holds the unigram mass the discounts leave over. A seen bigram has its discounted relative count; any
-    other word gets the context's backoff weight times its unigram probability, and a context never seen in
-    training backs off whole. The weight makes all words of a context sum to one exactly; a context without a
-    discounted count gives one half of each count. Null texts count as empty (one token, the end); a null doc_id
-    is a training row; repeated rows count as often as they stand; an empty table gives no rows.
+    ``order``: words of the longest n-grams, 2 at least. Learns from the rows whose crc32(doc_id as text) leaves no 1
+    on division by 5. A text has one start before its first word, so its first words have short contexts. Unknown
+    words are one word that holds the unigram mass the discounts leave over. A seen n-gram has its discounted
+    relative count; any other word gets the context's backoff weight times its probability after the context
+    without its first word, and a context never seen in training backs off whole. The weight makes all words of a
+    context sum to one exactly; a context without a discounted count gives one half of each count. Null texts count
+    as empty (one token, the end); a null doc_id is a training row; repeated rows count as often as they stand; an
+    empty table gives no rows; other columns are not read.
     """
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     spark, home = docs.sparkSession, shared_dir(docs.sparkSession, "katz")
     pack(docs.select("doc_id", "text"), most_tokens).write.parquet(f"{home}/packed")
     packed = spark.read.parquet(f"{home}/packed")
     buckets = max(1, packed.count())
-    sent = "bucket int, block string, keys binary, counts binary, extra binary"
-    answer = "kind string, block string, bucket int, a binary, b binary"
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, raw, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 keys = _unzip(raw, np.uint64, True)
-                yield from _table(_SENT, list(_send(block, word_bucket(keys, buckets), keys, _unzip(counts, np.uint32), None, buckets))).to_batches()
+                yield from _table(_SENT, list(_send(block, word_bucket(keys, buckets), [keys, _unzip(counts, np.uint32)], buckets))).to_batches()
 
-    asked = packed.select("block", "words", "counts").mapInArrow(words, sent)
-    asked.groupBy("bucket").applyInArrow(_word_bucket, answer).write.partitionBy("kind").parquet(f"{home}/unigrams")
-    unigrams = spark.read.schema(answer).parquet(f"{home}/unigrams")
-    # a row of ten numbers for each bucket
+    asked = packed.select("block", "words", "counts").mapInArrow(words, _SENT_)
+    asked.groupBy("bucket").applyInArrow(_word_bucket, _ANSWER_).write.partitionBy("kind").parquet(f"{home}/unigrams")
+    unigrams = spark.read.schema(_ANSWER_).parquet(f"{home}/unigrams")
+    # a row of nine numbers for each bucket
     stats = sum((np.frombuffer(r[0], np.int64) for r in unigrams.where("kind = 'word_stats'").select("a").toLocalIterator()), np.zeros(K + 4, np.int64))
     n, v = int(stats[K + 2]), int(stats[K + 3])
     uni = Discounts.of(stats[: K + 1].tolist())
     rest = max(n, 1) - float((uni.apply(np.arange(1, K + 1)) * stats[:K]).sum()) - float(stats[K + 1])
     unknown = max(rest, 0.5) / (max(n, 1) - rest + max(rest, 0.5))  # only a table without small counts needs the half
-    total = int(max(n, 1)) if rest >= 0.5 else max(n, 1) - rest + 0.5
+    total = float(max(n, 1)) if rest >= 0.5 else max(n, 1) - rest + 0.5
     many = max(1, n // (buckets * Frequent.PART))  # of training tokens, so few words have more
-
+    alone = lambda uses: np.where(uses > 0, uni.apply(uses) / total, unknown)
     counted = pa.schema([("context", pa.int64()), ("n", pa.int64())])
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.uint64(xxhash.xxh64_intdigest(END, 42))
         for batch in batches:
-            for bucket, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-                names, counts = _unzip(a, np.uint64, True), _unzip(b, np.uint64).astype(np.int64)
+            for bucket, b in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = _unzip(b, np.uint64).astype(np.int64)
                 hot = np.flatnonzero(counts >= many)
-                # each text has one start and one end
-                start = counts[names == end].tolist()
-                yield pa.RecordBatch.from_pydict({"context": [*(hot * buckets + bucket + 1).tolist(), *[START for _ in start]], "n": [*counts[hot].tolist(), *start]}, schema=counted)
+                yield pa.RecordBatch.from_pydict({"context": (hot * buckets + bucket + 1).tolist(), "n": counts[hot].tolist()}, schema=counted)
 
-    hot = unigrams.where("kind = 'unigrams'").select("bucket", "a", "b").mapInArrow(often, "context long, n long")
-    frequent = Frequent.of({r[0]: r[1] for r in hot.toLocalIterator()}, max(n, 1), buckets)
-    texts = packed.drop("words", "counts")
+    hot = {r[0]: r[1] for r in unigrams.where("kind = 'unigrams'").select("bucket", "b").mapInArrow(often, "context long, n long").toLocalIterator()}
+    texts = sum(int(np.frombuffer(r[0], np.int64)[0]) for r in unigrams.where("kind = 'texts'").select("a").toLocalIterator())
+    frequent = Frequent.of(hot | {START: texts}, max(n, 1), buckets)
+    blocks = packed.drop("words", "counts")
     by_word = unigrams.where("kind = 'word'").select("kind", "block", "bucket", "a", "b")
 
-    def grams(left: pa.Table, right: pa.Table) -> pa.Table:
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table(_SENT, [])
-        block = _Block(left, right, buckets)
-        pairs, known = block.pairs()
-        train = np.repeat(~block.held, block.sizes)[known]
-        keys, first, place = np.unique(pairs[known], return_index=True, return_inverse=True)
-        counts = np.bincount(place, train, len(keys)).astype(np.uint32)
-        uses = block.count[block.ids[known]][first].astype(np.uint64)
-        where = frequent.bucket(keys)
-        return _table(_SENT, list(_send(block.name, where, keys, counts, uses, buckets)))
-
-    asked = texts.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(grams, sent)
-    asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, uni, total, frequent), answer).write.partitionBy("kind").parquet(f"{home}/bigrams")
-    bigrams = spark.read.schema(answer).parquet(f"{home}/bigrams")
-    occurs = sum((np.frombuffer(r[0], np.int64) for r in bigrams.where("kind = 'gram_stats'").select("a").toLocalIterator()), np.zeros(K + 1, np.int64))
-    bi = Discounts.of(occurs.tolist())
-    whole = np.zeros((len(frequent.contexts), K + 3))
-    # the sum of all spreads is 2 * PART + 1 rows a bucket at most; in order, so that sums are the same each time
-    for r in bigrams.where("kind = 'frequent'").select("a", "b").orderBy("bucket").toLocalIterator():
-        whole[frequent.at(_unzip(r[0], np.uint64))[0]] += _unzip(r[1], np.float64).reshape(-1, K + 3)
-    answers = by_word.union(bigrams.where("kind = 'gram'").select("kind", "block", "bucket", "a", "b"))
+        block = _Block(left, right.to_pylist(), buckets)
+        rows, columns = block.grams(order)
+        columns, place = _distinct(columns)
+        counts = np.bincount(place, np.repeat(~block.held, block.sizes)[rows], len(columns[0])).astype(np.uint32)
+        uses = np.empty(len(counts), np.uint64)
+        uses[place] = block.count[block.ids[rows]]
+        return _table(_SENT, list(_send(block.name, frequent.bucket(columns[0]), [*columns, counts, uses], buckets)))
+
+    asked = blocks.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(ask, _SENT_)
+    asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, order, frequent), _TABLE_).write.partitionBy("kind").parquet(f"{home}/ngrams")
+    ngrams = spark.read.schema(_TABLE_).parquet(f"{home}/ngrams")
+    occurs = np.zeros((order - 1, K + 1), np.int64)
+    for r in ngrams.where("kind = 'gram_stats'").select("columns").toLocalIterator():  # some numbers for each bucket
+        occurs += np.array([np.frombuffer(x, np.int64) for x in r[0]])
+    discounts = [uni, *(Discounts.of(x.tolist()) for x in occurs)]
+    sums = ngrams.where("kind = 'facts'").groupBy("bucket").applyInArrow(_sum_facts, _TABLE_)
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table(_ANSWER, [])
+        row, totals = left.to_pylist()[0], {r["source"]: r["columns"][0] for r in right.to_pylist()}
+        kinds = [*_kinds(order)[:-2], np.uint64, np.uint64]
+        *columns, counts, uses = _gather([row["columns"]], kinds)[0]
+        found = levels(columns, counts, uses)
+        facts = [x.facts() for x in found]
+        which, where, _ = _parts(found, frequent, buckets)
+        whole = np.zeros((len(where), _WIDE), np.int64)
+        for target in np.unique(where):
+            whole[where == target] = _unzip(totals[int(target)], np.int64).reshape(-1, _WIDE)
+        for f, at, new in zip(facts, which, np.split(whole, np.cumsum([len(x) for x in which])[:-1])):
+            f[at] = new
+        log = np.log10(probabilities(found, facts, discounts, alone(uses.astype(np.int64)), total))
+        return _table(_ANSWER, [("gram", b, row["bucket"], _zip(log[_unzip(x, np.uint32, True)]), None) for b, x in zip(row["blocks"], row["places"])])
+
+    answers = ngrams.where("kind = 'grams'").groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(answer, _ANSWER_)
     result = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     )
@@ -340,43 +482,23 @@ def score(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return result.empty_table()
-        block = _Block(left, right, buckets)
-        pairs, known = block.pairs()
-        uses = block.count[block.ids]
-        p = np.where(uses > 0, uni.apply(uses) / total, unknown)
-        keys, place = np.unique(pairs[known], return_inverse=True)
-        where = frequent.bucket(keys)
-        each, at = np.unique(keys >> np.uint64(32), return_inverse=True)
-        counts, facts = np.zeros(len(keys), np.int64), np.zeros((len(each), K + 3))
-        for r in right.to_pylist():
+        given = right.to_pylist()
+        block = _Block(left, given, buckets)
+        rows, columns = block.grams(order)
+        columns, place = _distinct(columns)
+        where = frequent.bucket(columns[0])
+        log = np.zeros(len(where))
+        for r in given:
             if r["kind"] == "gram":
-                counts[where == r["bucket"]] = _unzip(r["a"], np.uint64)
-                facts[np.unique(at[where == r["bucket"]])] = _unzip(r["b"], np.float64).reshape(-1, K + 3)
-        listed, parts = frequent.at(each)
-        facts[parts] = whole[listed[parts]]
-        seen, left_over, plain = weights(facts, bi)
-        prob = p
-        prob[known] *= left_over[at][place]
-        c = counts[place]
-        own = np.where(plain[at][place], c - 0.5, bi.apply(c)) / np.maximum(seen[at][place], 1)
-        prob[known] = np.where(c > 0, own, prob[known])
+                log[where == r["bucket"]] = _unzip(r["a"], np.float64)
+        uses = block.count[block.ids]
+        each = np.log10(alone(uses))
+        each[rows] = log[place]
         doc = np.repeat(np.arange(len(block.sizes)), block.sizes)
         add = lambda x: np.bincount(doc, x, len(block.sizes))
         base = np.log10((uses + 0.5) / (n + 0.5 * (v + 1)))
-        ids = pa.array(block.doc_ids, mask=block.doc_ids == -(1 << 63))
-        cols = [ids, block.held, block.sizes.astype(np.int64), add(uses > 0).astype(np.int64), np.full(len(block.sizes), n), add(base), add(np.log10(prob))]
+        cols = [pa.array(block.doc_ids, mask=block.nulls), block.held, block.sizes.astype(np.int64), add(uses > 0).astype(np.int64), np.full(len(block.sizes), n), add(base), add(each)]
         return pa.Table.from_arrays([pa.array(x) if not isinstance(x, pa.Array) else x for x in cols], schema=result)
 
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, columns)
-
-
-def weights(facts: np.ndarray, bi: Discounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens seen after each context, its backoff weight, and whether half a count is taken from each of its words."""
-    r = np.arange(1, K + 1)
-    seen = (facts[:, :K] * r).sum(1) + facts[:, K]
-    types = facts[:, :K].sum(1) + facts[:, K + 1]
-    plain = (facts[:, :K].sum(1) == 0) & (types > 0)
-    kept = (facts[:, :K] * bi.apply(r)).sum(1) + facts[:, K]
-    free = np.where(plain, 0.5 * types, seen - kept) / np.maximum(seen, 1)
-    return seen, np.where(types > 0, free / (1 - facts[:, K + 2]), 1.0), plain
+    return blocks.groupBy("block").cogroup(by_word.union(answers).groupBy("block")).applyInArrow(scored, columns)

@@ -22,55 +22,68 @@ def _texts(rng, n):
     return [(i, " ".join(rng.choices(words + [f"rare{i}"], [*weight, 0.3], k=rng.randrange(1, 60)))) for i in range(n)] + [(1000, None), (1001, ""), (1002, " \n")]
 
 
-def _model(docs):
-    """P(word | context) from the definitions, over dictionaries; the context None is the start of a text."""
+def _model(docs, order):
+    """P(word | context) from the definitions, over dictionaries; a context is a tuple whose None is the start of a text."""
     split = lambda t: [*"".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split(), ""]
     train = [split(t) for d, t in docs if zlib.crc32(str(d).encode()) % 5 != 1]
     uni = Counter(w for t in train for w in t)
     grams = defaultdict(Counter)
     for t in train:
-        for a, b in zip([None, *t], t):
-            grams[a][b] += 1
+        s = [None, *t]
+        for i in range(1, len(s)):
+            for k in range(1, min(order - 1, i) + 1):
+                grams[tuple(s[i - k : i])][s[i]] += 1
     n = sum(uni.values())
-    d1 = Discounts.of([sum(c == r for c in uni.values()) for r in range(1, 7)]).factors
-    d2 = Discounts.of([sum(c == r for g in grams.values() for c in g.values()) for r in range(1, 7)]).factors
-    less = lambda d, c: c * d[c - 1] if c <= 5 else c
-    low = {w: less(d1, c) / n for w, c in uni.items()}
+    factors = [Discounts.of([sum(c == r for c in uni.values()) for r in range(1, 7)]).factors]
+    factors += [Discounts.of([sum(c == r for h, g in grams.items() if len(h) == k for c in g.values()) for r in range(1, 7)]).factors for k in range(1, order)]
+    less = lambda k, c: c * factors[k][c - 1] if c <= 5 else c
+    low = {w: less(0, c) / n for w, c in uni.items()}
     unknown = 1 - sum(low.values())
 
     def p(context, word):
-        base, g = low.get(word, unknown), grams.get(context)
+        if not context:
+            return low.get(word, unknown)
+        g, base = grams.get(context), p(context[1:], word)
         if g is None:
             return base
-        own = {w: (c - 0.5 if all(x > 5 for x in g.values()) else less(d2, c)) / sum(g.values()) for w, c in g.items()}
-        return own[word] if word in own else base * (1 - sum(own.values())) / (1 - sum(low[w] for w in g))
+        own = {w: (c - 0.5 if all(x > 5 for x in g.values()) else less(len(context), c)) / sum(g.values()) for w, c in g.items()}
+        return own[word] if word in own else base * (1 - sum(own.values())) / (1 - sum(p(context[1:], w) for w in g))
 
-    return split, uni, n, unknown, grams, p
+    return split, uni, n, unknown, p
 
 
-def test_katz_equals_brute_force_whatever_the_blocks(spark):
+def test_katz_equals_brute_force_whatever_the_order_and_blocks(spark):
     docs = _texts(random.Random(5), 120)
-    split, uni, n, unknown, grams, p = _model(docs)
-    assert unknown > 0
-    for context in [None, "w0", "w3", "never"]:
-        assert math.isclose(sum(p(context, w) for w in [*uni, "<other>"]), 1, abs_tol=1e-12)
-    for size in (150, 3_000_000):
-        got = {r.doc_id: r for r in katz.score(spark.createDataFrame(docs, "doc_id long, text string"), size).collect()}
+    for order, size in ((2, 150), (3, 150), (3, 3_000_000), (4, 400)):
+        split, uni, n, unknown, p = _model(docs, order)
+        assert unknown > 0
+        for context in [(None,), ("w0",), ("w3", "w0"), ("never", "w1"), (None, "w2"), ("w0", "w0", "w1")]:
+            context = context[-(order - 1) :]
+            assert math.isclose(sum(p(context, w) for w in [*uni, "<other>"]), 1, abs_tol=1e-12)
+        got = {r.doc_id: r for r in katz.score(spark.createDataFrame(docs, "doc_id long, text string"), order, size).collect()}
         assert len(got) == len(docs)
         for d, t in docs:
             w, r = split(t), got[d]
             assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(d).encode()) % 5 == 1, len(w), sum(x in uni for x in w), n)
             assert math.isclose(r.base_score, sum(math.log10((uni[x] + 0.5) / (n + 0.5 * (len(uni) + 1))) for x in w), rel_tol=1e-9)
-            assert math.isclose(r.score, sum(math.log10(p(a, b)) for a, b in zip([None, *w], w)), rel_tol=1e-9), (d, size)
+            s = [None, *w]
+            want = sum(math.log10(p(tuple(s[max(0, i - order + 1) : i]), s[i])) for i in range(1, len(s)))
+            assert math.isclose(r.score, want, rel_tol=1e-9), (order, d, size)
     assert katz.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_katz_takes_every_id(spark):
+    docs = [(-(1 << 63), "a b"), (None, "a b"), (0, "c")]
+    got = {r.doc_id: r.n_tokens for r in katz.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {-(1 << 63): 3, None: 3, 0: 2}
+
+
 def test_katz_deals_a_frequent_context_to_many_buckets(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(katz, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
     docs = spark.createDataFrame([(i, f"w{i} x") for i in range(4000)], "doc_id long, text string").repartition(4)
-    assert katz.score(docs, 500).count() == 4000
-    sizes = [len(katz._unzip(r.a, "u8")) for r in spark.read.parquet(f"{tmp_path}/katz/bigrams").where("kind = 'bigrams'").collect()]
-    assert len(sizes) >= 16 and sum(sizes) > 6000 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    assert katz.score(docs, 3, 500).count() == 4000
+    sizes = [len(katz._unzip(r.columns[0], "u8")) for r in spark.read.parquet(f"{tmp_path}/katz/ngrams").where("kind = 'grams'").collect()]
+    assert len(sizes) >= 16 and sum(sizes) > 6000 and max(sizes) < 4 * sum(sizes) / len(sizes)
 
 
 def _one_edit(a, b):
