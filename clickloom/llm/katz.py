@@ -7,8 +7,9 @@ message gives them all. A bucket keeps one row of a table: its n-grams, their co
 asked for. When the discounts of all orders are known, each row is read again, its contexts get their backoff
 weights, and each block gets the log probability of each of its n-grams.
 
-The n-grams of a frequent word are dealt to several buckets by their last word; the facts of its contexts are then
-summed over those buckets by a further exchange, by hash of the context. So no block, bucket or message grows with
+The n-grams of a frequent word are dealt to several buckets by their last word, and of a frequent pair by the word
+before it, too; the facts of such contexts are then summed over those buckets by a further exchange, by hash of the
+context. So no block, bucket or message grows with
 the corpus; their number does, that of the messages with its square (a block sends one to each bucket).
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,13 @@ from clickloom.llm.common import LOWER_TABLE, shared_dir
 K = 5
 #: The end of a text is a word of its own, which no text can hold; the start is a context only, and NONE is no context.
 END, START, NONE = b"", 0, (1 << 32) - 1
-_SPACE_ = "block string, doc_ids binary, nulls binary, held binary, sizes binary, ids binary, n_words long, words binary, counts binary"
+_SPACE_ = "block string, doc_ids binary, nulls binary, held binary, sizes binary, ids binary, n_words long, words binary, order binary, counts binary"
 
 
 def _zip(x: np.ndarray, steps: bool = False) -> bytes:
     """An array's bytes, most significant apart from least; ``steps``: of the differences of a sorted array."""
     x = np.ascontiguousarray(np.diff(x, prepend=x.dtype.type(0)) if steps else x)
-    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 3)
+    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 6)
 
 
 def _unzip(data: bytes, kind, steps: bool = False) -> np.ndarray:
@@ -50,7 +52,7 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-_PACKED = pa.schema([("block", pa.string()), *((n, pa.int64() if n == "n_words" else pa.binary()) for n in ("doc_ids", "nulls", "held", "sizes", "ids", "n_words", "words", "counts"))])
+_PACKED = pa.schema([("block", pa.string()), *((n, pa.int64() if n == "n_words" else pa.binary()) for n in ("doc_ids", "nulls", "held", "sizes", "ids", "n_words", "words", "order", "counts"))])
 _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.string()), ("columns", pa.list_(pa.binary()))])
 _ANSWER = pa.schema([("kind", pa.string()), ("block", pa.string()), ("bucket", pa.int32()), *((n, pa.binary()) for n in ("a", "b"))])
 _TABLE = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("source", pa.int32()), ("columns", pa.list_(pa.binary())), ("blocks", pa.list_(pa.string())), ("places", pa.list_(pa.binary()))])
@@ -64,8 +66,9 @@ _SENT_, _ANSWER_, _TABLE_ = (
 def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     """One row for each block of about ``most_tokens`` tokens: its texts as numbers of the block's own words.
 
-    words: sorted 64-bit hashes of the distinct tokens; ids: for each token the place of its word; counts: how
-    often a word stands in the block's training texts.
+    words: sorted 64-bit hashes of the distinct tokens; ids: for each token the rank of its word, the most frequent
+    first (small numbers pack well); order: for each rank the place of the word; counts: how often a word stands in
+    the block's training texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,12 +78,15 @@ def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
         def flush() -> pa.RecordBatch:
             names = np.fromiter((digest(w, 42) for w in seen), np.uint64, len(seen))
             words, place = np.unique(names, return_inverse=True)
-            local = place.astype(np.uint32)[np.concatenate(ids)]
-            size = np.array(sizes, np.uint32)
+            local, size = np.concatenate(ids), np.array(sizes, np.uint32)
             train = np.repeat(~np.array(held, bool), size)
-            counts = np.bincount(local[train], minlength=len(words)).astype(np.uint32)
+            counts = np.bincount(place[local[train]], minlength=len(words)).astype(np.uint32)
+            order = np.argsort(-np.bincount(local, minlength=len(names)), kind="stable")
+            rank = np.empty(len(names), np.uint32)
+            rank[order] = np.arange(len(names), dtype=np.uint32)
+            local = rank[local]
             keys, nulls = np.array([d or 0 for d in doc_ids], np.int64), np.array([d is None for d in doc_ids], np.uint8)
-            row = (f"{part}-{number}", _zip(keys), _zip(nulls), _zip(np.array(held, np.uint8)), _zip(size), _zip(local), len(words), _zip(words, True), _zip(counts))
+            row = (f"{part}-{number}", _zip(keys), _zip(nulls), _zip(np.array(held, np.uint8)), _zip(size), _zip(local), len(words), _zip(words, True), _zip(place[order].astype(np.uint32)), _zip(counts))
             return _table(_PACKED, [row]).to_batches()[0]
 
         doc_ids, held, sizes, ids, seen, total = [], [], [], [], {END: 0}, 0
@@ -107,19 +113,26 @@ def pack(docs: DataFrame, most_tokens: int = 2_000_000) -> DataFrame:
     return docs.select("doc_id", out.alias("held"), "text").mapInArrow(run, _SPACE_)
 
 
-def _send(block: str, where: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
-    """A message to each bucket that has rows of ``columns`` (which stay in order; the first is sorted)."""
+def _send(block: str, where: np.ndarray, columns: list[np.ndarray], buckets: int, uses: np.ndarray | None = None) -> Iterator[tuple]:
+    """A message to each bucket that has rows of ``columns`` (which stay in order; the first is sorted); ``uses``: the count of each row's last word."""
     order = np.argsort(where, kind="stable")
     ends = np.cumsum(np.bincount(where, minlength=buckets))
     for b, hi in enumerate(ends):
         at = order[ends[b - 1] if b else 0 : hi]
         if len(at):
-            yield b, block, [_zip(c[at], i == 0) for i, c in enumerate(columns)]
+            yield b, block, _pack([c[at] for c in columns], None if uses is None else uses[at])
 
 
-def _gather(sent: list[list[bytes]], kinds: list) -> list[list[np.ndarray]]:
-    """The columns of each message."""
-    return [[_unzip(x, k, i == 0) for i, (x, k) in enumerate(zip(row, kinds))] for row in sent]
+def _pack(columns: list[np.ndarray], uses: np.ndarray | None = None) -> list[bytes]:
+    """``uses`` goes once for each last word."""
+    out = [_zip(c, i == 0) for i, c in enumerate(columns)]
+    return out if uses is None else [*out, _zip(uses[np.unique(columns[0] & np.uint64(NONE), return_index=True)[1]])]
+
+
+def _unpack(sent: list[bytes], kinds: list) -> list[np.ndarray]:
+    """The columns of a message, ``uses`` again for each row."""
+    out = [_unzip(x, k, i == 0) for i, (x, k) in enumerate(zip(sent, kinds))]
+    return out if len(sent) == len(kinds) else [*out, _unzip(sent[-1], np.uint64)[np.unique(out[0] & np.uint64(NONE), return_inverse=True)[1]]]
 
 
 @dataclass(frozen=True)
@@ -153,7 +166,7 @@ class Discounts:
 
 def _word_bucket(group: pa.Table) -> pa.Table:
     """Sum a bucket's words over all blocks; answer with each word's number in the bucket (from 1, the most frequent first) and count."""
-    bucket, sent = group["bucket"][0].as_py(), _gather(group["columns"].to_pylist(), [np.uint64, np.uint32])
+    bucket, sent = group["bucket"][0].as_py(), [_unpack(x, [np.uint64, np.uint32]) for x in group["columns"].to_pylist()]
     words, place = np.unique(np.concatenate([x[0] for x in sent]), return_inverse=True)
     total = np.bincount(place, np.concatenate([x[1] for x in sent]), len(words)).astype(np.int64)
     number = np.zeros(len(words), np.uint64)
@@ -177,37 +190,66 @@ def _occurrences(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, K + 2).astype(np.int64), minlength=K + 3)[1 : K + 2].tolist()
 
 
-@dataclass(frozen=True)
 class Frequent:
-    """Words (sorted numbers) whose n-grams, as the word before the last, are dealt to ``spread`` of the ``buckets`` by the last; all others stay together."""
+    """Words whose n-grams, as the word before the last, are dealt to several of the ``buckets``, by the last word; all others stay together.
 
-    contexts: np.ndarray
-    spread: np.ndarray
-    buckets: int
+    contexts: their numbers, sorted; spread: to how many buckets each. pairs: of such a word and a last word, those
+    that are as frequent themselves, sorted; their n-grams are dealt once more, by the word before. Their counts
+    (pair_counts) and those of their last words (pair_uses) are known beforehand, so no bucket needs them whole.
+    """
 
-    #: A word is frequent from a bucket's even share of the tokens, over PART, on.
+    #: A word or pair is frequent from a bucket's even share of the tokens, over PART, on.
     PART = 1
 
+    def __init__(self, counts: dict[int, int], tokens: int, buckets: int, pairs: list[tuple[int, int, int]] = ()):
+        """``counts``: training counts by word number; ``pairs``: (word before << 32 | word, count, count of the word)."""
+        share = lambda k: min(buckets, -(-k * buckets * self.PART // tokens))
+        self.buckets, found = buckets, sorted((c, share(k)) for c, k in counts.items() if self.is_frequent(k, tokens, buckets))
+        self.contexts, self.spread = (np.array([x[i] for x in found], np.uint64) for i in (0, 1))
+        pairs = sorted(pairs)
+        self.pairs, self.pair_counts, self.pair_uses = (np.array([x[i] for x in pairs], np.uint64) for i in (0, 1, 2))
+        self.pair_spread = np.array([share(x[1]) for x in pairs], np.uint64)
+
+    @classmethod
+    def is_frequent(cls, count: int, tokens: int, buckets: int) -> bool:
+        return count * buckets * cls.PART > tokens
+
     @staticmethod
-    def of(counts: dict[int, int], tokens: int, buckets: int) -> Frequent:
-        """From the training counts of the contexts that may be frequent: there are PART + 1 a bucket at most."""
-        found = sorted((c, min(buckets, -(-k * buckets * Frequent.PART // tokens))) for c, k in counts.items() if k * buckets * Frequent.PART > tokens)
-        return Frequent(np.array([c for c, _ in found], np.uint64), np.array([x for _, x in found], np.uint64), buckets)
-
-    def at(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each context in the list, and whether it is there."""
-        if not len(self.contexts):
-            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), bool)
-        place = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
-        return place, self.contexts[place] == contexts
-
-    def bucket(self, pairs: np.ndarray) -> np.ndarray:
-        contexts, words = pairs >> np.uint64(32), pairs & np.uint64((1 << 32) - 1)
-        place, found = self.at(contexts)
-        shift = np.zeros(len(pairs), np.uint64)
-        shift[found] = words[found] % self.spread[place[found]]
+    def place(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key in the sorted list, and whether it is there."""
+        if not len(known):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return at, known[at] == keys
+
+    def bucket(self, columns: list[np.ndarray]) -> np.ndarray:
+        contexts, words = columns[0] >> np.uint64(32), columns[0] & np.uint64(NONE)
+        at, found = self.place(self.contexts, contexts)
+        shift = np.zeros(len(words), np.uint64)
+        shift[found] = words[found] % self.spread[at[found]]
+        if len(columns) > 1:
+            at, found = self.place(self.pairs, columns[0])
+            shift[found] += columns[1][found].astype(np.uint64) % self.pair_spread[at[found]]
         return ((contexts + shift) % np.uint64(self.buckets)).astype(np.int64)
 
+    def pair_facts(self, contexts: np.ndarray) -> np.ndarray:
+        """What the frequent pairs add to the facts of each context of one word."""
+        at, found = self.place(np.unique(contexts), self.pairs >> np.uint64(32))
+        out = facts_of(at[found], self.pair_counts[found].astype(np.int64), self.pair_uses[found].astype(np.int64), len(contexts))
+        return out[np.unique(contexts, return_inverse=True)[1]] if len(contexts) else out
+
+
+def facts_of(context: np.ndarray, total: np.ndarray, lower: np.ndarray, n: int) -> np.ndarray:
+    """A row for each of ``n`` contexts: how many of the words seen after it have each count up to K, tokens and words above, and the same by their lower counts.
+
+    Whole numbers, enough for its backoff weight whatever the discounts turn out to be.
+    """
+    out = []
+    for c in (total, lower):
+        out += [np.bincount(context, c == r, n) for r in range(1, K + 1)]
+        out += [np.bincount(context, np.where(c > K, c, 0), n), np.bincount(context, c > K, n)]
+    return np.stack(out, 1).astype(np.int64)
+
 
 def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct rows in order (a pair of numbers, then one number a column), and the place of each row among them."""
@@ -222,11 +264,11 @@ class Level:
     """The n-grams of one order among a bucket's rows: ``length`` words of context before the last word.
 
     rows: rows with so long a context; gram: the n-gram of each; total: an n-gram's count; context: an n-gram's
-    context; lower: the count of the n-gram without its first word (of the last word alone at the first level);
-    parent: a context without its first word; words: the words of a context, the nearest first.
+    context; own: whether this bucket alone has it; lower: the count of the n-gram without its first word (of the last
+    word alone at the first level); parent: a context without its first word; words: the words of a context, the nearest first.
     """
 
-    def __init__(self, columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray, length: int, below: Level | None):
+    def __init__(self, columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray, length: int, below: Level | None, frequent: Frequent):
         word, near = columns[0] & np.uint64(NONE), [columns[0] >> np.uint64(32), *columns[1:]]
         self.rows = np.flatnonzero(near[length - 1] != NONE)
         key = near[length - 1][self.rows].astype(np.uint64)
@@ -240,35 +282,31 @@ class Level:
         self.context = of[at]
         self.total = np.bincount(self.gram, counts[self.rows], len(at)).astype(np.int64)
         self.lower = uses[self.rows[at]].astype(np.int64) if below is None else below.total[below.gram[inside[at]]]
+        self.own = np.ones(len(at), bool)
+        if below is None:  # frequent pairs are in several buckets; no bucket counts them as its own
+            place, found = frequent.place(frequent.pairs, columns[0][self.rows[at]])
+            self.total[found], self.own[found] = frequent.pair_counts[place[found]], False
 
     def facts(self) -> np.ndarray:
-        """A row for each context: how many of the words seen after it have each count up to K, tokens and words above, and the same by their lower counts.
-
-        Whole numbers, enough for its backoff weight whatever the discounts turn out to be.
-        """
-        seen, n = np.flatnonzero(self.total), int(self.context.max(initial=-1)) + 1
-        out = []
-        for c in (self.total[seen], self.lower[seen]):
-            out += [np.bincount(self.context[seen], c == r, n) for r in range(1, K + 1)]
-            out += [np.bincount(self.context[seen], np.where(c > K, c, 0), n), np.bincount(self.context[seen], c > K, n)]
-        return np.stack(out, 1).astype(np.int64)
+        seen = np.flatnonzero((self.total > 0) & self.own)
+        return facts_of(self.context[seen], self.total[seen], self.lower[seen], int(self.context.max(initial=-1)) + 1)
 
 
-def levels(columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray) -> list[Level]:
+def levels(columns: list[np.ndarray], counts: np.ndarray, uses: np.ndarray, frequent: Frequent) -> list[Level]:
     out: list[Level] = []
     for length in range(1, len(columns) + 1):
-        out.append(Level(columns, counts, uses, length, out[-1] if out else None))
+        out.append(Level(columns, counts, uses, length, out[-1] if out else None, frequent))
     return out
 
 
-def _kinds(order: int) -> list:
-    """Types of a message's columns: (word before the last, last word), the further context, count, count of the last word."""
-    return [np.uint64, *[np.uint32] * (order - 2), np.uint32, np.uint64]
+def _kinds(order: int, count=np.uint32) -> list:
+    """Types of a message's columns: (word before the last, last word), the further context, count."""
+    return [np.uint64, *[np.uint32] * (order - 2), count]
 
 
 def _parts(found: list[Level], frequent: Frequent, buckets: int) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
     """The contexts of frequent words, which are in several buckets: which they are at each level, where their facts are summed, their words."""
-    which = [np.flatnonzero(frequent.at(x.words[0].astype(np.uint64))[1]) for x in found]
+    which = [np.flatnonzero(frequent.place(frequent.contexts, x.words[0].astype(np.uint64))[1]) for x in found]
     words = [np.concatenate([(x.words[i][at] if i < len(x.words) else np.full(len(at), NONE)).astype(np.uint64) for x, at in zip(found, which)]) for i in range(len(found))]
     mixed = np.zeros(len(words[0]), np.uint64)
     for w in words:
@@ -279,18 +317,19 @@ def _parts(found: list[Level], frequent: Frequent, buckets: int) -> tuple[list[n
 
 def _gram_bucket(group: pa.Table, order: int, frequent: Frequent) -> pa.Table:
     """A bucket's row of the table; its counts of counts; and its part of the facts of contexts of frequent words."""
-    bucket, sent = group["bucket"][0].as_py(), _gather(group["columns"].to_pylist(), _kinds(order))
+    bucket, sent = group["bucket"][0].as_py(), [_unpack(x, _kinds(order)) for x in group["columns"].to_pylist()]
+    bounds = np.cumsum([len(x[0]) for x in sent])[:-1]
     whole = [np.concatenate(x) for x in zip(*sent)]
+    del sent
     columns, place = _distinct(whole[:-2])
     counts = np.bincount(place, whole[-2], len(columns[0])).astype(np.uint64)
     uses = np.empty(len(counts), np.uint64)
     uses[place] = whole[-1]
-    bounds = np.cumsum([len(x[0]) for x in sent])[:-1]
     del whole
-    table = [_zip(columns[0], True), *map(_zip, columns[1:]), _zip(counts), _zip(uses)]
-    rows = [("grams", bucket, None, table, group["block"].to_pylist(), [_zip(p.astype(np.uint32), True) for p in np.split(place, bounds)])]
-    found = levels(columns, counts, uses)
-    rows.append(("gram_stats", bucket, None, [np.array(_occurrences(x.total), np.int64).tobytes() for x in found], None, None))
+    rows = [("grams", bucket, None, _pack([*columns, counts], uses), group["block"].to_pylist(), [_zip(p.astype(np.uint32), True) for p in np.split(place, bounds)])]
+    del place
+    found = levels(columns, counts, uses, frequent)
+    rows.append(("gram_stats", bucket, None, [np.array(_occurrences(x.total[x.own]), np.int64).tobytes() for x in found], None, None))
     which, where, words = _parts(found, frequent, frequent.buckets)
     if len(where):
         facts = np.concatenate([x.facts()[at] for x, at in zip(found, which)])
@@ -364,6 +403,8 @@ class _Block:
         self.number, self.count = np.concatenate(number), np.concatenate(count)
         if len(self.number) != row["n_words"]:
             raise RuntimeError("answers do not fit the block's words")
+        order = _unzip(row["order"], np.uint32)
+        self.number, self.count = self.number[order], self.count[order]
         if self.number.max(initial=0) >= NONE:
             raise OverflowError("more than 2^32 distinct words")
 
@@ -402,7 +443,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
     spark, home = docs.sparkSession, shared_dir(docs.sparkSession, "katz")
     pack(docs.select("doc_id", "text"), most_tokens).write.parquet(f"{home}/packed")
     packed = spark.read.parquet(f"{home}/packed")
-    buckets = max(1, packed.count())
+    buckets = max(1, 2 * packed.count())
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,18 +463,37 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
     total = float(max(n, 1)) if rest >= 0.5 else max(n, 1) - rest + 0.5
     many = max(1, n // (buckets * Frequent.PART))  # of training tokens, so few words have more
     alone = lambda uses: np.where(uses > 0, uni.apply(uses) / total, unknown)
-    counted = pa.schema([("context", pa.int64()), ("n", pa.int64())])
+    counted = pa.schema([("context", pa.int64()), ("word", pa.decimal128(20)), ("n", pa.int64())])
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, b in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = _unzip(b, np.uint64).astype(np.int64)
+            for bucket, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                names, counts = _unzip(a, np.uint64), _unzip(b, np.uint64).astype(np.int64)
                 hot = np.flatnonzero(counts >= many)
-                yield pa.RecordBatch.from_pydict({"context": (hot * buckets + bucket + 1).tolist(), "n": counts[hot].tolist()}, schema=counted)
+                yield pa.RecordBatch.from_pydict({"context": (hot * buckets + bucket + 1).tolist(), "word": [Decimal(int(x)) for x in names[hot]], "n": counts[hot].tolist()}, schema=counted)
 
-    hot = {r[0]: r[1] for r in unigrams.where("kind = 'unigrams'").select("bucket", "b").mapInArrow(often, "context long, n long").toLocalIterator()}
+    hot = unigrams.where("kind = 'unigrams'").select("bucket", "a", "b").mapInArrow(often, "context long, word decimal(20,0), n long")
+    hot = sorted((int(r[1]), r[0], r[2]) for r in hot.toLocalIterator() if Frequent.is_frequent(r[2], n, buckets))
     texts = sum(int(np.frombuffer(r[0], np.int64)[0]) for r in unigrams.where("kind = 'texts'").select("a").toLocalIterator())
-    frequent = Frequent.of(hot | {START: texts}, max(n, 1), buckets)
+    hot_words, hot_numbers = np.array([x[0] for x in hot], np.uint64), np.array([START, *(x[1] for x in hot)], np.uint64)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How often each pair of frequent words (or of the start and one) stands in a block's training texts."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, found = Frequent.place(hot_words, _unzip(row["words"], np.uint64, True))
+                which = np.where(found, at + 1, -1)[_unzip(row["order"], np.uint32)][_unzip(row["ids"], np.uint32)]
+                sizes = _unzip(row["sizes"], np.uint32)
+                before = np.concatenate([which[:0], [0], which[:-1]])[: len(which)]
+                before[np.cumsum(sizes) - sizes] = 0
+                use = (which > 0) & (before >= 0) & np.repeat(_unzip(row["held"], np.uint8) == 0, sizes)
+                keys, k = np.unique(before[use] * len(hot_numbers) + which[use], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"a": keys // len(hot_numbers), "b": keys % len(hot_numbers), "n": k.astype(np.int64)})
+
+    met = packed.select("words", "order", "ids", "sizes", "held").mapInArrow(pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    # as many as buckets, over PART, at most
+    met = met.where(F.col("n") * buckets * Frequent.PART > n).toLocalIterator()
+    frequent = Frequent({x[1]: x[2] for x in hot} | {START: texts}, max(n, 1), buckets, [(int(hot_numbers[a]) << 32 | int(hot_numbers[b]), k, hot[b - 1][2]) for a, b, k in met])
     blocks = packed.drop("words", "counts")
     by_word = unigrams.where("kind = 'word'").select("kind", "block", "bucket", "a", "b")
 
@@ -446,7 +506,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
         counts = np.bincount(place, np.repeat(~block.held, block.sizes)[rows], len(columns[0])).astype(np.uint32)
         uses = np.empty(len(counts), np.uint64)
         uses[place] = block.count[block.ids[rows]]
-        return _table(_SENT, list(_send(block.name, frequent.bucket(columns[0]), [*columns, counts, uses], buckets)))
+        return _table(_SENT, list(_send(block.name, frequent.bucket(columns), [*columns, counts], buckets, uses)))
 
     asked = blocks.groupBy("block").cogroup(by_word.groupBy("block")).applyInArrow(ask, _SENT_)
     asked.groupBy("bucket").applyInArrow(lambda g: _gram_bucket(g, order, frequent), _TABLE_).write.partitionBy("kind").parquet(f"{home}/ngrams")
@@ -454,6 +514,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
     occurs = np.zeros((order - 1, K + 1), np.int64)
     for r in ngrams.where("kind = 'gram_stats'").select("columns").toLocalIterator():  # some numbers for each bucket
         occurs += np.array([np.frombuffer(x, np.int64) for x in r[0]])
+    occurs[0] += np.array(_occurrences(frequent.pair_counts.astype(np.int64)), np.int64)
     discounts = [uni, *(Discounts.of(x.tolist()) for x in occurs)]
     sums = ngrams.where("kind = 'facts'").groupBy("bucket").applyInArrow(_sum_facts, _TABLE_)
 
@@ -461,9 +522,8 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
         if not left.num_rows:
             return _table(_ANSWER, [])
         row, totals = left.to_pylist()[0], {r["source"]: r["columns"][0] for r in right.to_pylist()}
-        kinds = [*_kinds(order)[:-2], np.uint64, np.uint64]
-        *columns, counts, uses = _gather([row["columns"]], kinds)[0]
-        found = levels(columns, counts, uses)
+        *columns, counts, uses = _unpack(row["columns"], _kinds(order, np.uint64))
+        found = levels(columns, counts, uses, frequent)
         facts = [x.facts() for x in found]
         which, where, _ = _parts(found, frequent, buckets)
         whole = np.zeros((len(where), _WIDE), np.int64)
@@ -471,6 +531,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
             whole[where == target] = _unzip(totals[int(target)], np.int64).reshape(-1, _WIDE)
         for f, at, new in zip(facts, which, np.split(whole, np.cumsum([len(x) for x in which])[:-1])):
             f[at] = new
+        facts[0] += frequent.pair_facts(found[0].words[0].astype(np.uint64))
         log = np.log10(probabilities(found, facts, discounts, alone(uses.astype(np.int64)), total))
         return _table(_ANSWER, [("gram", b, row["bucket"], _zip(log[_unzip(x, np.uint32, True)]), None) for b, x in zip(row["blocks"], row["places"])])
 
@@ -486,7 +547,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
         block = _Block(left, given, buckets)
         rows, columns = block.grams(order)
         columns, place = _distinct(columns)
-        where = frequent.bucket(columns[0])
+        where = frequent.bucket(columns)
         log = np.zeros(len(where))
         for r in given:
             if r["kind"] == "gram":

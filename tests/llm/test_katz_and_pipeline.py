@@ -82,7 +82,7 @@ def test_katz_deals_a_frequent_context_to_many_buckets(spark, tmp_path, monkeypa
     monkeypatch.setattr(katz, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
     docs = spark.createDataFrame([(i, f"w{i} x") for i in range(4000)], "doc_id long, text string").repartition(4)
     assert katz.score(docs, 3, 500).count() == 4000
-    sizes = [len(katz._unzip(r.columns[0], "u8")) for r in spark.read.parquet(f"{tmp_path}/katz/ngrams").where("kind = 'grams'").collect()]
+    sizes = [len(katz._unzip(r.columns[0], "u8", True)) for r in spark.read.parquet(f"{tmp_path}/katz/ngrams").where("kind = 'grams'").collect()]
     assert len(sizes) >= 16 and sum(sizes) > 6000 and max(sizes) < 4 * sum(sizes) / len(sizes)
 
 
