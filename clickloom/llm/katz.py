@@ -532,8 +532,13 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
         for f, at, new in zip(facts, which, np.split(whole, np.cumsum([len(x) for x in which])[:-1])):
             f[at] = new
         facts[0] += frequent.pair_facts(found[0].words[0].astype(np.uint64))
-        log = np.log10(probabilities(found, facts, discounts, alone(uses.astype(np.int64)), total))
-        return _table(_ANSWER, [("gram", b, row["bucket"], _zip(log[_unzip(x, np.uint32, True)]), None) for b, x in zip(row["blocks"], row["places"])])
+        # many n-grams have equal probabilities, so each value goes once, and of each n-gram its place
+        log, which = np.unique(np.log10(probabilities(found, facts, discounts, alone(uses.astype(np.int64)), total)), return_inverse=True)
+        rows = []
+        for b, x in zip(row["blocks"], row["places"]):
+            mine, place = np.unique(which[_unzip(x, np.uint32, True)], return_inverse=True)
+            rows.append(("gram", b, row["bucket"], _zip(log[mine].view(np.int64), True), _zip(place.astype(np.uint32))))
+        return _table(_ANSWER, rows)
 
     answers = ngrams.where("kind = 'grams'").groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(answer, _ANSWER_)
     result = pa.schema(
@@ -551,7 +556,7 @@ def score(docs: DataFrame, order: int = 3, most_tokens: int = 2_000_000) -> Data
         log = np.zeros(len(where))
         for r in given:
             if r["kind"] == "gram":
-                log[where == r["bucket"]] = _unzip(r["a"], np.float64)
+                log[where == r["bucket"]] = _unzip(r["a"], np.int64, True).view(np.float64)[_unzip(r["b"], np.uint32)]
         uses = block.count[block.ids]
         each = np.log10(alone(uses))
         each[rows] = log[place]
