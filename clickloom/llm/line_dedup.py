@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import checkpointed, let
 
 
+def stripped(line: str | Column) -> Column:
+    """A line without ASCII white space at its ends."""
+    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
+
+
 def occurrences(docs: DataFrame, least_chars: int) -> DataFrame:
     """doc_id, th, pos, n, h1, h2, line of each line of at least ``least_chars`` code points.
 
-    Lines are split at newlines and taken without white space at their ends. th: hash of the whole text;
+    Lines are split at newlines and taken without ASCII white space at their ends. th: hash of the whole text;
     h1, h2: 128 bits that stand for the line. Null texts have no lines.
     """
     lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    lines = lines.select("doc_id", "th", "pos", F.trim("raw").alias("line")).select("*", F.length("line").alias("n"))
+    lines = lines.select("doc_id", "th", "pos", stripped("raw").alias("line")).select("*", F.length("line").alias("n"))
     return lines.where(F.col("n") >= least_chars).select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
@@ -30,66 +35,59 @@ def allowed(length: Column, edits: int | None) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(MOST), F.floor(length / SPAN).cast("int")))
 
 
-def _windows(edits: int) -> tuple[list[int], list[int]]:
-    """(own, probes): codes ``(d * 32 + i) * 64 + s + 32`` of length difference, segment and shift for a number of edits."""
-    code = lambda d, i, s: (d * 32 + i) * 64 + s + 32
-    probes = []
-    for d in range(edits + 1):  # the other line has n - d characters
-        for i in range(edits + 1):
-            lo, hi = max(-i, d - (edits - i)), min(i, d + (edits - i))
-            probes += [code(d, i, s) for s in range(lo, hi + 1)]
-    return [code(0, i, 0) for i in range(edits + 1)], probes
+def _codes(edits: int) -> tuple[list[int], list[int]]:
+    """(own, probes): codes ``(side * 32 + i) * 64 + s + 32`` of side, segment from that side, and shift for a number of edits."""
+    code = lambda side, i, s: (side * 32 + i) * 64 + s + 32
+    places = [(side, i) for side in (0, 1) for i in range((edits + 2 - side) // 2)]
+    return [code(side, i, 0) for side, i in places], [code(side, i, s) for side, i in places for s in range(-i, i + 1)]
+
+
+def _width(length: Column, edits: int | None) -> Column:
+    """Width of the band of a line's length: four bands an octave, none narrower than the edits allowed."""
+    power = F.greatest(F.lit((edits or 1).bit_length()), F.floor(F.log2(length + F.lit(0.5))).cast("int") - 2)
+    return F.pow(F.lit(2.0), power).cast("int")
 
 
 def segment_keys(line: str, length: str, edits: int | None) -> Column:
     """Array of structs (index, key, r1, r2): a line's own segments, and the substrings that it probes.
 
-    With e edits allowed, a line is cut into e + 1 segments whose lengths differ by one at most. A line at most e
-    edits away, and not shorter, holds one of the segments near the same place: for each length difference and
-    segment only the starts within the multi-match-aware bounds are probed. The longer line decides on e, so a
-    line also keeps the segments of the next e if a line that much longer is allowed it. Keys hold e, the shorter
-    line's length and the segment's number. With one edit the pigeonhole is used again on the segment that may
-    differ: one of its halves (r1 next to its start, r2 next to its end) must be the same too; with more edits
-    both are null.
+    Lines meet in bands of length, in which e edits are allowed. e + 1 segments of one width, as many from the start
+    of a line as from its end (one more at the start), are disjoint in each line of the band and in those at most e
+    shorter, which have segments there, too. Of two lines at most e edits apart, the edits are fewer than the segments
+    on one of the sides; there, the first segment before which no more edits than segments stand is whole, and is
+    shifted by as many at most. So segment i is probed at i places to each side, whatever the other line's length.
+    With one edit the pigeonhole is used again on what is beside the segment: one of its two ends (r1, r2) must be
+    the same too; with more edits both are null.
     """
     text, n = F.col(line), F.col(length)
-    own, probes = zip(*(_windows(e) for e in (range(1, MOST + 1) if edits is None else [edits])))
+    own, probes = zip(*(_codes(e) for e in (range(1, MOST + 1) if edits is None else [edits])))
     table = lambda rows: F.array(*(F.lit(list(r)) for r in rows))
     of = lambda rows, e: F.get(table(rows), e - (1 if edits is None else edits))
 
-    def start(size: Column, i: Column, parts: Column) -> Column:  # the last (size % parts) segments are one longer
-        short = parts - size % parts
-        return F.floor(size / parts).cast("int") * i + F.greatest(F.lit(0), i - short)
-
-    def entry(index: bool, e: Column, code: Column) -> Column:
-        d, i, s = F.floor(code / 2048).cast("int"), F.floor(code / 64).cast("int") % 32, code % 64 - 32
-        size, parts = n - d, e + 1
-        return let(
-            F.struct(e.alias("e"), d.alias("d"), i.alias("i"), size.alias("size"), (start(size, i, parts) + s).alias("at"), (start(size, i + 1, parts) - start(size, i, parts)).alias("width")),
-            lambda x: keyed(index, x),
-        )
+    def entry(index: bool, b: Column, code: Column) -> Column:
+        side, i, s = F.floor(code / 2048).cast("int"), F.floor(code / 64).cast("int") % 32, code % 64 - 32
+        at = F.when(side == 0, i * b["width"]).otherwise(n - (i + 1) * b["width"]) + s
+        return let(F.struct(b["band"].alias("band"), b["e"].alias("e"), b["width"].alias("width"), b["rest"].alias("rest"), side.alias("side"), i.alias("i"), at.alias("at")), lambda x: keyed(index, x))
 
     def keyed(index: bool, x: Column) -> Column:
-        key = F.xxhash64(x["e"], x["size"], x["i"], F.substring(text, x["at"] + 1, x["width"]))
-        # with one edit the rest is the other segment; in the longer line it is d longer
-        middle = start(x["size"], F.lit(1), x["e"] + 1)
-        lo, hi = F.when(x["i"] == 0, middle).otherwise(0), F.when(x["i"] == 0, x["size"]).otherwise(middle)
-        half = F.floor((hi - lo) / 2).cast("int")
-        r1 = F.hash(F.substring(text, lo + 1, half))
-        r2 = F.hash(F.substring(text, lo + half + x["d"] + 1, hi - lo - half))
-        inside = (x["at"] >= 0) & (x["at"] + x["width"] <= n) & (x["width"] > 0)
-        one = lambda r: F.when(x["e"] == 1, r)
-        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), one(r1).alias("r1"), one(r2).alias("r2"))
-
-    def entries(index: bool, e: Column) -> Column:
-        return let(e, lambda v: F.transform(of(own if index else probes, v), lambda code: entry(index, v, code)))
-
-    e = allowed(n, edits)
-    found = [entries(True, e), entries(False, e)]
-    if edits is None:
-        more = F.when((e < MOST) & (allowed(n + e + 1, None) > e), e + 1)
-        found.append(F.when(more.isNotNull(), entries(True, more)).otherwise(F.array().cast("array<struct<index:boolean,key:bigint,r1:int,r2:int>>")))
-    return F.concat(*found)
+        key = F.xxhash64(x["band"], x["side"], x["i"], F.substring(text, x["at"] + 1, x["width"]))
+        # what is beside the segment: in a line of any length its first and last ``rest`` characters
+        lo, hi = F.when(x["side"] == 0, x["width"]).otherwise(0), F.when(x["side"] == 0, n).otherwise(n - x["width"])
+        one = lambda start: F.when(x["e"] == 1, F.hash(F.substring(text, start + 1, x["rest"])))
+        inside = (x["at"] >= 0) & (x["at"] + x["width"] <= n)
+        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), one(lo).alias("r1"), one(hi - x["rest"]).alias("r2"))
+
+    def entries(index: bool, band: Column) -> Column:
+        e = allowed(band, edits)
+        width = F.floor((band - e) / (e + 1)).cast("int")
+        known = F.struct(band.alias("band"), e.alias("e"), width.alias("width"), F.floor((band - e - width) / 2).cast("int").alias("rest"))
+        return let(known, lambda b: F.transform(of(own if index else probes, b["e"]), lambda code: entry(index, b, code)))
+
+    step = _width(n, edits)
+    band = n - n % step
+    above = band + step  # the next band, of which a line is the shorter partner if it is near enough
+    none = F.array().cast("array<struct<index:boolean,key:bigint,r1:int,r2:int>>")
+    return F.concat(entries(True, band), entries(False, band), F.when(n >= above - allowed(above, edits), entries(True, above)).otherwise(none))
 
 
 def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFrame:
@@ -97,14 +95,17 @@ def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFram
 
     Equal lines are grouped first, so a line that stands on a third of all rows takes part once.
     """
+    if edits is not None and least_chars < 4 * edits + 4:
+        raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
     lines = occurrences(docs, least_chars).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n"))
-    classes = lines.select("h1", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
+    classes = lines.select("h1", "n", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
     # the outer form, so that no filter computes the array again
-    rows = classes.select("h1", F.explode_outer("keys").alias("k")).select("h1", "k.*").where("key is not null")
+    rows = classes.select("h1", "n", F.explode_outer("keys").alias("k")).select("h1", "n", "k.*").where("key is not null")
     a, b = rows.where("index").alias("a"), rows.where("not index").alias("b")
-    # null halves, with more edits than one, decide nothing
+    # null ends, with more edits than one, decide nothing
     rest = F.coalesce((F.col("a.r1") == F.col("b.r1")) | (F.col("a.r2") == F.col("b.r2")), F.lit(True))
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") != F.col("b.h1")) & rest)
+    near = (F.col("b.n") - F.col("a.n")).between(0, allowed(F.col("b.n"), edits))  # the longer line probes
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.h1") < F.col("b.h1"))) & near & rest)
     return met.select(F.least("a.h1", "b.h1").alias("a"), F.greatest("a.h1", "b.h1").alias("b")).distinct()
 
 
@@ -131,7 +132,7 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     wanted = places.groupBy(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_th"))
     joined = docs.select("doc_id", "text").join(_small(wanted, places.count(), most_broadcast), same)
-    at = joined.select(F.explode(F.arrays_zip(F.transform("wanted", lambda w: F.trim(F.get(F.split("text", "\n"), w["pos"]))).alias("line"), "wanted")).alias("x"))
+    at = joined.select(F.explode(F.arrays_zip(F.transform("wanted", lambda w: stripped(F.get(F.split("text", "\n"), w["pos"]))).alias("line"), "wanted")).alias("x"))
     texts = at.select("x.wanted.h1", "x.wanted.h2", "x.line")
     texts = checkpointed(texts.where((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))).distinct())
     left, right = (texts.select(F.col("h1").alias(x), F.col("h2").alias(f"{x}2"), F.col("line").alias(f"{x}_line")) for x in "ab")

@@ -103,6 +103,60 @@ def test_near_lines_of_any_length_and_short_copies(spark):
     assert {r.doc_id: r.text for r in line_dedup.drop_lines(short).collect()} == {1: "Les.\n\nold", 2: "new\n", 3: "Les"}
 
 
+def test_report_equals_brute_force(spark):
+    """Counts and dropped lines of the report, with null ids, white space at line ends, repeated rows and short lines."""
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice((10, 25, 40, 70, 100)))) for _ in range(25)]
+
+    def line():
+        x = list(rng.choice(base))
+        for _ in range(rng.choice((0, 0, 1, 2, 3))):
+            x[rng.randrange(1, len(x) - 1)] = rng.choice(["", "z", "zz"])
+        return rng.choice(["", "", "\t", " "]) + "".join(x) + rng.choice(["", "", "\r", "  "])
+
+    docs = [(rng.choice((None, i, i)), "\n".join(line() for _ in range(rng.randrange(1, 7)))) for i in range(60)]
+    docs += [docs[3], docs[3], (700, None), (701, ""), (702, "\n \n")]
+    for edits, least in ((None, 24), (1, 24), (2, 20), (3, 20)):
+        clean = lambda x: x.strip(" \t\r\x0b\x0c")
+        order = lambda d: (d[0] is not None, d[0] or 0)
+        distinct = sorted(set((d, t) for d, t in docs if t is not None), key=lambda x: (order(x), x[1]))
+        first = {}
+        for d, t in distinct:
+            for at, raw in enumerate(t.split("\n")):
+                if (x := clean(raw)) and (x not in first or (order((d,)), at) < first[x]):
+                    first[x] = (order((d,)), at)
+        long = sorted(x for x in first if len(x) >= least)
+        pairs = spark.createDataFrame([(a, b) for i, a in enumerate(long) for b in long[i + 1 :]], "a string, b string")
+        most = F.lit(edits) if edits else F.greatest(F.lit(1), F.least(F.lit(8), F.floor(F.greatest(F.length("a"), F.length("b")) / 32)))
+        linked = {}
+        for a, b in pairs.where(F.levenshtein("a", "b") <= most).collect():
+            linked.setdefault(a, set()).add(b)
+            linked.setdefault(b, set()).add(a)
+        assert len(linked) > 20
+        want = []
+        for d, t in docs:
+            n_exact = n_near = n_links = 0
+            dropped = []
+            for at, raw in enumerate((t or "").split("\n") if t else []):
+                x = clean(raw)
+                if not x:
+                    continue
+                if first[x] != (order((d,)), at):
+                    n_exact += 1
+                    dropped.append(at)
+                else:
+                    n_links += len(linked.get(x, ()))
+                    if any(first[y] < first[x] for y in linked.get(x, ())):
+                        n_near += 1
+                        dropped.append(at)
+            want.append((d, len(t.split("\n")) if t else 0, n_exact, n_near, n_links, ",".join(map(str, dropped))))
+        ids = [d for d, _ in distinct]
+        got = line_dedup.report(spark.createDataFrame(docs, DOCS), edits, least).collect()
+        # rows of one null id and line number cannot be told apart as first places, so they are compared where ids differ
+        unique = lambda rows: sorted(tuple(r) for r in rows if r[0] is not None and ids.count(r[0]) == 1)
+        assert unique(got) == unique(want) and len(got) == len(docs), edits
+
+
 def test_near_lines_with_null_ids_and_far_edits(spark):
     line = "a line of text that is long enough"
     docs = spark.createDataFrame([(None, line), (1, line), (2, line + "s")], DOCS)
