@@ -70,7 +70,8 @@ def segment_keys(line: str, length: str, edits: int | None) -> Column:
         return let(F.struct(b["band"].alias("band"), b["e"].alias("e"), b["width"].alias("width"), b["rest"].alias("rest"), side.alias("side"), i.alias("i"), at.alias("at")), lambda x: keyed(index, x))
 
     def keyed(index: bool, x: Column) -> Column:
-        key = F.xxhash64(x["band"], x["side"], x["i"], F.substring(text, x["at"] + 1, x["width"]))
+        # 48 bits: chance meetings are verified away, and rows are a quarter smaller
+        key = F.shiftrightunsigned(F.xxhash64(x["band"], x["side"], x["i"], F.substring(text, x["at"] + 1, x["width"])), 16)
         # what is beside the segment: in a line of any length its first and last ``rest`` characters
         lo, hi = F.when(x["side"] == 0, x["width"]).otherwise(0), F.when(x["side"] == 0, n).otherwise(n - x["width"])
         one = lambda start: F.when(x["e"] == 1, F.hash(F.substring(text, start + 1, x["rest"])))
@@ -91,22 +92,28 @@ def segment_keys(line: str, length: str, edits: int | None) -> Column:
 
 
 def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFrame:
-    """a < b (h1 of two lines): pairs of different lines that share a segment, each once.
+    """a < b (ids of two lines): pairs of different lines that share a segment, each once.
 
-    Equal lines are grouped first, so a line that stands on a third of all rows takes part once.
+    Equal lines are grouped first, so a line that stands on a third of all rows takes part once. An id is 40 bits of
+    the line's hash: several lines may have it, of which all are verified.
     """
     if edits is not None and least_chars < 4 * edits + 4:
         raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
     lines = occurrences(docs, least_chars).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n"))
-    classes = lines.select("h1", "n", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
+    classes = lines.select(_id("h1").alias("id"), "n", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
     # the outer form, so that no filter computes the array again
-    rows = classes.select("h1", "n", F.explode_outer("keys").alias("k")).select("h1", "n", "k.*").where("key is not null")
+    rows = classes.select("id", "n", F.explode_outer("keys").alias("k")).select("id", "n", "k.*").where("key is not null")
     a, b = rows.where("index").alias("a"), rows.where("not index").alias("b")
     # null ends, with more edits than one, decide nothing
     rest = F.coalesce((F.col("a.r1") == F.col("b.r1")) | (F.col("a.r2") == F.col("b.r2")), F.lit(True))
     near = (F.col("b.n") - F.col("a.n")).between(0, allowed(F.col("b.n"), edits))  # the longer line probes
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.h1") < F.col("b.h1"))) & near & rest)
-    return met.select(F.least("a.h1", "b.h1").alias("a"), F.greatest("a.h1", "b.h1").alias("b")).distinct()
+    other = (F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & other & near & rest)
+    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+
+
+def _id(h1: str) -> Column:
+    return F.shiftrightunsigned(h1, 24)
 
 
 def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
@@ -127,20 +134,26 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     places = classes.select("h1", "h2", "at.*")
     classes = classes.select("h1", "h2", "copies", "at.doc_id", "at.pos")
     pairs = checkpointed(candidates(docs, edits, least_chars))
-    ids = checkpointed(pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct())
-    places = checkpointed(places.join(_small(ids, ids.count(), most_broadcast), "h1"))
+    ids = checkpointed(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    places = checkpointed(places.withColumn("id", _id("h1")).join(_small(ids, ids.count(), most_broadcast), "id").drop("id"))
     wanted = places.groupBy(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_th"))
     joined = docs.select("doc_id", "text").join(_small(wanted, places.count(), most_broadcast), same)
     at = joined.select(F.explode(F.arrays_zip(F.transform("wanted", lambda w: stripped(F.get(F.split("text", "\n"), w["pos"]))).alias("line"), "wanted")).alias("x"))
     texts = at.select("x.wanted.h1", "x.wanted.h2", "x.line")
     texts = checkpointed(texts.where((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))).distinct())
-    left, right = (texts.select(F.col("h1").alias(x), F.col("h2").alias(f"{x}2"), F.col("line").alias(f"{x}_line")) for x in "ab")
+    left, right = (texts.select(_id("h1").alias(x), F.col("h1").alias(f"{x}1"), F.col("h2").alias(f"{x}2"), F.col("line").alias(f"{x}_line")) for x in "ab")
     both = pairs.join(left, "a").join(right, "b").withColumn("most", allowed(F.greatest(F.length("a_line"), F.length("b_line")), edits))
     both = both.where(F.abs(F.length("a_line") - F.length("b_line")) <= F.col("most"))
-    close = checkpointed(both.where(distance("a_line", "b_line", MOST if edits is None else edits) <= F.col("most")).select("a", "a2", "b", "b2"))
+    # verifying is most of the work, so partitions are counted by pairs, not by bytes
+    both = both.repartition(pairs.count() // 2000 + 1, "a", "b")
+    limits = sorted({2, 4, MOST}) if edits is None else [edits]
+    apart = distance("a_line", "b_line", limits[-1])
+    for e in limits[-2::-1]:  # narrow bands for pairs that may have few edits
+        apart = F.when(F.col("most") <= e, distance("a_line", "b_line", e)).otherwise(apart)
+    close = checkpointed(both.where(apart <= F.col("most")).select("a1", "a2", "b1", "b2"))
     names = ("h1", "h2", "o1", "o2")
-    return classes, close.toDF(*names).union(close.select("b", "b2", "a", "a2").toDF(*names))
+    return classes, close.toDF(*names).union(close.select("b1", "b2", "a1", "a2").toDF(*names))
 
 
 def distance(a: str, b: str, edits: int) -> Column:
@@ -255,6 +268,10 @@ def banded_distance(long: Column, short: Column, edits: int) -> Column:
     corner = F.length(long) - F.length(short) + edits
 
     def column(acc: Column, j: Column) -> Column:
+        # values never fall along a diagonal, so beyond the limit nothing more is to be computed
+        return F.when(acc["d"] > edits, acc).otherwise(cells(acc, j))
+
+    def cells(acc: Column, j: Column) -> Column:
         char = F.get(t, j)
         eq = F.lit(0).cast("long")
         for i in range(width):
