@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions.index import reliable, shared_dir
+
+__all__ = ["checkpointed", "components", "let", "map_columns", "shared_dir", "table"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: bytes.translate table that lower-cases A-Z and leaves every other byte alone.
@@ -21,18 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder; a temporary one only where none is configured."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clickloom-"))
-    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession, "")
-    return df.checkpoint(eager=True)
+    return reliable(df)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

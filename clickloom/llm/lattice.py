@@ -7,11 +7,9 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from clickloom.llm.common import checkpointed, components
 
@@ -140,13 +138,21 @@ def _cells(vectors: DataFrame, cosine: float, shape: Lattice, probes: bool) -> D
     return vectors.select("rep", "label", "embedding").mapInArrow(run, "rep long, label int, size int, t int, key long")
 
 
-@F.pandas_udf(DoubleType())
-def _cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float((x * y).sum()) for x, y in zip(map(_row, a), map(_row, b))], dtype=float)
+def _cosines(pairs: DataFrame) -> DataFrame:
+    """a, b, cosine of ``pairs`` (a, b, a_v, b_v), whose two vectors are of one length: a matrix operation for each length."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                lengths, out = np.asarray(batch.column(2).value_lengths()), np.empty(batch.num_rows)
+                for size in np.unique(lengths):
+                    rows = np.flatnonzero(lengths == size)
+                    x, y = (_unit(_matrix(batch.column(i).take(pa.array(rows)))) for i in (2, 3))
+                    out[rows] = (x * y).sum(1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["a", "b", "cosine"])
 
-def _row(x) -> np.ndarray:
-    return _unit(np.asarray(x, np.float64)[None])[0]
+    return pairs.select("a", "b", "a_v", "b_v").mapInArrow(run, "a long, b long, cosine double")
 
 
 def near_pairs(vectors: DataFrame, cosine: float, shape: Lattice = Lattice()) -> DataFrame:
@@ -155,7 +161,7 @@ def near_pairs(vectors: DataFrame, cosine: float, shape: Lattice = Lattice()) ->
     probed = _cells(vectors, cosine, shape, True).withColumnRenamed("rep", "b")
     met = own.join(probed, ["label", "size", "t", "key"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left, right = (vectors.select(F.col("rep").alias(x), F.col("embedding").alias(f"{x}_v")) for x in "ab")
-    return met.join(left, "a").join(right, "b").select("a", "b", _cosine("a_v", "b_v").alias("cosine")).where(F.col("cosine") >= cosine)
+    return _cosines(met.join(left, "a").join(right, "b")).where(F.col("cosine") >= cosine)
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, shape: Lattice = Lattice()) -> DataFrame:
@@ -163,7 +169,9 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, shape: Lattice
 
     Equal vectors of one label are one vector in the search, whatever their number. Vectors that are null,
     empty, zero, without label, or hold null or non-finite numbers link with nothing: no links, their own
-    component. Vectors of different lengths never link. A repeated vec_id (with the same vector) counts once.
+    component. Vectors of different lengths never link. A repeated vec_id counts once with each of its different
+    vectors, and each of its rows has the result of its own vector. An empty table gives no rows; other columns are
+    not read.
     """
     rows = embeddings.select("vec_id", "label", "embedding")
     good = (
@@ -173,17 +181,19 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, shape: Lattice
         & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
     )
     good = F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull()
-    classes = checkpointed(
-        rows.where(good).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies"))
-    )
+    # a class is known by a hash of its vector, as an id may stand with several
+    classes = rows.where(good).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count_distinct("vec_id").alias("copies"))
+    classes = checkpointed(classes.withColumn("rep", F.xxhash64("label", "embedding")))
     pairs = checkpointed(near_pairs(classes, cosine, shape).select("a", "b"))
     both = pairs.union(pairs.select("b", "a"))
     others = both.join(classes.select(F.col("rep").alias("b"), "copies"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("others"))
-    groups = components(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))).withColumnRenamed("node", "rep")
+    groups = components(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))).withColumnRenamed("node", "rep").withColumnRenamed("component_id", "root")
+    grouped = classes.join(groups, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of = (
-        classes.join(others, "rep", "left")
-        .join(groups, "rep", "left")
-        .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+        grouped.join(smallest, "root")
+        .join(others, "rep", "left")
+        .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     )
     found = rows.where(good).join(of, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
