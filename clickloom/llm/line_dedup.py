@@ -49,15 +49,15 @@ def _width(length: Column, edits: int | None) -> Column:
 
 
 def segment_keys(line: str, length: str, edits: int | None) -> Column:
-    """Array of structs (index, key, r1, r2): a line's own segments, and the substrings that it probes.
+    """Array of structs (index, key, ends): a line's own segments, and the substrings that it probes.
 
     Lines meet in bands of length, in which e edits are allowed. e + 1 segments of one width, as many from the start
     of a line as from its end (one more at the start), are disjoint in each line of the band and in those at most e
     shorter, which have segments there, too. Of two lines at most e edits apart, the edits are fewer than the segments
     on one of the sides; there, the first segment before which no more edits than segments stand is whole, and is
     shifted by as many at most. So segment i is probed at i places to each side, whatever the other line's length.
-    With one edit the pigeonhole is used again on what is beside the segment: one of its two ends (r1, r2) must be
-    the same too; with more edits both are null.
+    With one edit the pigeonhole is used again on what is beside the segment: one of its two ends must be
+    the same too (ends holds a hash of each); with more edits ends is null.
     """
     text, n = F.col(line), F.col(length)
     own, probes = zip(*(_codes(e) for e in (range(1, MOST + 1) if edits is None else [edits])))
@@ -74,9 +74,9 @@ def segment_keys(line: str, length: str, edits: int | None) -> Column:
         key = F.shiftrightunsigned(F.xxhash64(x["band"], x["side"], x["i"], F.substring(text, x["at"] + 1, x["width"])), 16)
         # what is beside the segment: in a line of any length its first and last ``rest`` characters
         lo, hi = F.when(x["side"] == 0, x["width"]).otherwise(0), F.when(x["side"] == 0, n).otherwise(n - x["width"])
-        one = lambda start: F.when(x["e"] == 1, F.hash(F.substring(text, start + 1, x["rest"])))
+        one = lambda start: F.when(x["e"] == 1, F.hash(F.substring(text, start + 1, x["rest"])).cast("long"))
         inside = (x["at"] >= 0) & (x["at"] + x["width"] <= n)
-        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), one(lo).alias("r1"), one(hi - x["rest"]).alias("r2"))
+        return F.struct(F.lit(index).alias("index"), F.when(inside, key).alias("key"), (one(lo) * F.lit(1 << 32) + one(hi - x["rest"]).bitwiseAND(F.lit((1 << 32) - 1))).alias("ends"))
 
     def entries(index: bool, band: Column) -> Column:
         e = allowed(band, edits)
@@ -87,7 +87,7 @@ def segment_keys(line: str, length: str, edits: int | None) -> Column:
     step = _width(n, edits)
     band = n - n % step
     above = band + step  # the next band, of which a line is the shorter partner if it is near enough
-    none = F.array().cast("array<struct<index:boolean,key:bigint,r1:int,r2:int>>")
+    none = F.array().cast("array<struct<index:boolean,key:bigint,ends:bigint>>")
     return F.concat(entries(True, band), entries(False, band), F.when(n >= above - allowed(above, edits), entries(True, above)).otherwise(none))
 
 
@@ -100,22 +100,27 @@ def candidates(docs: DataFrame, edits: int | None, least_chars: int) -> DataFram
     if edits is not None and least_chars < 4 * edits + 4:
         raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
     lines = occurrences(docs, least_chars).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n"))
-    classes = lines.select(_id("h1").alias("id"), "n", segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
+    packed = _id("h1") * LENGTHS + F.col("n") % LENGTHS  # one number in the rows of the join
+    classes = lines.select(packed.alias("id"), segment_keys("line", "n", edits).alias("keys"))  # a line is smaller than its keys
     # the outer form, so that no filter computes the array again
-    rows = classes.select("id", "n", F.explode_outer("keys").alias("k")).select("id", "n", "k.*").where("key is not null")
+    rows = classes.select("id", F.explode_outer("keys").alias("k")).select("id", "k.*").where("key is not null")
     a, b = rows.where("index").alias("a"), rows.where("not index").alias("b")
     # null ends, with more edits than one, decide nothing
-    rest = F.coalesce((F.col("a.r1") == F.col("b.r1")) | (F.col("a.r2") == F.col("b.r2")), F.lit(True))
-    near = (F.col("b.n") - F.col("a.n")).between(0, allowed(F.col("b.n"), edits))  # the longer line probes
-    other = (F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id"))
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & other & near & rest)
-    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+    rest = F.coalesce((F.col("a.ends").bitwiseXOR(F.col("b.ends")) % F.lit(1 << 32) == 0) | (F.shiftright(F.col("a.ends").bitwiseXOR(F.col("b.ends")), 32) == 0), F.lit(True))
+    an, bn, ai, bi = (f(F.col(f"{x}.id")) for f in (lambda c: c % LENGTHS, lambda c: F.shiftright(c, 20)) for x in "ab")
+    near = (bn - an).between(0, allowed(bn, edits))  # the longer line probes
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & ((an < bn) | (ai < bi)) & near & rest)
+    return met.select(F.least(ai, bi).alias("a"), F.greatest(ai, bi).alias("b")).distinct()
 
 
 def _id(h1: str) -> Column:
     return F.shiftrightunsigned(h1, 24)
 
 
+#: Lengths travel beside ids, modulo this; lines that meet are of one band, and those of other lengths are verified away.
+LENGTHS = 1 << 20
+
+
 def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
@@ -151,7 +156,8 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     apart = distance("a_line", "b_line", limits[-1])
     for e in limits[-2::-1]:  # narrow bands for pairs that may have few edits
         apart = F.when(F.col("most") <= e, distance("a_line", "b_line", e)).otherwise(apart)
-    close = checkpointed(both.where(apart <= F.col("most")).select("a1", "a2", "b1", "b2"))
+    # the checkpoint stands between, or the filter would be computed inside the join, in its few partitions
+    close = checkpointed(both.select("a1", "a2", "b1", "b2", "most", apart.alias("apart"))).where("apart <= most").select("a1", "a2", "b1", "b2")
     names = ("h1", "h2", "o1", "o2")
     return classes, close.toDF(*names).union(close.select("b1", "b2", "a1", "a2").toDF(*names))
 
@@ -254,18 +260,21 @@ def common_prefix(a: Column, b: Column, longest: int = 1 << 30) -> Column:
 def banded_distance(long: Column, short: Column, edits: int) -> Column:
     """Edit distance of two strings if it is at most ``edits``, else some larger number.
 
-    Bit-vectors hold the vertical differences of the band of ``2 * edits + 1`` cells around the diagonal; each
-    column costs one comparison a cell and a dozen operations on a long. The cell that ends in the corner stays
-    on one bit: the distance is the length difference plus the columns in which that bit is no free diagonal.
+    Bit-vectors hold the vertical differences of the band of ``edits + 1`` cells that a path of so few edits can
+    use: as many diagonals on each side of the first cell's and the corner's as the edits beside the length
+    difference allow, there and back. Each column costs one comparison a cell and a dozen operations on a long. The
+    cell that ends in the corner stays on one bit: the distance is the length difference plus the columns in which
+    that bit is no free diagonal.
     ``long`` is the longer string, by at most ``edits``.
     """
     if not 0 < edits <= 20:
         raise ValueError("edits must be 1 to 20")
-    width = 2 * edits + 1
+    width = edits + 1
     full = (1 << width) - 1
     inverse = lambda x: x.bitwiseXOR(F.lit(full).cast("long"))
     p, t = F.split(long, ""), F.split(short, "")
-    corner = F.length(long) - F.length(short) + edits
+    beside = F.floor((edits - F.length(long) + F.length(short)) / 2).cast("int")  # diagonals before the first cell's
+    corner = F.length(long) - F.length(short) + beside
 
     def column(acc: Column, j: Column) -> Column:
         # values never fall along a diagonal, so beyond the limit nothing more is to be computed
@@ -275,7 +284,7 @@ def banded_distance(long: Column, short: Column, edits: int) -> Column:
         char = F.get(t, j)
         eq = F.lit(0).cast("long")
         for i in range(width):
-            eq = eq + F.when(F.get(p, j - edits + i) == char, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+            eq = eq + F.when(F.get(p, j - beside + i) == char, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
         return let(F.struct(eq.alias("eq"), acc["vp"].alias("vp"), acc["vn"].alias("vn"), acc["d"].alias("d")), diagonal)
 
     def diagonal(x: Column) -> Column:
@@ -293,7 +302,7 @@ def banded_distance(long: Column, short: Column, edits: int) -> Column:
         )
 
     first = F.struct(
-        F.lit(full - ((1 << edits) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), (F.length(long) - F.length(short)).alias("d")
+        F.get(F.array(*(F.lit(full - ((1 << h) - 1)).cast("long") for h in range(edits // 2 + 1))), beside).alias("vp"), F.lit(0).cast("long").alias("vn"), (F.length(long) - F.length(short)).alias("d")
     )
     columns = F.sequence(F.lit(0), F.length(short) - 1)
     return F.when(F.length(short) == 0, F.length(long)).otherwise(F.aggregate(columns, first, column, lambda acc: acc["d"]))
