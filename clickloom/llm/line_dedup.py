@@ -190,25 +190,55 @@ def within(longer: list[np.ndarray], shorter: list[np.ndarray], most: np.ndarray
     return near
 
 
-def _verify(edits: int | None) -> Callable[[pa.Table], pa.Table]:
-    """Links of one cell: rows with a line are its texts, the others its pairs."""
-
-    def run(cell: pa.Table) -> pa.Table:
-        texts = cell.filter(cell["line"].is_valid())
-        codes = {i: np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for i, x in zip(texts["a"].to_pylist(), texts["line"].to_pylist())}
-        h1, h2 = (dict(zip(texts["a"].to_pylist(), texts[c].to_pylist())) for c in ("h1", "h2"))
-        pairs = cell.filter(cell["line"].is_null())
-        pairs = sorted(((i, j) if len(codes[i]) >= len(codes[j]) else (j, i) for i, j in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())), key=lambda x: len(codes[x[0]]))
+#: Pairs that are verified together, and characters of texts beyond which a cell is the last of its block.
+TOGETHER, HELD = 4000, 4_000_000
+
+
+def _verified(rows: DataFrame, edits: int | None) -> DataFrame:
+    """Links (h1, h2, o1, o2) among the pairs of ``rows`` (a_group, b_group, a, b, h1, h2, line).
+
+    The rows of a cell stand together, its texts (null b) before its pairs; pairs of several cells are verified at once.
+    """
+    names = ("h1", "h2", "o1", "o2")
+    schema = pa.schema([(c, pa.int64()) for c in names])
+
+    def close(block: list[tuple[int, int]], texts: dict) -> list[tuple]:
+        """Links of a block of pairs: in order of length, fewer at a time where lines are long."""
+        block = sorted(((i, j) if len(texts[i][0]) >= len(texts[j][0]) else (j, i) for i, j in block), key=lambda x: len(texts[x[0]][0]))
         out = []
-        while pairs:
-            size = max(1, min(4000, 2_000_000 // len(codes[pairs[-1][0]])))
-            block, pairs = pairs[-size:], pairs[:-size]
-            longer, shorter = [codes[i] for i, _ in block], [codes[j] for _, j in block]
-            most = _limits(np.array([len(x) for x in longer]), edits)
-            out += [x for x, y in zip(block, within(longer, shorter, most)) if y]
-        return pa.table({"h1": [h1[i] for i, _ in out], "h2": [h2[i] for i, _ in out], "o1": [h1[j] for _, j in out], "o2": [h2[j] for _, j in out]}, schema=pa.schema([(c, pa.int64()) for c in ("h1", "h2", "o1", "o2")]))
+        while block:
+            size = max(1, 2_000_000 // len(texts[block[-1][0]][0]))
+            part, block = block[-size:], block[:-size]
+            longer, shorter = [texts[i][0] for i, _ in part], [texts[j][0] for _, j in part]
+            near = within(longer, shorter, _limits(np.array([len(x) for x in longer]), edits))
+            out += [(*texts[i][1:], *texts[j][1:]) for (i, j), y in zip(part, near) if y]
+        return out
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, held, block, cell = {}, 0, [], None
+
+        def flushed() -> pa.RecordBatch:
+            links = close(block, texts)
+            block.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*links) if links else [[]] * 4)], schema=schema)
+
+        for batch in batches:
+            for ga, gb, a, b, h1, h2, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if cell != (ga, gb):
+                    cell = (ga, gb)
+                    if held > HELD:
+                        yield flushed()
+                        texts, held = {}, 0
+                if b is None:
+                    texts[a] = (np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32), h1, h2)
+                    held += len(line)
+                else:
+                    block.append((a, b))
+                    if len(block) == TOGETHER:
+                        yield flushed()
+        yield flushed()
+
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 200_000) -> tuple[DataFrame, DataFrame]:
@@ -245,8 +275,8 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     no = lambda kind, *names: [F.lit(None).cast(kind).alias(x) for x in names]
     rows = there.select(*key, F.col("id").alias("a"), *no("long", "b"), "h1", "h2", "line").union(cells.select(*key, "a", "b", *no("long", "h1", "h2"), *no("string", "line")))
     # as many partitions as the pairs need: verifying them is more than their bytes show
-    rows = rows.repartition(pairs.count() // 5000 + 1, *key)
-    close = checkpointed(rows.groupBy(*key).applyInArrow(_verify(edits), "h1 long, h2 long, o1 long, o2 long"))
+    rows = rows.repartition(pairs.count() // 5000 + 1, *key).sortWithinPartitions(*key, F.asc_nulls_first("b"))
+    close = checkpointed(_verified(rows, edits))
     return distinct.select("h1", "h2", "copies", "doc_id", "pos"), close.union(close.select("o1", "o2", "h1", "h2"))
 
 
