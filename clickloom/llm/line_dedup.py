@@ -1,7 +1,7 @@
 """Near-duplicate lines within a few edits: segment partition join, banded bit-parallel verification.
 
-Segment keys and verification run on arrays inside Arrow batches: in DataFrame functions alone they took seven times
-the processor time and five times the input in shuffled rows (figures in the README). Joins, counts, exact copies
+Segment keys and verification run on arrays inside Arrow batches: in DataFrame functions alone they took over five
+times the processor time and twice the disk (figures in the README). Joins, counts, exact copies
 and decisions are DataFrame functions.
 """
 
