@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.index import reliable, shared_dir
 
-__all__ = ["checkpointed", "components", "let", "map_columns", "shared_dir", "table"]
+__all__ = ["checkpointed", "components", "let", "map_columns", "shared_dir", "table", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +28,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return reliable(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts the lineage, and the size that Spark plans with is the real one.
+
+    (A checkpoint keeps the estimate of its plan, which joins multiply from round to round.)
+    """
+    path = shared_dir(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once for each row, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

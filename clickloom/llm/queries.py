@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, decontaminate, html_text, katz, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
+from clickloom.llm import byte_bpe, decontaminate, html_text, katz, lattice, license_scan, line_dedup, rule_quality, simhash, trie, url_filter
 from clickloom.llm.common import table
 
 
@@ -59,10 +59,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.conv(F.col("fp").cast("string"), 10, 16), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op5_katz, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op5_katz, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash, op11_prefix_trie)}
 
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+#: crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda x: ord(x)::BIGINT)), lambda a, x: "
+    "list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, y: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))))"
+)
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op6_winnowing": f"""
@@ -80,5 +90,26 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+    "op11_prefix_trie": f"""
+WITH o AS (SELECT conv_id AS c, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g, strlen(coalesce(text, '')) AS b,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT DISTINCT c, {_CRC32.format("CAST(c AS VARCHAR)")} % 9 AS h, c - c % 5 AS d FROM o),
+m AS (SELECT k.c, i, g, b FROM k JOIN o ON o.c = k.d AND i < h UNION ALL SELECT k.c, i, g, b FROM k JOIN o ON o.c = k.c AND i >= h),
+s AS (SELECT c, b, row_number() OVER (PARTITION BY c ORDER BY i) AS depth, string_agg(g, '') OVER (PARTITION BY c ORDER BY i) AS prefix, count(*) OVER (PARTITION BY c) AS size FROM m),
+p AS (SELECT c, depth, sha256(prefix) AS node, b, size FROM s
+      UNION ALL SELECT c, 0, '', 0, coalesce(size, 0) FROM k LEFT JOIN (SELECT DISTINCT c, size FROM s) USING (c)),
+n AS (SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, max(b) AS b, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (size = depth), '') AS ends
+      FROM p GROUP BY node, depth),
+a AS (SELECT n.node, n.depth, n.conv_id, n.n_convs, n.ends, q.conv_id AS parent_conv_id
+      FROM n LEFT JOIN p ON p.c = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN n q ON q.node = p.node AND q.depth = p.depth),
+ch AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM a WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (conv_id, depth)),
+t AS (SELECT p.node, p.depth, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.b) AS saved_tokens
+      FROM f JOIN p ON p.c = f.conv_id AND p.depth <= f.depth GROUP BY ALL)
+SELECT CAST(f.conv_id AS BIGINT) AS conv_id, CAST(f.depth AS BIGINT) AS depth, CAST(parent_conv_id AS BIGINT) AS parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN a USING (node, depth) JOIN t USING (node, depth)
 """,
 }
