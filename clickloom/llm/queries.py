@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, decontaminate, html_text, katz, lattice, license_scan, line_dedup, rule_quality, simhash, trie, url_filter
+from clickloom.llm import byte_bpe, decontaminate, html_text, katz, lattice, license_scan, line_dedup, rule_quality, secrets, simhash, trie, url_filter, vector_codes
 from clickloom.llm.common import table
 
 
@@ -63,7 +63,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op5_katz, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash, op11_prefix_trie)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_lattice_near_dup, op4_byte_bpe, op5_katz, op6_winnowing, op7_license_scan, op8_rule_quality, op9_url_filter, op10_simhash, op11_prefix_trie, op12_vector_codes, op13_secrets)}
 
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -73,6 +81,21 @@ _CRC32 = (
     "list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, y: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))))"
 )
 
+
+
+def _lloyd(rounds: int) -> str:
+    """SQL of the fitted vector codes: one assignment and one update for each round, as the contract has them, without bounds."""
+    near = "list_inner_product(y, y) - 2 * list_inner_product(y, c) + list_inner_product(c, c)"  # whole numbers in doubles: exact
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, p.part, min((({near})::BIGINT, entry)) AS best FROM p JOIN c{i} USING (part) GROUP BY r, p.part)")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.part, o.entry, coalesce(n.c, o.c) AS c FROM c{i} o LEFT JOIN (
+  SELECT part, entry, list(v ORDER BY i) AS c FROM (SELECT part, best[2] AS entry, i, floor(sum(y[i]) / count(*)) AS v
+    FROM (SELECT a.part, a.best, y, unnest(range(1, len(y) + 1)) AS i FROM a{i} a JOIN p USING (r, part)) GROUP BY ALL) GROUP BY part, entry) n ON n.part = o.part AND n.entry = o.entry)""")
+    return ",\n".join(steps)
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op6_winnowing": f"""
@@ -111,5 +134,18 @@ t AS (SELECT p.node, p.depth, count(*) FILTER (f.n_children = 0) AS n_leaves, su
 SELECT CAST(f.conv_id AS BIGINT) AS conv_id, CAST(f.depth AS BIGINT) AS depth, CAST(parent_conv_id AS BIGINT) AS parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
        CAST(f.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
 FROM f JOIN a USING (node, depth) JOIN t USING (node, depth)
+""",
+    "op12_vector_codes": f"""
+WITH g AS (SELECT vec_id, label, embedding FROM embeddings WHERE len(embedding) > 0 AND len(embedding) % 4 = 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r
+     FROM g WHERE len(embedding) = (SELECT len(embedding) FROM g ORDER BY vec_id NULLS LAST, embedding LIMIT 1)),
+p AS MATERIALIZED (SELECT r, part, q[part * len(q) // 4 + 1:(part + 1) * len(q) // 4] AS y FROM (SELECT *, unnest(range(4)) AS part FROM v)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, y AS c FROM p WHERE r <= 256),
+{_lloyd(4)},
+e AS (SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1]) AS error FROM a4 GROUP BY r),
+s AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY part, entry)) AS h FROM c4)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN e USING (r), s
 """,
 }
