@@ -96,6 +96,32 @@ rf AS (SELECT DISTINCT timestamp, itemid, property, value FROM ru),
 rc AS (SELECT itemid, property, timestamp, count(DISTINCT value) AS n_values FROM rf GROUP BY ALL HAVING count(DISTINCT value) > 1)"""
 
 #: name: (select, further tables of its WITH clause)
+#: The derived prefix of a query: items of its last 20 groups.
+_LATEST = """pfx AS (SELECT DISTINCT q.query_id, e.itemid FROM q JOIN grp g ON g.session_id = q.session_id AND g.query_id BETWEEN q.query_id - 19 AND q.query_id
+  JOIN ev e ON e.session_id = g.session_id AND e.timestamp = g.query_time WHERE q.split IN ('validation', 'test'))"""
+
+
+def _item_knn(weight: str) -> str:
+    return f"""si AS (SELECT session_id, itemid, max({weight})::BIGINT AS w FROM train GROUP BY ALL), nrm AS (SELECT itemid, sum(w * w) AS n FROM si GROUP BY 1),
+dot AS (SELECT x.itemid, y.itemid AS neighbour, sum(x.w * y.w)::BIGINT AS dot FROM si x JOIN si y ON x.session_id = y.session_id AND x.itemid <> y.itemid GROUP BY ALL),
+cs AS (SELECT d.*, dot * dot / (a.n * b.n)::DOUBLE AS c2 FROM dot d JOIN nrm a ON a.itemid = d.itemid JOIN nrm b ON b.itemid = d.neighbour),
+knn AS (SELECT itemid, neighbour, row_number() OVER (PARTITION BY itemid ORDER BY c2 DESC, neighbour)::INT AS rank, dot, round(sqrt(c2), 6) AS similarity FROM cs WHERE c2 >= 0.04::DOUBLE * 0.04::DOUBLE QUALIFY rank <= 20)"""
+
+
+_SESSION_KNN = f"""{_LATEST}, si AS (SELECT DISTINCT session_id, itemid FROM train), se AS (SELECT session_id, max(timestamp) AS session_end FROM train GROUP BY 1),
+idf AS (SELECT itemid, round(1000000 * ln(1 + (SELECT count(DISTINCT session_id) FROM train) / count(*)))::BIGINT AS idf FROM si GROUP BY 1),
+nn AS (SELECT query_id, session_id, sum(idf)::BIGINT AS score FROM pfx JOIN si USING (itemid) JOIN idf USING (itemid) GROUP BY ALL),
+near AS (SELECT query_id, session_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, session_end DESC, session_id)::INT AS rank, score FROM nn JOIN se USING (session_id) QUALIFY rank <= 20)"""
+
+
+def _best(scores: str) -> str:
+    return f"SELECT query_id, itemid, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, itemid)::INT AS rank, score FROM ({scores}) QUALIFY rank <= 20"
+
+
+_ITEM_RANKED = _best("SELECT query_id, neighbour AS itemid, sum(round(similarity * 1000000)::BIGINT)::BIGINT AS score FROM pfx JOIN knn USING (itemid) GROUP BY ALL")
+_SESSION_RANKED = _best("SELECT query_id, itemid, sum(score)::BIGINT AS score FROM near JOIN si USING (session_id) GROUP BY ALL")
+
+
 _SQL: dict[str, str | tuple[str, str]] = {
     "read_events": "SELECT * FROM raw",
     "dedup_events": "SELECT * FROM clean",
@@ -361,6 +387,11 @@ FROM (SELECT split, cutoff, query_id, count(*) AS n, count(place) AS h, min(plac
   FROM (SELECT split, query_id, cutoff, CASE WHEN rank <= cutoff THEN rank END AS place FROM tgt LEFT JOIN top USING (itemid), (SELECT unnest([10, 20]) AS cutoff)) GROUP BY ALL) GROUP BY ALL""",
         _POPULAR,
     ),
+    "item_knn": ("SELECT * FROM knn", _item_knn("1")),
+    "item_knn_weighted": ("SELECT * FROM knn", _item_knn("CASE event WHEN 'transaction' THEN 5 WHEN 'addtocart' THEN 3 ELSE 1 END")),
+    "item_knn_ranked": (_ITEM_RANKED, _LATEST + ", " + _item_knn("1")),
+    "session_knn": ("SELECT * FROM near", _SESSION_KNN),
+    "session_knn_ranked": (_SESSION_RANKED, _SESSION_KNN),
 }
 
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}

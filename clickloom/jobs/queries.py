@@ -13,6 +13,7 @@ from clickloom.functions.quantile import exact_quantiles
 from clickloom.operators import checks
 from clickloom.operators import metadata as m
 from clickloom.operators import negatives as neg
+from clickloom.operators import neighbours as knn
 from clickloom.operators import ranking
 from clickloom.operators import sessions as s
 from clickloom.sources import files, star
@@ -20,6 +21,9 @@ from clickloom.sources import files, star
 #: Gap of the derived log, whose visitors are sparse; the library's default is 30 minutes.
 GAP = 720
 
+#: Least similarity of items; sessions of the derived log are short, its items few.
+LEAST_COSINE = 0.04
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 QUERIES_OF: dict[str, Callable[[Log], DataFrame]] = {}
 
@@ -51,6 +55,11 @@ class Log:
             "users_idx": lambda: m.mapping(self.train, "visitorid"),
             "items_idx": lambda: m.mapping(self.train, "itemid"),
             "interactions": lambda: m.interactions(self.train, self.users_idx, self.items_idx, self.ends.first().train_end),
+            "matrix": lambda: reliable(knn.session_items(self.train)),
+            "item_near": lambda: reliable(knn.item_knn(self.matrix, least=LEAST_COSINE)),
+            "asked": lambda: reliable(self.queries.where("split in ('validation', 'test')")),
+            "prefix": lambda: reliable(knn.prefix_items(self.events, self.asked)),
+            "session_near": lambda: knn.session_knn(self._recent(), self.prefix),
             "snapshot": lambda: self._snapshot(),
             "target_meta": lambda: m.asof_metadata(self.targets.select("query_id", "itemid", "query_time", "split"), self.props, self.items, self.tree, "query_time"),
         }.get(name)
@@ -59,6 +68,10 @@ class Log:
         setattr(self, name, make())
         return self.__dict__[name]
 
+    def _recent(self) -> DataFrame:
+        """session_id, itemid, session_end of the train sessions."""
+        return self.train.select("session_id", "itemid", "session_end").distinct()
+
     def _snapshot(self) -> DataFrame:
         """Metadata at the end of train of every item known by then, and whether train holds it."""
         end = F.lit(self.ends.first().train_end).cast("long")
@@ -887,3 +900,42 @@ def popularity_topk(t: Log) -> DataFrame:
 def ranking_metrics(t: Log) -> DataFrame:
     """The popularity ranking measured on the targets of each split."""
     return ranking.metrics(ranking.popularity(t.train, 20), t.targets)
+
+
+@query
+def item_knn(t: Log) -> DataFrame:
+    stored(t, "events")
+    return t.item_near
+
+
+@query
+def item_knn_weighted(t: Log) -> DataFrame:
+    """Neighbours where a session's item weighs 1, 3 or 5 by its strongest behaviour."""
+    stored(t, "events")
+    return knn.item_knn(knn.session_items(t.train, {"transaction": 5, "addtocart": 3, "view": 1}), least=LEAST_COSINE)
+
+
+@query
+def item_knn_ranked(t: Log) -> DataFrame:
+    """The list of each validation and test query by the neighbours of its prefix."""
+    stored(t, "events", "groups")
+    return knn.item_knn_ranked(t.prefix, t.item_near)
+
+
+@query
+def session_knn(t: Log) -> DataFrame:
+    stored(t, "events", "groups")
+    return t.session_near[0]
+
+
+@query
+def session_knn_reads(t: Log) -> DataFrame:
+    """How much of the lists of each distinct prefix was read; ``read`` is at most ``entries``."""
+    stored(t, "events", "groups")
+    return t.session_near[1]
+
+
+@query
+def session_knn_ranked(t: Log) -> DataFrame:
+    stored(t, "events", "groups")
+    return knn.session_knn_ranked(t.session_near[0], t.matrix)
