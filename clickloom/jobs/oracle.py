@@ -101,9 +101,9 @@ _LATEST = """pfx AS (SELECT DISTINCT q.query_id, e.itemid FROM q JOIN grp g ON g
   JOIN ev e ON e.session_id = g.session_id AND e.timestamp = g.query_time WHERE q.split IN ('validation', 'test'))"""
 
 
-def _item_knn(weight: str) -> str:
-    return f"""si AS (SELECT session_id, itemid, max({weight})::BIGINT AS w FROM train GROUP BY ALL), nrm AS (SELECT itemid, sum(w * w) AS n FROM si GROUP BY 1),
-dot AS (SELECT x.itemid, y.itemid AS neighbour, sum(x.w * y.w)::BIGINT AS dot FROM si x JOIN si y ON x.session_id = y.session_id AND x.itemid <> y.itemid GROUP BY ALL),
+def _item_knn(weight: str, si: str = "si") -> str:
+    return f"""{si} AS (SELECT session_id, itemid, max({weight})::BIGINT AS w FROM train GROUP BY ALL), nrm AS (SELECT itemid, sum(w * w) AS n FROM {si} GROUP BY 1),
+dot AS (SELECT x.itemid, y.itemid AS neighbour, sum(x.w * y.w)::BIGINT AS dot FROM {si} x JOIN {si} y ON x.session_id = y.session_id AND x.itemid <> y.itemid GROUP BY ALL),
 cs AS (SELECT d.*, dot * dot / (a.n * b.n)::DOUBLE AS c2 FROM dot d JOIN nrm a ON a.itemid = d.itemid JOIN nrm b ON b.itemid = d.neighbour),
 knn AS (SELECT itemid, neighbour, row_number() OVER (PARTITION BY itemid ORDER BY c2 DESC, neighbour)::INT AS rank, dot, round(sqrt(c2), 6) AS similarity FROM cs WHERE c2 >= 0.04::DOUBLE * 0.04::DOUBLE QUALIFY rank <= 20)"""
 
@@ -114,6 +114,17 @@ nn AS (SELECT query_id, session_id, sum(idf)::BIGINT AS score FROM pfx JOIN si U
 near AS (SELECT query_id, session_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, session_end DESC, session_id)::INT AS rank, score FROM nn JOIN se USING (session_id) QUALIFY rank <= 20)"""
 
 
+#: When an item starts and ceases to be a candidate.
+_CHANGES = """tl AS (SELECT itemid, known_at AS t FROM items UNION SELECT itemid, timestamp FROM props WHERE property = 'available'),
+el AS (SELECT tl.itemid, tl.t, coalesce(p.value = 1, true) AS el FROM tl ASOF LEFT JOIN (SELECT * FROM props WHERE property = 'available') p ON p.itemid = tl.itemid AND tl.t >= p.timestamp),
+chg AS (SELECT * FROM el QUALIFY el <> coalesce(lag(el) OVER (PARTITION BY itemid ORDER BY t), false))"""
+#: The 20 most popular candidates of each query time, by trying all items.
+_POPULAR_AT = """pr AS (SELECT itemid, count(*) AS n FROM train GROUP BY 1), qt AS (SELECT DISTINCT query_time AS t FROM q),
+can AS (SELECT qt.t, pr.itemid, n, p.value AS av FROM qt JOIN (pr JOIN items USING (itemid)) ON known_at <= qt.t
+  ASOF LEFT JOIN (SELECT * FROM props WHERE property = 'available') p ON p.itemid = pr.itemid AND qt.t >= p.timestamp),
+pop AS (SELECT query_id, itemid, rank FROM q JOIN (SELECT t, itemid, row_number() OVER (PARTITION BY t ORDER BY n DESC, itemid)::INT AS rank FROM can WHERE coalesce(av = 1, true) QUALIFY rank <= 20) c ON c.t = q.query_time)"""
+
+
 def _best(scores: str) -> str:
     return f"SELECT query_id, itemid, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, itemid)::INT AS rank, score FROM ({scores}) QUALIFY rank <= 20"
 
@@ -392,6 +403,17 @@ FROM (SELECT split, cutoff, query_id, count(*) AS n, count(place) AS h, min(plac
     "item_knn_ranked": (_ITEM_RANKED, _LATEST + ", " + _item_knn("1")),
     "session_knn": ("SELECT * FROM near", _SESSION_KNN),
     "session_knn_ranked": (_SESSION_RANKED, _SESSION_KNN),
+    "eligibility_changes": ("SELECT itemid, t, el AS \"on\" FROM chg", _CHANGES),
+    "popularity_candidates": ("SELECT query_id, itemid, rank FROM pop", f"{_CHANGES}, {_POPULAR_AT}"),
+    "ranking_metrics_by_query": (
+        f"""SELECT model, split, cutoff, count(*) AS queries, round(avg(h / n), 6) AS recall, round(avg((h > 0)::INT), 6) AS hit_rate, round(avg(coalesce(1 / f, 0)), 6) AS mrr,
+  round(avg(coalesce(dcg, 0) / list_sum(list_transform(range(1, least(n, cutoff) + 1), lambda i: 1 / log2(i + 1)))), 6) AS ndcg
+FROM (SELECT model, split, cutoff, query_id, count(*) AS n, count(place) AS h, min(place) AS f, sum(1 / log2(place + 1)) AS dcg
+  FROM (SELECT m.model, tgt.split, tgt.query_id, cutoff, CASE WHEN rank <= cutoff THEN rank END AS place FROM tgt CROSS JOIN (SELECT unnest(['popularity', 'item_knn', 'session_knn']) AS model) m
+    LEFT JOIN lists ON lists.model = m.model AND lists.query_id = tgt.query_id AND lists.itemid = tgt.itemid, (SELECT unnest([10, 20]) AS cutoff) WHERE tgt.split IN ('validation', 'test')) GROUP BY ALL) GROUP BY ALL""",
+        f"""{_CHANGES}, {_POPULAR_AT}, {_SESSION_KNN}, {_item_knn("1", "sw")},
+lists AS (SELECT 'popularity' AS model, query_id, itemid, rank FROM pop UNION ALL SELECT 'item_knn', query_id, itemid, rank FROM ({_ITEM_RANKED}) UNION ALL SELECT 'session_knn', query_id, itemid, rank FROM ({_SESSION_RANKED}))""",
+    ),
 }
 
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}

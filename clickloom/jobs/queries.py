@@ -55,6 +55,8 @@ class Log:
             "users_idx": lambda: m.mapping(self.train, "visitorid"),
             "items_idx": lambda: m.mapping(self.train, "itemid"),
             "interactions": lambda: m.interactions(self.train, self.users_idx, self.items_idx, self.ends.first().train_end),
+            "changes": lambda: ranking.eligibility_changes(self.items, self.props),
+            "popular": lambda: reliable(ranking.popular_candidates(self.queries, ranking.candidate_lists(reliable(ranking.popularity_ranks(self.train)), self.changes))),
             "matrix": lambda: reliable(knn.session_items(self.train)),
             "item_near": lambda: reliable(knn.item_knn(self.matrix, least=LEAST_COSINE)),
             "asked": lambda: reliable(self.queries.where("split in ('validation', 'test')")),
@@ -939,3 +941,28 @@ def session_knn_reads(t: Log) -> DataFrame:
 def session_knn_ranked(t: Log) -> DataFrame:
     stored(t, "events", "groups")
     return knn.session_knn_ranked(t.session_near[0], t.matrix)
+
+
+@query
+def eligibility_changes(t: Log) -> DataFrame:
+    return t.changes
+
+
+@query
+def popularity_candidates(t: Log) -> DataFrame:
+    """The 20 most popular train items among the candidates at each query's time."""
+    stored(t, "events", "groups")
+    return t.popular
+
+
+@query
+def ranking_metrics_by_query(t: Log) -> DataFrame:
+    """Metrics of one list a query: popularity among candidates, item and session neighbours."""
+    stored(t, "events", "groups", "targets")
+    held = t.targets.where("split in ('validation', 'test')")
+    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.session_knn_ranked(t.session_near[0], t.matrix)}
+    out = None
+    for name, ranked in lists.items():
+        one = ranking.metrics_by_query(ranked, held).withColumn("model", F.lit(name))
+        out = one if out is None else out.union(one)
+    return out
