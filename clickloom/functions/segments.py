@@ -39,18 +39,18 @@ def scan(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], sums: dic
     rows = ranged(df.withColumns(values), *keys, *order)
     # one row for each range: its first and last key, and what the last key has come to in it
     key = F.struct(*(F.col(k) for k in keys)) if keys else F.struct(F.lit(0).alias("_all"))
-    ends = rows.groupBy("_range").agg(F.min_by(key, "_place").alias("_first"), F.max_by(key, "_place").alias("_last"))
+    ends = rows.groupBy("_range").agg(F.min_by(key, "_place").alias("_seg_first"), F.max_by(key, "_place").alias("_seg_last"))
     latest = {n: F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col("_place"))).alias(n) for n in lasts | before}
-    tail = rows.join(F.broadcast(ends), "_range").where(key.eqNullSafe(F.col("_last"))).groupBy("_range", F.col("_last").alias("_key")).agg(*(F.coalesce(F.sum(f"_v_{n}"), F.lit(0)).alias(n) for n in sums), *latest.values())
-    asked = ends.select("_range", F.col("_first").alias("_key"), F.lit(0).alias("_kind"))
-    both = tail.withColumn("_kind", F.lit(1)).unionByName(asked, allowMissingColumns=True)
-    earlier = W.partitionBy("_key").orderBy("_range", "_kind").rowsBetween(W.unboundedPreceding, -1)
-    carried = both.select("_range", "_key", "_kind", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums), *(F.last(n, True).over(earlier).alias(f"_c_{n}") for n in lasts | before))
-    carried = carried.where("_kind = 0").drop("_kind")
+    tail = rows.join(F.broadcast(ends), "_range").where(key.eqNullSafe(F.col("_seg_last"))).groupBy("_range", F.col("_seg_last").alias("_seg_key")).agg(*(F.coalesce(F.sum(f"_v_{n}"), F.lit(0)).alias(n) for n in sums), *latest.values())
+    asked = ends.select("_range", F.col("_seg_first").alias("_seg_key"), F.lit(0).alias("_seg_kind"))
+    both = tail.withColumn("_seg_kind", F.lit(1)).unionByName(asked, allowMissingColumns=True)
+    earlier = W.partitionBy("_seg_key").orderBy("_range", "_seg_kind").rowsBetween(W.unboundedPreceding, -1)
+    carried = both.select("_range", "_seg_key", "_seg_kind", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums), *(F.last(n, True).over(earlier).alias(f"_c_{n}") for n in lasts | before))
+    carried = carried.where("_seg_kind = 0").drop("_seg_kind")
     inside = W.partitionBy("_range", *keys).orderBy("_place")
     upto, prior = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(W.unboundedPreceding, -1)
     found = rows.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0)) for n in sums} | {f"_i_{n}": F.last(f"_v_{n}", True).over(upto) for n in lasts} | {f"_i_{n}": F.last(f"_v_{n}", True).over(prior) for n in before})
     found = found.join(F.broadcast(carried), "_range")
-    same = key.eqNullSafe(F.col("_key"))
+    same = key.eqNullSafe(F.col("_seg_key"))
     out = {n: F.col(f"_i_{n}") + F.when(same, F.col(f"_c_{n}")).otherwise(F.lit(0)) for n in sums} | {n: F.coalesce(f"_i_{n}", F.when(same, F.col(f"_c_{n}"))) for n in lasts | before}
     return found.select(*(F.col(f"`{c}`") for c in df.columns if c not in out), "_range", *(c.alias(n) for n, c in out.items()))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from clickloom.functions.index import reliable
+from clickloom.functions.segments import scan
 from clickloom.operators.sessions import BEHAVIOURS
 
 LABELS = ("itemid", "target_events", "target_count", "eligible_target_count", "target_time", "split")
@@ -135,12 +137,13 @@ def properties(props: DataFrame) -> DataFrame:
 
 
 def _latest(requests: DataFrame, props: DataFrame, prop: str, time: str) -> DataFrame:
-    """Requests (itemid, ``time``, ...) with _at, _value of the last update of ``prop``: a running maximum of (time, value)."""
-    r = F.struct(*requests.columns)
-    u = props.where(F.col("property") == prop).select("itemid", F.col("timestamp").alias("_t"), F.struct("timestamp", "value").alias("_u"))
-    both = u.unionByName(requests.select("itemid", F.col(time).alias("_t"), r.alias("_r")), allowMissingColumns=True)
-    w = W.partitionBy("itemid").orderBy("_t").rangeBetween(W.unboundedPreceding, 0)
-    return both.select("_r", F.max("_u").over(w).alias("_l")).where("_r is not null").select("_r.*", F.col("_l.timestamp").alias("_at"), F.col("_l.value").alias("_value"))
+    """Requests (itemid, ``time``, ...) with _at, _value of the last update of ``prop``: updates of an item are numbered, and a request joins the one that as many as came before have."""
+    u = props.where(F.col("property") == prop).select("itemid", F.col("timestamp").alias("_t"), F.col("value").alias("_value"), F.lit(0).alias("_kind"))
+    both = u.unionByName(requests.select("itemid", F.col(time).alias("_t"), F.lit(1).alias("_kind")).distinct(), allowMissingColumns=True)
+    both = reliable(scan(both, ("itemid",), ("_t", "_kind"), sums={"_n": 1 - F.col("_kind")}))
+    hits = both.where("_kind = 0").select("itemid", "_n", F.col("_t").alias("_at"), "_value")
+    found = both.where("_kind = 1").select("itemid", "_t", "_n").join(hits, ["itemid", "_n"], "left").select(F.col("itemid").alias("_item"), "_t", "_at", "_value")
+    return requests.join(found, F.col("itemid").eqNullSafe(F.col("_item")) & F.col(time).eqNullSafe(F.col("_t"))).drop("_item", "_t")
 
 
 def metadata(found: DataFrame, props: DataFrame, items: DataFrame, time: str = "query_time") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clickloom.functions.index import dense_index, reliable
+from clickloom.functions.segments import scan
 
 
 def property_history(props: DataFrame) -> DataFrame:
@@ -72,21 +73,32 @@ def catalog(events: DataFrame, props: DataFrame) -> DataFrame:
     return events.select("itemid", "timestamp").union(props.select("itemid", "timestamp")).groupBy("itemid").agg(F.min("timestamp").alias("known_at"))
 
 
+def last_known(asked: DataFrame, updates: DataFrame, *values: str) -> DataFrame:
+    """The distinct ``asked`` (itemid, t) with the last of each of ``values`` (not null) that ``updates`` (itemid, t, values) have at or before t.
+
+    One scan of both in order of item and time, in ranges, so an item may have any share of the requests or updates.
+    """
+    both = asked.select("itemid", "t").distinct().withColumn("_last", F.lit(1)).unionByName(updates.select("itemid", "t", *values, F.lit(0).alias("_last")), allowMissingColumns=True)
+    found = scan(both, ("itemid",), ("t", "_last"), lasts={f"_l_{v}": F.col(v) for v in values})
+    return found.where("_last = 1").select("itemid", "t", *(F.col(f"_l_{v}").alias(v) for v in values))
+
+
 def asof_metadata(requests: DataFrame, props: DataFrame, items: DataFrame, tree: DataFrame, time: str = "t") -> DataFrame:
     """Requests (itemid, ``time``, ...) with the latest availability and category at or before their time.
 
-    Updates and requests are united and a window carries the last value forward with its source time: linear in
-    both, whatever the length of an item's history. candidate: known by then and not seen as unavailable.
+    Everything is looked up once for each distinct item and time (``last_known``) and joined back by both, so the work
+    is linear in requests and updates and no item meets in one task. candidate: known by then and not seen as
+    unavailable. A request with a null item or time finds what is known of neither.
     """
-    rows = requests.withColumn("_r", F.struct(*requests.columns))
     value = lambda p: F.max(F.when(F.col("property") == p, F.struct("value", F.col("timestamp").alias("at"))))
-    updates = props.groupBy("itemid", F.col("timestamp").alias("_t")).agg(value("available").alias("_a"), value("categoryid").alias("_c"))
-    both = rows.select("itemid", F.col(time).alias("_t"), F.lit(1).alias("_last"), "_r").unionByName(updates.select("itemid", "_t", "_a", "_c", F.lit(0).alias("_last")), allowMissingColumns=True)
-    by = W.partitionBy("itemid").orderBy("_t", "_last").rowsBetween(W.unboundedPreceding, 0)
-    seen = both.select("_last", "_r", F.last("_a", True).over(by).alias("_a"), F.last("_c", True).over(by).alias("_c")).where("_last = 1")
-    full = seen.select("_r.*", F.col("_a.value").alias("available"), F.col("_a.at").alias("available_time"), F.col("_c.value").alias("category"), F.col("_c.at").alias("category_time"))
+    updates = props.groupBy("itemid", F.col("timestamp").alias("t")).agg(value("available").alias("_a"), value("categoryid").alias("_c"))
+    # when an item is known stands before all its times
+    updates = updates.unionByName(items.select("itemid", F.lit(-(2**63)).cast("long").alias("t"), F.col("known_at").alias("_known")), allowMissingColumns=True)
+    seen = last_known(requests.select("itemid", F.col(time).alias("t")), updates, "_a", "_c", "_known").withColumnsRenamed({"itemid": "_item", "t": "_t"})
+    full = requests.join(seen, F.col("itemid").eqNullSafe(F.col("_item")) & F.col(time).eqNullSafe(F.col("_t")))
+    full = full.select(*requests.columns, F.col("_known").alias("known_at"), F.col("_a.value").alias("available"), F.col("_a.at").alias("available_time"), F.col("_c.value").alias("category"), F.col("_c.at").alias("category_time"))
     # the tree is joined as its size allows: Spark broadcasts it below its own limit only
-    out = full.join(items.select("itemid", "known_at"), "itemid", "left").join(tree, F.col("category") == F.col("categoryid"), "left")
+    out = full.join(tree, F.col("category") == F.col("categoryid"), "left")
     return out.select(
         *requests.columns,
         "known_at",

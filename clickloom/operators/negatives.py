@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clickloom.functions.index import reliable, running_base
+from clickloom.operators.metadata import last_known
 
 
 def train_ranks(items: DataFrame, train: DataFrame) -> DataFrame:
@@ -35,12 +36,9 @@ def _allowed(rows: DataFrame, targets: DataFrame, props: DataFrame) -> DataFrame
     items are known by then the ranks have seen to.
     """
     rest = rows.join(targets.select("query_id", "itemid"), ["query_id", "itemid"], "left_anti")
-    asked = rest.select("itemid", F.col("query_time").alias("_t")).distinct()
-    updates = props.where("property = 'available'").select("itemid", F.col("timestamp").alias("_t"), F.col("value").alias("_a"))
-    both = asked.withColumn("_last", F.lit(1)).unionByName(updates.withColumn("_last", F.lit(0)), allowMissingColumns=True)
-    by = W.partitionBy("itemid").orderBy("_t", "_last").rowsBetween(W.unboundedPreceding, 0)
-    seen = both.select("itemid", F.col("_t").alias("query_time"), "_last", F.last("_a", True).over(by).alias("_a")).where("_last = 1 and coalesce(_a, 1) = 1")
-    return rest.join(seen.select("itemid", "query_time"), ["itemid", "query_time"]).select(*rows.columns)
+    updates = props.where("property = 'available'").select("itemid", F.col("timestamp").alias("t"), F.col("value").alias("_a"))
+    seen = last_known(rest.select("itemid", F.col("query_time").alias("t")), updates, "_a").where("coalesce(_a, 1) = 1")
+    return rest.join(seen.select("itemid", F.col("t").alias("query_time")), ["itemid", "query_time"]).select(*rows.columns)
 
 
 def _first(rows: DataFrame, order: str, most) -> DataFrame:
