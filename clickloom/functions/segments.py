@@ -37,6 +37,12 @@ def scan(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], sums: dic
     sums, lasts, before = sums or {}, lasts or {}, before or {}
     values = {f"_v_{n}": c for n, c in (sums | lasts | before).items()}
     rows = ranged(df.withColumns(values), *keys, *order)
+    inside = W.partitionBy("_range", *keys).orderBy("_place")
+    upto, prior = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(W.unboundedPreceding, -1)
+    found = rows.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0)) for n in sums} | {f"_i_{n}": F.last(f"_v_{n}", True).over(upto) for n in lasts} | {f"_i_{n}": F.last(f"_v_{n}", True).over(prior) for n in before})
+    if rows.rdd.getNumPartitions() < 2:  # nothing comes from another range
+        names = {n: F.col(f"_i_{n}") for n in sums | lasts | before}
+        return found.select(*(F.col(f"`{c}`") for c in df.columns if c not in names), "_range", *(c.alias(n) for n, c in names.items()))
     # one row for each range: its first and last key, and what the last key has come to in it
     key = F.struct(*(F.col(k) for k in keys)) if keys else F.struct(F.lit(0).alias("_all"))
     ends = rows.groupBy("_range").agg(F.min_by(key, "_place").alias("_seg_first"), F.max_by(key, "_place").alias("_seg_last"))
@@ -47,9 +53,6 @@ def scan(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], sums: dic
     earlier = W.partitionBy("_seg_key").orderBy("_range", "_seg_kind").rowsBetween(W.unboundedPreceding, -1)
     carried = both.select("_range", "_seg_key", "_seg_kind", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums), *(F.last(n, True).over(earlier).alias(f"_c_{n}") for n in lasts | before))
     carried = carried.where("_seg_kind = 0").drop("_seg_kind")
-    inside = W.partitionBy("_range", *keys).orderBy("_place")
-    upto, prior = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(W.unboundedPreceding, -1)
-    found = rows.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0)) for n in sums} | {f"_i_{n}": F.last(f"_v_{n}", True).over(upto) for n in lasts} | {f"_i_{n}": F.last(f"_v_{n}", True).over(prior) for n in before})
     found = found.join(F.broadcast(carried), "_range")
     same = key.eqNullSafe(F.col("_seg_key"))
     out = {n: F.col(f"_i_{n}") + F.when(same, F.col(f"_c_{n}")).otherwise(F.lit(0)) for n in sums} | {n: F.coalesce(f"_i_{n}", F.when(same, F.col(f"_c_{n}"))) for n in lasts | before}

@@ -229,20 +229,23 @@ im AS (SELECT itemid, row_number() OVER (ORDER BY itemid) + 1 AS i FROM (SELECT
 _LIMITS = """ti AS (SELECT itemid, known_at, row_number() OVER (ORDER BY known_at, itemid) - 1 AS rank FROM items WHERE itemid IN (SELECT itemid FROM train)),
 lim AS (SELECT query_id, query_time, "limit" FROM q JOIN (SELECT t, (SELECT count(*) FROM ti WHERE known_at <= t) AS "limit" FROM (SELECT DISTINCT query_time AS t FROM q)) ON t = query_time WHERE split = 'train')"""
 
-_NEGATIVES = (
-    _LIMITS
-    + ", "
-    + _meta('SELECT DISTINCT itemid, query_time FROM lim JOIN ti ON rank < "limit"', "query_time", "m2.itemid, m2.query_time")
-    + """, ok AS (SELECT itemid, query_time FROM meta WHERE candidate),
-dr AS (SELECT query_id, itemid, x.query_time, min(d) AS d FROM (SELECT *, ('0x' || substr(md5('7:' || query_id || ':' || d), 1, 8))::BIGINT % "limit" AS r FROM lim, range(20) z(d) WHERE "limit" > 0) x
-  JOIN ti ON rank = r GROUP BY ALL),
-got AS (SELECT query_id, itemid FROM dr JOIN ok USING (itemid, query_time) ANTI JOIN tgt USING (query_id, itemid) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d) <= 5),
-sh AS (SELECT lim.*, coalesce(h, 0) AS h FROM lim LEFT JOIN (SELECT query_id, count(*) AS h FROM got GROUP BY 1) USING (query_id) WHERE coalesce(h, 0) < 5),
-fill AS (SELECT query_id, itemid FROM (SELECT query_id, query_time, h, itemid FROM sh JOIN ti ON rank < "limit") p JOIN ok USING (itemid, query_time)
-  ANTI JOIN tgt USING (query_id, itemid) ANTI JOIN got USING (query_id, itemid)
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY md5('7:' || query_id || ':f:' || itemid)) <= 5 - h),
-neg AS (SELECT * FROM got UNION ALL SELECT * FROM fill)"""
-)
+def _negatives(k: int) -> str:
+    """Places drawn one by one: draw d counts the places that no draw before has taken."""
+    return (
+        _LIMITS
+        + ", "
+        + _meta('SELECT DISTINCT itemid, query_time FROM lim JOIN ti ON rank < "limit"', "query_time", "m2.itemid, m2.query_time")
+        + f""", ok AS (SELECT query_time, itemid, row_number() OVER (PARTITION BY query_time ORDER BY rank) - 1 AS place, count(*) OVER (PARTITION BY query_time) AS n FROM meta JOIN ti USING (itemid) WHERE candidate),
+sz AS (SELECT query_id, query_time, n, least(n, {k} + coalesce(m, 0)) AS c FROM lim JOIN (SELECT DISTINCT query_time, n FROM ok) USING (query_time) LEFT JOIN (SELECT query_id, count(*) AS m FROM tgt GROUP BY 1) USING (query_id)),
+dr AS (SELECT query_id, query_time, n, c, 0 AS d, []::BIGINT[] AS taken FROM sz
+  UNION ALL SELECT query_id, query_time, n, c, d + 1, list_append(taken, list_reduce(list_prepend((('0x' || substr(md5('7:' || query_id || ':' || d), 1, 15))::BIGINT % (n - d))::BIGINT, list_sort(taken)), lambda r, x: CASE WHEN r >= x THEN r + 1 ELSE r END)) FROM dr WHERE d < c),
+pk AS (SELECT query_id, query_time, c = n AS filled, unnest(taken) AS place, unnest(range(c)) AS d FROM dr WHERE d = c),
+neg AS (SELECT query_id, itemid, filled FROM pk JOIN ok USING (query_time, place) ANTI JOIN tgt USING (query_id, itemid) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d) <= {k}),
+fill AS (SELECT query_id, itemid FROM neg WHERE filled)"""
+    )
+
+
+_NEGATIVES = _negatives(5)
 
 _NEXT = """nx AS (SELECT *, lead(timestamp) OVER (PARTITION BY session_id ORDER BY timestamp) AS later FROM (SELECT DISTINCT session_id, timestamp FROM ev WHERE split <> 'boundary_drop')),
 again AS (SELECT DISTINCT query_id, ev.itemid FROM q JOIN nx ON nx.session_id = q.session_id AND nx.timestamp = query_time JOIN ev ON ev.session_id = q.session_id AND ev.timestamp = later)"""
@@ -271,7 +274,7 @@ _SQL |= {
     "verify_manifest": " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS stored_rows, count(*) AS found_rows, true AS same FROM {x[0]}" for n, x in _TABLES.items()),
     "known_item_limit": ('SELECT query_id, "limit" FROM lim', _LIMITS),
     "train_negatives": ("SELECT query_id, itemid FROM neg", _NEGATIVES),
-    "negative_fill": ("SELECT query_id, itemid FROM fill", _NEGATIVES),
+    "negative_fill": ("SELECT query_id, itemid FROM fill", _negatives(45)),
     "negative_shortfall": ("SELECT count(*) AS train_queries, count(*) FILTER (n < 5) AS short_queries, sum(5 - n)::BIGINT AS missing FROM (SELECT query_id, count(itemid) AS n FROM q LEFT JOIN neg USING (query_id) WHERE split = 'train' GROUP BY 1)", _NEGATIVES),
     "dq_events": _report(
         duplicate_events="SELECT 1 FROM ev GROUP BY timestamp, visitorid, event, itemid, transactionid HAVING count(*) > 1",

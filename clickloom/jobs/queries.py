@@ -55,7 +55,7 @@ class Log:
             "users_idx": lambda: m.mapping(self.train, "visitorid"),
             "items_idx": lambda: m.mapping(self.train, "itemid"),
             "interactions": lambda: m.interactions(self.train, self.users_idx, self.items_idx, self.ends.first().train_end),
-            "changes": lambda: ranking.eligibility_changes(self.items, self.props),
+            "changes": lambda: m.eligibility_changes(self.items, self.props),
             "popular": lambda: reliable(ranking.popular_candidates(self.queries, ranking.candidate_lists(reliable(ranking.popularity_ranks(self.train)), self.changes))),
             "matrix": lambda: reliable(knn.session_items(self.train)),
             "item_near": lambda: reliable(knn.item_knn(self.matrix, least=LEAST_COSINE)),
@@ -751,7 +751,9 @@ def train_negatives(t: Log) -> DataFrame:
 
 @query
 def negative_fill(t: Log) -> DataFrame:
-    return t.negatives.where("filled").select("query_id", "itemid")
+    """Samples of queries whose pool is smaller than what is asked for (here 45 of some 50 eligible items): all that exists."""
+    stored(t, "events", "groups", "targets")
+    return neg.negatives(t.queries, t.targets, t.ranks, t.props, 45).where("filled").select("query_id", "itemid")
 
 
 @query

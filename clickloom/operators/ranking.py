@@ -50,19 +50,6 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     return running_base(counts, "_k", "_one").select("_k.itemid", F.col("base").alias("rank"))
 
 
-def eligibility_changes(items: DataFrame, props: DataFrame) -> DataFrame:
-    """itemid, t, on: when an item becomes a candidate and when it ceases to be one.
-
-    A candidate is known (``items``: itemid, known_at) and not last seen as unavailable (``props``).
-    """
-    available = props.where("property = 'available'").groupBy("itemid", F.col("timestamp").alias("t")).agg(F.max("value").alias("v"))
-    known = items.select("itemid", F.col("known_at").alias("t"))
-    times = known.join(available, ["itemid", "t"], "left").unionByName(available.join(known, ["itemid", "t"], "left_anti"))
-    seen = scan(times, ("itemid",), ("t",), lasts={"now": F.col("v")}, before={"then": F.col("v"), "any": F.lit(1)})
-    on, was = F.coalesce(F.col("now") == 1, F.lit(True)), F.col("any").isNotNull() & F.coalesce(F.col("then") == 1, F.lit(True))
-    return seen.select("itemid", "t", on.alias("on"), was.alias("_was")).where(F.col("on") != F.col("_was")).drop("_was")
-
-
 def candidate_lists(ranks: DataFrame, changes: DataFrame, k: int = 20) -> DataFrame:
     """t, part, place (from 1), itemid: the ``k`` first items by ``rank`` that are candidates from t on, whenever these change.
 

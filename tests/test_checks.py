@@ -28,7 +28,7 @@ def built(spark):
     t["catalog"] = m.catalog(t["events"], t["props"]).cache()
     t["tree"] = m.category_tree(spark.createDataFrame([(1, None)], "categoryid long, parentid long"))
     t["meta"] = m.asof_metadata(t["targets"], t["props"], t["catalog"], t["tree"], "query_time").cache()
-    t["negatives"] = negatives.negatives(t["queries"], t["targets"], negatives.train_ranks(t["catalog"], t["train"]), t["props"], k=3, draws=8).cache()
+    t["negatives"] = negatives.negatives(t["queries"], t["targets"], negatives.train_ranks(t["catalog"], t["train"]), t["props"], k=3).cache()
     t["negative_meta"] = m.asof_metadata(t["negatives"].drop("filled"), t["props"], t["catalog"], t["tree"], "query_time").cache()
     return t
 

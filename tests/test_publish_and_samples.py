@@ -58,13 +58,13 @@ def test_negatives_are_known_eligible_and_no_targets(spark):
     ranks = negatives.train_ranks(items, train)
     assert {r.query_id: r.limit for r in negatives.known_item_limit(q, ranks).collect()} == {1: 5, 2: 10, 4: 0}
     make = lambda **o: sorted((r.query_id, r.itemid) for r in negatives.negatives(q, t, ranks, props, **o).collect())
-    got = make(k=5, draws=8)
+    got = make(k=5)
     assert [i for k, i in got if k == 1] == [0, 2, 4]  # all that exist: 1 is unavailable, 3 a target
     assert len({i for k, i in got if k == 2}) == 5 and not {i for k, i in got if k == 2} & {0, 1, 10, 11}
-    assert {k for k, _ in got} == {1, 2} and got == make(k=5, draws=8)
+    assert {k for k, _ in got} == {1, 2} and got == make(k=5)
     none = negatives.negatives(q, t, ranks, props, k=0)
     assert none.count() == 0 and none.columns == ["query_id", "itemid", "query_time", "filled"]
-    found = negatives.negatives(q, t, ranks, props, k=5, draws=8)
+    found = negatives.negatives(q, t, ranks, props, k=5)
     assert tuple(negatives.shortfall(q, found).first()) == (3, 2, 7)
 
 

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from clickloom.operators import ranking
+from clickloom.operators import metadata, ranking
 
 
 @pytest.fixture()
@@ -23,7 +23,7 @@ def test_popular_candidates(spark, many_ranges, share, times):
     props = [(i, "available", t, int(rng.random() > share)) for i, k in items for t in {rng.randrange(k, times + 1) for _ in range(6)}] + [(0, "categoryid", 0, 5)]
     train = [(rng.randrange(80),) for _ in range(300)]
     queries = [(q, rng.randrange(-2, times + 5)) for q in range(300)]
-    changes = ranking.eligibility_changes(spark.createDataFrame(items, "itemid long, known_at long"), spark.createDataFrame(props, "itemid long, property string, timestamp long, value long"))
+    changes = metadata.eligibility_changes(spark.createDataFrame(items, "itemid long, known_at long"), spark.createDataFrame(props, "itemid long, property string, timestamp long, value long"))
     ranks = ranking.popularity_ranks(spark.createDataFrame(train, "itemid long"))
     lists = ranking.candidate_lists(ranks, changes, 4)
     got = {(r.query_id, r["rank"]): r.itemid for r in ranking.popular_candidates(spark.createDataFrame(queries, "query_id long, query_time long"), lists).collect()}
