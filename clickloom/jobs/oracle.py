@@ -417,6 +417,8 @@ FROM (SELECT model, split, cutoff, query_id, count(*) AS n, count(place) AS h, m
         f"""{_CHANGES}, {_POPULAR_AT}, {_SESSION_KNN}, {_item_knn("1", "sw")},
 lists AS (SELECT 'popularity' AS model, query_id, itemid, rank FROM pop UNION ALL SELECT 'item_knn', query_id, itemid, rank FROM ({_ITEM_RANKED}) UNION ALL SELECT 'session_knn', query_id, itemid, rank FROM ({_SESSION_RANKED}))""",
     ),
+    "prefix_ranges": "SELECT q.session_id, event_id, itemid, event, query_id AS first_query FROM q JOIN ev ON ev.session_id = q.session_id AND ev.timestamp = q.query_time",
+    "bucketed_join": "SELECT query_id, q.query_time, q.split, count(*) AS targets, sum(target_events)::BIGINT AS events FROM q JOIN tgt USING (query_id) GROUP BY ALL",
 }
 
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}

@@ -210,8 +210,14 @@ def prefix_features(t: Log) -> DataFrame:
 
 @query
 def prefix_history(t: Log) -> DataFrame:
-    q = t.queries.select("visitorid", "session_id", "query_id", "query_time")
-    return q.join(t.events, ["visitorid", "session_id"]).where("timestamp <= query_time").select("query_id", "event_id", "itemid", "event")
+    """The prefixes of all queries, written out; ``prefix_ranges`` is the form to keep."""
+    stored(t, "events")
+    return s.history_of(s.history_ranges(t.events), t.queries)
+
+
+@query
+def prefix_ranges(t: Log) -> DataFrame:
+    return s.history_ranges(t.events)
 
 
 @query
@@ -714,6 +720,17 @@ def write_splits(t: Log) -> DataFrame:
     return q.groupBy("split").agg(F.count("*").alias("queries")).join(n, "split").select(F.col("split").cast("string").alias("split"), "queries", "pairs")
 
 
+@query
+def bucketed_join(t: Log) -> DataFrame:
+    """Queries with the number and events of their targets, from tables bucketed by query_id, joined and grouped without a shuffle."""
+    path, buckets = shared_dir(t.spark, "bucketed"), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    stored(t, "events")
+    q = files.write_bucketed(t.queries.select("query_id", "query_time", "split"), path, "queries", "query_id", buckets)
+    g = files.write_bucketed(t.targets.select("query_id", "itemid", "target_events"), path, "targets", "query_id", buckets)
+    n = g.groupBy("query_id").agg(F.count("*").alias("targets"), F.sum("target_events").alias("events"))
+    return q.join(n, "query_id").select("query_id", "query_time", "split", "targets", "events")
+
+
 def _tables(t: Log) -> dict[str, DataFrame]:
     return {
         "events": t.events.select("event_id", "timestamp", "visitorid", "event", "itemid", "transactionid", "session_id", "event_order", "split"),

@@ -215,3 +215,18 @@ def next_targets(events: DataFrame) -> DataFrame:
     items = events.where("split <> 'boundary_drop' and previous_time is not null")
     t = items.groupBy("visitorid", "session_id", "timestamp", "group_id", "split", "itemid", "previous_time").agg(F.count("*").alias("target_events"))
     return t.select((F.col("group_id") - 1).alias("query_id"), "itemid", "target_events", F.col("previous_time").alias("query_time"), F.col("timestamp").alias("target_time"), "split", "session_id", "visitorid")
+
+
+def history_ranges(events: DataFrame) -> DataFrame:
+    """session_id, event_id, itemid, event, first_query of every event that some query's prefix holds.
+
+    The prefix of a query is what its session has with first_query <= query_id. One row an event, so a session of
+    n events has n rows, where the prefixes written out have n^2 / 2.
+    """
+    held = events.where("split <> 'boundary_drop' and next_time is not null")
+    return held.select("session_id", "event_id", "itemid", "event", F.col("group_id").alias("first_query"))
+
+
+def history_of(ranges: DataFrame, queries: DataFrame) -> DataFrame:
+    """query_id, event_id, itemid, event: the prefixes of the given ``queries`` (query_id, session_id), written out."""
+    return ranges.join(queries.select("query_id", "session_id"), "session_id").where("first_query <= query_id").select("query_id", "event_id", "itemid", "event")

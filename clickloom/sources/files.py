@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Mapping
 from functools import reduce
@@ -9,6 +10,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickloom.sources.star import require_columns
 
@@ -73,6 +75,29 @@ def write_splits(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def write_bucketed(df: DataFrame, folder: str, name: str, key: str, buckets: int) -> DataFrame:
+    """Write a table in ``buckets`` files by a hash of ``key``, each sorted by it, and return it as ``open_bucketed`` reads it.
+
+    Tables of the same buckets are joined and grouped by ``key`` as they lie, without a shuffle.
+    """
+    df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", f"{folder}/{name}").saveAsTable(_registered(folder, name))
+    return open_bucketed(df.sparkSession, folder, name, df.schema, key, buckets)
+
+
+def open_bucketed(spark: SparkSession, folder: str, name: str, schema: StructType, key: str, buckets: int) -> DataFrame:
+    """A table of ``write_bucketed``, also in a session other than the one that wrote it."""
+    table = _registered(folder, name)
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{folder}/{name}'")
+    return spark.table(table)
+
+
+def _registered(folder: str, name: str) -> str:
+    """Name in the catalog; the folder's hash keeps datasets apart."""
+    return f"{name}_{hashlib.md5(folder.encode()).hexdigest()[:12]}"
+
+
 def publish(tables: Mapping[str, DataFrame], folder: str, check=None, config: Mapping | None = None) -> DataFrame:
     """Write ``tables`` to a new ``folder``, audit them, and last the manifest that marks the dataset complete.
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from clickloom.functions.index import dense_index
+from clickloom.functions.index import dense_index, reliable
 from clickloom.functions.quantile import exact_quantiles
 from clickloom.operators import metadata as m
 from clickloom.operators import sessions as s
@@ -83,10 +83,20 @@ def test_dense_index_is_the_rank(spark):
     assert got == [(k, n) for n, k in enumerate(sorted({x * 13 % 1000 for x in range(0, 1000, 7)}), 2)]
 
 
-def test_deep_trees_are_whole(spark):
-    rows = [(i, i - 1 if i else None) for i in range(90)]
-    got = {r.categoryid: (r.root_id, r.depth) for r in m.category_tree(spark.createDataFrame(rows, "categoryid long, parentid long")).collect()}
-    assert got == {i: (0, i) for i in range(90)}
+def test_deep_trees_are_whole_in_few_rounds(spark, monkeypatch):
+    """Depth 4,095 in a chain takes twelve rounds; a bush beside it is whole, too."""
+    rounds = []
+    monkeypatch.setattr(m, "reliable", lambda df: rounds.append(1) or reliable(df))
+    rows = [(i, i - 1 if i else None) for i in range(4096)] + [(5000 + i, 5000 if i else None) for i in range(50)] + [(6000 + i, 5000 + i) for i in range(50)]
+    got = {r.categoryid: (r.root_id, r.depth, r.steps, r.tail) for r in m.category_tree(spark.createDataFrame(rows, "categoryid long, parentid long")).selectExpr("*", "size(split(path, '/')) as steps", "right(path, 9) as tail").collect()}
+    assert len(rounds) <= 14 and len(got) == len(rows)
+    assert all(got[i][:3] == (0, i, i + 1) for i in range(4096)) and got[4095][3] == "4094/4095" and got[6007] == (5000, 2, 3, "5007/6007")
+
+
+@pytest.mark.parametrize("rows", [[(0, None), (1, 2), (2, 3), (3, 1)], [(0, 0)], [(1, None), (1, None)], [(None, None)]])
+def test_cycles_beside_a_tree_repeats_and_nulls_are_refused(spark, rows):
+    with pytest.raises(ValueError):
+        m.category_tree(spark.createDataFrame(rows, "categoryid long, parentid long"))
 
 
 def test_ids_are_made_for_a_source_without(spark):

@@ -80,3 +80,18 @@ def test_popularity_and_metrics(spark):
     t = spark.createDataFrame([("test", 1, 9), ("test", 1, 50), ("test", 2, 50)], "split string, query_id long, itemid long")
     r = ranking.metrics(top, t, (10,)).first()
     assert (r.queries, r.recall, r.hit_rate, r.mrr, r.ndcg) == (2, 0.25, 0.5, 0.25, 0.193426)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = files.write_bucketed(spark.range(100).selectExpr("id as query_id", "id * 2 as t"), str(tmp_path), "queries", "query_id", 4)
+        files.write_bucketed(spark.range(300).selectExpr("id div 3 as query_id", "id as itemid"), str(tmp_path), "targets", "query_id", 4)
+        spark.sql(f"DROP TABLE {files._registered(str(tmp_path), 'targets')}")  # as another session finds it
+        g = files.open_bucketed(spark, str(tmp_path), "targets", spark.createDataFrame([], "query_id long, itemid long").schema, "query_id", 4)
+        both = q.join(g, "query_id").groupBy("query_id", "t").count()
+        assert "Exchange" not in both._jdf.queryExecution().toString() and "SortMergeJoin" in both._jdf.queryExecution().toString()
+        assert both.where("count = 3").count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
