@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.index import reliable, shared_dir
+from clickloom.functions.joins import join_split
 
-__all__ = ["checkpointed", "components", "join_split", "let", "map_columns", "shared_dir", "table", "written"]
+__all__ = ["checkpointed", "columns_of", "components", "join_split", "let", "map_columns", "shared_dir", "table", "unused", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +29,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return reliable(df)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with further underscores if ``df`` has it already (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, and the size that Spark plans with is the real one.
 
@@ -38,20 +52,6 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_split(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
-    """Inner join of ``rows`` with ``table``, which has one row for each ``key`` (null is one too) and ``n``, its number of ``rows``.
-
-    Keys with more rows than an eighth of a partition are broadcast, at most eight for each partition, so their
-    rows stay where they are; all others are few rows each and are shuffled.
-    """
-    total = table.agg(F.sum(n)).first()[0] or 0
-    limit = total // (8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    table = table.withColumnRenamed(key, "_key")
-    on, hot = F.col(key).eqNullSafe(F.col("_key")), F.broadcast(table.where(F.col(n) > limit))
-    rest = rows.join(hot, on, "left_anti").join(table.where(F.col(n) <= limit), on)
-    return rows.join(hot, on).union(rest).drop("_key")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once for each row, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import LOWER, UPPER, checkpointed, let
+from clickloom.llm.common import LOWER, UPPER, checkpointed, columns_of, let, unused
 
 #: Words in a window whose every occurrence is found.
 WINDOW = 10
@@ -116,8 +116,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, least_share: float = 0.0) -> DataFrame:
-    """``docs`` without the documents whose share of hit words is above ``least_share`` (stage of the corpus pipeline)."""
+    """``docs`` without the documents whose share of hit words is above ``least_share`` (stage of the corpus pipeline).
+
+    Null texts have no words and stay; null ids are judged as others; repeated rows go or stay together; an empty
+    table gives no rows; other columns are handed on as they are.
+    """
+    doc, th = unused(docs, "_g_doc"), unused(docs, "_g_th")
     found = contamination(docs, benchmark).where("n_hit > 0").where(F.col("n_hit") > least_share * F.col("n_words"))
-    gone = found.select(F.col("doc_id").alias("_g_doc"), F.col("th").alias("_g_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_g_doc")) & (F.xxhash64("text") == F.col("_g_th"))
-    return docs.join(gone, same, "left_anti").select(*docs.columns)
+    gone = found.select(F.col("doc_id").alias(doc), F.col("th").alias(th)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left_anti").select(*columns_of(docs))

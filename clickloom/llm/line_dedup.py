@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import checkpointed, let, shared_dir
+from clickloom.llm.common import checkpointed, columns_of, let, shared_dir, unused
 
 
 def stripped(line: str | Column) -> Column:
@@ -328,99 +328,15 @@ def report(docs: DataFrame, edits: int | None = None, least_chars: int = 24) ->
 def drop_lines(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
     """``docs`` without the dropped lines (stage of the corpus pipeline); n_chars, if there, follows the text.
 
-    All rows stay, a document whose every line is dropped with an empty text; other texts are unchanged.
+    All rows stay, a document whose every line is dropped with an empty text; other texts and columns are unchanged.
+    Null texts stay null; repeated rows of one id and text have one result; an empty table gives no rows.
     """
-    d = decisions(docs, edits, least_chars).select(F.col("doc_id").alias("_d_doc"), F.col("th").alias("_d_th"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(d, F.col("doc_id").eqNullSafe(F.col("_d_doc")) & (F.xxhash64("text") == F.col("_d_th")), "left")
+    doc, th, dropped = (unused(docs, x) for x in ("_d_doc", "_d_th", "_dropped"))
+    d = decisions(docs.select("doc_id", "text"), edits, least_chars).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("dropped").alias(dropped))
+    joined = docs.join(d, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left")
     lines = F.split("text", "\n")
-    left = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_dropped")), lambda i: F.get(x, i)), "\n"))
-    out = joined.withColumn("text", F.when(F.coalesce(F.size("_dropped"), F.lit(0)) > 0, left).otherwise(F.col("text")))
+    left = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(dropped)), lambda i: F.get(x, i)), "\n"))
+    out = joined.withColumn("text", F.when(F.coalesce(F.size(dropped), F.lit(0)) > 0, left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
-
-
-def distance(a: str, b: str, edits: int) -> Column:
-    """Edit distance of two columns if at most ``edits``, else a larger number; equal ends are taken off first."""
-    swap = F.length(a) < F.length(b)
-    pair = F.struct(F.when(swap, F.col(b)).otherwise(F.col(a)).alias("p"), F.when(swap, F.col(a)).otherwise(F.col(b)).alias("t"))
-
-    def no_prefix(x: Column) -> Column:
-        cut = lambda k: F.struct(F.reverse(F.substring(x["p"], k + 1, F.length(x["p"]))).alias("p"), F.reverse(F.substring(x["t"], k + 1, F.length(x["t"]))).alias("t"))
-        return let(let(common_prefix(x["p"], x["t"]), cut), no_suffix)
-
-    def body(y: Column) -> Column:
-        # the ends differ, so one edit can only be all that is left
-        far = F.length(y["t"]) > 1 if edits == 1 else F.lit(False)
-        return F.when(far, edits + 1).otherwise(banded_distance(y["p"], y["t"], edits))
-
-    def no_suffix(x: Column) -> Column:
-        cut = lambda k: F.struct(F.substring(x["p"], k + 1, F.length(x["p"])).alias("p"), F.substring(x["t"], k + 1, F.length(x["t"])).alias("t"))
-        return let(let(common_prefix(x["p"], x["t"]), cut), body)
-
-    return let(pair, no_prefix)
-
-
-def common_prefix(a: Column, b: Column, longest: int = 1 << 30) -> Column:
-    """Length of the common prefix: prefixes are equal up to it and never after, so halving steps find it."""
-    steps = []
-    while longest:
-        steps.append(longest)
-        longest //= 2
-
-    def step(at: Column, size: Column) -> Column:
-        fits = (at + size <= F.length(a)) & (F.substring(a, at + 1, size) == F.substring(b, at + 1, size))
-        return F.when(fits, at + size).otherwise(at)
-
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
-
-
-def banded_distance(long: Column, short: Column, edits: int) -> Column:
-    """Edit distance of two strings if it is at most ``edits``, else some larger number.
-
-    Bit-vectors hold the vertical differences of the band of ``edits + 1`` cells that a path of so few edits can
-    use: as many diagonals on each side of the first cell's and the corner's as the edits beside the length
-    difference allow, there and back. Each column costs one comparison a cell and a dozen operations on a long. The
-    cell that ends in the corner stays on one bit: the distance is the length difference plus the columns in which
-    that bit is no free diagonal.
-    ``long`` is the longer string, by at most ``edits``.
-    """
-    if not 0 < edits <= 20:
-        raise ValueError("edits must be 1 to 20")
-    width = edits + 1
-    full = (1 << width) - 1
-    inverse = lambda x: x.bitwiseXOR(F.lit(full).cast("long"))
-    p, t = F.split(long, ""), F.split(short, "")
-    beside = F.floor((edits - F.length(long) + F.length(short)) / 2).cast("int")  # diagonals before the first cell's
-    corner = F.length(long) - F.length(short) + beside
-
-    def column(acc: Column, j: Column) -> Column:
-        # values never fall along a diagonal, so beyond the limit nothing more is to be computed
-        return F.when(acc["d"] > edits, acc).otherwise(cells(acc, j))
-
-    def cells(acc: Column, j: Column) -> Column:
-        char = F.get(t, j)
-        eq = F.lit(0).cast("long")
-        for i in range(width):
-            eq = eq + F.when(F.get(p, j - beside + i) == char, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-        return let(F.struct(eq.alias("eq"), acc["vp"].alias("vp"), acc["vn"].alias("vn"), acc["d"].alias("d")), diagonal)
-
-    def diagonal(x: Column) -> Column:
-        free = ((x["eq"].bitwiseAND(x["vp"]) + x["vp"]).bitwiseXOR(x["vp"])).bitwiseOR(x["eq"]).bitwiseOR(x["vn"])
-        return let(F.struct(free.bitwiseAND(F.lit(full).cast("long")).alias("f"), x["vp"].alias("vp"), x["vn"].alias("vn"), x["d"].alias("d")), horizontal)
-
-    def horizontal(y: Column) -> Column:
-        hp = y["vn"].bitwiseOR(inverse(y["f"].bitwiseOR(y["vp"])))
-        hn = y["f"].bitwiseAND(y["vp"])
-        down = F.shiftright(y["f"], 1)
-        return F.struct(
-            hn.bitwiseOR(inverse(down.bitwiseOR(hp))).alias("vp"),
-            down.bitwiseAND(hp).alias("vn"),
-            (y["d"] + F.when(F.getbit(y["f"], corner) == 1, 0).otherwise(1)).alias("d"),
-        )
-
-    first = F.struct(
-        F.get(F.array(*(F.lit(full - ((1 << h) - 1)).cast("long") for h in range(edits // 2 + 1))), beside).alias("vp"), F.lit(0).cast("long").alias("vn"), (F.length(long) - F.length(short)).alias("d")
-    )
-    columns = F.sequence(F.lit(0), F.length(short) - 1)
-    return F.when(F.length(short) == 0, F.length(long)).otherwise(F.aggregate(columns, first, column, lambda acc: acc["d"]))
+    return out.select(*columns_of(docs))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.llm.common import LOWER_TABLE
+from clickloom.llm.common import LOWER_TABLE, columns_of, unused
 
 #: The statistics of a text, in order. Language, source and ids are not among them.
 STATISTICS = (
@@ -168,14 +168,24 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, penalty:
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """Rows that training never sees: crc32 of the id as text leaves 1 on division by 3 (false for a null id)."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False)) if isinstance(doc_id, str) else doc_id
+    key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def sample(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, _y and STATISTICS of one text of each id of ``wanted`` (doc_id, _y; few rows) that ``docs`` has."""
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "_y"), F.xxhash64("text")).alias("d")).select("doc_id", "d.*")
+    return with_statistics(one).select("doc_id", "_y", "_stats.*")
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, **options) -> RuleModel:
     """Fit on at most ``most_rows`` labelled documents, those of the smallest hash of the id.
 
     ``labels``: doc_id, quality. Null labels and ids are left out; a document with several labels has their
-    mean, rounded up at a half. Only the statistics of the sample reach the driver (``most_rows`` short rows).
+    mean, rounded up at a half. Of several texts of one id, that of the smallest hash is taken, before anything leaves
+    Spark: the driver sees the statistics of ``most_rows`` texts at most, whatever repeats. Null texts count as empty;
+    without labels or documents the model is a constant.
     """
     wanted = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -184,13 +194,16 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, **options
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")).select("doc_id", "_y", "_stats.*").toPandas()
-    rows = rows.sort_values(list(rows.columns), kind="stable").drop_duplicates("doc_id")
+    rows = sample(docs, wanted).toPandas().sort_values("doc_id", kind="stable")
     return fit(rows[list(STATISTICS)].to_numpy(np.float64), rows["_y"].to_numpy(np.float64), **options)
 
 
 def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of ``docs``, repeated rows and empty texts included."""
+    """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text).
+
+    Null texts count as empty; repeated rows and null ids are scored one by one; an empty table gives no rows; other
+    columns are not read.
+    """
     return (
         with_statistics(docs.select("doc_id", "text"))
         .select("doc_id", held_out().alias("held_out"), model.column().alias("score"))
@@ -199,6 +212,9 @@ def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: RuleModel, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score at least ``least`` (stage of the corpus pipeline)."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return with_statistics(docs).where(model.column() >= least).select(*names)
+    """The rows of ``docs`` that score at least ``least`` (stage of the corpus pipeline), with all columns as they are.
+
+    Null texts count as empty; rows that repeat an id or text are judged one by one; an empty table gives none.
+    """
+    name = unused(docs, "_stats")
+    return with_statistics(docs, name).where(model.column(name) >= least).select(*columns_of(docs))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import LOWER_TABLE, checkpointed, components, map_columns
+from clickloom.llm.common import LOWER_TABLE, checkpointed, columns_of, components, map_columns, unused
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -115,6 +115,9 @@ def keep_one(docs: DataFrame, bits: int = 4, shingle: int = 4) -> DataFrame:
     """The rows of ``docs`` without those whose group holds a smaller doc_id (stage of the corpus pipeline).
 
     Rows with a null doc_id stay. Rows are told apart by doc_id and text, so other texts of a dropped doc_id stay.
+    Null and empty texts are one group; repeated rows of the smallest id all stay; an empty table gives none.
     """
-    gone = near_duplicates(docs, shingle, bits).where("doc_id <> component_id").select(F.col("doc_id").alias("_g_doc"), F.col("th").alias("_g_th")).distinct()
-    return docs.join(gone, (F.col("doc_id") == F.col("_g_doc")) & (F.xxhash64("text") == F.col("_g_th")), "left_anti").select(*docs.columns)
+    doc, th = unused(docs, "_g_doc"), unused(docs, "_g_th")
+    found = near_duplicates(docs.select("doc_id", "text"), shingle, bits).where("doc_id <> component_id")
+    gone = found.select(F.col("doc_id").alias(doc), F.col("th").alias(th)).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left_anti").select(*columns_of(docs))

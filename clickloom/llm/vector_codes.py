@@ -214,4 +214,4 @@ def vector_codes(embeddings: DataFrame) -> DataFrame:
     coded, books = fit_and_code(embeddings)
     total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(2**63 - 1).cast("decimal(38,0)")).cast("long")
     labels = written(coded.groupBy("label").agg(F.count("*").alias("n"), total.alias("label_error")))
-    return join_split(coded, labels, "label").select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+    return join_split(coded, labels, "label", "n", coded.count()).select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))

@@ -174,3 +174,15 @@ def test_stages_take_empty_tables_and_other_columns(spark, tmp_path):
             assert out.columns == ["doc_id", "text", "line", "n", "component_id"], name
             # the empty texts are one group, of which the smallest id stays
             assert out.count() == (0 if not data else 2 if name == "near_duplicates" else len(data)), name
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Names that stages use inside, a name with a dot and one with a backtick: values come out as they went in."""
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    names = ["_stats", "_dropped", "_D_doc", "_d_th", "_g_doc", "_g_th", "a.b", "c`d", "th", "fp", "pos", "dropped"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    rows = [(i, t, *(f"{i} {n}" for n in names)) for i, t in enumerate(["a plain text of a few words here", "another text, quite unlike the first", None])]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+        assert out.columns == ["doc_id", "text", *names] and sorted(map(tuple, out.collect())) == rows, name
