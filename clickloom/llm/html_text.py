@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html import unescape
 
 import xxhash
@@ -35,15 +36,17 @@ CLOSED_BY = {
 }
 #: Words of a class or id that mark what is no main text.
 MARKED = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer "
+    "ad ads adsbygoogle advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer "
     "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted "
-    "related replies reply respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+    "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 #: Words that may stand beside those in a compound name such as site-footer or cookie_bar.
 BESIDE = frozenset(
-    "area bar block bottom box button buttons container content form global group header inner item items js left link links list main outer page "
-    "panel post posts primary reader right row secondary section site slot thread top unit user wrap wrapper".split()
+    "area articles bar block bottom box button buttons container content form global group header inner item items js left legal link links list main outer page "
+    "panel post posts primary reader right row secondary section site slot stories thread top unit user wrap wrapper".split()
 )
+#: Words of a name that, with "header", name the header of the site and not that of a text.
+SITE = frozenset("global header main page site top".split())
 #: The marks of an article element that is a comment or an advert.
 ASIDE = frozenset("ad ads advert advertisement comment comments promo promoted replies reply sponsored".split())
 #: Fixed values of ARIA: roles of what is no main text.
@@ -60,7 +63,8 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"(?<![^\s\"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?=[\s/]|$))", re.I)
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
-_PARTS = re.compile(r"[-_]+")
+_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
+_NUMBER = re.compile(r"[0-9]+(?:x[0-9]+)?")
 ARTICLE = frozenset(["article", "main"])
 
 
@@ -140,12 +144,51 @@ def parse(html: str) -> Page:
     return page
 
 
+@lru_cache(100_000)
+def parts_of(name: str) -> tuple[str, ...]:
+    """The words of a class or id name, without numbers and sizes."""
+    return tuple(p for p in (_NUMBER.sub("", x).lower() for x in _PARTS.split(name)) if p)
+
+
 def is_marked(name: str, words: frozenset[str] = MARKED) -> bool:
-    """Whether a whole class or id name is one of ``words``, or made only of them and words that stand beside them."""
-    parts = [p for p in _PARTS.split(name.lower()) if p]
+    """Whether a class or id name is one of ``words``, or made only of them, numbers and words that stand beside them."""
+    parts = parts_of(name)
     return any(p in words for p in parts) and all(p in words or p in BESIDE for p in parts)
 
 
+def is_site_header(name: str) -> bool:
+    parts = parts_of(name)
+    return "header" in parts and all(p in SITE for p in parts)
+
+
+def frames(page: Page) -> dict[int, int]:
+    """For each element with a name that has a marked word beside unknown ones: a hash of its way from the page's root.
+
+    The way has tags, classes and ids without numbers, and no text: a box that stands in the same place of a host's
+    pages has the same one, whatever it says. Such elements go where it recurs (``templates``); a name that is marked
+    as a whole needs no count. Elements around an article, and pieces of a text in one, are never such.
+    """
+    found: dict[int, int] = {}
+    way: list[int] = []
+    inside = 0
+    for e in page.events:
+        if isinstance(e, str):
+            continue
+        n, tag = abs(e), page.tags[abs(e)]
+        inside += 0 if tag not in ARTICLE else 1 if e > 0 else -1
+        if e < 0:
+            way.pop()
+            continue
+        way.append(n)
+        if page.holds[n] or tag == "body" or inside and tag in PARTS:
+            continue
+        names = [x for key, value in page.attrs[n] if key in ("class", "id") for x in value.split()]
+        if any(p in MARKED for x in names for p in parts_of(x)):
+            step = lambda m: (page.tags[m], [(k, [parts_of(x) for x in v.split()]) for k, v in page.attrs[m] if k in ("class", "id")])
+            found[n] = xxhash.xxh64_intdigest(repr([step(m) for m in way]).encode(), 1) - (1 << 63)
+    return found
+
+
 def is_chrome(page: Page, n: int, inside: bool) -> bool:
     """Whether tag, attributes or role say that element ``n`` is no main text; ``inside``: within article or main.
 
@@ -163,7 +206,8 @@ def is_chrome(page: Page, n: int, inside: bool) -> bool:
         return False
     if tag in CHROME or tag == "header" and not inside:
         return True
-    return any(value.strip().lower() in ROLES if key == "role" else key in ("class", "id") and any(is_marked(x) for x in value.split()) for key, value in page.attrs[n])
+    marked = lambda x: is_marked(x) or not inside and is_site_header(x)
+    return any(value.strip().lower() in ROLES if key == "role" else key in ("class", "id") and any(map(marked, value.split())) for key, value in page.attrs[n])
 
 
 def is_candidate(page: Page, n: int, inside: bool) -> bool:
@@ -206,17 +250,17 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
     """Text blocks of the article joined by blank lines; ``template``: hashes of subtrees to delete.
 
     The site's templates go first, anywhere on the page. Of what is left, what tags and attributes mark as no main
-    text goes (``marks``; scripts, styles and other unseen content always), and where article or main elements are
-    left, only they count. White space inside a block, also of character references, becomes one space (br too);
-    empty blocks go.
+    text goes (``marks``; scripts, styles and other unseen content always). Where article or main elements are left,
+    only the main text counts (``chosen``). White space inside a block, also of character references, becomes one
+    space (br too); empty blocks go.
     """
     if not html:
         return ""
     page = parse(html)
-    gone = {n for n, h in subtree_hashes(page)[1].items() if h in template} if template else ()
-    blocks: list[tuple[bool, str]] = []
+    gone = {n for found in (subtree_hashes(page)[1], frames(page)) for n, h in found.items() if h in template} if template else ()
+    blocks: list[tuple[int, str]] = []
     parts: list[str] = []
-    inside = at = 0
+    inside = at = outer = 0
     only = False
 
     def flush() -> None:
@@ -224,7 +268,7 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
             text = _SPACE.sub(" ", "".join(parts)).strip()
             parts.clear()
             if text:
-                blocks.append((inside > 0, text))
+                blocks.append((outer if inside else 0, text))
 
     while at < len(page.events):
         e = page.events[at]
@@ -242,10 +286,27 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
         elif tag in BLOCK:
             flush()
             if tag in ARTICLE:
+                outer = e if e > 0 and not inside else outer
                 inside += 1 if e > 0 else -1
                 only = only or marks
     flush()
-    return "\n\n".join(text for within, text in blocks if within or not only)
+    return "\n\n".join(text for _, text in (chosen(page, blocks) if only else blocks))
+
+
+def chosen(page: Page, blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """The blocks (outermost article or main element, text) of the main text.
+
+    A main element counts alone. Of several articles the longest counts, and with it those at least a quarter as
+    long (parts of one text); shorter ones are teasers of other pages.
+    """
+    size: dict[int, int] = {}
+    for n, text in blocks:
+        if n:
+            size[n] = size.get(n, 0) + len(text)
+    if mains := {n for n in size if page.tags[n] == "main"}:
+        return [x for x in blocks if x[0] in mains]
+    most = max(size.values(), default=0)
+    return [x for x in blocks if x[0] and 4 * size[x[0]] >= most]
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -254,18 +315,21 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", F.lower(host).alias("host"))
 
 
-def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1, large: int = 10_000) -> DataFrame:
-    """host, hashes: subtrees that stand on at least ``least_pages`` pages and ``least_share`` of a host's pages.
+def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1, middle: int = 10_000) -> DataFrame:
+    """host, hashes: subtrees and frames that stand on at least ``least_pages`` pages and a share of a host's pages.
 
-    Copies, by the hash of ``subtree_hashes``, are one page, which counts once for a subtree. On a host with more
-    than ``large`` pages the least number grows with the square root of the pages only. Counting is a partial
+    Of a host's n pages the least number is least_share * n / sqrt(1 + n / middle): nearly the share itself on a small
+    host, and growing as the square root of the pages on a very large one, where a part of the site is enough. Copies,
+    by the hash of ``subtree_hashes``, are one page, which counts once for a subtree. Counting is a partial
     aggregation, so one host may hold any share of all pages. A host has at most (subtrees of a page / least_share)
-    hashes, and sqrt(pages / large) times that if it is large.
+    hashes, times sqrt(1 + n / middle).
     """
 
     def step(hosts: list, htmls: list) -> dict:
-        found = [(0, {}) if not h else subtree_hashes(parse(h)) for h in htmls]
-        return {"host": hosts, "page": [p for p, _ in found], "hashes": [sorted(set(x.values())) for _, x in found]}
+        pages = [parse(h) if h else None for h in htmls]
+        found = [(0, {}) if p is None else subtree_hashes(p) for p in pages]
+        boxes = [set() if p is None else set(frames(p).values()) for p in pages]
+        return {"host": hosts, "page": [p for p, _ in found], "hashes": [sorted({*x.values(), *b}) for (_, x), b in zip(found, boxes)]}
 
     seen = map_columns(with_host(pages).select("host", "html"), step, "host string, page long, hashes array<long>")
     seen = seen.groupBy("host", "page").agg(F.min("hashes").alias("hashes"))
@@ -273,7 +337,7 @@ def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1,
     counts = seen.select("host", F.explode(F.array_append("hashes", F.lit(None).cast("long"))).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts = checkpointed(counts)
     total = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    least = least_share * F.least(F.col("pages").cast("double"), F.sqrt(F.col("pages") * F.lit(float(large))))
+    least = least_share * F.col("pages") / F.sqrt(1 + F.col("pages") / middle)
     often = counts.where(F.col("hash").isNotNull() & (F.col("n") >= least_pages)).join(total, "host").where(F.col("n") >= least)
     return often.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
 
@@ -282,15 +346,21 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1, mo
     """page_id, url, text of every row of ``pages`` (page_id, url, html).
 
     Null and empty pages give an empty text; repeated rows are repeated, and are one page in the counts; null urls
-    and ids stay; an empty table gives no rows; other columns are not read. The templates are broadcast while they
+    and ids stay; an empty table gives no rows; other columns are not read. The templates are broadcast once while they
     hold at most ``most_broadcast`` hashes in all (16 MB); beyond that they are joined by host.
     """
     known = checkpointed(templates(pages, least_pages, least_share))
     size = known.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    side = F.broadcast(known) if size <= most_broadcast else known
-    joined = with_host(pages).join(side, "host", "left").select("page_id", "url", "html", "hashes")
+    if size <= most_broadcast:
+        of = pages.sparkSession.sparkContext.broadcast({r.host: frozenset(r.hashes) for r in known.collect()})  # at most most_broadcast hashes
+
+        def step(ids: list, urls: list, htmls: list, hosts: list) -> dict:
+            return {"page_id": ids, "url": urls, "text": [main_text(x, of.value.get(h, frozenset())) for x, h in zip(htmls, hosts)]}
+
+        return map_columns(with_host(pages), step, "page_id long, url string, text string")
 
-    def step(ids: list, urls: list, htmls: list, hashes: list) -> dict:
-        return {"page_id": ids, "url": urls, "text": [main_text(h, frozenset(t or ())) for h, t in zip(htmls, hashes)]}
+    def joined_step(ids: list, urls: list, htmls: list, hosts: list, hashes: list) -> dict:
+        sets: dict = {}  # pages of a host in a batch share one set
+        return {"page_id": ids, "url": urls, "text": [main_text(x, sets.get(h) or sets.setdefault(h, frozenset(t or ()))) for x, h, t in zip(htmls, hosts, hashes)]}
 
-    return map_columns(joined, step, "page_id long, url string, text string")
+    return map_columns(with_host(pages).join(known, "host", "left").select("page_id", "url", "html", "host", "hashes"), joined_step, "page_id long, url string, text string")

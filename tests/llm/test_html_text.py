@@ -13,6 +13,11 @@ KEPT = [
     '<article><section class="widget-guide">%s</section></article>',
     '<article><div class="notice-of-meeting">%s</div></article>',
     '<main><div class="search-results">%s</div></main>',
+    '<article><div class="article-header">%s</div></article>',
+    '<div class="sponsored-story-card">%s</div>',
+    "<article>teaser</article><main>%s</main>",
+    "<main>%s</main><article>a longer teaser than the text itself</article>",
+    "<article>a</article><article>%s</article><article>b</article>",
     '<div class="sidebar"><article>%s</article></div>',
     "<div>" * 3000 + "%s",
     "<nav>" + "<div>" * 3000 + "x" + "</div>" * 3000 + "</nav>%s",
@@ -26,6 +31,8 @@ GONE = [
     '<article>%s</article>'.replace("%s", '<div id="cookie_bar">%s</div>'),
     "<form>" + "<div>" * 3000 + "%s" + "</div>" * 3000 + "</form>",
     "<script>%s</script>",
+    *(f'<div class="{c}">%s</div>' for c in ("related-articles", "newsletter-signup", "ad-300x250", "ad-slot-1", "adsbygoogle", "comment-42", "sidebar2", "legal-notice", "site-header", "signup-box", "relatedArticles")),
+    *(f'<article><div id="{c}">%s</div></article>' for c in ("related-articles", "ad-slot-1", "comment-42", "sidebar2", "legal-notice")),
 ]
 
 
@@ -101,3 +108,24 @@ def test_recurring_subtrees_decide(spark):
         if n >= 5 and n >= 0.1 * distinct[host]:
             brute.setdefault(host, set()).add(h)
     assert hashes == brute and set(brute) == {"a.org"}
+
+
+def test_several_parts_of_one_text_stay():
+    assert html_text.main_text("<article><p>one part</p></article><article><p>another</p></article><article>x</article>") == "one part\n\nanother"
+
+
+def test_boxes_with_other_words_on_each_page_go_where_they_recur(spark):
+    """The method decides: a name that is marked in part alone stays on one page and goes where its place recurs, whatever its words."""
+    rng = random.Random(9)
+    pages, texts = [], []
+    for i in range(30):
+        box = f'<div class="sponsored-story-card n{i}"><p>buy {rng.random()}</p></div>'
+        pages.append(("a.org", f"<body><article><p>text {i}</p>{box}<p>more {i}</p></article></body>"))
+        texts.append(f"text {i}\n\nmore {i}")
+    pages += [("b.org", '<body><article><p>alone</p><div class="sponsored-story-card"><p>kept here</p></div></article></body>')]
+    texts += ["alone\n\nkept here"]
+    pages += [("c.org", f'<body><article><p class="social-history">part {i} {rng.random()}</p></article></body>') for i in range(20)]
+    texts += [html_text.main_text(html) for host, html in pages if host == "c.org"]  # pieces of a text never are boxes
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows_of(pages), "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(len(texts))] == texts
+    assert all(html_text.main_text(html) != text for (host, html), text in zip(pages, texts) if host == "a.org")  # tags and names alone leave the box
