@@ -11,6 +11,8 @@ from clickloom.llm.common import LOWER, UPPER, checkpointed, columns_of, let, un
 WINDOW = 10
 #: Words hashed together. A window holds WINDOW - GRAM + 1 grams, and its smallest is a fingerprint.
 GRAM = 5
+#: Documents with a meeting up to which their ids (16 bytes each) are broadcast to find their texts.
+MOST_IDS = 500_000
 
 
 def words_of(text: str) -> Column:
@@ -60,10 +62,13 @@ def _hits(docs: DataFrame, index: DataFrame, gram: int, window: int, small: bool
     prints = let(words_of("text"), lambda w: F.struct(F.size(w).alias("n"), let(gram_hashes(w, gram), lambda g: winnow(g, around + 1)).alias("f")))
     # n_words travels as the first entry, so that every document has a row and its words are cut once
     entries = let(prints, lambda x: F.concat(F.array(F.struct(F.lit(True).alias("head"), x["n"].cast("long").alias("v"))), F.transform(x["f"], lambda f: F.struct(F.lit(False).alias("head"), f.alias("v")))))
-    each = docs.select("doc_id", "text", F.explode_outer(entries).alias("e")).select("doc_id", "text", "e.head", "e.v")
-    side = F.broadcast(index) if small else index
-    met = each.join(side, (F.col("v") == F.col("fp")) & ~F.col("head"), "left").where("head or fp is not null")
-    found = met.select("doc_id", F.xxhash64("text").alias("th"), F.when(F.col("head"), F.col("v")).alias("n_words"), "item_id", F.when(~F.col("head"), F.struct("text", "fp", "q", "ctx")).alias("m"))
+    whole = F.struct("text", "fp", "q", "ctx")
+    if small:
+        each = docs.select("doc_id", "text", F.explode_outer(entries).alias("e")).select("doc_id", "text", "e.head", "e.v")
+        met = each.join(F.broadcast(index), (F.col("v") == F.col("fp")) & ~F.col("head"), "left").where("head or fp is not null")
+        found = met.select("doc_id", F.xxhash64("text").alias("th"), F.when(F.col("head"), F.col("v")).alias("n_words"), "item_id", F.when(~F.col("head"), whole).alias("m"))
+    else:
+        found = _met_by_key(docs, index, prints, whole)
 
     def extend(w: Column, m: Column, p: Column) -> Column:
         same = lambda j: F.coalesce(F.get(w, p + j) == F.get(m["ctx"], m["q"] + j), F.lit(False))
@@ -84,6 +89,19 @@ def _hits(docs: DataFrame, index: DataFrame, gram: int, window: int, small: bool
     return rows.where("n_words is not null or s is not null").select("doc_id", "th", "n_words", "item_id", "s.lo", "s.hi")
 
 
+def _met_by_key(docs: DataFrame, index: DataFrame, prints: Column, whole: Column) -> DataFrame:
+    """What ``_hits`` extends, for an index that is joined: fingerprints travel with the document's id and hash, and only texts that meet an item travel, once."""
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    heads = named.select("doc_id", "th", F.size(words_of("text")).cast("long").alias("n_words"))
+    met = checkpointed(named.select("doc_id", "th", F.explode(prints["f"]).alias("v")).join(index, F.col("v") == F.col("fp")).select("doc_id", "th", "fp", "item_id", "q", "ctx").distinct())
+    ids = met.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
+    few = ids.count() <= MOST_IDS
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th"))
+    texts = named.join(F.broadcast(ids) if few else ids, same, "left_semi").groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.first("text").alias("text"))
+    ends = met.join(texts, same).select("doc_id", "th", F.lit(None).cast("long").alias("n_words"), "item_id", whole.alias("m"))
+    return heads.select("*", F.lit(None).cast("string").alias("item_id"), F.lit(None).cast(ends.schema["m"].dataType).alias("m")).union(ends)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, most_broadcast: int = 200_000) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, th, n_words, n_hit, items (sorted item_ids as text).
 

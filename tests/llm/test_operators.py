@@ -184,6 +184,10 @@ def test_bpe_equals_tiktoken(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(path, "rb"))}
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = ["", None, "Hello  world's 123\n\n", "<|endoftext|> <unk>", "é漢字🙂 ▁", "a" * 5000]
+    rng = random.Random(3)
+    pieces = [" ", "  ", "\n", "\t", "'s", "'LL", "0123", "the", "ing", "tion", "Ünï", "漢", "🙂", "\u0301", "\u00a0", "\x00", "\x7f", "<|x|>", "▁", "é", "...", "--", "ﬁ", "\U0001F468\u200d\U0001F469"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randrange(60))) for _ in range(300)]
+    texts += ["".join(chr(rng.choice((rng.randrange(1, 128), rng.randrange(128, 0x3000), rng.randrange(0xE000, 0x20000)))) for _ in range(80)) for _ in range(100)]
     got = {r.doc_id: r for r in byte_bpe.digests(byte_bpe.round_trip(spark.createDataFrame(list(enumerate(texts)), DOCS), path, public_tokenizers.PATTERN)).collect()}
     for i, t in enumerate(texts):
         ids = plain.encode_ordinary(t or "")
@@ -206,6 +210,8 @@ def test_contamination_matches_brute_force(spark):
     words = lambda t: [w for w in split(t) if w]
     got = decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert len(got) == len(docs)
+    joined = decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"), most_broadcast=0).collect()
+    assert sorted(map(tuple, joined)) == sorted(map(tuple, got))
     by = {r.doc_id: r for r in got}
     for i, t in docs:
         w, hit, found = words(t), set(), set()
