@@ -419,6 +419,11 @@ lists AS (SELECT 'popularity' AS model, query_id, itemid, rank FROM pop UNION AL
     ),
     "prefix_ranges": "SELECT q.session_id, event_id, itemid, event, query_id AS first_query FROM q JOIN ev ON ev.session_id = q.session_id AND ev.timestamp = q.query_time",
     "bucketed_join": "SELECT query_id, q.query_time, q.split, count(*) AS targets, sum(target_events)::BIGINT AS events FROM q JOIN tgt USING (query_id) GROUP BY ALL",
+    "verify_tampered": """SELECT 'properties' AS name, count(*) AS stored_rows, count(*) AS found_rows, count(*) FILTER (itemid % 97 = 1) = 0 AS same FROM props
+  UNION ALL SELECT 'category_tree', count(*), count(*), true FROM tree UNION ALL SELECT 'items', count(*), count(*) FILTER (itemid % 97 <> 0), count(*) FILTER (itemid % 97 = 0) = 0 FROM items""",
+    "refused_trees": "SELECT unnest(['whole', 'own parent', 'unknown parent', 'repeated', 'null id']) AS name, unnest([(SELECT count(*) FROM tree), NULL, NULL, NULL, NULL]) AS categories, unnest([false, true, true, true, true]) AS refused",
+    "negative_summary": ("""SELECT 'negative_queries' AS name, count(DISTINCT query_id) AS value FROM neg UNION ALL SELECT 'negative_pairs', count(*) FROM neg UNION ALL SELECT 'negative_items', count(DISTINCT itemid) FROM neg
+  UNION ALL SELECT 'queries_below_k', count(*) FILTER (n < 5) FROM (SELECT query_id, count(itemid) AS n FROM q LEFT JOIN neg USING (query_id) WHERE split = 'train' GROUP BY 1)""", _NEGATIVES),
 }
 
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}

@@ -49,7 +49,7 @@ class Log:
             "groups": lambda: s.timestamp_groups(self.events),
             "queries": lambda: s.queries_of(self.groups),
             "targets": lambda: s.next_targets(self.events),
-            "items": lambda: m.catalog(self.clean, self.props),
+            "items": lambda: m.catalog(s.valid_events(self.raw), self.props),  # repeats change no first time
             "ranks": lambda: neg.train_ranks(self.items, self.train),
             "negatives": lambda: reliable(neg.negatives(self.queries, self.targets, self.ranks, self.props)),
             "users_idx": lambda: m.mapping(self.train, "visitorid"),
@@ -643,7 +643,14 @@ def read_events_csv(t: Log) -> DataFrame:
 
 @query
 def read_properties(t: Log) -> DataFrame:
-    return t.props
+    """The properties, written as CSV in two sets of files beside rows of other kinds, and read as one table with only the kinds kept."""
+    path, p = shared_dir(t.spark, "properties-read"), t.props.select("timestamp", "itemid", "property", F.col("value").cast("string").alias("value"))
+    other = p.select("timestamp", "itemid", F.lit("790").alias("property"), F.lit("n15.000").alias("value"))
+    parts = [f"{path}/part={i}" for i in (1, 2)]
+    for i, part in enumerate(parts):
+        p.union(other).where(F.col("itemid") % 2 == i).write.option("header", True).csv(part)
+    rows = files.read_properties(t.spark, parts, ("categoryid", "available"))
+    return rows.select("itemid", "property", "timestamp", F.col("value").cast("long").alias("value"))
 
 
 @query
@@ -756,6 +763,45 @@ def verify_manifest(t: Log) -> DataFrame:
     return files.verify_manifest(t.spark, path, {"gap": GAP})
 
 
+@query
+def verify_tampered(t: Log) -> DataFrame:
+    """A published dataset in which one table has lost the rows of every 97th item and another one a row's value: what the verifier says of each."""
+    path, tables = shared_dir(t.spark, "tampered"), {"properties": t.props, "category_tree": t.tree, "items": t.items}
+    files.publish(tables, path)
+    files.write_tables({"items": reliable(t.items).where("itemid % 97 <> 0"), "properties": reliable(t.props).withColumn("value", F.when(F.col("itemid") % 97 == 1, 1 - F.col("value")).otherwise(F.col("value")))}, path)
+    return files.verify_manifest(t.spark, path)
+
+
+@query
+def refused_trees(t: Log) -> DataFrame:
+    """Trees made from the category tree with one fault each, and whether they are refused."""
+    leaf = t.tree_raw.agg(F.min("categoryid")).first()[0]
+    cut = lambda parent: t.tree_raw.withColumn("parentid", F.when(F.col("categoryid") == leaf, F.lit(parent).cast("long")).otherwise(F.col("parentid")))
+    cases = {"whole": t.tree_raw, "own parent": cut(leaf), "unknown parent": cut(-5), "repeated": t.tree_raw.union(t.tree_raw.where(F.col("categoryid") == leaf)), "null id": t.tree_raw.union(t.tree_raw.limit(1).select(F.lit(None).cast("long"), F.lit(None).cast("long")))}
+    rows = []
+    for name, tree in cases.items():
+        try:
+            rows.append((name, m.category_tree(tree).count(), False))
+        except ValueError:
+            rows.append((name, None, True))
+    return t.spark.createDataFrame(rows, "name string, categories long, refused boolean")
+
+
+@query
+def negative_summary(t: Log) -> DataFrame:
+    """name, value: counts of the negative samples, for the summary of a build that has them."""
+    stored(t, "events", "groups", "targets")
+    n = t.negatives
+    per = n.groupBy("query_id").agg(F.count("*").alias("k")).agg(F.count("*").alias("negative_queries"), F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("negative_pairs"))
+    items = n.agg(F.count_distinct("itemid").alias("negative_items"))
+    short = neg.shortfall(t.queries, n).select(F.col("short_queries").alias("queries_below_k"))
+    out = None
+    for df in (per, items, short):
+        one = df.unpivot([], df.columns, "name", "value")
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query
 def known_item_limit(t: Log) -> DataFrame:
     return neg.known_item_limit(t.queries, t.ranks).select("query_id", "limit")

@@ -19,13 +19,18 @@ BEHAVIOURS = ("view", "addtocart", "transaction")
 COLUMNS = ("timestamp", "visitorid", "event", "itemid", "transactionid")
 
 
+def valid_events(raw: DataFrame) -> DataFrame:
+    """Rows of the three behaviours whose other required columns are not null, repeats included."""
+    return raw.where(F.col("event").isin(*BEHAVIOURS)).dropna(subset=["timestamp", "visitorid", "event", "itemid"])
+
+
 def clean_events(raw: DataFrame) -> DataFrame:
     """Valid rows without exact repeats; of equal rows (nulls equal) the smallest event_id stays.
 
     A source without event_id gets one: the number of the row, from 0, among the distinct rows in order of all
     columns (nulls first). It only breaks ties, and is the same whenever the rows are.
     """
-    valid = raw.where(F.col("event").isin(*BEHAVIOURS)).dropna(subset=["timestamp", "visitorid", "event", "itemid"])
+    valid = valid_events(raw)
     if "event_id" in raw.columns:
         return valid.groupBy(*COLUMNS).agg(F.min("event_id").alias("event_id"))
     rows = valid.select(*COLUMNS).distinct().select(F.struct(*COLUMNS).alias("_k"), F.lit(1).alias("_one"))
