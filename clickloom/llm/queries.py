@@ -11,63 +11,76 @@ from clickloom.llm.common import table
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null and empty pages give an empty text, repeated rows are repeated. An empty table gives no rows."""
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stand, or nearly stand, earlier; null and empty texts have none. An empty table gives no rows."""
     return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), least_chars=24)
 
 
 def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.93 within labels and their components; odd vectors link with nothing, copies are one vector. An empty table gives no rows."""
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), 0.93)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text and their round trip; null texts count as empty. An empty table gives no rows."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     trip = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_bpe.digests(trip)
 
 
 def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every text by a trigram model of the others; null texts count as empty. An empty table gives no rows."""
     return katz.score(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item; null texts have no words. An empty table gives no rows."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     items = F.size("items").cast("long")
     return found.select("doc_id", "n_words", "n_hit", items.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every text; null texts count as empty. An empty table gives no rows."""
     return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")).withColumn("spans", F.to_json("spans"))
 
 
 def op8_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by rules learned from labelled ones; null texts count as empty. An empty table gives no rows."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = rule_quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return rule_quality.scored(docs, model)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every url; null and odd urls have empty host and path. An empty table gives no rows."""
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; null and empty texts have fingerprint zero. An empty table gives no rows."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     # conv gives the unsigned value of a negative long
     return found.select("doc_id", F.lower(F.lpad(F.conv(F.col("fp").cast("string"), 10, 16), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations; rows without conv_id are left out. An empty table gives no rows."""
     return trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every vector that can be cut; others are left out. An empty table gives no rows."""
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets of every text; null texts count as empty. An empty table gives no rows."""
     return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 

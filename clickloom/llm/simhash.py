@@ -6,7 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import LOWER_TABLE, checkpointed, columns_of, components, map_columns, unused
@@ -51,39 +51,40 @@ def _mask(block: int, blocks: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def close_pairs(fps: DataFrame, bits: int = 4, blocks: int = 7) -> DataFrame:
-    """All pairs a < b of the distinct values ``fp`` that differ in at most ``bits`` bits, each once.
+#: Keys shared by several values up to which they are broadcast (32 bytes each).
+MOST_KEYS = 200_000
+
+
+def links(fps: DataFrame, bits: int = 4, blocks: int = 7) -> DataFrame:
+    """fp_a < fp_b of distinct values ``fp`` that differ in at most ``bits`` bits: enough links to connect all such pairs, each once.
 
     Pigeonhole: the 64 bits are cut into ``blocks`` blocks; two values at most ``bits`` apart agree on at least
-    ``blocks - bits`` of them, so each choice of that many blocks is a table whose join key is the bits of the
-    chosen blocks. A pair counts only in the table of the first blocks it agrees on. More blocks mean longer
-    keys (here 27 bits) and so fewer chance meetings when the corpus grows.
+    ``blocks - bits`` of them, so each choice of that many blocks is a table whose key is the bits of the chosen
+    blocks. More blocks mean more tables of longer keys (7: 35 tables, 27 bits) and so fewer chance meetings;
+    ``blocks_for`` finds what a number of values needs. Of the values of one key, all near the smallest are linked to
+    it and thereby to each other; only those that are not near it are compared with the others. So a large group of
+    near copies gives a link for each value and not for each pair.
     """
     if not bits < blocks <= 16:
         raise ValueError("blocks must exceed bits")
-    chosen = list(combinations(range(blocks), blocks - bits))
-    tables = F.array(
-        *(
-            F.struct(
-                F.lit(sum(1 << b for b in c)).alias("t"),
-                F.col("fp").bitwiseAND(F.lit(_or([_mask(b, blocks) for b in c]))).alias("key"),
-            )
-            for c in chosen
-        )
-    )
+    masks = [[_mask(b, blocks) for b in c] for c in combinations(range(blocks), blocks - bits)]
+    tables = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_or(m))).alias("key")) for t, m in enumerate(masks)))
     keyed = fps.select("fp", F.explode(tables).alias("k")).select("fp", "k.t", "k.key")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    same: Column = F.lit(0)
-    for i in range(blocks):
-        same = same + F.when(x.bitwiseAND(F.lit(_mask(i, blocks))) == 0, 1 << i).otherwise(0)
-    first = F.lit(False)
-    for c in chosen:  # the lowest blocks that agree are those of this table
-        first = first | ((F.col("a.t") == sum(1 << i for i in c)) & (same.bitwiseAND(F.lit((2 << c[-1]) - 1)) == sum(1 << i for i in c)))
-    near = (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(x) <= bits) & first
-    return a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & near).select(
-        F.col("a.fp").alias("fp_a"), F.col("b.fp").alias("fp_b")
-    )
+    shared = checkpointed(keyed.groupBy("t", "key").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    rows = checkpointed(keyed.join(F.broadcast(shared) if shared.count() <= MOST_KEYS else shared, ["t", "key"]))
+    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
+    to_least = rows.where(near("least", "fp") & (F.col("fp") != F.col("least"))).select(F.col("least").alias("fp_a"), F.col("fp").alias("fp_b"))
+    rest = rows.where(~near("least", "fp")).select("t", "key", F.col("fp").alias("far"))
+    others = rest.join(rows.select("t", "key", "fp"), ["t", "key"]).where(near("far", "fp") & (F.col("far") != F.col("fp")))
+    return to_least.union(others.select(F.least("far", "fp"), F.greatest("far", "fp"))).distinct()
+
+
+def blocks_for(values: int, bits: int = 4) -> int:
+    """The fewest blocks whose keys are shared by about eight of ``values`` values at most by chance (all give the same pairs)."""
+    blocks = bits + 1
+    while blocks < 16 and values >> (64 // blocks * (blocks - bits)) > 8:
+        blocks += 1
+    return blocks
 
 
 def _or(masks: list[int]) -> int:
@@ -93,16 +94,17 @@ def _or(masks: list[int]) -> int:
     return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, blocks: int = 7) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, blocks: int | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, th, fp, component_id (smallest doc_id reachable by links).
 
     Only distinct fingerprints enter the block join, so any number of exact copies costs one row there. A null
     doc_id keeps its row and never names a group; a group of only null ids has component_id null. Repeated rows
-    are returned repeatedly with one result. An empty table gives no rows.
+    are returned repeatedly with one result. An empty table gives no rows. The number of ``blocks`` follows that of
+    the distinct fingerprints, if not given.
     """
     fps = checkpointed(fingerprints(docs, shingle))  # read twice below, computed once
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    pairs = close_pairs(classes.select("fp"), bits, blocks)
+    classes = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    pairs = links(classes.select("fp"), bits, blocks or blocks_for(classes.count(), bits))
     linked = components(pairs.select(F.col("fp_a").alias("src"), F.col("fp_b").alias("dst")))
     of = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("component_id", "fp").alias("root")

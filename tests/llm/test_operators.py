@@ -12,7 +12,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, decontaminate, html_text, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
+from clickloom.llm import byte_bpe, common, decontaminate, html_text, lattice, license_scan, line_dedup, rule_quality, simhash, url_filter
 from clickloom.llm.common import components
 
 DOCS = "doc_id long, text string"
@@ -261,15 +261,35 @@ def test_keep_one_tells_texts_of_one_id_apart(spark):
     assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [(1, copy), (5, other)]
 
 
-def test_simhash_pairs_match_brute_force(spark):
+def test_simhash_links_connect_what_brute_force_does(spark):
     rng = random.Random(4)
     fps = {rng.getrandbits(63) for _ in range(200)}
     for f in list(fps)[:100]:
         for _ in range(rng.randrange(1, 6)):
             f ^= 1 << rng.randrange(63)
         fps.add(f)
-    got = {(r.fp_a, r.fp_b) for r in simhash.close_pairs(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()}
-    assert got == {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4}
+    centre = rng.getrandbits(63)
+    group = {centre ^ sum(1 << i for i in rng.sample(range(63), rng.randrange(6))) for _ in range(300)}  # near copies, most within four bits
+    fps = sorted(fps | group)
+    root = {f: f for f in fps}
+
+    def top(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    pairs = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 4]
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    want = {f: top(f) for f in fps}
+    for blocks in (5, 6, 7, 9):
+        found = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), blocks=blocks)
+        rows = {(r.fp_a, r.fp_b) for r in found.collect()}
+        assert rows <= set(pairs) and found.count() == len(rows)
+        got = {r.node: r.component_id for r in common.components(found.selectExpr("fp_a as src", "fp_b as dst")).collect()}
+        assert {f: got.get(f, f) for f in fps} == want
+    assert [simhash.blocks_for(n) for n in (0, 30_000, 1_000_000, 10**9, 10**10)] == [5, 5, 6, 7, 8]
 
 
 @pytest.mark.parametrize("text", ["a b c", "One two THREE four five one two three four", "x"])
