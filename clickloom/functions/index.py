@@ -48,6 +48,6 @@ def running_base(sizes: DataFrame, key: str, size: str, *more: str) -> DataFrame
 
 
 def dense_index(keys: DataFrame, key: str, start: int, name: str) -> DataFrame:
-    """Distinct ``key`` values with consecutive numbers from ``start`` in their order."""
+    """Distinct ``key`` values with consecutive whole numbers (int) from ``start`` in their order; more than 2^31 - 1 are an error."""
     ones = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
     return running_base(ones, key, "_one").select(key, (F.col("base") + start).cast("int").alias(name))

@@ -424,6 +424,18 @@ lists AS (SELECT 'popularity' AS model, query_id, itemid, rank FROM pop UNION AL
     "refused_trees": "SELECT unnest(['whole', 'own parent', 'unknown parent', 'repeated', 'null id']) AS name, unnest([(SELECT count(*) FROM tree), NULL, NULL, NULL, NULL]) AS categories, unnest([false, true, true, true, true]) AS refused",
     "negative_summary": ("""SELECT 'negative_queries' AS name, count(DISTINCT query_id) AS value FROM neg UNION ALL SELECT 'negative_pairs', count(*) FROM neg UNION ALL SELECT 'negative_items', count(DISTINCT itemid) FROM neg
   UNION ALL SELECT 'queries_below_k', count(*) FILTER (n < 5) FROM (SELECT query_id, count(itemid) AS n FROM q LEFT JOIN neg USING (query_id) WHERE split = 'train' GROUP BY 1)""", _NEGATIVES),
+    "session_knn_reads": (
+        """SELECT set_id, count(*) AS lists, sum(df)::BIGINT AS entries,
+  sum(CASE WHEN j <= coalesce(upto, k - 1) THEN df WHEN upto IS NULL AND j = k THEN least(df, 20) ELSE 0 END)::BIGINT AS read FROM mem LEFT JOIN fin USING (set_id) GROUP BY set_id""",
+        _SESSION_KNN
+        + """, known AS (SELECT query_id, itemid FROM pfx WHERE itemid IN (SELECT itemid FROM si)), sig AS (SELECT query_id, string_agg(itemid::VARCHAR, ',' ORDER BY itemid) AS s FROM known GROUP BY 1),
+mem AS (SELECT set_id, itemid, df, idf, row_number() OVER (PARTITION BY set_id ORDER BY df, itemid) AS j, count(*) OVER (PARTITION BY set_id) AS k, sum(idf) OVER (PARTITION BY set_id ORDER BY df DESC, itemid DESC) - idf AS after
+  FROM (SELECT min(query_id) AS set_id FROM sig GROUP BY s) JOIN known ON query_id = set_id JOIN idf USING (itemid) JOIN (SELECT itemid, count(*) AS df FROM si GROUP BY 1) USING (itemid)),
+rnd AS (SELECT DISTINCT set_id, hi, least(hi, k - 1) AS at FROM mem, (SELECT unnest([1, 3, 7, 15, 31, 63, 127, 255]) AS hi) WHERE (hi + 1) // 2 <= k - 1),
+best AS (SELECT set_id, hi, score FROM (SELECT r.set_id, hi, session_id, sum(idf) AS score FROM rnd r JOIN mem m ON m.set_id = r.set_id AND m.j <= r.at JOIN si USING (itemid) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY set_id, hi ORDER BY score DESC) = 20),
+fin AS (SELECT r.set_id, min(r.at) AS upto FROM rnd r JOIN best USING (set_id, hi) JOIN mem m ON m.set_id = r.set_id AND m.j = r.at WHERE score > after GROUP BY 1)""",
+    ),
 }
 
 ORACLE = {name: f"{_BASE}, {x[1]}\n{x[0]}" if isinstance(x, tuple) else f"{_BASE}\n{x}" for name, x in _SQL.items()}
