@@ -42,13 +42,13 @@ def test_html_copies_and_wrappers_are_no_templates(spark):
     plain = lambda i: f"<body><div>bar</div><p>own text {i}</p></body>"
     rows = [(i, f"http://a.b/{i}", page(i if i > 6 else 0)) for i in range(12)]
     rows += [(100 + i, f"http://c.d/{i}", plain(i if i > 6 else 0)) for i in range(12)]
-    # one block stands on 60 of 1000 pages of a host that counts as large
+    # one block stands on 60 of 1000 pages of a host with many pages
     rows += [(1000 + i, f"http://e.f/{i}", f"<body>{'<div>offer</div>' if i < 60 else ''}<p>own text {i}</p></body>") for i in range(1000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
     assert got[2] == "own text 0\n\nmore of 0" and got[9] == "own text 9\n\nmore of 9"
     assert got[102] == "own text 0" and got[109] == "own text 9" and got[1005] == "offer\n\nown text 5"
-    known = {r.host: len(r.hashes) for r in html_text.templates(pages, large=100).collect()}
+    known = {r.host: len(r.hashes) for r in html_text.templates(pages, middle=100).collect()}
     assert known["e.f"] == 1 and "a.b" not in known
 
 
