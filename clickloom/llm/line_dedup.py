@@ -1,16 +1,11 @@
-"""Near-duplicate lines within a few edits: segment partition join, banded bit-parallel verification.
+"""Near-duplicate lines within a few edits: segment partition join, bit-parallel filter, banded distances.
 
-Segment keys and verification run on arrays inside Arrow batches: in DataFrame functions alone they took over five
-times the processor time and twice the disk (figures in the README). Joins, counts, exact copies
-and decisions are DataFrame functions.
+All in DataFrame functions. Where each line has many keys, they are exploded rows with plain expressions, which Spark
+compiles; functions over nested arrays would be interpreted (over five times the processor time, see the README).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,28 +45,18 @@ def _places(edits: int, probe: bool) -> list[tuple[int, int, int]]:
     return [(side, i, s) for side, i in own for s in (range(-i, i + 1) if probe else (0,))]
 
 
-def _limits(length: np.ndarray, edits: int | None) -> np.ndarray:
-    """``allowed`` for an array of lengths."""
-    return np.full(len(length), edits) if edits is not None else np.clip(length // SPAN, 1, MOST)
-
-
-#: Odd base of the substring hashes, and a multiplier that spreads their bits.
-BASE, SPREAD = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+def _places_of(edits: int, probe: bool) -> Column:
+    """``_places`` as an array of structs."""
+    return F.array(*(F.struct(F.lit(side).alias("side"), F.lit(i).alias("i"), F.lit(s).alias("s")) for side, i, s in _places(edits, probe)))
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    """base ** 0, 1, ... modulo 2 ** 64."""
-    out = np.ones(count, np.uint64)
-    done = 1
-    while done < count:
-        more = min(done, count - done)
-        out[done : done + more] = out[:more] * np.uint64(pow(base, done, 1 << 64))
-        done += more
-    return out
+def _chars(line: str) -> Column:
+    """Four bytes for each code point of a line, so that parts are cut without a walk from its start."""
+    return F.encode(line, "UTF-32").alias("chars")
 
 
-def segment_keys(lines: list[str], edits: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, row, kind) of the segments of some lines; kind: 1 a line's own segment, 2 a substring that it probes, 3 both.
+def segment_keys(lines: DataFrame, edits: int | None) -> DataFrame:
+    """key, id, n, kind of the segments of ``lines`` (id, line); kind: 1 a line's own segment, 2 a substring that it probes, 3 both.
 
     Lines meet in bands of length, in which e edits are allowed. e + 1 segments of one width, as many from the start
     of a line as from its end (one more at the start), are disjoint in each line of the band and in those at most e
@@ -80,168 +65,84 @@ def segment_keys(lines: list[str], edits: int | None) -> tuple[np.ndarray, np.nd
     shifted by as many at most. So segment i is probed at i places to each side, whatever the other line's length.
     A key hashes band, side, segment number and characters; equal keys by chance are verified away.
     """
-    n = np.array([len(x) for x in lines], np.int64)
-    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
-    start = np.concatenate(([0], np.cumsum(n)))
-    sums = np.zeros(len(chars) + 1, np.uint64)
-    np.cumsum(chars * _powers(BASE, len(chars)), out=sums[1:])
-    back = _powers(pow(BASE, -1, 1 << 64), len(chars) + 1)
+    rows = lines.select("id", _chars("line")).select("*", (F.octet_length("chars") / 4).cast("int").alias("n"))
     # the width of a band of lengths: four bands an octave, none narrower than the edits allowed
-    step = 1 << np.maximum((edits or 1).bit_length(), np.floor(np.log2(n + 0.5)).astype(np.int64) - 2)
-    band, every = n - n % step, np.arange(len(n))
-    above = band + step  # the next band, of which a line is the shorter partner if it is near enough
-    near = np.flatnonzero(n >= above - _limits(above, edits))
-    found = []
-    for rows, of, probe in ((every, band, True), (near, above[near], False)):
-        limits = _limits(of, edits)
-        for e in np.unique(limits):
-            r, b = rows[limits == e], of[limits == e]
-            width = (b - e) // (e + 1)
-            for side, i, s in _places(int(e), probe):
-                at = (i * width if side == 0 else n[r] - (i + 1) * width) + s
-                inside = (at >= 0) & (at + width <= n[r])
-                first = start[r[inside]] + at[inside]
-                key = (sums[first + width[inside]] - sums[first]) * back[first]
-                key = (key ^ (key >> np.uint64(31)) ^ (b[inside] * 128 + side * 64 + i).astype(np.uint64)) * SPREAD
-                kind = 1 if not probe else 3 if s == 0 else 2
-                found.append(((key ^ (key >> np.uint64(29))).view(np.int64), r[inside], np.full(len(first), kind, np.int32)))
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-#: Characters of which keys are computed at a time (one longer line is taken alone).
-CHUNK = 1_000_000
-
-
-def _keys(lines: DataFrame, edits: int | None, whole: bool) -> DataFrame:
-    """key (``whole``: also id, n, kind) of all segments of ``lines`` (id, line)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.cumsum(batch.column(2).to_numpy())
-            ends = np.unique(np.searchsorted(sizes, np.arange(CHUNK, sizes[-1] + CHUNK, CHUNK), "left") + 1) if len(sizes) else []
-            for first, end in zip([0, *ends], ends):
-                part = batch.slice(first, min(end, len(sizes)) - first)
-                if len(part):
-                    key, row, kind = segment_keys(part.column(1).to_pylist(), edits)
-                    if whole:
-                        yield pa.RecordBatch.from_arrays([pa.array(key), part.column(0).take(pa.array(row)), part.column(2).take(pa.array(row)), pa.array(kind)], names=["key", "id", "n", "kind"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
-
-    return lines.select("id", "line", "n").mapInArrow(run, "key long, id long, n int, kind int" if whole else "key long")
+    wide = F.greatest(F.lit((edits or 1).bit_length()), F.length(F.bin("n")) - 3)
+    rows = rows.select("*", F.call_function("shiftleft", F.lit(1), wide).alias("step")).select("*", (F.col("n") - F.col("n") % F.col("step")).alias("band"))
+    above = F.col("band") + F.col("step")  # the next band, of which a line is the shorter partner if it is near enough
+    in_band = lambda band, probe: F.struct(band.alias("band"), F.lit(probe).alias("probe"))
+    own, next_one = in_band(F.col("band"), True), in_band(above, False)
+    bands = F.when(F.col("n") >= above - allowed(above, edits), F.array(own, next_one)).otherwise(F.array(own))
+    rows = rows.select("id", "chars", "n", F.inline(bands)).select("*", allowed(F.col("band"), edits).alias("e"))
+    rows = rows.select("*", F.floor((F.col("band") - F.col("e")) / (F.col("e") + 1)).cast("int").alias("width"))
+    # the segments of fewer edits are among those of the most
+    rows = rows.select("*", F.inline(_places_of(MOST if edits is None else edits, True))).where((F.col("probe") | (F.col("s") == 0)) & (F.col("i") < F.floor((F.col("e") + 2 - F.col("side")) / 2)))
+    first = F.when(F.col("side") == 0, F.col("i") * F.col("width")).otherwise(F.col("n") - (F.col("i") + 1) * F.col("width")) + F.col("s")
+    rows = rows.select("*", first.alias("first")).where((F.col("first") >= 0) & (F.col("first") + F.col("width") <= F.col("n")))
+    key = F.xxhash64(F.substring("chars", F.col("first") * 4 + 1, F.col("width") * 4), F.col("band"), F.col("side"), F.col("i"))
+    kind = F.when(~F.col("probe"), 1).when(F.col("s") == 0, 3).otherwise(2)
+    return rows.select(key.alias("key"), "id", "n", kind.alias("kind"))
+
+
+#: Longs of a line's bit vector.
+LONGS = 8
+
+
+def bit_vectors(lines: DataFrame) -> DataFrame:
+    """id, v0, v1, ... of ``lines`` (id, line): 64 * LONGS bits, each the parity of the number of a line's bigrams that hash to it.
+
+    An edit takes two bigrams away and adds two at most, so it flips at most four bits.
+    """
+    rows = lines.select("id", _chars("line")).select("id", "chars", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.octet_length("chars") / 4).cast("int") - 2))).alias("at"))
+    rows = rows.select("id", F.pmod(F.xxhash64(F.substring("chars", F.col("at") * 4 + 1, F.lit(8))), F.lit(64 * LONGS)).cast("int").alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % 64)
+    return rows.groupBy("id").agg(*(F.bit_xor(F.when(F.floor(F.col("bit") / 64) == k, one).otherwise(F.lit(0).cast("long"))).alias(f"v{k}") for k in range(LONGS)))
 
 
 def candidates(lines: DataFrame, edits: int | None, most_broadcast: int = 2_000_000) -> DataFrame:
-    """a < b (ids): pairs of ``lines`` (id, line, n; all different) that share a segment, each once.
+    """a < b (ids): pairs of ``lines`` (id, line; all different) that share a segment and may be near by their bits, each once.
 
     Keys are counted first, alone; only rows of a key that stands twice are then joined. Those keys are broadcast up
-    to ``most_broadcast``, else joined. Adaptive execution splits a key that very many lines share.
+    to ``most_broadcast``, else joined, as are the bit vectors. Lines that share much but are too far apart, as the
+    copies of one line with several other words, differ in too many bits and give no row. Adaptive execution splits a
+    key that very many lines share.
     """
-    shared = checkpointed(_keys(lines, edits, False).groupBy("key").count().where("count > 1").select("key"))
-    met = checkpointed(_keys(lines, edits, True).join(_small(shared, shared.count(), most_broadcast), "key", "left_semi"))
+    shared = checkpointed(segment_keys(lines, edits).groupBy("key").count().where("count > 1").select("key"))
+    met = checkpointed(segment_keys(lines, edits).join(_small(shared, shared.count(), most_broadcast), "key", "left_semi"))
+    ids = checkpointed(met.select("id").distinct())
+    bits = checkpointed(bit_vectors(lines.join(_small(ids, ids.count(), most_broadcast), "id", "left_semi")))
+    met = met.join(_small(bits, bits.count(), most_broadcast // 4), "id")
     a, b = met.where("kind <> 2").alias("a"), met.where("kind <> 1").alias("b")
-    near = (F.col("b.n") - F.col("a.n")).between(0, allowed(F.col("b.n"), edits))  # the longer line probes
-    both = a.join(b, (F.col("a.key") == F.col("b.key")) & near & ((F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id"))))
+    most = allowed(F.col("b.n"), edits)
+    near = (F.col("b.n") - F.col("a.n")).between(0, most)  # the longer line probes
+    flips = sum((F.bit_count(F.col(f"a.v{k}").bitwiseXOR(F.col(f"b.v{k}"))) for k in range(LONGS)), F.lit(0))
+    both = a.join(b, (F.col("a.key") == F.col("b.key")) & near & ((F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id"))) & (flips <= most * 4))
     return both.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
+#: Lengths tried, one after the other, for the common start and end of two lines; what is left of those stays.
+TRIED = (1024, 512, 256, 128, 64, 32, 16, 8)
+
+
+def _distances(pairs: DataFrame, edits: int | None) -> DataFrame:
+    """``pairs`` with ``apart``, the edits between a_line and b_line or -1 beyond the limit: banded distance of what most of their common start and end leave."""
+    rows = pairs.withColumns({"_a": _chars("a_line"), "_b": _chars("b_line")})
+    rows = rows.withColumns({"_n": (F.octet_length("_a") / 4).cast("int"), "_m": (F.octet_length("_b") / 4).cast("int"), "_start": F.lit(0), "_end": F.lit(0)})
+    least, taken = F.least("_n", "_m"), F.col("_start") + F.col("_end")
+    for of in ("_start", "_end"):
+        for size in TRIED:
+            part = lambda c, n: F.substring(c, (F.col("_start") if of == "_start" else F.col(n) - F.col("_end") - size) * 4 + 1, F.lit(4 * size))  # noqa: E731, B023
+            same = (taken + size <= least) & (part("_a", "_n") == part("_b", "_m"))
+            rows = rows.withColumn(of, F.col(of) + F.when(same, size).otherwise(0))
+    left = lambda c, n: F.substring(c, F.col("_start") + 1, F.col(n) - taken)
+    return rows.withColumn("apart", F.call_function("levenshtein", left("a_line", "_n"), left("b_line", "_m"), allowed(F.greatest("_n", "_m"), edits)))
+
+
 def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def within(longer: list[np.ndarray], shorter: list[np.ndarray], most: np.ndarray) -> np.ndarray:
-    """Whether each pair of code-point arrays is at most ``most`` edits apart: banded bit-parallel distances of all pairs at once.
-
-    Bit-vectors hold the vertical differences of the band of most + 1 cells that a path of so few edits can use: as
-    many diagonals on each side of the first cell's and the corner's as the edits beside the length difference
-    allow, there and back. The cell that ends in the corner stays on one bit: the distance is the length difference
-    plus the columns in which that bit is no free diagonal. Pairs that end, or are too far apart, are left out from
-    time to time. A pair's lengths differ by ``most`` at most.
-    """
-    width, columns = int(most.max()) + 1, np.array([len(x) for x in shorter])
-    apart = np.array([len(x) for x in longer]) - columns
-    beside = (most - apart) // 2  # diagonals before the first cell's
-    p = np.full((columns.max() + 2 * width, len(most)), 0xFFFFFFFF, np.uint32)
-    t = np.full((columns.max(), len(most)), 0xFFFFFFFE, np.uint32)
-    for k, (x, y) in enumerate(zip(longer, shorter)):
-        p[beside[k] : beside[k] + len(x), k] = x
-        t[: len(y), k] = y
-    full = (np.int64(1) << (most + 1)) - 1
-    positive, negative = full & ~((np.int64(1) << beside) - 1), np.zeros(len(most), np.int64)
-    corner, d, who, near = beside + apart, apart.copy(), np.arange(len(most)), np.zeros(len(most), bool)
-    for j in range(columns.max() + 1):
-        if j % 16 == 0 or j == len(t):
-            done = (j >= columns) | (d > most)
-            near[who[done & (d <= most)]] = True
-            if done.all():
-                break
-            if done.any():
-                p, t = p[:, ~done], t[:, ~done]
-                full, positive, negative, corner, d, who, most, columns = (x[~done] for x in (full, positive, negative, corner, d, who, most, columns))
-        eq = np.zeros(len(who), np.int64)
-        for i in range(width):
-            eq |= (p[j + i] == t[j]).astype(np.int64) << i
-        eq &= full
-        free = ((((eq & positive) + positive) ^ positive) | eq | negative) & full
-        down = free >> 1
-        right, left = negative | (full & ~(free | positive)), free & positive
-        positive, negative = left | (full & ~(down | right)), down & right
-        d += (((free >> corner) & 1) == 0) & (j < columns)
-    return near
-
-
-#: Pairs that are verified together, and characters of texts beyond which a cell is the last of its block.
-TOGETHER, HELD = 4000, 4_000_000
-
-
-def _verified(rows: DataFrame, edits: int | None) -> DataFrame:
-    """Links (h1, h2, o1, o2) among the pairs of ``rows`` (a_group, b_group, a, b, h1, h2, line).
-
-    The rows of a cell stand together, its texts (null b) before its pairs; pairs of several cells are verified at once.
-    """
-    names = ("h1", "h2", "o1", "o2")
-    schema = pa.schema([(c, pa.int64()) for c in names])
-
-    def close(block: list[tuple[int, int]], texts: dict) -> list[tuple]:
-        """Links of a block of pairs: in order of length, fewer at a time where lines are long."""
-        block = sorted(((i, j) if len(texts[i][0]) >= len(texts[j][0]) else (j, i) for i, j in block), key=lambda x: len(texts[x[0]][0]))
-        out = []
-        while block:
-            size = max(1, 2_000_000 // len(texts[block[-1][0]][0]))
-            part, block = block[-size:], block[:-size]
-            longer, shorter = [texts[i][0] for i, _ in part], [texts[j][0] for _, j in part]
-            near = within(longer, shorter, _limits(np.array([len(x) for x in longer]), edits))
-            out += [(*texts[i][1:], *texts[j][1:]) for (i, j), y in zip(part, near) if y]
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, held, block, cell = {}, 0, [], None
-
-        def flushed() -> pa.RecordBatch:
-            links = close(block, texts)
-            block.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*links) if links else [[]] * 4)], schema=schema)
-
-        for batch in batches:
-            for ga, gb, a, b, h1, h2, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if cell != (ga, gb):
-                    cell = (ga, gb)
-                    if held > HELD:
-                        yield flushed()
-                        texts, held = {}, 0
-                if b is None:
-                    texts[a] = (np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32), h1, h2)
-                    held += len(line)
-                else:
-                    block.append((a, b))
-                    if len(block) == TOGETHER:
-                        yield flushed()
-        yield flushed()
-
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
-
-
-def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 200_000) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """(classes, links): distinct lines with their first place and number of copies, and the links between them.
 
     Classes are of all lines but empty ones, links only of those of at least ``least_chars`` code points.
@@ -249,9 +150,8 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     links: h1, h2, o1, o2 both ways round, for each pair of different lines at most ``edits`` edits apart
     (None: as many as ``allowed`` gives for the longer one).
     Equal lines are grouped first, so a line that stands on a third of all rows takes part once; the distinct lines
-    are written to the shared folder. Pairs are verified in cells of two groups of at most 256 lines, numbered so
-    that near lines stand together, so that a text travels once a cell and not once a pair.
-    Ids of lines in pairs are broadcast up to ``most_broadcast`` rows to fetch their texts, else joined.
+    are written to the shared folder. Distances are computed in a band of as many diagonals as edits allowed.
+    Lines in pairs are broadcast up to ``most_broadcast`` ids to fetch their texts, else joined.
     """
     if edits is not None and least_chars < 4 * edits + 4:
         raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
@@ -262,21 +162,19 @@ def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most
     distinct.write.option("compression", "zstd").parquet(path)
     distinct = docs.sparkSession.read.schema(distinct.schema).parquet(path)
     lines = distinct.where("line is not null")
-    pairs = checkpointed(candidates(lines.select("id", "line", F.length("line").alias("n")), edits))
-    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("to")).union(pairs.select("b", "a")).groupBy("id").agg(F.least("id", F.min("to")).alias("least"))
-    group = F.shiftright(F.monotonically_increasing_id(), 8).alias("group")
-    ends = checkpointed(ends.repartitionByRange("least", "id").sortWithinPartitions("least", "id").select("id", group))
-    ids = _small(ends, ends.count(), most_broadcast)
-    texts = checkpointed(lines.select("id", "h1", "h2", "line").join(ids.select("id"), "id"))
-    of = lambda x: ids.select(F.col("id").alias(x), F.col("group").alias(f"{x}_group"))
-    cells = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b"))
-    key = ("a_group", "b_group")
-    there = cells.select(*key, F.col("a").alias("id")).union(cells.select(*key, "b")).distinct().join(texts, "id")
-    no = lambda kind, *names: [F.lit(None).cast(kind).alias(x) for x in names]
-    rows = there.select(*key, F.col("id").alias("a"), *no("long", "b"), "h1", "h2", "line").union(cells.select(*key, "a", "b", *no("long", "h1", "h2"), *no("string", "line")))
+    pairs = checkpointed(candidates(lines.select("id", "line"), edits))
+    ids = checkpointed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    texts = checkpointed(lines.select("id", "h1", "h2", "line").join(_small(ids, ids.count(), most_broadcast), "id", "left_semi"))
+    of = lambda x, h1, h2: texts.select(F.col("id").alias(x), F.col("h1").alias(h1), F.col("h2").alias(h2), F.col("line").alias(f"{x}_line"))
     # as many partitions as the pairs need: verifying them is more than their bytes show
-    rows = rows.repartition(pairs.count() // 5000 + 1, *key).sortWithinPartitions(*key, F.asc_nulls_first("b"))
-    close = checkpointed(_verified(rows, edits))
+    parts = pairs.count() // 5000 + 1
+    if ids.count() <= most_broadcast // 40:  # texts of few lines go to the pairs, which then travel without
+        pairs = pairs.repartition(parts, "a", "b")
+        rows = pairs.join(F.broadcast(of("a", "h1", "h2")), "a").join(F.broadcast(of("b", "o1", "o2")), "b")
+    else:
+        rows = pairs.join(of("a", "h1", "h2"), "a").repartition(parts, "b").join(of("b", "o1", "o2"), "b")
+    # the checkpoint keeps the filter from being pushed into the steps of the distance
+    close = checkpointed(_distances(rows, edits).select("h1", "h2", "o1", "o2", "apart")).where("apart >= 0").drop("apart")
     return distinct.select("h1", "h2", "copies", "doc_id", "pos"), close.union(close.select("o1", "o2", "h1", "h2"))
 
 

@@ -163,6 +163,27 @@ def test_near_lines_with_null_ids_and_far_edits(spark):
     assert line_dedup.links(docs)[1].count() == 2
 
 
+def test_lines_that_only_share_a_part_give_no_pairs(spark):
+    """Copies of one line with several other words meet in its segments, but are no candidates; those with one other word are linked."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    base = [word() for _ in range(70)]
+
+    def copy(others):
+        x = list(base)
+        for at in rng.sample(range(len(x)), others):
+            x[at] = word()
+        return " ".join(x)
+
+    far, near = [copy(8) for _ in range(60)], [copy(1) for _ in range(2)]
+    table = lambda lines: spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "id long, line string, n int")
+    assert line_dedup.candidates(table(far), None).count() < 10
+    found = line_dedup.links(spark.createDataFrame(list(enumerate([*far, *near, " ".join(base)])), DOCS))[1]
+    assert found.count() >= 4
+    # no Python on the executors
+    assert "Arrow" not in line_dedup.segment_keys(table(far), None)._jdf.queryExecution().toString()
+
+
 def test_lattice_recall_and_groups(spark):
     rng = np.random.default_rng(0)
     a = rng.normal(size=(200, 32))
