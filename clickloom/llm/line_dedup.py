@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import checkpointed, columns_of, let, shared_dir, unused
+from clickloom.llm.common import checkpointed, columns_of, components, let, shared_dir, unused
 
 
 def stripped(line: str | Column) -> Column:
@@ -56,7 +56,9 @@ def _chars(line: str) -> Column:
 
 
 def segment_keys(lines: DataFrame, edits: int | None) -> DataFrame:
-    """key, id, n, kind of the segments of ``lines`` (id, line); kind: 1 a line's own segment, 2 a substring that it probes, 3 both.
+    """key, id, n, kind, k0, k1 of the segments of ``lines`` (id, line); kind: 1 a line's own segment, 2 a substring that it probes, 3 both.
+
+    k0, k1: keys of the line's first and last segment in the band.
 
     Lines meet in bands of length, in which e edits are allowed. e + 1 segments of one width, as many from the start
     of a line as from its end (one more at the start), are disjoint in each line of the band and in those at most e
@@ -75,13 +77,15 @@ def segment_keys(lines: DataFrame, edits: int | None) -> DataFrame:
     bands = F.when(F.col("n") >= above - allowed(above, edits), F.array(own, next_one)).otherwise(F.array(own))
     rows = rows.select("id", "chars", "n", F.inline(bands)).select("*", allowed(F.col("band"), edits).alias("e"))
     rows = rows.select("*", F.floor((F.col("band") - F.col("e")) / (F.col("e") + 1)).cast("int").alias("width"))
+    ends = [F.xxhash64(F.substring("chars", at * 4 + 1, F.col("width") * 4), F.col("band"), F.lit(side), F.lit(0)).alias(f"k{side}") for side, at in ((0, F.lit(0)), (1, F.col("n") - F.col("width")))]
+    rows = rows.select("*", *ends)
     # the segments of fewer edits are among those of the most
     rows = rows.select("*", F.inline(_places_of(MOST if edits is None else edits, True))).where((F.col("probe") | (F.col("s") == 0)) & (F.col("i") < F.floor((F.col("e") + 2 - F.col("side")) / 2)))
     first = F.when(F.col("side") == 0, F.col("i") * F.col("width")).otherwise(F.col("n") - (F.col("i") + 1) * F.col("width")) + F.col("s")
     rows = rows.select("*", first.alias("first")).where((F.col("first") >= 0) & (F.col("first") + F.col("width") <= F.col("n")))
     key = F.xxhash64(F.substring("chars", F.col("first") * 4 + 1, F.col("width") * 4), F.col("band"), F.col("side"), F.col("i"))
     kind = F.when(~F.col("probe"), 1).when(F.col("s") == 0, 3).otherwise(2)
-    return rows.select(key.alias("key"), "id", "n", kind.alias("kind"))
+    return rows.select(key.alias("key"), "id", "n", kind.alias("kind"), "k0", "k1")
 
 
 #: Longs of a line's bit vector.
@@ -99,27 +103,46 @@ def bit_vectors(lines: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(*(F.bit_xor(F.when(F.floor(F.col("bit") / 64) == k, one).otherwise(F.lit(0).cast("long"))).alias(f"v{k}") for k in range(LONGS)))
 
 
-def candidates(lines: DataFrame, edits: int | None, most_broadcast: int = 2_000_000) -> DataFrame:
-    """a < b (ids): pairs of ``lines`` (id, line; all different) that share a segment and may be near by their bits, each once.
+def _met(lines: DataFrame, edits: int | None, most_broadcast: int) -> DataFrame:
+    """The ``segment_keys`` of ``lines`` (id, line) whose key stands twice at least.
 
     Keys are counted first, alone; only rows of a key that stands twice are then joined. Those keys are broadcast up
-    to ``most_broadcast``, else joined, as are the bit vectors. Lines that share much but are too far apart, as the
-    copies of one line with several other words, differ in too many bits and give no row. Adaptive execution splits a
-    key that very many lines share.
+    to ``most_broadcast``, else joined.
     """
     shared = checkpointed(segment_keys(lines, edits).groupBy("key").count().where("count > 1").select("key"))
-    met = checkpointed(segment_keys(lines, edits).join(_small(shared, shared.count(), most_broadcast), "key", "left_semi"))
+    return checkpointed(segment_keys(lines, edits).join(_small(shared, shared.count(), most_broadcast), "key", "left_semi"))
+
+
+def _bits_of(lines: DataFrame, met: DataFrame, most_broadcast: int) -> DataFrame:
+    """``bit_vectors`` of the ids of ``met``, to be joined by id."""
     ids = checkpointed(met.select("id").distinct())
     bits = checkpointed(bit_vectors(lines.join(_small(ids, ids.count(), most_broadcast), "id", "left_semi")))
-    met = met.join(_small(bits, bits.count(), most_broadcast // 4), "id")
+    return _small(bits, bits.count(), most_broadcast // 4)
+
+
+def _meetings(met: DataFrame, edits: int | None, also: Column | None = None) -> DataFrame:
+    """a < b (ids): pairs of ``met`` (with bits) in which one line's own segment is probed by another, no shorter line and that may be near by their bits, each once."""
     a, b = met.where("kind <> 2").alias("a"), met.where("kind <> 1").alias("b")
     most = allowed(F.col("b.n"), edits)
     near = (F.col("b.n") - F.col("a.n")).between(0, most)  # the longer line probes
     flips = sum((F.bit_count(F.col(f"a.v{k}").bitwiseXOR(F.col(f"b.v{k}"))) for k in range(LONGS)), F.lit(0))
-    both = a.join(b, (F.col("a.key") == F.col("b.key")) & near & ((F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id"))) & (flips <= most * 4))
+    meets = (F.col("a.key") == F.col("b.key")) & near & ((F.col("a.n") < F.col("b.n")) | (F.col("a.id") < F.col("b.id")))
+    # lines of one start, or else of one end, meet there only
+    meets &= (F.col("a.key") == F.col("a.k0")) | ((F.col("a.k0") != F.col("b.k0")) & ((F.col("a.key") == F.col("a.k1")) | (F.col("a.k1") != F.col("b.k1"))))
+    both = a.join(b, meets & (flips <= most * 4) if also is None else meets & also & (flips <= most * 4))
     return both.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
+def candidates(lines: DataFrame, edits: int | None, most_broadcast: int = 2_000_000) -> DataFrame:
+    """a < b (ids): pairs of ``lines`` (id, line; all different) that share a segment and may be near by their bits, each once.
+
+    Lines that share much but are too far apart, as the copies of one line with several other words, differ in too
+    many bits and give no row. Adaptive execution splits a key that very many lines share.
+    """
+    met = _met(lines, edits, most_broadcast)
+    return _meetings(met.join(_bits_of(lines, met, most_broadcast), "id"), edits)
+
+
 #: Lengths tried, one after the other, for the common start and end of two lines; what is left of those stays.
 TRIED = (1024, 512, 256, 128, 64, 32, 16, 8)
 
@@ -142,84 +165,164 @@ def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): distinct lines with their first place and number of copies, and the links between them.
+def _distinct_lines(docs: DataFrame, least_chars: int, most_broadcast: int = 2_000_000) -> DataFrame:
+    """id, h1, h2, copies, doc_id, pos (first place), line (null if under ``least_chars``) of the different lines, written to the shared folder.
+
+    An id begins with the order of magnitude of the copies, downwards: the smallest of some ids is a line of the most.
+    """
+    spark = docs.sparkSession
+    found = occurrences(docs, 1)
+    # texts stay where they are: only those that stand twice at their first place, by repeated rows, are shuffled
+    at = found.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "pos")).alias("at")).where("copies > 1")
+    at = checkpointed(at.select("h1", "h2", "copies", F.col("at.doc_id").alias("f_doc"), F.col("at.pos").alias("f_pos")))
+    rows = found.join(_small(at, at.count(), most_broadcast), ["h1", "h2"], "left").na.fill(1, ["copies"])
+    rows = rows.where((F.col("copies") == 1) | F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("pos") == F.col("f_pos")))
+    few = F.call_function("shiftleft", (F.lit(63) - F.length(F.bin("copies"))).cast("long"), F.lit(57))
+    line = F.when(F.col("n") >= least_chars, F.col("line")).alias("line")
+    rows = rows.select((few + F.monotonically_increasing_id()).alias("id"), "h1", "h2", "copies", "doc_id", "pos", line)
+    path, once = shared_dir(spark, "lines"), shared_dir(spark, "lines-once")
+    rows.write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    rows.where("copies > 1").groupBy("h1", "h2").agg(F.min(F.struct(*rows.columns)).alias("x")).select("x.*").write.option("compression", "zstd").parquet(once)
+    return rows.where("copies = 1").union(spark.read.schema(rows.schema).parquet(once))
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, edits: int | None, most_broadcast: int) -> DataFrame:
+    """Those of ``pairs`` (a, b: ids of ``lines``) that are near: a, b, h1, h2, o1, o2, doc_id, pos, o_doc, o_pos (the first places of a and b).
 
-    Classes are of all lines but empty ones, links only of those of at least ``least_chars`` code points.
-    classes: h1, h2, copies, doc_id, pos (first place in order of doc_id and line number, null ids first).
-    links: h1, h2, o1, o2 both ways round, for each pair of different lines at most ``edits`` edits apart
-    (None: as many as ``allowed`` gives for the longer one).
-    Equal lines are grouped first, so a line that stands on a third of all rows takes part once; the distinct lines
-    are written to the shared folder. Distances are computed in a band of as many diagonals as edits allowed.
     Lines in pairs are broadcast up to ``most_broadcast`` ids to fetch their texts, else joined.
     """
-    if edits is not None and least_chars < 4 * edits + 4:
-        raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
-    at, line = F.min(F.struct("doc_id", "pos")).alias("at"), F.first(F.when(F.col("n") >= least_chars, F.col("line"))).alias("line")
-    path = shared_dir(docs.sparkSession, "lines")
-    distinct = occurrences(docs, 1).groupBy("h1", "h2").agg(F.count("*").alias("copies"), at, line)
-    distinct = distinct.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "copies", "at.*", "line")
-    distinct.write.option("compression", "zstd").parquet(path)
-    distinct = docs.sparkSession.read.schema(distinct.schema).parquet(path)
-    lines = distinct.where("line is not null")
-    pairs = checkpointed(candidates(lines.select("id", "line"), edits))
     ids = checkpointed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    texts = checkpointed(lines.select("id", "h1", "h2", "line").join(_small(ids, ids.count(), most_broadcast), "id", "left_semi"))
-    of = lambda x, h1, h2: texts.select(F.col("id").alias(x), F.col("h1").alias(h1), F.col("h2").alias(h2), F.col("line").alias(f"{x}_line"))
+    texts = checkpointed(lines.select("id", "h1", "h2", "doc_id", "pos", "line").join(_small(ids, ids.count(), most_broadcast), "id", "left_semi"))
+    a = texts.toDF("a", "h1", "h2", "doc_id", "pos", "a_line")
+    b = texts.toDF("b", "o1", "o2", "o_doc", "o_pos", "b_line")
     # as many partitions as the pairs need: verifying them is more than their bytes show
     parts = pairs.count() // 5000 + 1
     if ids.count() <= most_broadcast // 40:  # texts of few lines go to the pairs, which then travel without
-        pairs = pairs.repartition(parts, "a", "b")
-        rows = pairs.join(F.broadcast(of("a", "h1", "h2")), "a").join(F.broadcast(of("b", "o1", "o2")), "b")
+        rows = pairs.repartition(parts, "a", "b").join(F.broadcast(a), "a").join(F.broadcast(b), "b")
     else:
-        rows = pairs.join(of("a", "h1", "h2"), "a").repartition(parts, "b").join(of("b", "o1", "o2"), "b")
+        rows = pairs.join(a, "a").repartition(parts, "b").join(b, "b")
+    n, m = F.length("a_line"), F.length("b_line")
+    rows = rows.where(F.abs(n - m) <= allowed(F.greatest(n, m), edits))
     # the checkpoint keeps the filter from being pushed into the steps of the distance
-    close = checkpointed(_distances(rows, edits).select("h1", "h2", "o1", "o2", "apart")).where("apart >= 0").drop("apart")
+    return checkpointed(_distances(rows, edits).select("a", "b", "h1", "h2", "o1", "o2", "doc_id", "pos", "o_doc", "o_pos", "apart")).where("apart >= 0").drop("apart")
+
+
+def _checked(edits: int | None, least_chars: int) -> None:
+    if edits is not None and least_chars < 4 * edits + 4:
+        raise ValueError("least_chars must be 4 * edits + 4 at least, so that segments are not empty")
+
+
+def links(docs: DataFrame, edits: int | None = None, least_chars: int = 24, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+    """(classes, links): distinct lines with their first place and number of copies, and all links between them.
+
+    Classes are of all lines but empty ones, links only of those of at least ``least_chars`` code points.
+    classes: h1, h2, copies, doc_id, pos (first place in order of doc_id and line number, null ids first).
+    links: h1, h2, o1, o2 both ways round, for each pair of different lines at most ``edits`` edits apart
+    (None: as many as ``allowed`` gives for the longer one). These are as many as the pairs of a group of near copies;
+    ``spanning_links`` are not.
+    Equal lines are grouped first, so a line that stands on a third of all rows takes part once; the distinct lines
+    are written to the shared folder. Distances are computed in a band of as many diagonals as edits allowed.
+    """
+    _checked(edits, least_chars)
+    distinct = _distinct_lines(docs, least_chars)
+    lines = distinct.where("line is not null")
+    pairs = checkpointed(candidates(lines.select("id", "line"), edits, most_broadcast))
+    close = _verified(pairs, lines, edits, most_broadcast).select("h1", "h2", "o1", "o2")
     return distinct.select("h1", "h2", "copies", "doc_id", "pos"), close.union(close.select("o1", "o2", "h1", "h2"))
 
 
-def decisions(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
-    """doc_id, th, dropped (line numbers), n_exact, n_near, n_links for the documents that share a line with any place.
+def _later() -> Column:
+    """Whether the first place of a stands after that of b, for rows of ``_verified``."""
+    return F.struct(F.col("o_doc").alias("d"), F.col("o_pos").alias("p")) < F.struct(F.col("doc_id").alias("d"), F.col("pos").alias("p"))
+
+
+def spanning_links(distinct: DataFrame, edits: int | None, most_broadcast: int = 2_000_000) -> DataFrame:
+    """Links of the ``_distinct_lines`` (columns of ``_verified``) that connect the same lines as all links, and have an earlier partner for each line that has one.
+
+    The lines of a key are verified against one of them, that of the most copies. Two lines that are both near it are
+    connected by it, so they are compared only if it stands after both; all other pairs of the key are compared as
+    in ``candidates``. The copies of a line with single changes are thus as many links as lines, not as pairs.
+    """
+    lines = distinct.where("line is not null")
+    met = _met(lines.select("id", "line"), edits, most_broadcast)
+    rows = met.join(met.groupBy("key").agg(F.min("id").alias("b")), "key").where("id <> b")
+    rows = checkpointed(rows.withColumnRenamed("id", "a"))
+    star = _verified(checkpointed(rows.select("a", "b").distinct()), lines, edits, most_broadcast)
+    near = star.select("a", "b", F.lit(True).alias("near"), (~_later()).alias("before"))
+    rows = rows.join(_small(near, near.count(), most_broadcast), ["a", "b"], "left").na.fill(False, ["near", "before"])
+    rows = checkpointed(rows.select("key", F.col("a").alias("id"), "n", "kind", "k0", "k1", "near", "before"))
+    still = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.max(~F.col("near") | F.col("before")).alias("open")).where("open and x <> y").select("key")
+    rows = checkpointed(rows.join(still, "key", "left_semi"))
+    known = F.col("a.near") & F.col("b.near") & ~(F.col("a.before") & F.col("b.before"))
+    rest = checkpointed(_meetings(rows.join(_bits_of(lines.select("id", "line"), rows, most_broadcast), "id"), edits, ~known))
+    return star.union(_verified(rest, lines, edits, most_broadcast)).distinct()
+
+
+def _marks(docs: DataFrame, edits: int | None, least_chars: int, marks: str | None) -> tuple[DataFrame, DataFrame]:
+    """(classes, marks): the classes of ``links``; of the lines with links: h1, h2, near (an earlier line is linked) and what ``marks`` names: n_links or class."""
+    if marks == "n_links":
+        classes, linked = links(docs, edits, least_chars)
+        place = lambda h1, h2, doc, pos: classes.select(F.col("h1").alias(h1), F.col("h2").alias(h2), F.col("doc_id").alias(doc), F.col("pos").alias(pos))
+        ends = linked.join(place("h1", "h2", "doc_id", "pos"), ["h1", "h2"]).join(place("o1", "o2", "o_doc", "o_pos"), ["o1", "o2"])
+        return classes, ends.groupBy("h1", "h2").agg(F.max(_later()).alias("near"), F.count("*").alias("n_links"))
+    _checked(edits, least_chars)
+    distinct = _distinct_lines(docs, least_chars)
+    found = checkpointed(spanning_links(distinct, edits))
+    other = found.select("b", "a", "o1", "o2", "h1", "h2", "o_doc", "o_pos", "doc_id", "pos").toDF(*found.columns)
+    ends = found.union(other).groupBy("a", "h1", "h2", "doc_id", "pos").agg(F.max(_later()).alias("near"))
+    return distinct.select("h1", "h2", "copies", "doc_id", "pos"), _class_places(found, checkpointed(ends)) if marks else ends.select("h1", "h2", "near")
+
+
+def _class_places(found: DataFrame, ends: DataFrame) -> DataFrame:
+    """``ends`` (a, h1, h2, doc_id, pos, near) as h1, h2, near, class: the first place of all lines that links connect with the line, as doc_id:pos."""
+    of = ends.join(components(found.select(F.col("a").alias("src"), F.col("b").alias("dst"))), F.col("a") == F.col("node"))
+    first = of.groupBy("component_id").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
+    name = F.concat(F.coalesce(F.col("at.doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("at.pos").cast("string"))
+    return of.join(first, "component_id").select("h1", "h2", "near", name.alias("class"))
+
+
+def decisions(docs: DataFrame, edits: int | None = None, least_chars: int = 24, marks: str | None = None, most_broadcast: int = 2_000_000) -> DataFrame:
+    """doc_id, th, dropped (line numbers), n_exact, n_near for the documents that share a line with any place.
 
     A line is dropped if it stands earlier (in order of doc_id, line number), or if its first place has an
     earlier line at most ``edits`` edits away (see ``links``). Rows that repeat a doc_id and text are one document.
+    marks: None, or a further column about the lines that stand first in the document: "n_links", their links, or
+    "classes", comma-joined number=class of those with links (class: doc_id:pos, the first place of all connected lines).
     """
-    classes, linked = links(docs, edits, least_chars)
-    ends = linked.join(classes.select("h1", "h2", "doc_id", "pos"), ["h1", "h2"]).join(
-        classes.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("doc_id").alias("o_doc"), F.col("pos").alias("o_pos")), ["o1", "o2"]
-    )
-    near = ends.groupBy("h1", "h2").agg(
-        F.count("*").alias("n_links"), F.max(F.struct("o_doc", "o_pos") < F.struct(F.col("doc_id").alias("o_doc"), F.col("pos").alias("o_pos"))).alias("near")
-    )
-    info = classes.join(near, ["h1", "h2"], "left").where("copies > 1 or n_links is not null")
-    info = info.select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("pos").alias("f_pos"), F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    occ = occurrences(docs, 1).select("doc_id", "th", "pos", "h1", "h2").join(info, ["h1", "h2"])
+    classes, near = _marks(docs, edits, least_chars, marks)
+    near = checkpointed(near)
+    info = classes.join(_small(near, near.count(), most_broadcast), ["h1", "h2"], "left").where("copies > 1 or near is not null")
+    mark = F.coalesce("n_links", F.lit(0)) if marks == "n_links" else F.col("class") if marks == "classes" else F.lit(None).cast("string")
+    info = checkpointed(info.select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("pos").alias("f_pos"), F.coalesce("near", F.lit(False)).alias("near"), mark.alias("mark")))
+    occ = occurrences(docs, 1).select("doc_id", "th", "pos", "h1", "h2").join(_small(info, info.count(), most_broadcast), ["h1", "h2"])
     first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("pos") == F.col("f_pos"))
-    each = occ.select("doc_id", "th", "pos", F.when(~first, "exact").when(F.col("near"), "near").otherwise("kept").alias("kind"), F.when(first, F.col("n_links")).otherwise(0).alias("n_links"))
-    lines = each.groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "kind", "n_links")).alias("x"))
+    each = occ.select("doc_id", "th", "pos", F.when(~first, "exact").when(F.col("near"), "near").otherwise("kept").alias("kind"), F.when(first, F.col("mark")).alias("mark"))
+    lines = each.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("pos", "kind", "mark"))).alias("x"))
     of = lambda kind: F.filter("x", lambda y: y["kind"] == kind)
-    return lines.select(
-        "doc_id",
-        "th",
-        F.array_sort(F.transform(F.filter("x", lambda y: y["kind"] != "kept"), lambda y: y["pos"])).alias("dropped"),
-        F.size(of("exact")).alias("n_exact"),
-        F.size(of("near")).alias("n_near"),
-        F.aggregate("x", F.lit(0).cast("long"), lambda s, y: s + y["n_links"]).alias("n_links"),
-    )
+    further = {
+        None: [],
+        "n_links": [F.aggregate("x", F.lit(0).cast("long"), lambda s, y: s + F.coalesce(y["mark"], F.lit(0))).alias("n_links")],
+        "classes": [F.array_join(F.transform(F.filter("x", lambda y: y["mark"].isNotNull()), lambda y: F.concat(y["pos"].cast("string"), F.lit("="), y["mark"].cast("string"))), ",").alias("classes")],
+    }[marks]
+    dropped = F.transform(F.filter("x", lambda y: y["kind"] != "kept"), lambda y: y["pos"])
+    return lines.select("doc_id", "th", dropped.alias("dropped"), F.size(of("exact")).alias("n_exact"), F.size(of("near")).alias("n_near"), *further)
 
 
-def report(docs: DataFrame, edits: int | None = None, least_chars: int = 24) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, n_lines, n_exact, n_near, n_links, dropped (comma-joined line numbers from 0).
+def report(docs: DataFrame, edits: int | None = None, least_chars: int = 24, marks: str = "n_links") -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, n_lines, n_exact, n_near, n_links or classes, dropped (comma-joined line numbers from 0).
 
-    n_exact, n_near: lines dropped as a copy, or within ``edits`` edits, of an earlier line; n_links: links of
-    the lines that stand first in this document. Lines under ``least_chars`` code points go only as copies, empty
+    n_exact, n_near: lines dropped as a copy, or within ``edits`` edits, of an earlier line; ``marks``: n_links, links of
+    the lines that stand first in this document, for which all links are enumerated, or classes (see ``decisions``),
+    for which they are not. Lines under ``least_chars`` code points go only as copies, empty
     lines never. Null and empty texts have no lines and drop none.
     """
-    d = decisions(docs, edits, least_chars).withColumnRenamed("doc_id", "d_doc").withColumnRenamed("th", "d_th")
+    d = decisions(docs, edits, least_chars, marks).withColumnRenamed("doc_id", "d_doc").withColumnRenamed("th", "d_th")
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    mark = zero("n_links") if marks == "n_links" else F.coalesce("classes", F.lit("")).alias("classes")
     return rows.join(d, F.col("doc_id").eqNullSafe(F.col("d_doc")) & (F.col("th") == F.col("d_th")), "left").select(
-        "doc_id", "n_lines", zero("n_exact"), zero("n_near"), zero("n_links"), F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped")
+        "doc_id", "n_lines", zero("n_exact"), zero("n_near"), mark, F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped")
     )
 
 

@@ -17,8 +17,8 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every document that stand, or nearly stand, earlier; null and empty texts have none. An empty table gives no rows."""
-    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), least_chars=24)
+    """Lines of every document that stand, or nearly stand, earlier, and the classes of near lines; null and empty texts have none. An empty table gives no rows."""
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), least_chars=24, marks="classes")
 
 
 def op3_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -184,6 +184,50 @@ def test_lines_that_only_share_a_part_give_no_pairs(spark):
     assert "Arrow" not in line_dedup.segment_keys(table(far), None)._jdf.queryExecution().toString()
 
 
+def test_lines_near_one_line_are_linked_to_it(spark, monkeypatch):
+    """A group of near copies is as many links as lines, not as pairs; classes and dropped lines are those of all links."""
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n)).strip() or "x"
+
+    def change(line, edits):
+        x = list(line)
+        for at in rng.sample(range(1, len(x) - 1), edits):
+            x[at] = rng.choice(["", "z", "zz", "y"])
+        return "".join(x)
+
+    base = word(300)
+    group = [change(base, 3) for _ in range(50)]
+    # chains, and lines far from the most frequent one or before its first place
+    odd = [word(n) for n in (30, 64, 100, 260)]
+    for x in list(odd):
+        for _ in range(6):
+            x = change(x, rng.choice((1, 1, 2, max(1, len(x) // 40))))
+            odd.append(x)
+    odd += [change(base, rng.choice((6, 7, 9))) for _ in range(12)]
+    rng.shuffle(odd)
+    docs = [(i, x) for i, x in enumerate([*odd[:20], base, *group, *odd[20:]])] + [(500 + i, base + "\n" + odd[3]) for i in range(9)] + [(900, None), (900, None), (700, odd[5]), (700, odd[5])]
+    table = spark.createDataFrame(docs, DOCS)
+    linked = line_dedup.links(table)[1].select("h1", "o1").collect()
+    seen = []
+    every = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *a: seen.append(pairs.count()) or every(pairs, *a))
+    found = line_dedup.spanning_links(line_dedup._distinct_lines(table, 24), None)
+    assert len(linked) // 2 > 1000 and found.count() < 300 and sum(seen) < 800
+    # classes by brute force: the smallest place that links reach
+    first = {}
+    for r in line_dedup.occurrences(table, 1).collect():
+        first[r.h1] = min(first.get(r.h1, (r.doc_id, r.pos)), (r.doc_id, r.pos))
+    least = {h: first[h] for r in linked for h in r}
+    for _ in range(len(least)):
+        for a, b in linked:
+            least[a] = min(least[a], least[b])
+    want = {first[h]: "{}:{}".format(*at) for h, at in least.items()}
+    got = line_dedup.report(table, marks="classes").collect()
+    assert {(r.doc_id, int(x.partition("=")[0])): x.partition("=")[2] for r in got for x in r.classes.split(",") if x} == want
+    rest = lambda rows: sorted((r.doc_id, r.n_lines, r.n_exact, r.n_near, r.dropped) for r in rows)
+    assert rest(got) == rest(line_dedup.report(table).collect()) and len(got) == len(docs)
+
+
 def test_lattice_recall_and_groups(spark):
     rng = np.random.default_rng(0)
     a = rng.normal(size=(200, 32))
