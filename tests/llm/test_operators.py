@@ -228,6 +228,19 @@ def test_lines_near_one_line_are_linked_to_it(spark, monkeypatch):
     assert rest(got) == rest(line_dedup.report(table).collect()) and len(got) == len(docs)
 
 
+def test_stage_lines_lists_no_pairs_of_a_group(spark, monkeypatch):
+    """The pipeline's stage drops near lines without all links, as the list of all links says."""
+    import corpus_pipeline
+
+    base = "one line of words that is long enough to have near copies, which differ from it at one place each, and so from one another at two"
+    group = [base[:at] + "#" + base[at:] for at in range(5, 125, 12)]
+    docs = spark.createDataFrame([(1, "first\n" + base), (2, None), *((3 + i, f"own {i}\n{x}") for i, x in enumerate(group))], DOCS)
+    assert line_dedup.links(docs)[1].count() == len(group) * (len(group) + 1)
+    monkeypatch.setattr(line_dedup, "links", None)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert kept == {1: "first\n" + base, 2: None} | {3 + i: f"own {i}" for i in range(len(group))}
+
+
 def test_lattice_recall_and_groups(spark):
     rng = np.random.default_rng(0)
     a = rng.normal(size=(200, 32))
