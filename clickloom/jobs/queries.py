@@ -60,8 +60,11 @@ class Log:
             "matrix": lambda: reliable(knn.session_items(self.train)),
             "item_near": lambda: reliable(knn.item_knn(self.matrix, least=LEAST_COSINE)),
             "asked": lambda: reliable(self.queries.where("split in ('validation', 'test')")),
-            "prefix": lambda: reliable(knn.prefix_items(self.events, self.asked)),
-            "session_near": lambda: knn.session_knn(self._recent(), self.prefix),
+            # a session is of one split, and without a second time it has no query
+            "prefix": lambda: reliable(knn.prefix_items(self.events.where("split in ('validation', 'test') and session_start < session_end"), self.asked)),
+            "session_index": lambda: knn.SessionIndex(self._recent()),
+            "session_sets": lambda: self.session_index.sets(self.prefix),
+            "session_near": lambda: reliable(self.session_index.near(self.session_sets[1])),
             "snapshot": lambda: self._snapshot(),
             "target_meta": lambda: m.asof_metadata(self.targets.select("query_id", "itemid", "query_time", "split"), self.props, self.items, self.tree, "query_time"),
         }.get(name)
@@ -991,21 +994,28 @@ def item_knn_ranked(t: Log) -> DataFrame:
 
 @query
 def session_knn(t: Log) -> DataFrame:
-    stored(t, "events", "groups")
-    return t.session_near[0]
+    stored(t, "events")
+    return knn.of_queries(t.session_sets[0], t.session_near)
 
 
 @query
 def session_knn_reads(t: Log) -> DataFrame:
-    """How much of the lists of each distinct prefix was read; ``read`` is at most ``entries``."""
-    stored(t, "events", "groups")
-    return t.session_near[1]
+    """How much of the lists of each distinct prefix settles its neighbours; ``read`` is at most ``entries``."""
+    stored(t, "events")
+    return t.session_index.reads(t.session_sets[1])
 
 
 @query
 def session_knn_ranked(t: Log) -> DataFrame:
-    stored(t, "events", "groups")
-    return knn.session_knn_ranked(t.session_near[0], t.matrix)
+    """The list of each validation and test query by the sessions near to its prefix; found once a set of items."""
+    stored(t, "events")
+    return knn.of_queries(t.session_sets[0], _session_lists(t))
+
+
+def _session_lists(t: Log) -> DataFrame:
+    """set_id, itemid, rank, score."""
+    near = t.session_near.withColumnRenamed("set_id", "query_id")
+    return reliable(knn.session_knn_ranked(near, t.session_index.sessions)).withColumnRenamed("query_id", "set_id")
 
 
 @query
@@ -1025,7 +1035,7 @@ def ranking_metrics_by_query(t: Log) -> DataFrame:
     """Metrics of one list a query: popularity among candidates, item and session neighbours."""
     stored(t, "events", "groups", "targets")
     held = t.targets.where("split in ('validation', 'test')")
-    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.session_knn_ranked(t.session_near[0], t.matrix)}
+    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.of_queries(t.session_sets[0], _session_lists(t))}
     out = None
     for name, ranked in lists.items():
         one = ranking.metrics_by_query(ranked, held).withColumn("model", F.lit(name))

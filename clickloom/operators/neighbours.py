@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -121,87 +121,129 @@ def item_knn_ranked(prefix: DataFrame, neighbours: DataFrame, k: int = 20) -> Da
     return _best(rows.groupBy("query_id", F.col("neighbour").alias("itemid")).agg(F.sum("score").alias("score")), k)
 
 
-def _sets(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(query_id, set_id of each query; set_id, itemid of each distinct set of items): queries of equal sets have one answer."""
-    mark = prefix.groupBy("query_id").agg(F.count("*").alias("_c"), *(F.sum(F.xxhash64("itemid", F.lit(s)).cast("decimal(38,0)")).alias(f"_h{s}") for s in (1, 2)))
-    first = mark.groupBy("_c", "_h1", "_h2").agg(F.min("query_id").alias("set_id"), F.count("*").alias("_n"))
-    of = reliable(join_split(mark.withColumn("_k", F.struct("_c", "_h1", "_h2")), first.select(F.struct("_c", "_h1", "_h2").alias("_k"), "set_id", "_n"), "_k", "_n", mark.count()).select("query_id", "set_id"))
-    return of, prefix.join(of.where("query_id = set_id").select("query_id"), "query_id").select(F.col("query_id").alias("set_id"), "itemid")
+def item_sets(rows: DataFrame, key: str, name: str, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """(``key``, ``name``, size, ``more`` of each key of ``rows`` (key, itemid); ``name``, itemid, size of each distinct set of items).
+
+    ``name`` is the smallest key with the set; ``more`` are further aggregates of a key's rows.
+    """
+    mark = reliable(rows.groupBy(key).agg(F.count("*").alias("size"), *(F.bit_xor(F.xxhash64("itemid", F.lit(s))).alias(f"_h{s}") for s in (1, 2)), *more))
+    same = F.struct("size", "_h1", "_h2").alias("_k")
+    first = mark.groupBy(same).agg(F.min(key).alias(name), F.count("*").alias("_n"))
+    of = reliable(join_split(mark.withColumn("_k", same), first, "_k", "_n", mark.count()).drop("_k", "_h1", "_h2", "_n"))
+    return of, rows.join(of.where(F.col(key) == F.col(name)).select(key, "size"), key).select(F.col(key).alias(name), "itemid", "size")
+
+
+def of_queries(of: DataFrame, rows: DataFrame) -> DataFrame:
+    """query_id and the other columns of ``rows`` (set_id, few rows each) for each query of a set; ``of``: query_id, set_id."""
+    of = of.select("query_id", "set_id")
+    often = of.groupBy("set_id").agg(F.count("*").alias("_n"))
+    return join_split(of, rows.join(often, "set_id"), "set_id", "_n", of.count()).select("query_id", *(c for c in rows.columns if c != "set_id"))
+
+
+def _longer(rows: DataFrame, key: str, *more: str) -> DataFrame:
+    """Patterns (head, tail) of each ``key`` with one item more: two that differ in their last item are put together."""
+    other = rows.select(key, "head", F.col("tail").alias("_last"))
+    return rows.join(other, [key, "head"]).where("tail < _last").select(key, F.array_append("head", F.col("tail")).alias("head"), F.col("_last").alias("tail"), *more)
+
+
+class SessionIndex:
+    """Train sessions (session_id, itemid, session_end), to find the ``m`` nearest to sets of items exactly.
+
+    The score of a session adds idf = round(10^6 ln(1 + sessions / sessions with the item)) over the items that it
+    shares with the set; equal scores go by recency (session_end, the latest first), then session_id.
+
+    Sessions of equal items are one class, of which the ``m`` latest can count. If a session shares just the items P
+    with a set, all classes that hold P score as much at least; so its class is one of the ``m`` latest that
+    hold P, or it is not among the best. Patterns P are grown an item at a time: from items to pairs, triples, ...,
+    and only while more than ``m`` classes hold them, for the classes of others are all taken. No list of an item is
+    read through. A set or class of more than ``most`` items, of which patterns could be too many, is not grown: it is
+    compared with all classes or sets that share an item.
+    """
+
+    def __init__(self, sessions: DataFrame, m: int = 20, most: int = 12):
+        self.m, self.most = m, most
+        self.sessions = sessions = reliable(sessions)
+        of, items = item_sets(sessions.select("session_id", "itemid", "session_end"), "session_id", "class_id", F.max("session_end").alias("session_end"))
+        by = W.partitionBy("class_id").orderBy(F.desc("session_end"), "session_id")
+        self.latest = reliable(of.withColumn("place", F.row_number().over(by)).where(F.col("place") <= m).select("class_id", "session_id", "session_end", "place"))
+        head = self.latest.where("place = 1").select("class_id", "session_end", F.col("session_id").alias("first"))
+        self.classes = reliable(items.join(head, "class_id"))
+        idf = F.round(1_000_000 * F.log1p(F.lit(of.count()) / F.col("df"))).cast("long")
+        self.items = reliable(sessions.groupBy("itemid").agg(F.count("*").alias("df")).withColumn("idf", idf))
+
+    def sets(self, prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(query_id, set_id; set_id, itemid, size of each distinct set) of the items of ``prefix`` (query_id, itemid) that train holds."""
+        of, members = item_sets(reliable(prefix.join(self.items.select("itemid"), "itemid", "left_semi")), "query_id", "set_id")
+        return of.select("query_id", "set_id"), reliable(members)
+
+    def candidates(self, members: DataFrame) -> DataFrame:
+        """set_id, class_id of the classes that can hold one of the ``m`` nearest sessions of each set."""
+        large, columns = F.col("size") > self.most, ["set_id", "class_id"]
+        wide = self.classes.select("class_id", "itemid", large.alias("_wide"))
+        found = members.select("set_id", "itemid", large.alias("_all")).join(wide, "itemid").where("_all or _wide").select(columns)
+        pattern = (F.expr("cast(array() as array<bigint>)").alias("head"), F.col("itemid").alias("tail"))
+        asked = reliable(members.where(~large).select("set_id", *pattern))
+        held = self.classes.where(~large).select("class_id", *pattern, "session_end", "first")
+        by = W.partitionBy("head", "tail").orderBy(F.desc("session_end"), "first")
+        while not asked.isEmpty():
+            often = asked.groupBy("head", "tail").agg(F.count("*").alias("_n"))
+            held = reliable(held.join(often.select("head", "tail"), ["head", "tail"], "left_semi"))
+            tops = held.withColumn("_i", F.row_number().over(by)).where(F.col("_i") <= self.m + 1)
+            tops = reliable(tops.join(often, ["head", "tail"]).select(F.struct("head", "tail").alias("_k"), "class_id", "_i", "_n"))
+            met = join_split(asked.select("set_id", F.struct("head", "tail").alias("_k")), tops.where(F.col("_i") <= self.m), "_k", "_n", asked.count())
+            found = found.union(met.select(columns))
+            more = tops.where(F.col("_i") == self.m + 1).select("_k.head", "_k.tail")
+            asked = reliable(_longer(asked.join(more, ["head", "tail"], "left_semi"), "set_id"))
+            held = _longer(held.join(more, ["head", "tail"], "left_semi"), "class_id", "session_end", "first")
+        return found.distinct()
+
+    def near(self, members: DataFrame) -> DataFrame:
+        """set_id, session_id, rank, score of the ``m`` nearest sessions of each set (set_id, itemid, size)."""
+        asked = members.join(self.items.select("itemid", "idf"), "itemid").select("set_id", "itemid", "idf")
+        shared = self.candidates(members).join(asked, "set_id").join(self.classes.drop("size"), ["class_id", "itemid"])
+        scores = shared.groupBy("set_id", "class_id", "session_end", "first").agg(F.sum("idf").alias("score"))
+        by = W.partitionBy("set_id")
+        best = scores.withColumn("_i", F.row_number().over(by.orderBy(F.desc("score"), F.desc("session_end"), "first"))).where(F.col("_i") <= self.m)
+        each = best.select("set_id", "class_id", "score").join(self.latest, "class_id")
+        place = F.row_number().over(by.orderBy(F.desc("score"), F.desc("session_end"), "session_id"))
+        return each.withColumn("rank", place).where(F.col("rank") <= self.m).select("set_id", "session_id", "rank", "score")
+
+    def reads(self, members: DataFrame) -> DataFrame:
+        """set_id, lists, entries, read: of the lists of sessions by item, how many a set has, their entries, and how many settle its neighbours.
+
+        Lists are taken from the rarest item on, one, two, four ... in a round, until the ``m``-th best score by them
+        exceeds what all others give together, so no unseen session can enter. Without that, all but the longest
+        are needed, and its first ``m`` entries: sessions after them, if unseen, share that item alone and are older.
+        The scores after a round are those of the set's items so far, so they come from ``near``; the lists
+        themselves are not read.
+        """
+        of_set = W.partitionBy("set_id")
+        rows = members.select("set_id", "itemid").join(self.items, "itemid").withColumns({
+            "j": F.row_number().over(of_set.orderBy("df", "itemid")), "k": F.count("*").over(of_set),
+            "after": F.sum("idf").over(of_set.orderBy(F.desc("df"), F.desc("itemid"))) - F.col("idf"),
+        })
+        rows = reliable(rows)
+        rounds = F.expr("transform(filter(sequence(0, 31), i -> shiftleft(1L, i) < k), i -> least(shiftleft(2L, i) - 1, k - 1))")
+        ends = rows.where("j = 1").select("set_id", F.explode(rounds).alias("at"))
+        part = rows.join(ends, "set_id").where("j <= at").select(F.struct("set_id", "at").alias("_part"), "itemid")
+        of, parts = item_sets(part, "_part", "set_id")
+        bar = self.near(reliable(parts)).where(F.col("rank") == self.m).select("set_id", F.col("score").alias("bar"))
+        met = of.join(bar, "set_id").select("_part.set_id", "_part.at", "bar").join(rows.select("set_id", F.col("j").alias("at"), "after"), ["set_id", "at"])
+        upto = met.where("bar > after").groupBy("set_id").agg(F.min("at").alias("upto"))
+        read = F.when(F.col("j") <= F.coalesce("upto", F.col("k") - 1), F.col("df")).when(F.col("upto").isNull() & (F.col("j") == F.col("k")), F.least("df", F.lit(self.m).cast("long"))).otherwise(F.lit(0))
+        return rows.join(upto, "set_id", "left").groupBy("set_id").agg(F.count("*").alias("lists"), F.sum("df").alias("entries"), F.sum(read).alias("read"))
 
 
 def session_knn(sessions: DataFrame, prefix: DataFrame, m: int = 20) -> tuple[DataFrame, DataFrame]:
     """(query_id, session_id, rank, score: the ``m`` train sessions nearest to each query; set_id, lists, entries, read).
 
     ``sessions``: session_id, itemid, session_end of each item of each train session; ``prefix``: query_id, itemid.
-    The score of a session adds idf = round(10^6 ln(1 + sessions / sessions with the item)) over the items that it
-    shares with the query; equal scores go by recency (session_end, the latest first), then session_id. Queries
-    that share no item with train have no row.
-
-    Exact, without reading most of the long lists. Lists of sessions by item are in order of recency. A set of items is
-    answered once, its lists read from the rarest item on, one, two, four ... in a round. It is done when the
-    ``m``-th best score so far exceeds what all unread lists give together, so no unseen session can enter. Of the
-    longest list the first ``m`` entries are enough at any time: sessions after them, if unseen, share that item alone
-    and are older. Scores of what was seen are then completed by (session, item). The second table tells how many
-    ``entries`` the ``lists`` of a set have and how many were ``read``.
+    See ``SessionIndex``; queries of one set of items are answered once, and those that share no item with train have
+    no row.
     """
-    sessions = reliable(sessions)
-    total, n = sessions.count(), sessions.select("session_id").distinct().count()
-    idf = F.round(1_000_000 * F.log1p(F.lit(n) / F.col("df"))).cast("long")
-    items = reliable(sessions.groupBy("itemid").agg(F.count("*").alias("df")).withColumn("idf", idf))
-    limit = max(m, hot_limit(sessions.sparkSession, total))
-    lists = scan(sessions.select("itemid", "session_id", "session_end", (-F.col("session_end")).alias("_age")), ("itemid",), ("_age", "session_id"), sums={"place": F.lit(1)})
-    lists = reliable(lists.select("itemid", "session_id", "place", F.expr(f"(place - 1) div {limit}L").alias("_p")))
-    known = reliable(prefix.join(items.select("itemid"), "itemid", "left_semi"))
-    of, members = _sets(known)
-    by = W.partitionBy("set_id").orderBy("df", "itemid")
-    members = members.join(items, "itemid").withColumns({"j": F.row_number().over(by), "k": F.count("*").over(W.partitionBy("set_id")), "after": F.sum("idf").over(W.partitionBy("set_id").orderBy(F.desc("df"), F.desc("itemid"))) - F.col("idf")})
-    members = reliable(members)
-
-    def read(wanted: DataFrame) -> DataFrame:
-        """set_id, session_id, idf of the first ``_read`` entries of each wanted list, a part of a list at a time."""
-        parts = wanted.withColumn("_p", F.explode(F.expr(f"sequence(0L, (_read - 1) div {limit}L)")))
-        return parts.join(lists, ["itemid", "_p"]).where("place <= _read").select("set_id", "session_id", "idf")
-
-    def threshold(seen: DataFrame) -> DataFrame:
-        """set_id, best: the score of the m-th best session."""
-        place = F.row_number().over(W.partitionBy("set_id").orderBy(F.desc("score")))
-        return seen.withColumn("_i", place).where(F.col("_i") <= m).groupBy("set_id").agg(F.max(F.when(F.col("_i") == m, F.col("score"))).alias("best"))
-
-    spark = sessions.sparkSession
-    seen = spark.createDataFrame([], "set_id long, session_id long, score long")
-    last = members.where("j = k").select("set_id", F.col("k").cast("long").alias("k"))
-    open_, done, lo, hi = reliable(last.where("k > 1").select("set_id")), spark.createDataFrame([], "set_id long, upto int"), 1, 1
-    while not open_.isEmpty():
-        wanted = members.join(open_, "set_id", "left_semi").where(F.col("j").between(lo, hi) & (F.col("j") < F.col("k"))).withColumn("_read", F.col("df"))
-        more = read(wanted).groupBy("set_id", "session_id").agg(F.sum("idf").alias("score"))
-        seen = reliable(seen.union(more).groupBy("set_id", "session_id").agg(F.sum("score").alias("score")))
-        at = members.join(open_, "set_id", "left_semi").where(F.col("j") == F.least(F.lit(hi), F.col("k") - 1)).select("set_id", "j", "k", "after")
-        at = at.join(threshold(seen.join(open_, "set_id", "left_semi")), "set_id", "left")
-        state = reliable(at.select("set_id", "j", (F.coalesce(F.col("best") > F.col("after"), F.lit(False))).alias("stop"), (F.col("j") == F.col("k") - 1).alias("end")))
-        done = reliable(done.union(state.where("stop or end").select("set_id", F.when(F.col("stop"), F.col("j")).otherwise(F.lit(None)).cast("int"))))
-        open_ = reliable(state.where("not stop and not end").select("set_id"))
-        lo, hi = hi + 1, 2 * hi + 1
-    # upto: the last list that was read to its end; without a stop, all but the longest, of which the first m entries come too
-    ends = last.join(done, "set_id", "left").select("set_id", "upto", F.coalesce("upto", F.col("k") - 1).cast("int").alias("full"))
-    tips = members.where("j = k").join(ends.where("upto is null"), "set_id", "left_semi").withColumn("_read", F.least("df", F.lit(m).cast("long")))
-    found = seen.union(read(tips).select("set_id", "session_id", F.lit(0).cast("long"))).groupBy("set_id", "session_id").agg(F.sum("score").alias("score"))
-    # the rest of the score, for those that it can bring among the best
-    left = members.join(ends, "set_id").where("j > full").select("set_id", "itemid", "idf")
-    left = left.groupBy("set_id").agg(F.sum("idf").alias("gain")).join(left, "set_id")
-    found = reliable(found.join(threshold(found).withColumnRenamed("best", "bar"), "set_id", "left"))
-    each = found.groupBy("set_id").agg(F.count("*").alias("_n"))
-    rest = join_split(found, left.join(each, "set_id"), "set_id", "_n", found.count()).where("score + gain >= coalesce(bar, 0)")
-    more = rest.select("set_id", "session_id", "itemid", "idf").join(sessions.select("session_id", "itemid"), ["session_id", "itemid"]).select("set_id", "session_id", F.col("idf").alias("score"))
-    full = found.select("set_id", "session_id", "score").union(more).groupBy("set_id", "session_id").agg(F.sum("score").alias("score"))
-    full = full.join(sessions.groupBy("session_id").agg(F.max("session_end").alias("session_end")), "session_id")
-    place = F.row_number().over(W.partitionBy("set_id").orderBy(F.desc("score"), F.desc("session_end"), "session_id"))
-    best = reliable(full.withColumn("rank", place).where(F.col("rank") <= m).select("set_id", "session_id", "rank", "score"))
-    count = members.join(ends, "set_id").groupBy("set_id").agg(
-        F.count("*").alias("lists"), F.sum("df").alias("entries"),
-        F.sum(F.when(F.col("j") <= F.col("full"), F.col("df")).when(F.col("upto").isNull() & (F.col("j") == F.col("k")), F.least("df", F.lit(m).cast("long"))).otherwise(F.lit(0))).alias("read"),
-    )
-    often = of.groupBy("set_id").agg(F.count("*").alias("_n"))
-    return join_split(of, best.join(often, "set_id"), "set_id", "_n", of.count()).select("query_id", "session_id", "rank", "score"), count
+    index = SessionIndex(sessions, m)
+    of, members = index.sets(prefix)
+    return of_queries(of, reliable(index.near(members))), index.reads(members)
 
 
 def session_knn_ranked(neighbours: DataFrame, sessions: DataFrame, k: int = 20) -> DataFrame:

@@ -104,3 +104,37 @@ def test_prefix_items_and_lists(spark):
     near = spark.createDataFrame([(0, 1, 0.5), (1, 0, 0.5), (0, 2, 0.25)], "itemid long, neighbour long, similarity double")
     ranked = knn.item_knn_ranked(spark.createDataFrame([(1, 0), (2, 0), (2, 1), (3, 9)], "query_id long, itemid long"), near, 2)
     assert sorted(map(tuple, ranked.collect())) == [(1, 1, 1, 500000), (1, 2, 2, 250000), (2, 0, 1, 500000), (2, 1, 2, 500000)]
+
+
+def common_sessions(rng, copies=1):
+    """Few items, so that more than a few sets of items hold any pair or triple of them; each session stands ``copies`` times."""
+    sets = [{i for i in range(9) if rng.random() < p} | {rng.randrange(9)} for p in (0.1, 0.3, 0.6) for _ in range(150)]
+    return [(c * 1000 + s, i, 1000 - s // 7) for c in range(copies) for s, items in enumerate(sets) for i in items]
+
+
+def indexed(spark, rows, prefix, m, most=12):
+    index = knn.SessionIndex(spark.createDataFrame(rows, "session_id long, itemid long, session_end long"), m, most)
+    return index, *index.sets(spark.createDataFrame(prefix, "query_id long, itemid long"))
+
+
+@pytest.mark.parametrize("most", [12, 3])
+def test_session_index_with_common_patterns(spark, most):
+    """Patterns grow to four items and more; with most = 3, large sets and sessions are compared with all that share an item."""
+    rng = random.Random(3)
+    rows = common_sessions(rng)
+    prefix = [(q, i) for q in range(40) for i in rng.sample(range(11), rng.randrange(1, 8))]
+    index, of, members = indexed(spark, rows, prefix, 4, most)
+    got = {(r.query_id, r["rank"]): (r.session_id, r.score) for r in knn.of_queries(of, index.near(members)).collect()}
+    assert got == brute_sessions(rows, prefix, 4)
+
+
+def test_session_knn_does_not_read_whole_lists(spark):
+    """Sessions compared with a set neither grow with copies of sessions nor with the length of the items' lists."""
+    prefix = [(1, 0), (2, 0), (2, 1), (3, 2), (3, 4), (3, 5)]
+    found = []
+    for copies in (1, 12):
+        rows = common_sessions(random.Random(3), copies)
+        index, of, members = indexed(spark, rows, prefix, 4)
+        found.append({r.set_id: r["count"] for r in index.candidates(members).groupBy("set_id").count().collect()})
+        assert {(r.query_id, r["rank"]): (r.session_id, r.score) for r in knn.of_queries(of, index.near(members)).collect()} == brute_sessions(rows, prefix, 4)
+    assert found[0] == found[1] and found[1][1] == 4 and found[1][2] <= 3 * 4 and found[1][3] <= 7 * 4  # m for each pattern
