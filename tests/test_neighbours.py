@@ -138,3 +138,40 @@ def test_session_knn_does_not_read_whole_lists(spark):
         found.append({r.set_id: r["count"] for r in index.candidates(members).groupBy("set_id").count().collect()})
         assert {(r.query_id, r["rank"]): (r.session_id, r.score) for r in knn.of_queries(of, index.near(members)).collect()} == brute_sessions(rows, prefix, 4)
     assert found[0] == found[1] and found[1][1] == 4 and found[1][2] <= 3 * 4 and found[1][3] <= 7 * 4  # m for each pattern
+
+
+def brute_reads(rows, sets, m):
+    """set_id: (lists, entries, read) by reading the lists of each set in rounds, as the SQL does."""
+    of, df = defaultdict(set), defaultdict(int)
+    for s, i, _ in rows:
+        of[s].add(i)
+        df[i] += 1
+    idf = {i: round(1_000_000 * math.log1p(len(of) / n)) for i, n in df.items()}
+    out = {}
+    for q, items in sets.items():
+        lists = sorted((i for i in items if i in df), key=lambda i: (df[i], i))
+        k, hi, upto = len(lists), 1, None
+        while (hi + 1) // 2 <= k - 1 and upto is None:
+            at = min(hi, k - 1)
+            best = sorted((sum(idf[i] for i in of[s].intersection(lists[:at])) for s in of if of[s].intersection(lists[:at])), reverse=True)
+            upto = at if len(best) >= m and best[m - 1] > sum(idf[i] for i in lists[at:]) else None
+            hi = 2 * hi + 1
+        read = [df[i] for i in lists[: k - 1 if upto is None else upto]] + [min(df[lists[-1]], m)] * (upto is None)
+        out[q] = (k, sum(df[i] for i in lists), sum(read))
+    return out
+
+
+def test_reads_are_told_without_reading_lists(spark, monkeypatch):
+    """Numbers of a reading in rounds; candidates of all parts of the sets stay few while the lists are long."""
+    rng = random.Random(5)
+    rows = [r for r in common_sessions(rng, 3)] + [(9000 + s, 50 + rng.randrange(12), 5) for s in range(30)]
+    sets = {q: set(rng.sample(range(9), rng.randrange(1, 6))) | {50 + rng.randrange(14) for _ in range(q % 3)} for q in range(20)}
+    index, _, members = indexed(spark, rows, [(q, i) for q, x in sets.items() for i in x], 4)
+    seen = []
+    candidates = index.candidates
+    monkeypatch.setattr(index, "candidates", lambda x: seen.append(candidates(x)) or seen[-1])
+    want = brute_reads(rows, sets, 4)
+    got = {r.set_id: (r.lists, r.entries, r.read) for r in index.reads(members).collect()}
+    assert got == {q: want[q] for q in got} and len(got) == len({frozenset(i for i in x if i < 62 and any(i == y for _, y, _ in rows)) for x in sets.values()} - {frozenset()})
+    assert any(r < e for _, e, r in got.values())
+    assert seen[0].count() < 0.2 * sum(r for _, _, r in got.values())
