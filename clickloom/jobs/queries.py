@@ -65,6 +65,7 @@ class Log:
             "session_index": lambda: knn.SessionIndex(self._recent()),
             "session_sets": lambda: self.session_index.sets(self.prefix),
             "session_near": lambda: reliable(self.session_index.near(self.session_sets[1])),
+            "session_lists": lambda: reliable(knn.session_lists(self.session_near, self.session_index.sessions)),
             "snapshot": lambda: self._snapshot(),
             "target_meta": lambda: m.asof_metadata(self.targets.select("query_id", "itemid", "query_time", "split"), self.props, self.items, self.tree, "query_time"),
         }.get(name)
@@ -1009,13 +1010,7 @@ def session_knn_reads(t: Log) -> DataFrame:
 def session_knn_ranked(t: Log) -> DataFrame:
     """The list of each validation and test query by the sessions near to its prefix; found once a set of items."""
     stored(t, "events")
-    return knn.of_queries(t.session_sets[0], _session_lists(t))
-
-
-def _session_lists(t: Log) -> DataFrame:
-    """set_id, itemid, rank, score."""
-    near = t.session_near.withColumnRenamed("set_id", "query_id")
-    return reliable(knn.session_knn_ranked(near, t.session_index.sessions)).withColumnRenamed("query_id", "set_id")
+    return knn.of_queries(t.session_sets[0], t.session_lists)
 
 
 @query
@@ -1035,7 +1030,7 @@ def ranking_metrics_by_query(t: Log) -> DataFrame:
     """Metrics of one list a query: popularity among candidates, item and session neighbours."""
     stored(t, "events", "groups", "targets")
     held = t.targets.where("split in ('validation', 'test')")
-    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.of_queries(t.session_sets[0], _session_lists(t))}
+    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.of_queries(t.session_sets[0], t.session_lists)}
     out = None
     for name, ranked in lists.items():
         one = ranking.metrics_by_query(ranked, held).withColumn("model", F.lit(name))

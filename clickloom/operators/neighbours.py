@@ -253,3 +253,8 @@ def session_knn_ranked(neighbours: DataFrame, sessions: DataFrame, k: int = 20)
     """
     near = neighbours.select("query_id", "session_id", "score").join(sessions.select("session_id", "itemid").distinct(), "session_id")
     return _best(near.groupBy("query_id", "itemid").agg(F.sum("score").alias("score")), k)
+
+
+def session_lists(near: DataFrame, sessions: DataFrame, k: int = 20) -> DataFrame:
+    """set_id, itemid, rank, score: ``session_knn_ranked`` of the sessions near to each set (set_id, session_id, score), for ``of_queries``."""
+    return session_knn_ranked(near.withColumnRenamed("set_id", "query_id"), sessions, k).withColumnRenamed("query_id", "set_id")

@@ -175,3 +175,23 @@ def test_reads_are_told_without_reading_lists(spark, monkeypatch):
     assert got == {q: want[q] for q in got} and len(got) == len({frozenset(i for i in x if i < 62 and any(i == y for _, y, _ in rows)) for x in sets.values()} - {frozenset()})
     assert any(r < e for _, e, r in got.values())
     assert seen[0].count() < 0.2 * sum(r for _, _, r in got.values())
+
+
+def test_session_lists_are_made_once_a_set(spark):
+    """The list of a set is ranked once, whatever the number of its queries, and is that of each of them."""
+    rng = random.Random(6)
+    rows = common_sessions(rng)
+    sets = [set(rng.sample(range(9), rng.randrange(1, 5))) for _ in range(6)]
+    prefix = [(q, i) for q in range(60) for i in sets[q % 6]]
+    index, of, members = indexed(spark, rows, prefix, 5)
+    near = index.near(members)
+    lists = knn.session_lists(near, index.sessions, 3)
+    held, score = defaultdict(set), defaultdict(int)
+    for s, i, _ in rows:
+        held[s].add(i)
+    for (q, _), (s, x) in brute_sessions(rows, prefix, 5).items():
+        for i in held[s]:
+            score[q, i] += x
+    want = {(q, r): (i, -x) for q in range(60) for r, (x, i) in enumerate(sorted((-x, i) for (p, i), x in score.items() if p == q)[:3], 1)}
+    assert {(r.query_id, r["rank"]): (r.itemid, r.score) for r in knn.of_queries(of, lists).collect()} == want
+    assert lists.count() == 3 * len(set(map(frozenset, sets)))
