@@ -56,7 +56,8 @@ class Log:
             "items_idx": lambda: m.mapping(self.train, "itemid"),
             "interactions": lambda: m.interactions(self.train, self.users_idx, self.items_idx, self.ends.first().train_end),
             "changes": lambda: m.eligibility_changes(self.items, self.props),
-            "popular": lambda: reliable(ranking.popular_candidates(self.queries, ranking.candidate_lists(reliable(ranking.popularity_ranks(self.train)), self.changes))),
+            "popular_lists": lambda: reliable(ranking.candidate_lists(reliable(ranking.popularity_ranks(self.train)), self.changes)),
+            "popular": lambda: reliable(ranking.popular_candidates(self.queries, self.popular_lists)),
             "matrix": lambda: reliable(knn.session_items(self.train)),
             "item_near": lambda: reliable(knn.item_knn(self.matrix, least=LEAST_COSINE)),
             "asked": lambda: reliable(self.queries.where("split in ('validation', 'test')")),
@@ -1027,12 +1028,22 @@ def popularity_candidates(t: Log) -> DataFrame:
 
 @query
 def ranking_metrics_by_query(t: Log) -> DataFrame:
-    """Metrics of one list a query: popularity among candidates, item and session neighbours."""
-    stored(t, "events", "groups", "targets")
-    held = t.targets.where("split in ('validation', 'test')")
-    lists = {"popularity": t.popular, "item_knn": knn.item_knn_ranked(t.prefix, t.item_near), "session_knn": knn.of_queries(t.session_sets[0], t.session_lists)}
+    """Metrics of one list a query: popularity among candidates, item and session neighbours; a list is made once, for all queries of a time or set of items."""
+    stored(t, "events", "props")
+    t.items = reliable(m.catalog(t.events, t.props))
+    held = reliable(t.targets.where("split in ('validation', 'test')").select("split", "query_id", "itemid"))
+    of, members = t.session_sets  # items without train sessions have no neighbours of either kind
+    of = of.withColumnRenamed("set_id", "list_id")
+    near = reliable(knn.item_knn(t.session_index.matrix(), least=LEAST_COSINE))
+    by_item = knn.item_knn_ranked(members.select(F.col("set_id").alias("query_id"), "itemid"), near)
+    popular = t.popular_lists.where("place > 0").select(F.struct("t", "part").alias("list_id"), "itemid", F.col("place").alias("rank"))
+    lists = {
+        "popularity": (popular, ranking.lists_at(t.asked, t.popular_lists)),
+        "item_knn": (by_item.withColumnRenamed("query_id", "list_id"), of),
+        "session_knn": (t.session_lists.withColumnRenamed("set_id", "list_id"), of),
+    }
     out = None
-    for name, ranked in lists.items():
-        one = ranking.metrics_by_query(ranked, held).withColumn("model", F.lit(name))
+    for name, (ranked, at) in lists.items():
+        one = ranking.metrics_by_list(ranked, at, held).withColumn("model", F.lit(name))
         out = one if out is None else out.union(one)
     return out

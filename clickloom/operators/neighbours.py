@@ -21,36 +21,40 @@ def session_items(train: DataFrame, weights: dict[str, int] | None = None) -> Da
     return train.groupBy("session_id", "itemid").agg(w.cast("long").alias("w")).where("w > 0")
 
 
+def _counted(matrix: DataFrame) -> DataFrame:
+    return matrix if "n" in matrix.columns else matrix.withColumn("n", F.lit(1).cast("long"))
+
+
 def prefix_filtered(matrix: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """(itemid, norm, k, rest of each item; the rows of ``matrix`` that pairs of cosine ``least`` are looked for in, with size).
+    """(itemid, norm, k, rest of each item; the rows of ``matrix`` that pairs of cosine ``least`` are looked for in, with size and n).
 
-    norm: sum of squares; k: sessions. An item's sessions go in order of size, the largest first. As long as the
+    norm: sum of squares; k: sessions; n: how many equal sessions a row stands for (1 if ``matrix`` has none). An item's sessions go in order of size, the largest first. As long as the
     squares that have passed are below least^2 of the norm (``rest``), the rows are left out: two items that share
     sessions only where one of them is left out have a product below least, by Cauchy-Schwarz. So the largest
     sessions, which have the most pairs, go first. ``size``: the session's items.
     """
-    matrix = reliable(matrix)
+    matrix = reliable(_counted(matrix))
     total = matrix.count()
     sizes = matrix.groupBy("session_id").agg(F.count("*").alias("size"))
-    norms = matrix.groupBy("itemid").agg(F.sum(F.col("w") * F.col("w")).alias("norm"), F.count("*").alias("k"))
+    norms = matrix.groupBy("itemid").agg(F.sum(F.col("n") * F.col("w") * F.col("w")).alias("norm"), F.count("*").alias("k"))
     rows = join_split(join_split(matrix, sizes, "session_id", "size", total), norms, "itemid", "k", total)
-    rows = rows.select("session_id", "itemid", "w", "size", "norm", "k", (-F.col("size")).alias("_order"))
-    rows = scan(rows, ("itemid",), ("_order", "session_id"), sums={"passed": F.col("w") * F.col("w")}).drop("_order", "_range")
+    rows = rows.select("session_id", "itemid", "w", "n", "size", "norm", "k", (-F.col("size")).alias("_order"))
+    rows = scan(rows, ("itemid",), ("_order", "session_id"), sums={"passed": F.col("n") * F.col("w") * F.col("w")}).drop("_order", "_range")
     kept = F.col("passed") >= F.lit(least * least * (1 - 1e-9)) * F.col("norm")
     rows = reliable(rows.withColumn("kept", kept))
-    out = rows.groupBy("itemid", "norm", "k").agg(F.coalesce(F.sum(F.when(~F.col("kept"), F.col("w") * F.col("w"))), F.lit(0)).alias("rest"))
-    return reliable(out), rows.where("kept").select("session_id", "itemid", "w", "size")
+    out = rows.groupBy("itemid", "norm", "k").agg(F.coalesce(F.sum(F.when(~F.col("kept"), F.col("n") * F.col("w") * F.col("w"))), F.lit(0)).alias("rest"))
+    return reliable(out), rows.where("kept").select("session_id", "itemid", "w", "n", "size")
 
 
 def session_pairs(rows: DataFrame, cell: int = 1000) -> DataFrame:
-    """a < b, part of the items that meet in a session of ``rows`` (session_id, itemid, w, size): the sum of their products.
+    """a < b, part of the items that meet in a session of ``rows`` (session_id, itemid, w, n, size): the sum of their products, n times each.
 
     A session of more than ``cell`` items is split into blocks of items, and each pair of blocks is a cell that is
     joined by itself: no task has more than about cell^2 pairs of one session, and a row is repeated once a block.
     """
     blocks = F.ceil(F.col("size") / cell).cast("int")
     at = rows.withColumns({"_n": blocks, "_b": F.pmod(F.xxhash64("itemid"), blocks).cast("int")})
-    left = at.select("session_id", F.col("itemid").alias("_x"), F.col("w").alias("_wx"), F.col("_b").alias("_i"), F.explode(F.expr("sequence(_b, _n - 1)")).alias("_j"))
+    left = at.select("session_id", F.col("itemid").alias("_x"), (F.col("n") * F.col("w")).alias("_wx"), F.col("_b").alias("_i"), F.explode(F.expr("sequence(_b, _n - 1)")).alias("_j"))
     right = at.select("session_id", F.col("itemid").alias("_y"), F.col("w").alias("_wy"), F.explode(F.expr("sequence(0, _b)")).alias("_i"), F.col("_b").alias("_j"))
     met = left.join(right, ["session_id", "_i", "_j"]).where("_i < _j or _x < _y")
     return met.groupBy(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).agg(F.sum(F.col("_wx") * F.col("_wy")).alias("part"))
@@ -62,7 +66,7 @@ def item_pairs(matrix: DataFrame, least: float = 0.1, cell: int = 1000) -> DataF
     Exact: pairs are found in what ``prefix_filtered`` keeps, those that the rest cannot lift to ``least`` go, and the
     whole product of the others is summed from the item with fewer sessions, in whole numbers.
     """
-    matrix = reliable(matrix)
+    matrix = reliable(_counted(matrix))
     items, kept = prefix_filtered(matrix, least)
     one = lambda x: items.select(F.col("itemid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("norm", "k", "rest")))
     found = session_pairs(kept, cell).join(one("a"), "a").join(one("b"), "b")
@@ -74,7 +78,7 @@ def item_pairs(matrix: DataFrame, least: float = 0.1, cell: int = 1000) -> DataF
     limit = max(1, hot_limit(matrix.sparkSession, matrix.count()))
     asked = asked.withColumn("_p", F.explode(F.expr(f"sequence(0L, (_k - 1) div {limit}L)")))
     rows = join_split(matrix, items.select("itemid", "k"), "itemid", "k", matrix.count())
-    rows = rows.select(F.col("itemid").alias("_from"), "session_id", F.col("w").alias("_w"), F.pmod(F.xxhash64("session_id"), F.expr(f"(k - 1) div {limit}L + 1")).alias("_p"))
+    rows = rows.select(F.col("itemid").alias("_from"), "session_id", (F.col("n") * F.col("w")).alias("_w"), F.pmod(F.xxhash64("session_id"), F.expr(f"(k - 1) div {limit}L + 1")).alias("_p"))
     both = asked.join(rows, ["_from", "_p"]).join(matrix.select(F.col("itemid").alias("_to"), "session_id", "w"), ["_to", "session_id"])
     dots = both.groupBy("a", "b", "norms").agg(F.sum(F.col("_w") * F.col("w")).alias("dot"))
     dots = dots.withColumn("cosine2", F.col("dot") * F.col("dot") / F.col("norms").cast("double"))
@@ -84,7 +88,7 @@ def item_pairs(matrix: DataFrame, least: float = 0.1, cell: int = 1000) -> DataF
 def item_knn(matrix: DataFrame, n: int = 20, least: float = 0.1, cell: int = 1000) -> DataFrame:
     """itemid, neighbour, rank, dot, similarity: the ``n`` nearest items of each item, by cosine of at least ``least``, then by id.
 
-    ``matrix``: session_id, itemid, w (whole numbers). Items without a neighbour have no row.
+    ``matrix``: session_id, itemid, w (whole numbers), and n if a session stands for n equal ones. Items without a neighbour have no row.
     """
     pairs = reliable(item_pairs(matrix, least, cell))
     both = pairs.select(F.col("a").alias("itemid"), F.col("b").alias("neighbour"), "dot", "cosine2").union(pairs.select("b", "a", "dot", "cosine2"))
@@ -167,10 +171,14 @@ class SessionIndex:
         by = W.partitionBy("class_id").orderBy(F.desc("session_end"), "session_id")
         self.latest = reliable(of.withColumn("place", F.row_number().over(by)).where(F.col("place") <= m).select("class_id", "session_id", "session_end", "place"))
         head = self.latest.where("place = 1").select("class_id", "session_end", F.col("session_id").alias("first"))
-        self.classes = reliable(items.join(head, "class_id"))
+        self.classes = reliable(items.join(head, "class_id").join(of.groupBy("class_id").agg(F.count("*").alias("n")), "class_id"))
         idf = F.round(1_000_000 * F.log1p(F.lit(of.count()) / F.col("df"))).cast("long")
         self.items = reliable(sessions.groupBy("itemid").agg(F.count("*").alias("df")).withColumn("idf", idf))
 
+    def matrix(self) -> DataFrame:
+        """session_id, itemid, w, n: one session of each class, which stands for its ``n``; for ``item_knn``."""
+        return self.classes.select(F.col("class_id").alias("session_id"), "itemid", F.lit(1).cast("long").alias("w"), "n")
+
     def sets(self, prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(query_id, set_id; set_id, itemid, size of each distinct set) of the items of ``prefix`` (query_id, itemid) that train holds."""
         of, members = item_sets(reliable(prefix.join(self.items.select("itemid"), "itemid", "left_semi")), "query_id", "set_id")
@@ -200,7 +208,7 @@ class SessionIndex:
     def near(self, members: DataFrame) -> DataFrame:
         """set_id, session_id, rank, score of the ``m`` nearest sessions of each set (set_id, itemid, size)."""
         asked = members.join(self.items.select("itemid", "idf"), "itemid").select("set_id", "itemid", "idf")
-        shared = self.candidates(members).join(asked, "set_id").join(self.classes.drop("size"), ["class_id", "itemid"])
+        shared = self.candidates(members).join(asked, "set_id").join(self.classes.drop("size", "n"), ["class_id", "itemid"])
         scores = shared.groupBy("set_id", "class_id", "session_end", "first").agg(F.sum("idf").alias("score"))
         by = W.partitionBy("set_id")
         best = scores.withColumn("_i", F.row_number().over(by.orderBy(F.desc("score"), F.desc("session_end"), "first"))).where(F.col("_i") <= self.m)

@@ -36,6 +36,16 @@ def metrics_by_query(ranked: DataFrame, targets: DataFrame, cuts: tuple[int, ...
     return _metrics(targets.select("split", "query_id", "itemid").join(ranked.select("query_id", "itemid", "rank"), ["query_id", "itemid"], "left"), cuts)
 
 
+def metrics_by_list(ranked: DataFrame, of: DataFrame, targets: DataFrame, cuts: tuple[int, ...] = (10, 20)) -> DataFrame:
+    """As ``metrics_by_query``, where many queries have one list: ``of`` has query_id and list_id, ``ranked`` list_id, itemid and rank.
+
+    Only targets are looked up, so the lists are not written out for each query. A (list, target) of very many queries
+    is split by the engine's skew handling.
+    """
+    at = targets.select("split", "query_id", "itemid").join(of.select("query_id", "list_id"), "query_id", "left")
+    return _metrics(at.join(ranked.select("list_id", "itemid", "rank"), ["list_id", "itemid"], "left"), cuts)
+
+
 def _metrics(hit: DataFrame, cuts: tuple[int, ...]) -> DataFrame:
     rows = hit.withColumn("cutoff", F.explode(F.array(*map(F.lit, cuts)))).withColumn("at", F.when(F.col("rank") <= F.col("cutoff"), F.col("rank")))
     q = rows.groupBy("split", "cutoff", "query_id").agg(F.count("*").alias("n"), F.count("at").alias("h"), F.min("at").alias("first"), F.sum(1 / F.log2(F.col("at") + 1)).alias("dcg"))
@@ -128,14 +138,18 @@ def _lists(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["t", "part", "place", "itemid"])
 
 
+def lists_at(queries: DataFrame, lists: DataFrame) -> DataFrame:
+    """query_id, list_id: for each query (query_id, query_time) the (t, part) of the list of ``candidate_lists`` that holds at its time."""
+    marks = lists.select("t", "part", F.lit(0).alias("_kind"), F.struct("t", "part").alias("v")).distinct()
+    asked = queries.select("query_id", F.col("query_time").alias("t"), F.lit(1).alias("_kind"))
+    both = asked.unionByName(marks, allowMissingColumns=True)
+    return scan(both, (), ("t", "_kind", "part"), lasts={"_list": F.col("v")}).where("_kind = 1 and _list is not null").select("query_id", F.col("_list").alias("list_id"))
+
+
 def popular_candidates(queries: DataFrame, lists: DataFrame) -> DataFrame:
     """query_id, itemid, rank: for each query (query_id, query_time) the list that holds at its time."""
     lists = reliable(lists.withColumn("v", F.struct("t", "part")))
-    marks = lists.select("t", "part", F.lit(0).alias("_kind"), "v").distinct()
-    asked = queries.select("query_id", F.col("query_time").alias("t"), F.lit(1).alias("_kind"))
-    both = asked.unionByName(marks, allowMissingColumns=True)
-    at = scan(both, (), ("t", "_kind", "part"), lasts={"_list": F.col("v")}).where("_kind = 1 and _list is not null").select("query_id", "_list")
-    at = reliable(at)
-    often = at.groupBy("_list").agg(F.count("*").alias("_n"))
-    rows = lists.where("place > 0").join(often, F.col("v") == F.col("_list")).select("_list", "place", "itemid", "_n")
-    return join_split(at, rows, "_list", "_n", at.count()).select("query_id", "itemid", F.col("place").alias("rank"))
+    at = reliable(lists_at(queries, lists))
+    often = at.groupBy("list_id").agg(F.count("*").alias("_n"))
+    rows = lists.where("place > 0").join(often, F.col("v") == F.col("list_id")).select("list_id", "place", "itemid", "_n")
+    return join_split(at, rows, "list_id", "_n", at.count()).select("query_id", "itemid", F.col("place").alias("rank"))

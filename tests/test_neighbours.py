@@ -195,3 +195,13 @@ def test_session_lists_are_made_once_a_set(spark):
     want = {(q, r): (i, -x) for q in range(60) for r, (x, i) in enumerate(sorted((-x, i) for (p, i), x in score.items() if p == q)[:3], 1)}
     assert {(r.query_id, r["rank"]): (r.itemid, r.score) for r in knn.of_queries(of, lists).collect()} == want
     assert lists.count() == 3 * len(set(map(frozenset, sets)))
+
+
+def test_item_knn_of_classes(spark):
+    """Equal sessions as one row with their number give the neighbours of all sessions, from few rows."""
+    rows = common_sessions(random.Random(8), 7) + [(50_000 + i, 3, 5) for i in range(200)]
+    index, *_ = indexed(spark, rows, [(1, 1)], 4)
+    matrix = index.matrix()
+    assert matrix.count() * 7 <= len(rows) and matrix.agg(F.sum("n")).first()[0] == len(rows)
+    want, _ = brute_pairs([(s, i, 1) for s, i, _ in rows], 0.3)
+    assert {(r.a, r.b): r.dot for r in knn.item_pairs(matrix, 0.3).collect()} == want and len(want) > 10

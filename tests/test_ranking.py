@@ -55,3 +55,16 @@ def test_metrics_by_query(spark):
     (r,) = ranking.metrics_by_query(ranked, targets, (2,)).collect()
     assert (r.queries, r.recall, r.hit_rate, r.mrr) == (3, 0.5, 0.666667, 0.5)
     assert r.ndcg == round((1 / math.log2(3) / (1 + 1 / math.log2(3)) + 1) / 3, 6)
+
+
+def test_metrics_by_list(spark):
+    """Lists given once for many queries measure as lists written out for each; the popular list of a time likewise."""
+    ranked = spark.createDataFrame([(1, 7, 1), (1, 8, 2), (2, 7, 1), (2, 9, 2)], "list_id long, itemid long, rank int")
+    of = spark.createDataFrame([(q, 1 + q % 2) for q in range(10)], "query_id long, list_id long")
+    targets = spark.createDataFrame([(q, i, "t") for q in range(12) for i in (7 + q % 3, 99)], "query_id long, itemid long, split string")
+    each = of.join(ranked, "list_id").drop("list_id")
+    got = ranking.metrics_by_list(ranked, of, targets, (1, 2)).collect()
+    assert sorted(got) == sorted(ranking.metrics_by_query(each, targets, (1, 2)).collect()) and got[0].queries == 12
+    lists = spark.createDataFrame([(5, 0, 1, 7), (5, 1, 0, None), (9, 1, 1, 8)], "t long, part int, place int, itemid long")
+    asked = spark.createDataFrame([(1, 4), (2, 5), (3, 8), (4, 9), (5, 20)], "query_id long, query_time long")
+    assert {(r.query_id, tuple(r.list_id)) for r in ranking.lists_at(asked, lists).collect()} == {(2, (5, 1)), (3, (5, 1)), (4, (9, 1)), (5, (9, 1))}
